@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .plans import measures as m
+from .plans import measures as m, reports as r
 from .sources.star import AS_OF, StarTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,4 +82,40 @@ MEASURES: dict[str, Query] = {
     "tax_ytd": over_star(lambda s: m.tax_to_date(s, AS_OF)),
 }
 
-QUERIES: dict[str, Query] = {**MEASURES}
+REPORTS: dict[str, Query] = {
+    "v_rev_exp_12m": over_star(lambda s: r.revenue_and_expenses(s, AS_OF)),
+    "v_revenue_by_item": over_star(r.revenue_by_item_type),
+    "v_top_customers": over_star(r.top_customers),
+    "v_exec_summary": over_star(lambda s: r.summary_cards(s, AS_OF)),
+    "v_pnl_matrix": over_star(r.pnl_matrix),
+    "v_pnl_waterfall": over_star(r.pnl_waterfall),
+    "v_pnl_grains": over_star(r.pnl_by_grain),
+    "v_balance_sheet": over_star(r.balance_sheet),
+    "v_balance_check": over_star(r.balance_check),
+    "v_trial_balance": over_star(r.trial_balance),
+    "v_account_tree": over_star(r.account_tree),
+    "v_cash_walk": over_star(r.cash_walk),
+    "v_cash_trend": over_star(r.cash_trend),
+    "v_cash_trend_weekly": over_star(lambda s: r.cash_trend(s, "WEEK")),
+    "v_cash_by_party": over_star(r.cash_by_party),
+    "v_ar_aging_customer": over_star(lambda s: r.receivable_aging_by_customer(s, AS_OF)),
+    "v_ap_aging_vendor": over_star(lambda s: r.payable_aging_by_vendor(s, AS_OF)),
+    "v_open_invoices": over_star(lambda s: r.open_invoices(s, AS_OF)),
+    "v_open_bills": over_star(lambda s: r.open_bills(s, AS_OF)),
+    "v_dso_trend": over_star(lambda s: r.dso_trend(s, AS_OF)),
+    "v_dpo_trend": over_star(lambda s: r.dpo_trend(s, AS_OF)),
+    "v_ap_by_category": over_star(r.payables_by_category),
+    "v_revenue_cumulative": over_star(r.revenue_cumulative),
+    "v_top_categories": over_star(r.top_categories),
+    "v_customer_ranking": over_star(r.customer_ranking),
+    "v_customer_trend": over_star(lambda s: r.customer_trend(s, AS_OF)),
+    "v_expense_by_type": over_star(r.expense_by_type),
+    "v_largest_expense": over_star(r.largest_expense),
+    "v_expense_yoy": over_star(r.expense_against_prior_year),
+    "v_expense_mix": over_star(r.expense_mix),
+    "v_top_vendors": over_star(lambda s: r.top_vendors(s, AS_OF)),
+    "v_vendor_share": over_star(r.vendor_share),
+    "v_reconcile": over_star(r.reconcile),
+}
+
+QUERIES: dict[str, Query] = {**MEASURES, **REPORTS}

@@ -1,3 +1,4 @@
 from .measures import MEASURES
+from .reports import REPORTS
 
-ORACLE: dict[str, str] = {**MEASURES}
+ORACLE: dict[str, str] = {**MEASURES, **REPORTS}

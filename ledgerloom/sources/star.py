@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.blank import sum_if
 from ..functions.dates import date_key
@@ -33,6 +33,9 @@ LINE_ORDER = (
 )
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def text(name: str) -> Column:
     return F.col(name).cast("string")
 
@@ -50,7 +53,11 @@ class StarTables:
         self.spark, self.path = spark, path.rstrip("/")
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        """Parquet scan; the schema is read from the footers once per path and then reused."""
+        path = f"{self.path}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def table(self, name: str, *wanted: str) -> DataFrame:
         """The named star table with its declared columns, or only the wanted ones."""

@@ -20,9 +20,10 @@ def main():
     folder = args.pop(0) if args and "/" in args[0] else "/root/testdata/sf0.01"
     spark = build_session("oracle", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="ledgerloom-oracle-")})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con, queries, oracle = connect(folder), contract.queries(), contract.oracle_sql()
     failed = []
     for name, query in queries.items():
@@ -36,9 +37,9 @@ def main():
                   + ("" if name in oracle else "  (rows only)"), flush=True)
         except Exception as error:  # noqa: BLE001
             failed.append(name)
-            print(f"FAIL {name}: {str(error)[:1500]}", flush=True)
+            print(f"FAIL {name}: {str(error).splitlines()[0][:900]}", flush=True)
             if not isinstance(error, AssertionError):
-                traceback.print_exc(limit=-3)
+                print("".join(traceback.format_tb(error.__traceback__)[-4:-1])[:900], flush=True)
     print("failed:", failed)
 
 
