@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from .loads import LOADS
 from .plans import measures as m, reports as r
 from .sources.star import AS_OF, StarTables
 
@@ -118,4 +119,6 @@ REPORTS: dict[str, Query] = {
     "v_reconcile": over_star(r.reconcile),
 }
 
-QUERIES: dict[str, Query] = {**MEASURES, **REPORTS}
+QUERIES: dict[str, Query] = {
+    **{name: over_star(build) for name, build in LOADS.items()}, **MEASURES, **REPORTS,
+}

@@ -1,4 +1,7 @@
+"""All expected results by query name."""
+
+from .loads import LOADS
 from .measures import MEASURES
 from .reports import REPORTS
 
-ORACLE: dict[str, str] = {**MEASURES, **REPORTS}
+ORACLE: dict[str, str] = {**LOADS, **MEASURES, **REPORTS}

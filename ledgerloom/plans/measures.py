@@ -7,14 +7,13 @@ from several facts are stacked as tagged movements and regrouped instead of bein
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import blank
 from ..functions.blank import blank_add, blank_sub, count_if, divide, mean, sum_if
 from ..functions.dates import days_into_year, month, to_date_window
 from ..operators import aging
+from ..operators.merge import union
 from ..operators.periods import with_prior
 
 TENANT = ["client_id"]
@@ -22,10 +21,6 @@ COST_OF_GOODS = "Cost of Goods Sold"
 BANK = "Bank"
 
 
-def union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
 # -- line facts with their header's date ----------------------------------------------------
 
 def dated_lines(model, line_table: str, header: str, key: str, *extra: str) -> DataFrame:

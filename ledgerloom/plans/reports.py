@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import blank
 from ..functions.blank import blank_add, blank_sub, divide, mean, sum_if
-from ..functions.dates import date_key, day, days_late, month
-from ..operators import aging
+from ..functions.dates import day, days_late, month
+from ..operators.merge import union
 from ..operators.periods import with_prior
 from ..operators.ranking import rank_within, top_n
 from . import measures as m
-from .measures import TENANT, dated_lines, movements, of, paid_purchases, union
+from .measures import TENANT, dated_lines, movements, of, paid_purchases
 
 
 def named(df: DataFrame, model, dim: str, key: str, *names: str) -> DataFrame:

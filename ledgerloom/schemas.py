@@ -116,6 +116,9 @@ TABLES: dict[str, str] = {
         tax_code_ref string, detail_type string""",
     **{table: _GENERIC for table in GENERIC_TABLES.values()},
     "security_user_client_map": "user_email string, client_id string",
+    "report_rows": """client_id string, report_table string, report_name string,
+        start_period string, end_period string, report_year int, row_ord string, section string,
+        row_type string, cells array<struct<title:string,value:string>>""",
 }
 
 # Primary keys, tenant first.
@@ -139,6 +142,7 @@ PRIMARY_KEYS: dict[str, tuple[str, ...]] = {
     "fact_estimate_line": ("client_id", "estimate_id", "line_id"),
     **{table: ("client_id", "id") for table in GENERIC_TABLES.values()},
     "security_user_client_map": ("user_email", "client_id"),
+    "report_rows": ("client_id", "report_table", "start_period", "end_period", "row_ord"),
 }
 
 
@@ -156,6 +160,6 @@ def columns(table: str) -> list[tuple[str, str]]:
             pairs.append((name, dtype.strip()))
             field = ""
             continue
-        depth += (char == "(") - (char == ")")
+        depth += (char in "(<") - (char in ")>")
         field += char
     return pairs

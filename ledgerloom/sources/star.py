@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from ..functions.blank import sum_if
 from ..functions.dates import date_key
+from ..operators.merge import union
 from ..schemas import GENERIC_TABLES, MONEY, QUANTITY, columns
 
 # Fixed values of the derivation.
@@ -76,7 +77,7 @@ class StarTables:
 
     # -- shared pieces -------------------------------------------------------------------
 
-    def _tenants(self) -> DataFrame:
+    def tenants(self) -> DataFrame:
         """One row per nation with the tenant it belongs to."""
         nation, region = self.source("nation"), self.source("region")
         return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
@@ -92,7 +93,7 @@ class StarTables:
 
     def customers(self) -> DataFrame:
         return self.source("customer").join(
-            self._tenants(), F.col("c_nationkey") == F.col("n_nationkey")
+            self.tenants(), F.col("c_nationkey") == F.col("n_nationkey")
         )
 
     def orders(self) -> DataFrame:
@@ -246,15 +247,12 @@ class StarTables:
             single(bill, "AP", "Liability", "Accounts Payable", F.col("amount")),
             single(net, "EQ", "Equity", "Equity", F.col("amount")),
         ]
-        accounts = parts[0]
-        for part in parts[1:]:
-            accounts = accounts.unionByName(part)
-        return accounts.withColumns(
+        return union(parts).withColumns(
             {"is_active": F.lit(True), "currency_code": F.lit("USD")}
         )
 
     def _generic(self) -> DataFrame:
-        tenants = self._tenants()
+        tenants = self.tenants()
         return tenants.select(
             "client_id", text("n_nationkey").alias("id"), F.col("n_name").alias("name"),
             F.when(F.col("n_nationkey") % 2 == 1, F.concat_ws(":", "client_id", "n_name"))
