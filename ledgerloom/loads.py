@@ -249,24 +249,25 @@ def upsert_merge(star: StarTables) -> DataFrame:
 
 def pk_violations(star: StarTables) -> DataFrame:
     """Line keys that occur more than once before deduplication."""
+    repeated = key_violations(star.source("lineitem"), ["l_orderkey", "l_linenumber"])
     orders = star.orders().select("client_id", "o_orderkey")
-    lines = star.source("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-        F.count(F.lit(1)).alias("n"))
-    repeated = lines.where("n > 1").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return repeated.select(
+    return repeated.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "client_id", F.col("l_orderkey").cast("string").alias("invoice_id"),
-        F.col("l_linenumber").cast("string").alias("line_id"), F.col("n").alias("rows"))
+        F.col("l_linenumber").cast("string").alias("line_id"), "rows")
 
 
 def key_check(star: StarTables) -> DataFrame:
-    """Keys repeated in the derived facts; there must be none."""
+    """Rows and repeated keys of the derived facts per tenant; no key may repeat."""
     facts = ("fact_invoice", "fact_bill", "fact_purchase", "fact_payment", "fact_estimate",
              "fact_invoice_line")
-    return union([
-        key_violations(star.table(t, *primary_key(t)), primary_key(t)).select(
-            F.lit(t).alias("table_name"), "client_id", "rows")
+    counts = [
+        star.table(t, *primary_key(t)).groupBy(*primary_key(t)).agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("client_id").agg(
+            F.sum("n").alias("rows"), F.count(F.when(F.col("n") > 1, 1)).alias("repeated"))
+        .withColumn("table_name", F.lit(t))
         for t in facts
-    ])
+    ]
+    return union(counts)
 
 
 def etl_invoice(star: StarTables) -> DataFrame:

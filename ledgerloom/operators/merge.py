@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-
-from .quality import keep_last
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
@@ -26,9 +24,15 @@ def merge(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
     return kept.unionByName(batch.select(*target.columns))
 
 
-def merge_newest(target: DataFrame, batch: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """Union in which the newest version of each key wins, whichever side it comes from."""
-    return keep_last(target.unionByName(batch), key, order)
+def without_stale(target: DataFrame, batch: DataFrame, key: list[str], version: str) -> DataFrame:
+    """Batch rows whose key has no newer version in the target.
+
+    The usually small batch is the side Spark can broadcast, so the target need not be shuffled.
+    """
+    news = batch.groupBy(*key).agg(F.max(version).alias("_news"))
+    newer = same_key(target, news, key) & (target[version] > news["_news"])
+    stale = target.join(news, newer).select(*(news[k] for k in key)).distinct()
+    return batch.join(stale, same_key(batch, stale, key), "left_anti")
 
 
 def touched_tenants(target: DataFrame, tenants: DataFrame) -> DataFrame:

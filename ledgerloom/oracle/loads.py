@@ -222,9 +222,14 @@ WHERE CAST(invoice_id AS BIGINT) % 2 = 0 OR CAST(invoice_id AS BIGINT) % 3 <> 0"
 SELECT client_id, CAST(l_orderkey AS VARCHAR) AS invoice_id,
   CAST(l_linenumber AS VARCHAR) AS line_id, count(*) AS rows
 FROM lineitem JOIN ord ON l_orderkey = o_orderkey GROUP BY ALL HAVING count(*) > 1"""),
-    "pk_check_facts": star("""
-SELECT 'fact_invoice' AS table_name, client_id, count(*) AS rows FROM fact_invoice
-GROUP BY client_id, invoice_id HAVING count(*) > 1"""),
+    "pk_check_facts": star(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, client_id, count(*) AS rows, "
+        f"count(*) - count(DISTINCT {key}) AS repeated FROM {t} GROUP BY client_id"
+        for t, key in {
+            "fact_invoice": "invoice_id", "fact_bill": "bill_id", "fact_purchase": "purchase_id",
+            "fact_payment": "payment_id", "fact_estimate": "estimate_id",
+            "fact_invoice_line": "(invoice_id, line_id)",
+        }.items())),
     "etl_invoice": star(f"""
 , l AS (SELECT client_id, invoice_id, sum(amount) AS a FROM fact_invoice_line GROUP BY ALL)
 SELECT client_id, CAST(date_trunc('month', txn_date) AS DATE) AS month, count(*) AS invoices,

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import records
 from ..operators.quality import add_date_key, keep_last
 from ..operators.report_rows import flatten_reports
 from ..schemas import ENTITY_TABLES, LINE_TABLES, columns, primary_key
-from ..sources import reports
+from ..sources import archive, landing, reports
 from ..sources.warehouse import Warehouse, conform, materialize
 
-NEWEST = ["ord"]
+# One report of one tenant and period; a later pull replaces it as a whole.
+REPORT_KEY = ["client_id", "report_table", "start_period", "end_period"]
 
 
 def with_date_keys(df: DataFrame, table: str) -> DataFrame:
@@ -41,33 +42,55 @@ def load_entity(raw: DataFrame, entity: str, warehouse: Warehouse) -> None:
     so the mapped rows go in directly."""
     table = records.target_table(entity)
     headers = with_date_keys(records.map_records(raw, entity), table)
-    warehouse.upsert(table, headers, [F.col("ord")])
+    warehouse.upsert(table, headers, [F.col("ord")], version=F.col("ord.ts"))
     if entity in LINE_TABLES:
+        lines = records.flatten_lines(raw, entity)
         warehouse.upsert(
-            LINE_TABLES[entity], records.flatten_lines(raw, entity), [F.col("ord")])
+            LINE_TABLES[entity], lines, [F.col("ord")], version=F.col("ord.ord.ts"))
 
 
-def load_entities(raw: DataFrame, warehouse: Warehouse, entities=tuple(ENTITY_TABLES)) -> None:
-    """Loads the given entities. An entity without records writes nothing."""
-    for entity in entities:
-        load_entity(raw, entity, warehouse)
+def load_entities(raw: DataFrame, warehouse: Warehouse) -> None:
+    """Loads every known entity that occurs in the raw rows. `raw` should be a written table
+    (an archive), since each entity scans its own part of it."""
+    known = raw.where(F.col("source_name").isin(*ENTITY_TABLES))
+    present = {row.source_name for row in known.select("source_name").distinct().collect()}
+    for entity in ENTITY_TABLES:
+        if entity in present:
+            load_entity(raw, entity, warehouse)
+
+
+def load_all(raw: DataFrame, warehouse: Warehouse) -> DataFrame:
+    """Loads entities and reports of all tenants and returns the run summary. Damaged records
+    are counted in the summary and do not stop other records or tenants."""
+    load_entities(raw, warehouse)
+    load_reports(raw, warehouse)
+    return run_summary(raw)
+
+
+def daily_load(spark: SparkSession, landed: str, archived: str, warehouse_root: str) -> DataFrame:
+    """Landed files of all tenants to archive and warehouse; returns the run summary."""
+    archive.append(landing.scan(spark, landed), archived)
+    return load_all(archive.read(spark, archived), Warehouse(spark, warehouse_root))
+
+
+def pulled_report_rows(raw: DataFrame) -> DataFrame:
+    """Rows of all landed reports with their pull; of several pulls of the same report and
+    period only the last is kept."""
+    scanned = keep_last(reports.scan(raw), REPORT_KEY, [F.col("ord")])
+    return flatten_reports(scanned, materialize)
 
 
 def report_rows(raw: DataFrame) -> DataFrame:
-    """Rows of all landed reports as table report_rows; of several pulls of the same report
-    and period only the last is kept."""
-    scanned = keep_last(
-        reports.scan(raw), ["client_id", "report_table", "start_period", "end_period"],
-        [F.col("ord")],
-    )
-    return conform(flatten_reports(scanned, materialize), "report_rows")
+    """Rows of all landed reports in the layout of table report_rows."""
+    return conform(pulled_report_rows(raw), "report_rows")
 
 
 def load_reports(raw: DataFrame, warehouse: Warehouse) -> None:
-    """Replaces each landed (report, period) of a tenant as a whole."""
+    """Replaces each landed (report, period) of a tenant as a whole, unless it is older than
+    the one held."""
     warehouse.upsert(
-        "report_rows", report_rows(raw),
-        match=["client_id", "report_table", "start_period", "end_period"],
+        "report_rows", pulled_report_rows(raw), [F.col("ord")], match=REPORT_KEY,
+        version=F.col("ord.ts"),
     )
 
 

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.merge import merge, touched_tenants
+from ..operators.merge import merge, touched_tenants, without_stale
 from ..operators.quality import coerce_columns, keep_last
 from ..schemas import columns, primary_key
 from ..session import scratch_path
 
 
+# Pull time of a stored row, kept beside the declared columns.
+VERSION = "_version"
+
+
 def layout(table: str) -> str:
     return ", ".join(f"{name} {dtype}" for name, dtype in columns(table))
 
@@ -23,6 +27,19 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     ))
 
 
+def _physical(table: str) -> str:
+    return f"{layout(table)}, {VERSION} timestamp_ntz"
+
+
+def _versioned(df: DataFrame, table: str) -> DataFrame:
+    """Declared columns and the row version."""
+    return df.select(
+        *((F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
+          for c, t in columns(table)),
+        VERSION,
+    )
+
+
 def typed_scan(df: DataFrame, table: str) -> DataFrame:
     """Casts a text copy of a table to its declared types."""
     return conform(coerce_columns(df, dict(columns(table))), table)
@@ -47,42 +64,60 @@ class Warehouse:
 
     def table(self, name: str, *wanted: str) -> DataFrame:
         """A typed table; absent tables are empty."""
-        try:
-            df = self.spark.read.schema(layout(name)).parquet(self.path(name))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            df = self.spark.createDataFrame([], layout(name))
+        df = self._read(name, layout(name))
         return df.select(*(wanted or (c for c, _ in columns(name))))
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Full replacement of a table."""
-        self._write(_sized(conform(df, table)), self.path(table), "static")
+        rows = conform(df, table).withColumn(VERSION, F.lit(None).cast("timestamp_ntz"))
+        self._write(_sized(rows), self.path(table), "static")
 
     def upsert(
         self, table: str, batch: DataFrame, order: list[Column] | None = None,
-        match: list[str] | None = None,
+        match: list[str] | None = None, version: Column | None = None,
     ) -> None:
         """Inserts new keys and overwrites matched ones; other rows stay.
 
         `match` names the columns whose values in the batch replace target rows (the primary key
-        unless given); a prefix of the key replaces whole groups such as one report. The batch is reduced to its last row per key and materialised once. Only tenants in the
-        batch are read; their merged partitions are staged in the shared folder and then swapped
-        in, so the target is never read and overwritten by the same job.
+        unless given); a prefix of the key replaces whole groups such as one report. With a
+        `version`, rows older than what the table holds are ignored, so late data cannot undo
+        newer data. The batch is reduced to its last row per key by `order` and materialised
+        once. Only tenants in the batch are read; their merged partitions are staged in the
+        shared folder and then swapped in, so the target is never read and overwritten by the
+        same job.
         """
         key = primary_key(table)
-        batch = conform(batch, table) if not order else batch
-        order = order or [F.col(c) for c in batch.columns if c not in key] or [F.col(key[0])]
-        batch = materialize(conform(keep_last(batch, key, order), table), f"batch-{table}")
-        target = self.table(table)
+        match = match or key
+        stamp = F.lit(None) if version is None else version
+        batch = batch.withColumn(VERSION, stamp.cast("timestamp_ntz"))
+        order = order or [
+            F.col(c) for c, _ in columns(table) if c in batch.columns and c not in key]
+        if order:
+            batch = keep_last(batch, key, order)
+        batch = materialize(_versioned(batch, table), f"batch-{table}")
+        target = self._versions(table)
         if "client_id" in batch.columns:
             tenants = materialize(batch.select("client_id").distinct(), f"tenants-{table}")
             target = touched_tenants(target, tenants)
+        if version is not None:
+            batch = without_stale(target, batch, match, VERSION)
         staged = scratch_path(self.spark, f"staged-{table}")
-        self._write(_sized(merge(target, batch, match or key)), staged, "static")
-        copy = self.spark.read.schema(layout(table)).parquet(staged)
+        self._write(_sized(merge(target, batch, match)), staged, "static")
+        copy = self.spark.read.schema(_physical(table)).parquet(staged)
         self._write(copy, self.path(table), "dynamic")
 
+    def _versions(self, table: str) -> DataFrame:
+        """The physical table with the version of each row."""
+        return self._read(table, _physical(table))
+
+    def _read(self, table: str, schema: str) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(self.path(table))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
     def _write(self, df: DataFrame, path: str, mode: str) -> None:
         out = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
         if "client_id" in df.columns:
