@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.parsing import is_damaged, with_parsed
 from ..schemas import ENTITY_TABLES, GENERIC_TABLES, LINE_TABLES, columns
 from .quality import coerce_columns
 
@@ -65,6 +66,10 @@ LAYOUTS = {
     "Estimate": f"""Id string, DocNumber string, TxnDate string, CustomerRef ref,
         TotalAmt string, TxnStatus string, LinkedTxn {_LINKED}, {_SALES_LINE}""",
 }
+_LINES = {
+    "Invoice": _SALES_LINE, "Estimate": _SALES_LINE, "Bill": _EXPENSE_LINE,
+    "Purchase": _EXPENSE_LINE, "Payment": _PAYMENT_LINE,
+}
 _GENERIC_LAYOUT = "Id string, Name string, FullyQualifiedName string, Active string"
 
 # Warehouse column -> field path, or (field path, default for a missing field).
@@ -167,11 +172,16 @@ PAYMENT_NOTES = {
 }
 
 
-def layout(entity: str) -> str:
-    """Schema of an entity's records; entities without their own use the generic one."""
-    return LAYOUTS.get(entity, _GENERIC_LAYOUT).replace(" ref", f" {_REF}").replace(
-        ":ref", f":{_REF}"
-    )
+def layout(entity: str, part: str = "all") -> str:
+    """Schema of an entity's records: all fields, the `header` without the Line array, or the
+    id and `lines` only. Entities without their own layout use the generic one."""
+    text = LAYOUTS.get(entity, _GENERIC_LAYOUT)
+    line = _LINES.get(entity)
+    if line and part == "header":
+        text = text.replace(f", {line}", "")
+    elif line and part == "lines":
+        text = f"Id string, {line}"
+    return text.replace(" ref", f" {_REF}").replace(":ref", f":{_REF}")
 
 
 def target_table(entity: str) -> str:
@@ -180,28 +190,17 @@ def target_table(entity: str) -> str:
     return ENTITY_TABLES[entity]
 
 
-def parse(raw: DataFrame, entity: str) -> DataFrame:
-    """Records of one entity as struct `r`. Damaged records parse to nulls and are dropped;
-    `quarantine` returns them."""
-    schema = f"{layout(entity)}, _damaged string"
-    options = {"columnNameOfCorruptRecord": "_damaged"}
-    return (
-        raw.where(F.col("source_name") == entity)
-        .withColumn("r", F.from_json("record", schema, options))
-        .where("r is not null and r._damaged is null")
-    )
+def parse(raw: DataFrame, entity: str, part: str = "all") -> DataFrame:
+    """Records of one entity as struct `r`, limited to the fields of `part`; the parser skips
+    the rest. Damaged records are left out; `quarantine` returns them."""
+    chosen = raw.where(F.col("source_name") == entity)
+    return with_parsed(chosen, "r", "record", layout(entity, part)).where(~is_damaged("r"))
 
 
 def quarantine(raw: DataFrame, entity: str) -> DataFrame:
     """Records of one entity that are not valid JSON of its layout."""
-    schema = f"{layout(entity)}, _damaged string"
-    options = {"columnNameOfCorruptRecord": "_damaged"}
-    return (
-        raw.where(F.col("source_name") == entity)
-        .withColumn("r", F.from_json("record", schema, options))
-        .where("r is null or r._damaged is not null")
-        .drop("r")
-    )
+    chosen = raw.where(F.col("source_name") == entity)
+    return with_parsed(chosen, "r", "record", layout(entity)).where(is_damaged("r")).drop("r")
 
 
 def _field(row: str, rule: str | tuple[str, str]) -> Column:
@@ -225,7 +224,8 @@ def map_records(raw: DataFrame, entity: str) -> DataFrame:
     if entity == "Estimate":
         billed = F.filter("r.LinkedTxn", lambda t: t.TxnType == "Invoice")
         mapped["linked_invoice_id"] = F.get(billed, F.lit(0)).TxnId
-    text = parse(raw, entity).select("client_id", "ord", *(c.alias(n) for n, c in mapped.items()))
+    text = parse(raw, entity, "header").select(
+        "client_id", "ord", *(c.alias(n) for n, c in mapped.items()))
     return coerce_columns(text, dict(columns(table)))
 
 
@@ -234,10 +234,11 @@ def flatten_lines(raw: DataFrame, entity: str) -> DataFrame:
 
     `ord` of a line extends the record's with the line's position.
     """
-    exploded = parse(raw, entity).select(
-        "client_id", "ord", F.col("r.Id").alias(DOCUMENT_KEYS[entity]),
-        F.posexplode("r.Line").alias("line_pos", "line"),
-    )
+    key = DOCUMENT_KEYS[entity]
+    arrays = parse(raw, entity, "lines").select(
+        "client_id", "ord", F.col("r.Id").alias(key), F.col("r.Line").alias("lines"))
+    exploded = arrays.select(
+        "client_id", "ord", key, F.posexplode("lines").alias("line_pos", "line"))
     kind = F.coalesce("line.DetailType", F.lit(""))
     if entity in ("Invoice", "Estimate"):
         exploded = exploded.where(~kind.isin(*SUMMARY_LINES))
@@ -263,7 +264,7 @@ def flatten_lines(raw: DataFrame, entity: str) -> DataFrame:
             mapped[name] = last_note(F.col("line.LineEx.any"), note)
     types = dict(columns(LINE_TABLES[entity]))
     text = exploded.select(
-        "client_id", F.struct("ord", "line_pos").alias("ord"), DOCUMENT_KEYS[entity],
+        "client_id", F.struct("ord", "line_pos").alias("ord"), key,
         *(c.alias(n) for n, c in mapped.items() if n in types),
     )
     return coerce_columns(text, types)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.parsing import is_damaged, with_parsed
 from ..operators import records
 from ..operators.quality import add_date_key, keep_last
 from ..operators.report_rows import flatten_reports
@@ -106,15 +107,13 @@ def run_summary(raw: DataFrame, entities=tuple(ENTITY_TABLES)) -> DataFrame:
     A record counts as damaged when its text is not one JSON object; layout errors of single
     entities are listed by `records.quarantine`.
     """
-    options = {"columnNameOfCorruptRecord": "_damaged"}
-    parsed = F.from_json("record", "Id string, _damaged string", options)
-    bad = parsed.isNull() | parsed._damaged.isNotNull()
+    chosen = raw.where(F.col("source_name").isin(*entities))
     return (
-        raw.where(F.col("source_name").isin(*entities))
+        with_parsed(chosen, "r", "record", "Id string")
         .groupBy("client_id", "source_name")
         .agg(
             F.count(F.lit(1)).alias("records"),
-            F.count(F.when(bad, F.lit(1))).alias("damaged"),
+            F.count(F.when(is_damaged("r"), F.lit(1))).alias("damaged"),
             F.max("ord.ts").alias("last_pull"),
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime re-planning does the sizing: small partitions merge, skewed joins split,
 # and a join side is broadcast only when its measured size is under the threshold.
@@ -34,25 +34,15 @@ def shared_dir(spark: SparkSession) -> str:
     error, since a machine-local folder would not survive the loss of that machine.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        folder = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()

@@ -64,7 +64,9 @@ class Warehouse:
 
     def table(self, name: str, *wanted: str) -> DataFrame:
         """A typed table; absent tables are empty."""
-        df = self._read(name, layout(name))
+        df = self._stored(name, layout(name))
+        if df is None:
+            df = self.spark.createDataFrame([], layout(name))
         return df.select(*(wanted or (c for c, _ in columns(name))))
 
     def replace(self, table: str, df: DataFrame) -> None:
@@ -81,10 +83,10 @@ class Warehouse:
         `match` names the columns whose values in the batch replace target rows (the primary key
         unless given); a prefix of the key replaces whole groups such as one report. With a
         `version`, rows older than what the table holds are ignored, so late data cannot undo
-        newer data. The batch is reduced to its last row per key by `order` and materialised
-        once. Only tenants in the batch are read; their merged partitions are staged in the
-        shared folder and then swapped in, so the target is never read and overwritten by the
-        same job.
+        newer data. The batch is reduced to its last row per key by `order`. A first load is
+        written straight away. Later ones materialise the batch once and read only the tenants
+        in it; their merged partitions are staged in the shared folder and then swapped in, so
+        the target is never read and overwritten by the same job.
         """
         key = primary_key(table)
         match = match or key
@@ -94,29 +96,32 @@ class Warehouse:
             F.col(c) for c, _ in columns(table) if c in batch.columns and c not in key]
         if order:
             batch = keep_last(batch, key, order)
-        batch = materialize(_versioned(batch, table), f"batch-{table}")
-        target = self._versions(table)
+        batch = _versioned(batch, table)
+        target = self._stored(table)
+        if target is None:
+            self._write(_sized(batch), self.path(table), "static")
+            return
+        batch = materialize(batch, f"batch-{table}")
+        if batch.isEmpty():
+            return
         if "client_id" in batch.columns:
             tenants = materialize(batch.select("client_id").distinct(), f"tenants-{table}")
             target = touched_tenants(target, tenants)
-        if version is not None:
+        if version is not None and _overlaps(target, batch):
             batch = without_stale(target, batch, match, VERSION)
         staged = scratch_path(self.spark, f"staged-{table}")
         self._write(_sized(merge(target, batch, match)), staged, "static")
         copy = self.spark.read.schema(_physical(table)).parquet(staged)
         self._write(copy, self.path(table), "dynamic")
 
-    def _versions(self, table: str) -> DataFrame:
-        """The physical table with the version of each row."""
-        return self._read(table, _physical(table))
-
-    def _read(self, table: str, schema: str) -> DataFrame:
+    def _stored(self, table: str, schema: str | None = None) -> DataFrame | None:
+        """The physical table with the version of each row, or None before its first load."""
         try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
+            return self.spark.read.schema(schema or _physical(table)).parquet(self.path(table))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return None
 
     def _write(self, df: DataFrame, path: str, mode: str) -> None:
         out = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
@@ -125,6 +130,13 @@ class Warehouse:
         out.parquet(path)
 
 
+def _overlaps(target: DataFrame, batch: DataFrame) -> bool:
+    """Whether any stored row is newer than the oldest batch row; one-column scans spare the
+    usual in-order load the per-key check."""
+    newest, oldest = target.agg(F.max(VERSION)).first()[0], batch.agg(F.min(VERSION)).first()[0]
+    return newest is not None and (oldest is None or newest > oldest)
+
+
 def _sized(df: DataFrame) -> DataFrame:
     """Files of even size per tenant; a dominant tenant is split over several tasks."""
     return df.hint("rebalance", "client_id") if "client_id" in df.columns else df
