@@ -15,6 +15,7 @@ from ..functions.dates import day, days_late, month
 from ..operators.merge import union
 from ..operators.periods import with_prior
 from ..operators.ranking import rank_within, top_n
+from ..sources.warehouse import materialize
 from . import measures as m
 from .measures import TENANT, dated_lines, movements, of, paid_purchases
 
@@ -237,48 +238,52 @@ def trial_balance(model) -> DataFrame:
     )
 
 
-def account_tree(model, max_depth: int = 16) -> DataFrame:
-    """Every account with its depth, root and path, following parents level by level.
-
-    Accounts form a chart of at most `max_depth` levels; a deeper chart or a cycle is an error
-    raised when the result is computed.
-    """
+def account_tree(model) -> DataFrame:
+    """Every account with its depth, root and path."""
     accounts = model.table("dim_account", "client_id", "account_id", "parent_account_id")
-    return hierarchy(accounts, "account_id", "parent_account_id", max_depth)
+    return hierarchy(accounts, "account_id", "parent_account_id")
+
+
+def customer_tree(model) -> DataFrame:
+    """Every customer or job with its depth, root and path."""
+    customers = model.table("dim_customer", "client_id", "customer_id", "parent_customer_id")
+    return hierarchy(customers, "customer_id", "parent_customer_id")
 
 
-def hierarchy(df: DataFrame, key: str, parent: str, max_depth: int = 16) -> DataFrame:
+def hierarchy(df: DataFrame, key: str, parent: str, max_depth: int = 32) -> DataFrame:
     """Depth, root and path (root first) of each row of a parent-child table.
 
-    Each round doubles the distance covered (pointer jumping), so `max_depth` levels take
-    log2(max_depth) joins. A missing parent makes the row a root.
+    Each round joins every open row to its next ancestor and doubles the distance covered, so
+    n levels take log2(n) rounds; rounds stop when all rows have reached their root. The state
+    is written between rounds to keep plans small. A missing parent makes the row a root; more
+    than `max_depth` levels or a cycle is an error.
     """
-    links = df.select("client_id", F.col(key).alias("_up_id"), F.lit(True).alias("_known"))
-    nodes = df.select(
-        "client_id", F.col(key).alias("id"), F.col(parent).alias("_parent")
-    ).join(
-        links.withColumnRenamed("_up_id", "_parent"), ["client_id", "_parent"], "left"
+    known = df.select("client_id", F.col(key).alias("next"), F.lit(True).alias("known"))
+    nodes = df.select("client_id", F.col(key).alias("id"), F.col(parent).alias("next")).join(
+        known, ["client_id", "next"], "left"
     ).select(
-        "client_id", "id", F.when(F.col("_known"), F.col("_parent")).alias("next"),
+        "client_id", "id", F.when(F.col("known"), F.col("next")).alias("next"),
         F.array("id").alias("path"),
     )
     covered = 1
-    while covered < max_depth:
+    while True:
+        nodes = materialize(nodes, "hierarchy")
+        below = nodes.where("next is not null")
+        if below.isEmpty():
+            break
+        if covered >= max_depth:
+            raise ValueError(f"hierarchy deeper than {max_depth} levels or cyclic")
         above = nodes.select(
             "client_id", F.col("id").alias("next"), F.col("next").alias("_next"),
             F.col("path").alias("_path"),
         )
-        nodes = nodes.join(above, ["client_id", "next"], "left").select(
-            "client_id", "id", F.col("_next").alias("next"),
-            F.concat(F.coalesce("_path", F.array().cast("array<string>")), "path").alias("path"),
+        risen = below.join(above, ["client_id", "next"]).select(
+            "client_id", "id", F.col("_next").alias("next"), F.concat("_path", "path").alias("path")
         )
+        nodes = nodes.where("next is null").unionByName(risen)
         covered *= 2
-    checked = F.when(
-        F.col("next").isNotNull(),
-        F.raise_error(F.lit(f"hierarchy deeper than {max_depth} levels or cyclic")).cast("int"),
-    ).otherwise(F.size("path") - 1)
     return nodes.select(
-        "client_id", F.col("id").alias(key), checked.alias("depth"),
+        "client_id", F.col("id").alias(key), (F.size("path") - 1).alias("depth"),
         F.element_at("path", 1).alias("root"), F.concat_ws("/", "path").alias("path"),
     )
 

@@ -121,8 +121,8 @@ def test_hierarchy_levels_missing_parents_and_cycles(spark):
     got = {(r.client_id, r.account_id): (r.depth, r.root) for r in reports.hierarchy(df, "account_id", "parent_account_id").collect()}
     assert got["a", "6"] == (6, "0") and got["a", "x"] == (0, "x") and got["b", "1"] == (0, "1")
     cyclic = spark.createDataFrame([("a", "1", "2"), ("a", "2", "1")], df.schema)
-    with pytest.raises(Exception, match="cyclic"):
-        reports.hierarchy(cyclic, "account_id", "parent_account_id").collect()
+    with pytest.raises(ValueError, match="cyclic"):
+        reports.hierarchy(cyclic, "account_id", "parent_account_id")
 
 
 def test_row_level_security(spark):

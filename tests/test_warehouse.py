@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import merge as merging
 from ledgerloom.operators.quality import keep_last, key_violations
 from ledgerloom.session import scratch_path
-from ledgerloom.sources.warehouse import Warehouse
+from ledgerloom.sources.warehouse import Warehouse, materialize
 
 
 def invoices(spark, *rows):
@@ -66,6 +66,14 @@ def test_only_touched_tenants_are_rewritten(spark, warehouse):
     assert files("b") == before and content(warehouse) == [("a", "1", 2.0), ("b", "1", 1.0)]
 
 
+def test_untouched_partitions_are_not_read(spark, warehouse):
+    warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 1.0, T1), ("b", "1", 1.0, T1), ("c", "1", 1.0, T1)))
+    tenants = materialize(spark.createDataFrame([("a",)], "client_id string"), "tenants")
+    kept = merging.touched_tenants(warehouse.table("fact_invoice"), tenants)
+    assert "dynamicpruning" in kept._jdf.queryExecution().executedPlan().toString()
+    assert [r.client_id for r in kept.collect()] == ["a"]
+
+
 def test_replace(spark, warehouse):
     warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 1.0, T1)))
     warehouse.replace("fact_invoice", invoices(spark, ("b", "9", 9.0, T1)))
