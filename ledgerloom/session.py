@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -18,11 +19,26 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "ledgerloom", master: str | None = None, **conf: str) -> SparkSession:
+# Shuffle volume aimed at per task before small partitions are merged.
+PARTITION_MB = 256
+
+
+def shuffle_partitions(input_gb: float) -> int:
+    """Initial shuffle partitions for an input size; AQE merges the ones that turn out small."""
+    return max(200, math.ceil(input_gb * 1024 / PARTITION_MB))
+
+
+def build_session(
+    app: str = "ledgerloom", master: str | None = None, input_gb: float | None = None, **conf: str
+) -> SparkSession:
+    """A session with the engine's settings; `input_gb` sizes shuffles for large inputs."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    sized = {}
+    if input_gb is not None:
+        sized["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_gb))
+    for key, value in {**SETTINGS, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
