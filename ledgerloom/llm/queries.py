@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import sentence_pieces, token_counts
+from ..session import scratch_path
+from . import sentence_pieces, token_counts, vector_search, warc
 from .common import table, vocabulary_path
 
 TOKEN_LIMIT = 1024
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = scratch_path(spark, "warc")
+    warc.write(table(spark, folder, "pages"), "page_id", "url", "html", archive)
+    return warc.summary(warc.read(spark, archive)).withColumnRenamed("key", "page_id")
+
+
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return sentence_pieces.digests(sentence_pieces.encode(docs, "doc_id", "text", vocabulary_path("piece_bpe_32k.model")))
@@ -21,9 +28,40 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search.top_k(
+        table(spark, folder, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
+    "op1_warc": op1_warc,
     "op4_sentencepiece": op4_sentencepiece,
     "op8_token_counts": op8_token_counts,
+    "op10_vector_search": op10_vector_search,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS size,
+                   max(page_id) OVER (PARTITION BY coalesce(html, '')) AS winner
+            FROM pages)
+        SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
+               CASE WHEN size >= 1000 AND page_id <> winner THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN size >= 1000 AND page_id <> winner THEN winner END AS refers_to
+        FROM p""",
+    "op10_vector_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.c, v.c), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.c) = len(v.c)
+            WHERE q.vec_id % 100 = 0),
+        r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
+}
