@@ -35,7 +35,7 @@ def compare(df, con, sql):
     assert sorted(df.columns) == sorted(names), (sorted(df.columns), sorted(names))
     for field in df.schema:
         mine, theirs = field.dataType.simpleString(), types[field.name]
-        kinds = {"double": "DOUBLE", "bigint": "BIGINT", "date": "DATE", "string": "VARCHAR",
+        kinds = {"int": "INTEGER", "double": "DOUBLE", "bigint": "BIGINT", "date": "DATE", "string": "VARCHAR",
                  "boolean": "BOOLEAN"}
         assert kinds.get(mine) == theirs.upper(), (field.name, mine, theirs)
     expected = rows(names, result.fetchall())
