@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import sentence_pieces, token_counts, vector_search, warc
+from . import sentence_pieces, simhash, token_counts, vector_search, warc
 from .common import table, vocabulary_path
 
 TOKEN_LIMIT = 1024
@@ -22,6 +22,11 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentence_pieces.digests(sentence_pieces.encode(docs, "doc_id", "text", vocabulary_path("piece_bpe_32k.model")))
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"), "doc_id", "text")
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.count_tokens(
         table(spark, folder, "documents"), "doc_id", "text", vocabulary_path("byte_bpe_50k.json"))
@@ -36,6 +41,7 @@ def op10_vector_search(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op4_sentencepiece": op4_sentencepiece,
+    "op6_simhash": op6_simhash,
     "op8_token_counts": op8_token_counts,
     "op10_vector_search": op10_vector_search,
 }
