@@ -16,6 +16,7 @@ rows each keep their own row; an empty frame gives an empty result; other column
 
 from __future__ import annotations
 
+import itertools
 import re
 import struct
 from collections.abc import Iterator
@@ -27,7 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import file_bytes
 
 SPACE = "▁"
-CACHE = 300_000  # words whose ids a task remembers; it bounds memory, not the result
+CACHE = 600_000  # words whose ids a task remembers; it bounds memory, not the result
+GROUP = 256      # texts whose new words are encoded together
 
 _WORD_STARTS = re.compile(f"(?<=[^ {SPACE}]) ")
 
@@ -113,7 +115,7 @@ class Normalizer:
 
     def _mapped(self, source: bytes) -> tuple[np.ndarray, np.ndarray]:
         data = np.frombuffer(source, dtype=np.uint8)
-        places = np.arange(len(data), dtype=np.int64)
+        places = np.arange(len(data), dtype=np.int32)
         if not self.starts or not np.isin(data, list(self.starts)).any():
             return data, places
         out, origin, at = bytearray(), [], 0
@@ -130,7 +132,7 @@ class Normalizer:
                 out += target
                 origin.extend([at] * len(target))
             at += length
-        return np.frombuffer(bytes(out), dtype=np.uint8), np.array(origin, dtype=np.int64)
+        return np.frombuffer(bytes(out), dtype=np.uint8), np.array(origin, dtype=np.int32)
 
     def __call__(self, text: str) -> tuple[bytes, np.ndarray]:
         """The normalised bytes and their origins, with the text's byte length as last origin."""
@@ -143,12 +145,12 @@ class Normalizer:
             if len(data) and data[-1] == 32:
                 data, origin = data[:-1], origin[:-1]
         if not len(data):
-            return b"", np.array([len(source)])
+            return b"", np.array([len(source)], dtype=np.int32)
         if self.prefix:
             data, origin = np.concatenate([[np.uint8(32)], data]), np.concatenate([origin[:1], origin])
         if self.escape:
-            origin = np.repeat(origin, np.where(data == 32, len(self.mark), 1))
-        return data.tobytes().replace(b" ", self.mark) if self.escape else data.tobytes(), np.append(origin, len(source))
+            origin = np.repeat(origin, (data == 32) * (len(self.mark) - 1) + 1)
+        return data.tobytes().replace(b" ", self.mark) if self.escape else data.tobytes(), np.append(origin, np.int32(len(source)))
 
 
 class Encoder:
@@ -169,44 +171,71 @@ class Encoder:
         # an unknown piece stands for the characters it replaced; such texts are measured from the library
         self.sizes = np.array([1 if b else len(p.encode()) for p, b in zip(pieces, byte)], dtype=np.int64)
         self.unknown = self.library.unk_id()
-        self.known: dict[str, list[int]] = {}
         self.lone = self.library.encode("a ")[len(self.library.encode("a")) :]  # a space that ends a text
-
-    def _learn_missing(self, words: set[str]) -> None:
-        missing = words - self.known.keys()
-        if len(self.known) + len(missing) > CACHE:
-            self.known.clear()
-            missing = words
-        if missing:
-            part = list(missing)
-            self.known.update(zip(part, self.library.encode(part, num_threads=1)))
-        if "" in missing:
-            self.known[""] = self.lone
-
-    def ids(self, text: str) -> list[int]:
-        if not self.by_word or not text:
-            return self.library.encode(text)
-        if "  " in text or SPACE in text or text[0] == " ":
-            words = _WORD_STARTS.split(text)
-        else:
-            words = text.split(" ")
-        known, out = self.known, []
-        try:
-            for word in words:
-                out += known[word]
-        except KeyError:
-            self._learn_missing(set(words))
-            out = []
-            for word in words:
-                out += self.known[word]
-        return out
+        self._forget()
+
+    def _forget(self) -> None:
+        self.row: dict[str, int] = {}  # word -> its place in the arrays
+        self.flat = np.zeros(0, dtype=np.int32)
+        self.starts = np.zeros(0, dtype=np.int64)
+        self.counts = np.zeros(0, dtype=np.int64)
+        self.is_odd = np.zeros(0, dtype=bool)
+        self.odd: dict[int, str] = {}  # words that decode to another text, by place
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """The words' places; words not met before are encoded first."""
+        rows = np.fromiter(map(self.row.get, words, itertools.repeat(-1)), np.int64, len(words))
+        unmet = np.flatnonzero(rows < 0)
+        if not len(unmet):
+            return rows
+        new = list(dict.fromkeys(words[i] for i in unmet.tolist()))
+        if len(self.row) + len(new) > CACHE and self.row:
+            self._forget()
+            return self._rows(words)
+        encoded = [i if w else self.lone for w, i in zip(new, self.library.encode(new, num_threads=1))]
+        first = len(self.row)
+        self.row.update(zip(new, range(first, first + len(new))))
+        odd = {first + i: d for i, (w, d) in enumerate(zip(new, self.library.decode(encoded, num_threads=1))) if w != d}
+        self.odd.update(odd)
+        self.is_odd = np.concatenate([self.is_odd, np.isin(np.arange(first, first + len(new)), list(odd))])
+        counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(encoded), np.int32, counts.sum())])
+        rows[unmet] = [self.row[words[i]] for i in unmet.tolist()]
+        return rows
+
+    def _by_word(self, words: list[str], rows: np.ndarray) -> tuple[np.ndarray, str]:
+        counts = self.counts[rows]
+        ends = np.cumsum(counts)
+        places = np.repeat(self.starts[rows] - ends + counts, counts) + np.arange(ends[-1])
+        if self.is_odd[rows].any():
+            words = [self.odd.get(r, w) for r, w in zip(rows.tolist(), words)]
+        return self.flat[places], " ".join(words)
+
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, str]]:
+        """Ids, span ends and decoded text of each text."""
+        for at in range(0, len(texts), GROUP):
+            group = texts[at : at + GROUP]
+            if self.by_word:
+                split = [_WORD_STARTS.split(t) if "  " in t or SPACE in t or t[:1] == " " else t.split(" ") for t in group]
+                rows = self._rows(list(itertools.chain.from_iterable(split)))
+                parts = np.split(rows, np.cumsum([len(w) for w in split])[:-1])
+            for i, text in enumerate(group):
+                if self.by_word and text:
+                    ids, decoded = self._by_word(split[i], parts[i])
+                else:
+                    found = self.library.encode(text)
+                    ids, decoded = np.array(found, dtype=np.int32), self.library.decode(found)
+                yield ids, self.spans(text, ids), decoded
 
     def spans(self, text: str, ids: np.ndarray) -> np.ndarray:
         """Original byte offset at which each piece ends; it begins where the one before it ends."""
         normal, origin = self.normalizer(text)
         sizes = self.sizes[ids]
         if self.unknown >= 0 and (ids == self.unknown).any():
-            sizes = np.array([len(p.surface) for p in self.library.encode(normal.decode().replace(SPACE, " ").removeprefix(" "), return_type="proto").pieces])
+            plain = normal.decode().replace(SPACE, " ").removeprefix(" ")
+            sizes = np.array([len(p.surface.encode()) for p in self.library.encode(plain, return_type="proto").pieces])
         return origin[np.cumsum(sizes)]
 
 
@@ -219,12 +248,7 @@ def encode(docs: DataFrame, key: str, text: str, model_path: str) -> DataFrame:
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            rows = []
-            for text in batch:
-                ids = encoder.ids(text)
-                array = np.array(ids, dtype=np.int32)
-                rows.append((array, encoder.spans(text, array).astype(np.int32), encoder.library.decode(ids)))
-            yield pd.DataFrame(rows, columns=["ids", "ends", "decoded"])
+            yield pd.DataFrame(list(encoder.encode_all(batch.tolist())), columns=["ids", "ends", "decoded"])
 
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.select("doc_id", encoded("text").alias("e")).select("doc_id", "e.ids", "e.ends", "e.decoded")

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import written
 from .components import components
@@ -60,7 +60,7 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(counts * 2 > len(hashes)).view(">i8")[0])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:
         yield pd.Series([fingerprint(t) for t in batch], dtype="int64")
@@ -90,7 +90,7 @@ def spanning_links(members: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
-@F.pandas_udf("array<struct<u:long,v:long>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])))
 def _links(buckets: pd.Series) -> pd.Series:
     return buckets.map(lambda b: [{"u": u, "v": v} for u, v in spanning_links(np.asarray(b, dtype=np.int64))])
 

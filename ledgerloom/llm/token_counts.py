@@ -19,6 +19,7 @@ keep their own row; an empty frame gives an empty result; other columns are igno
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 
@@ -38,6 +39,7 @@ _WORD_STARTS = re.compile(r"(?<=[^\s᠎]) ")
 
 def load(model: bytes):
     """The tokenizer of a vocabulary file, in the library's default handling of special strings."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_buffer(model)
@@ -64,13 +66,12 @@ class WordCounter:
         self.later: dict[str, int] = {}
 
     def _learn_missing(self, words: set[str], lead: str, known: dict[str, int]) -> None:
-        missing = words - known.keys()
+        missing = [w for w in words if w not in known]
         if len(known) + len(missing) > CACHE:
             known.clear()
-            missing = words
-        words = list(missing)
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
+            missing = list(words)
+        for at in range(0, len(missing), 4096):
+            part = missing[at : at + 4096]
             encoded = self.tokenizer.encode_batch_fast([lead + w for w in part], add_special_tokens=False)
             known.update(zip(part, map(len, encoded)))
 

@@ -20,7 +20,7 @@ import hashlib
 import zlib
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 MIN_REVISIT = 1000  # bytes
 CAPTURED = "1970-01-01T00:00:00Z"  # the pages carry no capture time
@@ -28,7 +28,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CLOSE = b"\r\n\r\n"
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _packed(payloads: pd.Series) -> pd.Series:
     return payloads.map(zlib.compress)
 
