@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import sentence_pieces, simhash, token_counts, vector_search, warc
-from .common import table, vocabulary_path
+from . import language_id, sentence_pieces, simhash, token_counts, vector_search, warc
+from .common import fold, table, vocabulary_path
 
 TOKEN_LIMIT = 1024
 
@@ -17,6 +17,15 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.summary(warc.read(spark, archive)).withColumnRenamed("key", "page_id")
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = language_id.fit(docs.where(fold(F.col("doc_id"), 4) != 2), "text", "lang")
+    return docs.select(
+        "doc_id", held_out.alias("held_out"), language_id.predicted(docs, model, F.col("text")).alias("p")
+    ).select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
+
+
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return sentence_pieces.digests(sentence_pieces.encode(docs, "doc_id", "text", vocabulary_path("piece_bpe_32k.model")))
@@ -40,6 +49,7 @@ def op10_vector_search(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_language_id": op2_language_id,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_simhash": op6_simhash,
     "op8_token_counts": op8_token_counts,
