@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import language_id, sentence_pieces, simhash, token_counts, vector_search, warc
+from . import html_text, language_id, sentence_pieces, simhash, token_counts, vector_search, warc
 from .common import fold, table, vocabulary_path
 
 TOKEN_LIMIT = 1024
@@ -42,6 +42,10 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_texts(table(spark, folder, "pages"), "page_id", "url", "html")
+
+
 def op10_vector_search(spark: SparkSession, folder: str) -> DataFrame:
     return vector_search.top_k(
         table(spark, folder, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0)
@@ -53,6 +57,7 @@ QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
     "op6_simhash": op6_simhash,
     "op8_token_counts": op8_token_counts,
+    "op9_html_text": op9_html_text,
     "op10_vector_search": op10_vector_search,
 }
 
