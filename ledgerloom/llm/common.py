@@ -34,3 +34,34 @@ def vocabulary_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+BROADCAST_ROWS = 1_000_000  # narrow rows (an id and a few numbers) that may be sent to every executor
+
+
+def with_small(df: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """`df` joined with a narrow table: broadcast if its counted rows are few, else shuffled."""
+    few = small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return df.join(F.broadcast(small) if few else small, key, how)
+
+
+def logistic(x, y, weight=None, ridge: float = 1e-3, prior=None, rounds: int = 50):
+    """Coefficients of a logistic regression by Newton's method; the first column of x is the constant.
+
+    `ridge` times the rows is the strength with which the coefficients are drawn to `prior` (0).
+    """
+    import numpy as np
+
+    weight = np.ones(len(y)) if weight is None else weight
+    prior = np.zeros(x.shape[1]) if prior is None else np.asarray(prior, dtype=float)
+    beta, penalty = prior.copy(), np.full(x.shape[1], ridge * max(weight.sum(), 1))
+    penalty[0] = 1e-9
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        curve = weight * p * (1 - p)
+        step = np.linalg.solve((x * curve[:, None]).T @ x + np.diag(penalty + 1e-9), x.T @ (weight * (y - p)) - penalty * (beta - prior))
+        size = np.abs(step).max()
+        beta += step * min(1, 5 / max(size, 1e-12))
+        if size < 1e-8:
+            break
+    return beta

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import html_text, language_id, sentence_pieces, simhash, token_counts, vector_search, warc
-from .common import fold, table, vocabulary_path
+from . import html_text, language_id, sentence_pieces, simhash, token_counts, toxicity, vector_search, warc
+from .common import fold, table, vocabulary_path, with_small
 
 TOKEN_LIMIT = 1024
+TOXIC = 0.7
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,6 +37,16 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label")).where(fold(F.col("doc_id"), 3) != 1)
+    model = toxicity.learn(with_small(docs.select("doc_id", "text"), labels, "doc_id"))
+    held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    return docs.select(
+        "doc_id", held_out.alias("held_out"), toxicity.scored(docs, model, F.col("text")).alias("s")
+    ).select("doc_id", "held_out", "s.score", (F.col("s.score") >= TOXIC).cast("int").alias("predicted"), "s.hits")
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.count_tokens(
         table(spark, folder, "documents"), "doc_id", "text", vocabulary_path("byte_bpe_50k.json"))
@@ -56,6 +67,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_simhash": op6_simhash,
+    "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_html_text": op9_html_text,
     "op10_vector_search": op10_vector_search,
