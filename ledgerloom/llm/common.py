@@ -36,6 +36,12 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def hash_sample(df: DataFrame, by: Column, rows: int, total: int) -> DataFrame:
+    """About `rows` of the `total` rows of `df`, chosen by the hash of `by` alone; equal ones stand or fall together."""
+    share = min(1.0, rows / max(total, 1))
+    return df.where(F.pmod(F.xxhash64(by), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 BROADCAST_ROWS = 1_000_000  # narrow rows (an id and a few numbers) that may be sent to every executor
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import html_text, language_id, sentence_pieces, simhash, token_counts, toxicity, vector_search, warc
+from . import decontamination, html_text, language_id, quality, sentence_pieces, simhash, token_counts, toxicity, vector_search, warc
 from .common import fold, table, vocabulary_path, with_small
 
 TOKEN_LIMIT = 1024
 TOXIC = 0.7
+GOOD = 0.5
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,11 +28,25 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     ).select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    spaces = decontamination.build(docs, "text", table(spark, folder, "benchmark"), "item_id", "text")
+    return docs.select("doc_id", F.explode(decontamination.leaks(docs, spaces, F.col("text"))).alias("l")).select("doc_id", "l.*")
+
+
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return sentence_pieces.digests(sentence_pieces.encode(docs, "doc_id", "text", vocabulary_path("piece_bpe_32k.model")))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.learn(docs, table(spark, folder, "labels").select("doc_id", "quality"), "doc_id", "text", "lang", "source", "n_chars")
+    score = quality.scored(docs, model, *map(F.col, ("text", "lang", "source", "n_chars")))
+    return docs.select("doc_id", score.alias("s")).select(
+        "doc_id", "s.score", F.col("s.look").alias("text_score"), F.col("s.meta").alias("metadata_score"), (F.col("s.score") >= GOOD).alias("kept"))
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), "doc_id", "text")
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
@@ -65,7 +80,9 @@ def op10_vector_search(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
+    "op3_decontamination": op3_decontamination,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,

@@ -9,7 +9,7 @@ in other texts and are merely close to a term are exceptions.
 
 Each match is weighed by its term's log odds, its edits and its context: a window of `WINDOW` words
 on both sides tells a quotation (quotation marks around, words of reporting or naming) from abuse.
-A logistic regression over the text's summed abuse and quotation, fitted on at most `FIT_ROWS`
+A logistic regression over the text's summed abuse and quotation, fitted on about `FIT_ROWS`
 labelled rows, gives the score.
 
 Defined cases: null and blank texts have no match and get the score of a text without one; without
@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import logistic, written
+from .common import hash_sample, logistic, written
 
 MIN_TEXTS = 3        # toxic texts that hold a term, at least
 MIN_CONTEXTS = 3     # different neighbourhoods of a term in them, at least
@@ -276,10 +276,11 @@ def learn(labelled: DataFrame) -> dict:
         odds_near = math.log((r["toxic"] + 0.5) / (toxic + 1)) - math.log((r["other"] + 0.5) / (other + 1))
         share = min(max(odds_near / top, 0.0), 1.0) * EDIT_SHARE[r["edits"]]
         model["terms"][r["term"]][r["edits"]] = min(model["terms"][r["term"]][r["edits"]], share)
-    # a fixed number of rows by hash, copies of a text counting once
+    # rows by hash of their text, copies of a text counting once
     fitted = (
-        rows.withColumn("by", F.xxhash64("text")).dropDuplicates(["by", "label"]).orderBy("by").limit(FIT_ROWS)
-        .select("label", scored(rows, model, F.col("text")).alias("e")).select("label", "e.*").toPandas())
+        hash_sample(rows, F.col("text"), FIT_ROWS, toxic + other)
+        .select("label", F.xxhash64("text").alias("by"), scored(rows, model, F.col("text")).alias("e"))
+        .dropDuplicates(["by", "label"]).limit(2 * FIT_ROWS).select("label", "e.*").toPandas())
     if fitted["label"].nunique() == 2:
         model["beta"] = fit(fitted, fitted["label"].to_numpy(float))
     return model
