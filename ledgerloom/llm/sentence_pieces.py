@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import file_bytes
 
 SPACE = "▁"
-CACHE = 600_000  # words whose ids a task remembers; it bounds memory, not the result
-GROUP = 256      # texts whose new words are encoded together
+CACHE = 300_000  # words whose ids a task remembers; it bounds memory, not the result
+GROUP = 64       # texts encoded and handed on together
 
 _WORD_STARTS = re.compile(f"(?<=[^ {SPACE}]) ")
 
@@ -214,20 +214,18 @@ class Encoder:
         return self.flat[places], " ".join(words)
 
     def encode_all(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, str]]:
-        """Ids, span ends and decoded text of each text."""
-        for at in range(0, len(texts), GROUP):
-            group = texts[at : at + GROUP]
-            if self.by_word:
-                split = [_WORD_STARTS.split(t) if "  " in t or SPACE in t or t[:1] == " " else t.split(" ") for t in group]
-                rows = self._rows(list(itertools.chain.from_iterable(split)))
-                parts = np.split(rows, np.cumsum([len(w) for w in split])[:-1])
-            for i, text in enumerate(group):
-                if self.by_word and text:
-                    ids, decoded = self._by_word(split[i], parts[i])
-                else:
-                    found = self.library.encode(text)
-                    ids, decoded = np.array(found, dtype=np.int32), self.library.decode(found)
-                yield ids, self.spans(text, ids), decoded
+        """Ids, span ends and decoded text of each text; their new words are encoded together."""
+        if self.by_word:
+            split = [_WORD_STARTS.split(t) if "  " in t or SPACE in t or t[:1] == " " else t.split(" ") for t in texts]
+            rows = self._rows(list(itertools.chain.from_iterable(split)))
+            parts = np.split(rows, np.cumsum([len(w) for w in split])[:-1])
+        for i, text in enumerate(texts):
+            if self.by_word and text:
+                ids, decoded = self._by_word(split[i], parts[i])
+            else:
+                found = self.library.encode(text)
+                ids, decoded = np.array(found, dtype=np.int32), self.library.decode(found)
+            yield ids, self.spans(text, ids).astype(np.int32), decoded
 
     def spans(self, text: str, ids: np.ndarray) -> np.ndarray:
         """Original byte offset at which each piece ends; it begins where the one before it ends."""
@@ -248,7 +246,9 @@ def encode(docs: DataFrame, key: str, text: str, model_path: str) -> DataFrame:
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            yield pd.DataFrame(list(encoder.encode_all(batch.tolist())), columns=["ids", "ends", "decoded"])
+            for at in range(0, len(batch), GROUP):  # small frames: the arrays are many times the text
+                part = batch.iloc[at : at + GROUP].tolist()
+                yield pd.DataFrame(list(encoder.encode_all(part)), columns=["ids", "ends", "decoded"])
 
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.select("doc_id", encoded("text").alias("e")).select("doc_id", "e.ids", "e.ends", "e.decoded")
