@@ -147,12 +147,12 @@ def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str, so
     for part, bound in ((labelled, FIT_ROWS), (pool, POOL_ROWS)):
         frame = _described(part, text, lang, source, length, key, "label").limit(2 * bound).toPandas().sort_values(key, kind="stable")
         frames.append(frame)
-    views = [tuple(np.array(f[c].tolist(), dtype=float).reshape(len(f), -1) for c in ("look", "meta")) for f in frames]
     y = frames[0]["label"].to_numpy(float)
     if len(set(y)) < 2:
         return {"constant": float(y.mean()) if len(y) else 0.5}
-    width = [v.shape[1] for v in views[0]]
-    return co_train(views[0], y, tuple(v if len(v) else np.zeros((0, w)) for v, w in zip(views[1], width)))
+    known_views = tuple(np.array(frames[0][c].tolist()) for c in ("look", "meta"))
+    return co_train(known_views, y, tuple(
+        np.array(frames[1][c].tolist()).reshape(-1, v.shape[1]) for c, v in zip(("look", "meta"), known_views)))
 
 
 def scored(docs: DataFrame, model: dict, text: Column, lang: Column, source: Column, length: Column) -> Column:
@@ -170,7 +170,7 @@ def scored(docs: DataFrame, model: dict, text: Column, lang: Column, source: Col
         for texts, langs, sources, lengths in batches:
             blank = np.array([not t or not t.strip() for t in texts])
             if views:
-                seen = (np.array([text_features(t or "") for t in texts]).reshape(len(texts), -1), _meta_features(langs, sources, lengths))
+                seen = (np.array([text_features(t or "") for t in texts]), _meta_features(langs, sources, lengths))
                 logits = [line[0] + line[1] * v.logit(x) for v, x, line in zip(views, seen, own["lines"])]
                 joint = own["joint"]
                 columns = [_chance((joint[0] + joint[1] * logits[0] + joint[2] * logits[1]).clip(-30, 30)), *map(_chance, logits)]

@@ -264,9 +264,9 @@ def learn(labelled: DataFrame) -> dict:
     def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lexicon = Lexicon(model["terms"], set())
         for batch in batches:
-            found = [lexicon.match(w) for w in batch["word"]]
-            near = [bool(m and m[1]) for m in found]
-            yield batch[near].assign(term=[lexicon.terms[m[0]] for m in found if m and m[1]], edits=[m[1] for m in found if m and m[1]])
+            rows = zip(batch["word"], batch["toxic"], batch["other"], map(lexicon.match, batch["word"]))
+            yield pd.DataFrame([(w, t, o, lexicon.terms[m[0]], m[1]) for w, t, o, m in rows if m and m[1]],
+                               columns=["word", "toxic", "other", "term", "edits"])
 
     near = written(counts.mapInPandas(close, "word string, toxic long, other long, term string, edits int"), "near-terms")
     model["exceptions"] = {
