@@ -30,19 +30,23 @@ def to_decimal(text: Column, dtype: str) -> Column:
 
 def to_int(text: Column, dtype: str = "bigint") -> Column:
     """Integer for whole numbers ('7', '7.0', '7e2'); fractional or bad text becomes null."""
-    exact = F.when(text.rlike(NUMBER), F.trim(text).try_cast("decimal(38,6)"))
-    return F.when(exact == F.floor(exact), exact.try_cast(dtype))
+    number = F.when(text.rlike(NUMBER), F.trim(text))
+    near = number.try_cast("double")  # tells a fraction, however small
+    return F.when(near == F.floor(near), number.try_cast("decimal(38,6)").try_cast(dtype))
 
 
 def to_date(text: Column) -> Column:
-    """DATE from yyyy-MM-dd, else null (2024-02-30 and 2024 are null)."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
+    """DATE from yyyy-MM-dd or an ISO date-time (its own calendar day), else null (2024-02-30
+    and 2024 are null)."""
+    return to_datetime(text).try_cast("date")
 
 
 def to_datetime(text: Column) -> Column:
-    """TIMESTAMP_NTZ from yyyy-MM-dd[T ]HH:mm:ss[.f] or a plain date, else null."""
-    shape = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?)?$"
-    return F.when(text.rlike(shape), text.try_cast("timestamp_ntz"))
+    """TIMESTAMP_NTZ from yyyy-MM-dd[T ]HH:mm[:ss[.f]] or a plain date, else null. A zone or
+    offset is accepted and left out: the time stays the one on the sender's clock."""
+    shape = r"^(\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?)(Z|[+-]\d{2}:?\d{2})?$"
+    local = F.regexp_extract(text, shape, 1)
+    return F.when(local != "", local.try_cast("timestamp_ntz"))
 
 
 def coerce(text: Column, dtype: str) -> Column:

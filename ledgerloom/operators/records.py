@@ -66,10 +66,6 @@ LAYOUTS = {
     "Estimate": f"""Id string, DocNumber string, TxnDate string, CustomerRef ref,
         TotalAmt string, TxnStatus string, LinkedTxn {_LINKED}, {_SALES_LINE}""",
 }
-_LINES = {
-    "Invoice": _SALES_LINE, "Estimate": _SALES_LINE, "Bill": _EXPENSE_LINE,
-    "Purchase": _EXPENSE_LINE, "Payment": _PAYMENT_LINE,
-}
 _GENERIC_LAYOUT = "Id string, Name string, FullyQualifiedName string, Active string"
 
 # Warehouse column -> field path, or (field path, default for a missing field).
@@ -136,6 +132,10 @@ FIELDS: dict[str, dict[str, str | tuple[str, str]]] = {
     },
 }
 
+# Why a record is refused.
+DAMAGED, KEYLESS = "damaged", "no id"
+
+# Fields of lines, line types that only sum up, names of payment notes.
 _LINE_COMMON = {
     "line_id": "Id", "line_num": "LineNum", "description": "Description", "amount": "Amount",
 }
@@ -172,15 +172,9 @@ PAYMENT_NOTES = {
 }
 
 
-def layout(entity: str, part: str = "all") -> str:
-    """Schema of an entity's records: all fields, the `header` without the Line array, or the
-    id and `lines` only. Entities without their own layout use the generic one."""
+def layout(entity: str) -> str:
+    """Schema of an entity's records. Entities without their own layout use the generic one."""
     text = LAYOUTS.get(entity, _GENERIC_LAYOUT)
-    line = _LINES.get(entity)
-    if line and part == "header":
-        text = text.replace(f", {line}", "")
-    elif line and part == "lines":
-        text = f"Id string, {line}"
     return text.replace(" ref", f" {_REF}").replace(":ref", f":{_REF}")
 
 
@@ -190,17 +184,23 @@ def target_table(entity: str) -> str:
     return ENTITY_TABLES[entity]
 
 
-def parse(raw: DataFrame, entity: str, part: str = "all") -> DataFrame:
-    """Records of one entity as struct `r`, limited to the fields of `part`; the parser skips
-    the rest. Damaged records are left out; `quarantine` returns them."""
+def _read(raw: DataFrame, entity: str) -> DataFrame:
     chosen = raw.where(F.col("source_name") == entity)
-    return with_parsed(chosen, "r", "record", layout(entity, part)).where(~is_damaged("r"))
+    return with_parsed(chosen, "r", "record", layout(entity)).withColumn(
+        "reason", F.when(is_damaged("r"), F.lit(DAMAGED))
+        .when(F.coalesce(F.trim("r.Id"), F.lit("")) == "", F.lit(KEYLESS)))
+
+
+def parse(raw: DataFrame, entity: str) -> DataFrame:
+    """Records of one entity as struct `r`. A record is accepted or refused as a whole: header
+    and lines are read with the same layout. `quarantine` returns the refused ones."""
+    return _read(raw, entity).where("reason is null").drop("reason")
 
 
 def quarantine(raw: DataFrame, entity: str) -> DataFrame:
-    """Records of one entity that are not valid JSON of its layout."""
-    chosen = raw.where(F.col("source_name") == entity)
-    return with_parsed(chosen, "r", "record", layout(entity)).where(is_damaged("r")).drop("r")
+    """Records of one entity that are not valid JSON of its layout or lack their id, with the
+    reason."""
+    return _read(raw, entity).where("reason is not null").drop("r")
 
 
 def _field(row: str, rule: str | tuple[str, str]) -> Column:
@@ -224,7 +224,7 @@ def map_records(raw: DataFrame, entity: str) -> DataFrame:
     if entity == "Estimate":
         billed = F.filter("r.LinkedTxn", lambda t: t.TxnType == "Invoice")
         mapped["linked_invoice_id"] = F.get(billed, F.lit(0)).TxnId
-    text = parse(raw, entity, "header").select(
+    text = parse(raw, entity).select(
         "client_id", "ord", *(c.alias(n) for n, c in mapped.items()))
     return coerce_columns(text, dict(columns(table)))
 
@@ -235,7 +235,7 @@ def flatten_lines(raw: DataFrame, entity: str) -> DataFrame:
     `ord` of a line extends the record's with the line's position.
     """
     key = DOCUMENT_KEYS[entity]
-    arrays = parse(raw, entity, "lines").select(
+    arrays = parse(raw, entity).select(
         "client_id", "ord", F.col("r.Id").alias(key), F.col("r.Line").alias("lines"))
     exploded = arrays.select(
         "client_id", "ord", key, F.posexplode("lines").alias("line_pos", "line"))

@@ -81,7 +81,7 @@ MEASURES = {
     "revenue_prior_year": against(12, PAIR),
     "revenue_yoy": against(12, CHANGE),
     "avg_invoice": per_client(
-        "fact_invoice", average_invoice=mean("sum(total_amount)", "count(*)")),
+        "fact_invoice", average_invoice=mean("sum(total_amount)", "count(total_amount)")),
     "invoice_count": per_client("fact_invoice", invoice_count="count(*)"),
     "revenue_per_customer": star(f"""
 , r AS (SELECT client_id, sum(amount) AS rev FROM fact_invoice_line GROUP BY 1),
@@ -147,7 +147,7 @@ FROM rev FULL JOIN cogs USING (client_id)""",
         "fact_estimate", conversion_rate=ratio("count(linked_invoice_id)", "count(*)", "0")),
     "estimate_count": per_client("fact_estimate", estimate_count="count(*)"),
     "avg_estimate": per_client(
-        "fact_estimate", average_estimate=mean("sum(total_amount)", "count(*)")),
+        "fact_estimate", average_estimate=mean("sum(total_amount)", "count(total_amount)")),
     "tax_total": per_client("fact_invoice", total_tax=money("sum(total_tax)")),
     "tax_ytd": per_client("fact_invoice", YEAR, tax_ytd=money("sum(total_tax)")),
 }

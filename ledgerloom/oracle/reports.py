@@ -73,6 +73,8 @@ FROM dim_client LEFT JOIN y USING (client_id) LEFT JOIN o USING (client_id)
   LEFT JOIN b USING (client_id) LEFT JOIN rev USING (client_id) LEFT JOIN cogs USING (client_id)""",
     "v_pnl_matrix": star(ACCOUNTS + f"""
 SELECT client_id, classification, {MONTH_OF} AS month, fully_qualified_name,
+  CASE WHEN GROUPING({MONTH_OF}) = 1 THEN 'total' WHEN GROUPING(fully_qualified_name) = 1
+    THEN 'month' ELSE 'account' END AS level,
   {money('sum(amount)')} AS amount
 FROM activity JOIN dim_account USING (client_id, account_id)
 GROUP BY GROUPING SETS ((client_id, classification, {MONTH_OF}, fully_qualified_name),
@@ -113,7 +115,7 @@ SELECT client_id, account_id, account_name, classification,
     "v_account_tree": star("""
 SELECT client_id, account_id, CAST(CASE WHEN parent_account_id IS NULL THEN 0 ELSE 1 END AS BIGINT)
   AS depth, coalesce(parent_account_id, account_id) AS root,
-  concat_ws('/', parent_account_id, account_id) AS path FROM dim_account"""),
+  concat_ws('/', parent_account_id, account_id) AS path, FALSE AS cyclic FROM dim_account"""),
     "v_cash_walk": star(f"""
 , f AS (SELECT client_id, {PAY} AS i, {PUR} AS o FROM money_in_out GROUP BY 1),
 b AS (SELECT client_id, sum(amount) AS closing FROM bank GROUP BY 1)

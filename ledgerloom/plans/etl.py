@@ -101,15 +101,15 @@ def backfill(raw: DataFrame, first: int, last: int) -> DataFrame:
     return report_rows(raw.where(F.col("source_name").isin(names)))
 
 
-def run_summary(raw: DataFrame, entities=tuple(ENTITY_TABLES)) -> DataFrame:
-    """Records and damaged records per tenant and source, in one pass over the raw rows.
+def run_summary(raw: DataFrame) -> DataFrame:
+    """Records and damaged records per tenant and source, unknown sources included, in one pass
+    over the raw rows.
 
     A record counts as damaged when its text is not one JSON object; layout errors of single
     entities are listed by `records.quarantine`.
     """
-    chosen = raw.where(F.col("source_name").isin(*entities))
     return (
-        with_parsed(chosen, "r", "record", "Id string")
+        with_parsed(raw, "r", "record", "Id string")
         .groupBy("client_id", "source_name")
         .agg(
             F.count(F.lit(1)).alias("records"),

@@ -27,14 +27,14 @@ def dated_lines(model, line_table: str, header: str, key: str, *extra: str) -> D
     """Line amounts per document (and `extra` line columns) with the header date.
 
     Lines are summed per document before the join, so a document with very many lines reaches
-    the join as one row.
+    the join as one row. Lines without a header keep a blank date.
     """
     lines = (
         model.table(line_table, "client_id", key, "amount", *extra)
         .groupBy("client_id", key, *extra)
         .agg(F.sum("amount").alias("amount"))
     )
-    return lines.join(model.table(header, "client_id", key, "txn_date"), ["client_id", key])
+    return lines.join(model.table(header, "client_id", key, "txn_date"), ["client_id", key], "left")
 
 
 def paid_purchases(model, *wanted: str) -> DataFrame:
@@ -132,9 +132,9 @@ def invoice_measures(model) -> DataFrame:
         "fact_invoice", "client_id", "customer_id", "total_amount", "total_tax"
     ).groupBy(*TENANT).agg(
         F.sum("total_amount").alias("invoiced"), F.count(F.lit(1)).alias("invoice_count"),
-        F.sum("total_tax").alias("total_tax"),
+        F.sum("total_tax").alias("total_tax"), F.count("total_amount").alias("priced"),
     )
-    return df.withColumn("average_invoice", mean(df.invoiced, df.invoice_count))
+    return df.withColumn("average_invoice", mean(df.invoiced, df.priced))
 
 
 def revenue_per_customer(model) -> DataFrame:
@@ -291,12 +291,12 @@ def estimates(model) -> DataFrame:
     ).groupBy(*TENANT).agg(
         sum_if(~linked, F.col("total_amount")).alias("open_estimates"),
         count_if(linked).alias("converted"), F.count(F.lit(1)).alias("estimate_count"),
-        F.sum("total_amount").alias("estimated"),
+        F.sum("total_amount").alias("estimated"), F.count("total_amount").alias("priced"),
     )
     return df.select(
         "client_id", "open_estimates", "estimate_count",
         divide(df.converted, df.estimate_count, 0).alias("conversion_rate"),
-        mean(df.estimated, df.estimate_count).alias("average_estimate"),
+        mean(df.estimated, df.priced).alias("average_estimate"),
     )
 
 

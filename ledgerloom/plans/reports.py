@@ -20,6 +20,10 @@ from . import measures as m
 from .measures import TENANT, dated_lines, movements, of, paid_purchases
 
 
+# Label of lines whose account is missing or unknown.
+UNASSIGNED = "Unassigned"
+
+
 def named(df: DataFrame, model, dim: str, key: str, *names: str) -> DataFrame:
     """Adds descriptive columns of a dimension; facts without a match keep blank names."""
     return df.join(model.table(dim, "client_id", key, *names), ["client_id", key], "left")
@@ -58,14 +62,15 @@ def revenue_by_item_type(model) -> DataFrame:
 
 
 def customer_revenue(model) -> DataFrame:
-    """Revenue and invoice count per customer, from invoices that have lines."""
+    """Revenue and invoice count per customer, from invoices that have lines. Lines without a
+    header count under a blank customer."""
     lines = (
         model.table("fact_invoice_line", "client_id", "invoice_id", "amount")
         .groupBy("client_id", "invoice_id").agg(F.sum("amount").alias("amount"))
     )
     invoices = model.table("fact_invoice", "client_id", "invoice_id", "customer_id")
     return (
-        lines.join(invoices, ["client_id", "invoice_id"])
+        lines.join(invoices, ["client_id", "invoice_id"], "left")
         .groupBy(*TENANT, "customer_id")
         .agg(F.sum("amount").alias("revenue"), F.count(F.lit(1)).alias("invoice_count"))
     )
@@ -80,7 +85,7 @@ def top_customers(model, n: int = 5) -> DataFrame:
 
 
 def summary_cards(model, as_of) -> DataFrame:
-    """The cards of the executive page, one row per tenant."""
+    """The cards of the executive page, one row per tenant, registered or not."""
     parts = [
         m.net_income_to_date(model, as_of).select(
             *TENANT, F.col("revenue").alias("revenue_ytd"),
@@ -91,7 +96,7 @@ def summary_cards(model, as_of) -> DataFrame:
     ]
     df = model.table("dim_client", "client_id")
     for part in parts:
-        df = df.join(part, TENANT, "left")
+        df = df.join(part, TENANT, "full")
     return df
 
 
@@ -128,15 +133,21 @@ def account_months(model, *kinds: str) -> DataFrame:
 
 
 def pnl_matrix(model) -> DataFrame:
-    """Income and expense accounts by month in long form, with a subtotal per classification
-    (account blank) and a total per classification over all months (month blank too)."""
+    """Income and expense lines by account and month in long form, with a subtotal per
+    classification (account blank) and a total per classification over all months (month blank
+    too); `level` tells them from lines without a date. Lines without a known account form a group of their own, so no amount is lost."""
     df = named(
         account_months(model, "revenue", "bill", "purchase"), model, "dim_account",
         "account_id", "classification", "fully_qualified_name",
-    ).where(F.col("classification").isin("Revenue", "Expense"))
+    ).withColumns({
+        "classification": F.coalesce("classification", F.lit(UNASSIGNED)),
+        "fully_qualified_name": F.coalesce("fully_qualified_name", "account_id", F.lit(UNASSIGNED)),
+    })
     keys = [F.col(c) for c in ("client_id", "classification", "month", "fully_qualified_name")]
+    level = F.when(F.grouping("month") == 1, "total").when(
+        F.grouping("fully_qualified_name") == 1, "month").otherwise("account")
     return df.groupingSets([keys, keys[:3], keys[:2]], *keys).agg(
-        F.sum("amount").alias("amount")
+        level.alias("level"), F.sum("amount").alias("amount")
     )
 
 
@@ -250,41 +261,44 @@ def customer_tree(model) -> DataFrame:
     return hierarchy(customers, "customer_id", "parent_customer_id")
 
 
-def hierarchy(df: DataFrame, key: str, parent: str, max_depth: int = 32) -> DataFrame:
+def hierarchy(df: DataFrame, key: str, parent: str) -> DataFrame:
     """Depth, root and path (root first) of each row of a parent-child table.
 
     Each round joins every open row to its next ancestor and doubles the distance covered, so
     n levels take log2(n) rounds; rounds stop when all rows have reached their root. The state
-    is written between rounds to keep plans small. A missing parent makes the row a root; more
-    than `max_depth` levels or a cycle is an error.
+    is written between rounds to keep plans small. A missing parent makes the row a root. A row
+    on a cycle or below one meets an id twice on its way up: it is `cyclic` and has no depth,
+    root or path; other rows and tenants are not affected.
     """
-    known = df.select("client_id", F.col(key).alias("next"), F.lit(True).alias("known"))
+    known = df.select("client_id", F.col(key).alias("next"), F.lit(True).alias("known")).distinct()
     nodes = df.select("client_id", F.col(key).alias("id"), F.col(parent).alias("next")).join(
         known, ["client_id", "next"], "left"
     ).select(
         "client_id", "id", F.when(F.col("known"), F.col("next")).alias("next"),
-        F.array("id").alias("path"),
+        F.array("id").alias("path"), F.lit(False).alias("cyclic"),
     )
-    covered = 1
     while True:
         nodes = materialize(nodes, "hierarchy")
         below = nodes.where("next is not null")
         if below.isEmpty():
             break
-        if covered >= max_depth:
-            raise ValueError(f"hierarchy deeper than {max_depth} levels or cyclic")
         above = nodes.select(
             "client_id", F.col("id").alias("next"), F.col("next").alias("_next"),
-            F.col("path").alias("_path"),
+            F.col("path").alias("_path"), F.col("cyclic").alias("_cyclic"),
         )
+        way = F.concat("_path", "path")
+        caught = F.col("_cyclic") | (F.size(F.array_distinct(way)) < F.size(way))
         risen = below.join(above, ["client_id", "next"]).select(
-            "client_id", "id", F.col("_next").alias("next"), F.concat("_path", "path").alias("path")
+            "client_id", "id", F.when(~caught, F.col("_next")).alias("next"),
+            F.when(caught, F.array("id")).otherwise(way).alias("path"), caught.alias("cyclic"),
         )
         nodes = nodes.where("next is null").unionByName(risen)
-        covered *= 2
+    straight = ~F.col("cyclic")
     return nodes.select(
-        "client_id", F.col("id").alias(key), (F.size("path") - 1).alias("depth"),
-        F.element_at("path", 1).alias("root"), F.concat_ws("/", "path").alias("path"),
+        "client_id", F.col("id").alias(key),
+        F.when(straight, F.size("path") - 1).alias("depth"),
+        F.when(straight, F.element_at("path", 1)).alias("root"),
+        F.when(straight, F.concat_ws("/", "path")).alias("path"), "cyclic",
     )
 
 

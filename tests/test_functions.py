@@ -31,13 +31,16 @@ def test_decimals_are_exact_and_bounded(spark):
 
 
 def test_integers(spark):
-    texts = ["7", "7.0", "7.5", "7e2", " 8 ", "99999999999999999999", "x", None]
-    assert values(spark, coerce.to_int, texts) == [7, 7, None, 700, 8, None, None, None]
+    texts = ["7", "7.0", "7.5", "7e2", " 8 ", "99999999999999999999", "x", None, "5.0000001", "1e-7", "9007199254740993"]
+    assert values(spark, coerce.to_int, texts) == [7, 7, None, 700, 8, None, None, None, None, None, 9007199254740993]
 
 
 def test_dates_and_datetimes(spark):
     texts = ["2024-01-05", "2024-02-30", "2024", "2024-1-5", "", None]
     assert values(spark, coerce.to_date, texts) == [dt.date(2024, 1, 5)] + [None] * 5
+    iso = ["2024-01-05T00:00:00", "2024-01-05 23:59:59.5", "2024-01-05T22:00:00-08:00", "2024-01-05T10:30Z", "2024-01-05T25:00:00"]
+    assert values(spark, coerce.to_date, iso) == [dt.date(2024, 1, 5)] * 4 + [None]
+    assert values(spark, coerce.to_datetime, iso[2:4]) == [dt.datetime(2024, 1, 5, 22), dt.datetime(2024, 1, 5, 10, 30)]
     stamps = ["2024-01-05T10:30:00", "2024-01-05 10:30:00", "2024-01-05", "2024-01-05T25:00:00", "x"]
     assert values(spark, coerce.to_datetime, stamps) == [
         dt.datetime(2024, 1, 5, 10, 30), dt.datetime(2024, 1, 5, 10, 30),

@@ -62,6 +62,22 @@ def test_other_document_forms(spark, tmp_path):
     assert records.map_records(raw, "Invoice").count() == 4
 
 
+@pytest.mark.parametrize("layout", ["1", "1_2", "__1__2_3__", "_1", "1_", "__"])
+def test_empty_records_between_others(spark, tmp_path, layout):
+    """`_` is an empty record, a digit one with that id."""
+    land(tmp_path, "t1", "Invoice", "20240101_110000", [{} if c == "_" else {"Id": c, "Line": [{"Id": "x", "Sub": {}}, {}]} for c in layout])
+    raw = landing.scan(spark, str(tmp_path))
+    ids = [r.record and json.loads(r.record)["Id"] for r in raw.orderBy("ord").collect()]
+    assert ids == [c for c in layout if c != "_"]
+    assert records.quarantine(raw, "Invoice").count() == 0
+
+
+def test_text_after_a_record_is_damage(spark, tmp_path):
+    land(tmp_path, "t1", "Invoice", "20240101_110000", '[\n  {\n    "Id": "1"\n  },\n  oops,\n  {\n    "Id": "2"\n  }\n]')
+    raw = landing.scan(spark, str(tmp_path))
+    assert records.quarantine(raw, "Invoice").count() == 1
+
+
 def test_registry_keeps_first_entry(spark, tmp_path):
     path = tmp_path / "clients.json"
     path.write_text(json.dumps([

@@ -120,9 +120,13 @@ def test_hierarchy_levels_missing_parents_and_cycles(spark):
     df = spark.createDataFrame(rows, "client_id string, account_id string, parent_account_id string")
     got = {(r.client_id, r.account_id): (r.depth, r.root) for r in reports.hierarchy(df, "account_id", "parent_account_id").collect()}
     assert got["a", "6"] == (6, "0") and got["a", "x"] == (0, "x") and got["b", "1"] == (0, "1")
-    cyclic = spark.createDataFrame([("a", "1", "2"), ("a", "2", "1")], df.schema)
-    with pytest.raises(ValueError, match="cyclic"):
-        reports.hierarchy(cyclic, "account_id", "parent_account_id")
+    deep = [("a", str(i), str(i - 1) if i else None) for i in range(70)]
+    loop = [("a", "x", "y"), ("a", "y", "z"), ("a", "z", "y"), ("a", "w", "x"), ("b", "s", "s")]
+    both = spark.createDataFrame(deep + loop, df.schema)
+    rows = reports.hierarchy(both, "account_id", "parent_account_id").collect()
+    assert {r.account_id for r in rows if r.cyclic} == {"x", "y", "z", "w", "s"}
+    assert {r.account_id: r.depth for r in rows if not r.cyclic} == {str(i): i for i in range(70)}
+    assert all(r.depth is None and r.root is None and r.path is None for r in rows if r.cyclic)
 
 
 def test_row_level_security(spark):
@@ -136,3 +140,41 @@ def test_wide_pnl(spark):
     wide = reports.pnl_wide(StarTables(spark, SMALL), months)
     assert wide.columns == ["client_id", "classification", "fully_qualified_name", "2001-06-01", "2001-07-01"]
     assert wide.count() > 0
+
+
+def test_blank_values_rank_last(spark):
+    df = spark.createDataFrame([("a", 5), ("a", None), ("a", 9), ("a", None)], "client_id string, v long")
+    assert sorted((r.rank, r.v) for r in rank_within(df, ["client_id"], "v").collect() if r.v) == [(1, 9), (2, 5)]
+    assert [r.rank for r in rank_within(df, ["client_id"], "v").where("v is null").collect()] == [3, 3]
+
+
+def test_no_amount_is_lost_to_missing_keys(spark):
+    """Lines without a header, an account or an amount: the total, the months and the matrix agree."""
+    def frame(rows, schema):
+        return spark.createDataFrame(rows, schema)
+    model = Memory(
+        fact_invoice=frame([("a", "1", "c", dt.date(2001, 5, 1), Decimal(10)), ("a", "2", "c", None, None)],
+                           "client_id string, invoice_id string, customer_id string, txn_date date, total_amount decimal(18,2)"),
+        fact_invoice_line=frame(
+            [("a", "1", "INC", Decimal(10)), ("a", "1", None, Decimal(4)), ("a", "gone", "INC", Decimal(7)), ("a", "2", "?", Decimal(2)), ("a", "2", "INC", None)],
+            "client_id string, invoice_id string, account_id string, amount decimal(18,2)"),
+        fact_bill=frame([], "client_id string, bill_id string, txn_date date"),
+        fact_bill_line=frame([], "client_id string, bill_id string, account_id string, amount decimal(18,2)"),
+        fact_purchase=frame([], "client_id string, purchase_id string, txn_date date, total_amount decimal(18,2), is_credit boolean"),
+        fact_purchase_line=frame([], "client_id string, purchase_id string, account_id string, amount decimal(18,2)"),
+        dim_account=frame([("a", "INC", "Revenue", "Income")], "client_id string, account_id string, classification string, fully_qualified_name string"))
+    assert measures.revenue(model).first().total_revenue == 23
+    assert sum(r.revenue for r in measures.monthly_revenue(model).collect()) == 23
+    assert sum(r.revenue for r in reports.customer_revenue(model).collect()) == 23
+    by_month = [r for r in reports.pnl_by_grain(model).collect() if r.grain == "month"]
+    assert sum(r.net_income for r in by_month) == 23
+    totals = {r.classification: r.amount for r in reports.pnl_matrix(model).where("level = 'total'").collect()}
+    assert totals["Revenue"] == 17 and totals[reports.UNASSIGNED] == 6
+
+
+def test_average_invoice_skips_blank_amounts(spark):
+    model = Memory(fact_invoice=money(spark.createDataFrame(
+        [("a", "c", 9.0, 0.0), ("a", "c", 18.0, 0.0), ("a", "c", None, 0.0)],
+        "client_id string, customer_id string, total_amount double, total_tax double"), "total_amount", "total_tax"))
+    row = measures.invoice_measures(model).first()
+    assert (row.average_invoice, row.invoice_count) == (Decimal("13.50"), 3)

@@ -142,10 +142,27 @@ def test_damaged_records_are_set_aside(spark):
     assert (summary.records, summary.damaged) == (4, 2)
 
 
-def test_last_version_wins_and_null_keys_are_one_key(spark):
-    docs = [{"Id": "1", "TotalAmt": 1}, {"Id": None, "TotalAmt": 2}, {"Id": "1", "TotalAmt": 3}, {"TotalAmt": 4}]
-    rows = etl.clean_headers(raw(spark, "Invoice", *docs), "Invoice").collect()
-    assert sorted((r.invoice_id or "", float(r.total_amount)) for r in rows) == [("", 4.0), ("1", 3.0)]
+def test_last_version_wins_and_records_without_a_key_are_set_aside(spark):
+    docs = [{"Id": "1", "TotalAmt": 1}, {"Id": None, "TotalAmt": 2}, {"Id": "1", "TotalAmt": 3}, {"TotalAmt": 4}, {"Id": " "}]
+    df = raw(spark, "Invoice", *docs)
+    rows = etl.clean_headers(df, "Invoice").collect()
+    assert [(r.invoice_id, float(r.total_amount)) for r in rows] == [("1", 3.0)]
+    assert [r.reason for r in records.quarantine(df, "Invoice").collect()] == ["no id"] * 3
+
+
+def test_header_and_lines_are_refused_together(spark):
+    df = raw(spark, "Invoice", {"Id": "1", "TotalAmt": 1, "Line": "no list"}, {"Id": "2", "TotalAmt": 2, "Line": LINES})
+    assert [r.invoice_id for r in records.map_records(df, "Invoice").collect()] == ["2"]
+    assert {r.invoice_id for r in records.flatten_lines(df, "Invoice").collect()} == {"2"}
+    assert [r.reason for r in records.quarantine(df, "Invoice").collect()] == ["damaged"]
+
+
+def test_unknown_sources_are_in_the_summary(spark):
+    df = raw(spark, "Invoice", {"Id": "1"}).unionByName(raw(spark, "Mystery", {"Id": "1"}, "cut {"))
+    assert {(r.source_name, r.records, r.damaged) for r in etl.run_summary(df).collect()} == {("Invoice", 1, 0), ("Mystery", 2, 1)}
+
+
+def test_date_keys(spark):
     dated = etl.clean_headers(raw(spark, "Bill", {"Id": "1", "TxnDate": "2024-01-05", "DueDate": "soon"}), "Bill")
     row = only(dated)
     assert (row.txn_date_key, row.due_date_key) == (20240105, None)
