@@ -236,13 +236,14 @@ def clean_invoice(star: StarTables) -> DataFrame:
 # -- loads ------------------------------------------------------------------------------------------
 
 def upsert_merge(star: StarTables) -> DataFrame:
-    """A first load of two thirds of the invoices, then changed totals for all even keys."""
+    """A first load of all but some invoices, then changed totals for all even keys and those."""
     warehouse = Warehouse(star.spark, scratch_path(star.spark, "warehouse"))
     invoices = star.table(
         "fact_invoice", "client_id", "invoice_id", "txn_date", "total_amount")
     key = F.col("invoice_id").cast("bigint")
-    warehouse.upsert("fact_invoice", invoices.where(key % 3 != 0))
-    changed = invoices.where(key % 2 == 0).withColumn("total_amount", F.col("total_amount") + 1)
+    warehouse.upsert("fact_invoice", invoices.where(key % 10 != 3))
+    changed = invoices.where((key % 2 == 0) | (key % 10 == 3)).withColumn(
+        "total_amount", F.col("total_amount") + 1)
     warehouse.upsert("fact_invoice", changed)
     return warehouse.table("fact_invoice", "client_id", "invoice_id", "txn_date", "total_amount")
 

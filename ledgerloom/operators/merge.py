@@ -33,14 +33,3 @@ def without_stale(target: DataFrame, batch: DataFrame, key: list[str], version:
     newer = same_key(target, news, key) & (target[version] > news["_news"])
     stale = target.join(news, newer).select(*(news[k] for k in key)).distinct()
     return batch.join(stale, same_key(batch, stale, key), "left_anti")
-
-
-def touched_tenants(target: DataFrame, tenants: DataFrame) -> DataFrame:
-    """Target rows of the listed tenants.
-
-    On a table partitioned by tenant and with a small written list, Spark broadcasts the list
-    and reads only those partitions. It plans this run-time pruning for lists with a filter
-    only, hence the comparison, which every tenant id passes.
-    """
-    listed = tenants.where(F.col("client_id") >= "")
-    return target.join(listed, "client_id", "left_semi").select(*target.columns)

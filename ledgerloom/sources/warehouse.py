@@ -1,18 +1,24 @@
-"""Typed Parquet warehouse, partitioned by tenant, with keyed upsert."""
+"""Typed Parquet warehouse in hash buckets, with keyed upsert."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.merge import merge, touched_tenants, without_stale
+from ..operators.merge import merge, without_stale
 from ..operators.quality import coerce_columns, keep_last
 from ..schemas import columns, primary_key
 from ..session import scratch_path
+from . import files
 
-
-# Pull time of a stored row, kept beside the declared columns.
-VERSION = "_version"
+# Pull time of a stored row, kept beside the declared columns, and its bucket.
+VERSION, BUCKET = "_version", "bucket"
+MANIFEST = "bucket int, version string, rows long, buckets int"
+BUCKETS = 32             # of a new table
+BUCKET_ROWS = 1_000_000  # wanted in a bucket
+GROWN = 8                # times that size at which a table gets so many times the buckets
 
 
 def layout(table: str) -> str:
@@ -54,25 +60,30 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 class Warehouse:
-    """Tables under one root folder. Also a model: `table(name, *columns)`."""
+    """Tables under one root folder. Also a model: `table(name, *columns)`.
+
+    A table's rows lie in hash buckets of the first two key columns, so documents and their lines
+    meet in like buckets. An upsert reads and rewrites the buckets its batch touches, once, into
+    the folder of a new version, then publishes a manifest that says in which version each bucket
+    now is. Readers use the newest complete manifest: a load that fails leaves the old state, and
+    no reader sees half of one. Old versions go with `clean`. One load at a time may write a table.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def table(self, name: str, *wanted: str) -> DataFrame:
         """A typed table; absent tables are empty."""
-        df = self._stored(name, layout(name))
-        if df is None:
-            df = self.spark.createDataFrame([], layout(name))
+        df = self._stored(name)
         return df.select(*(wanted or (c for c, _ in columns(name))))
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Full replacement of a table."""
         rows = conform(df, table).withColumn(VERSION, F.lit(None).cast("timestamp_ntz"))
-        self._write(_sized(rows), self.path(table), "static")
+        self._publish(table, rows, self.buckets, [])
 
     def upsert(
         self, table: str, batch: DataFrame, order: list[Column] | None = None,
@@ -84,12 +95,13 @@ class Warehouse:
         unless given); a prefix of the key replaces whole groups such as one report. With a
         `version`, rows older than what the table holds are ignored, so late data cannot undo
         newer data. The batch is reduced to its last row per key by `order`. A first load is
-        written straight away. Later ones materialise the batch once and read only the tenants
-        in it; their merged partitions are staged in the shared folder and then swapped in, so
-        the target is never read and overwritten by the same job.
+        written straight away; for a later one the batch is written once to the shared folder,
+        and removed after use.
         """
         key = primary_key(table)
         match = match or key
+        if not set(bucket_columns(table)) <= set(match):
+            raise ValueError(f"{table} is replaced by at least {bucket_columns(table)}")
         stamp = F.lit(None) if version is None else version
         batch = batch.withColumn(VERSION, stamp.cast("timestamp_ntz"))
         order = order or [
@@ -97,37 +109,89 @@ class Warehouse:
         if order:
             batch = keep_last(batch, key, order)
         batch = _versioned(batch, table)
-        target = self._stored(table)
-        if target is None:
-            self._write(_sized(batch), self.path(table), "static")
+        held = self._manifest(table)
+        if not held:
+            self._publish(table, batch, self.buckets, [])
             return
-        batch = materialize(batch, f"batch-{table}")
-        if batch.isEmpty():
+        scratch = scratch_path(self.spark, f"batch-{table}")
+        try:
+            batch.write.parquet(scratch)
+            batch = self.spark.read.schema(batch.schema).parquet(scratch)
+            self._merge(table, batch, held, match, version is not None)
+        finally:
+            files.remove(self.spark, scratch)
+
+    def _merge(self, table: str, batch: DataFrame, held: list, match: list[str], versioned: bool) -> None:
+        count = held[0]["buckets"]
+        touched = {r[0] for r in batch.select(_bucket(table, count)).distinct().collect()}
+        if not touched:
             return
-        if "client_id" in batch.columns:
-            tenants = materialize(batch.select("client_id").distinct(), f"tenants-{table}")
-            target = touched_tenants(target, tenants)
-        if version is not None and _overlaps(target, batch):
+        grown = sum(r["rows"] for r in held) > GROWN * count * BUCKET_ROWS
+        if grown:  # seldom: each time the table has become many times larger
+            touched, count = {r["bucket"] for r in held} | touched, count * GROWN
+        target = self._read(table, [r for r in held if r["bucket"] in touched])
+        if versioned and _overlaps(target, batch):
             batch = without_stale(target, batch, match, VERSION)
-        staged = scratch_path(self.spark, f"staged-{table}")
-        self._write(_sized(merge(target, batch, match)), staged, "static")
-        copy = self.spark.read.schema(_physical(table)).parquet(staged)
-        self._write(copy, self.path(table), "dynamic")
-
-    def _stored(self, table: str, schema: str | None = None) -> DataFrame | None:
-        """The physical table with the version of each row, or None before its first load."""
-        try:
-            return self.spark.read.schema(schema or _physical(table)).parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-
-    def _write(self, df: DataFrame, path: str, mode: str) -> None:
-        out = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
-        if "client_id" in df.columns:
-            out = out.partitionBy("client_id")
-        out.parquet(path)
+        kept = [] if grown else [r for r in held if r["bucket"] not in touched]
+        self._publish(table, merge(target, batch, match), count, kept)
+
+    def clean(self, table: str, older_than: float) -> None:
+        """Removes versions that no manifest younger than `older_than` seconds (or the current
+        one) names, with their manifests."""
+        folder = f"{self.path(table)}/manifest"
+        names = self._complete(table)
+        now = time.time()
+        keep = {n for n in names if now - files.changed_at(self.spark, f"{folder}/{n}") < older_than} | set(names[-1:])
+        used = {r["version"] for n in keep for r in self._entries(table, n)}
+        for name in files.children(self.spark, f"{self.path(table)}/data"):
+            if name not in used and (not names or name < names[-1]):
+                files.remove(self.spark, f"{self.path(table)}/data/{name}")
+        for name in set(names) - keep:
+            files.remove(self.spark, f"{folder}/{name}")
+
+    def _publish(self, table: str, rows: DataFrame, count: int, kept: list) -> None:
+        """Writes rows as a new version and names it, beside the entries kept, in a new manifest."""
+        last = max(self._complete(table) + ["0"]).split("-")[0]
+        version = f"{int(last) + 1:012d}-{uuid.uuid4().hex[:8]}"
+        data = f"{self.path(table)}/data/{version}"
+        (rows.withColumn(BUCKET, _bucket(table, count)).hint("rebalance", BUCKET)
+         .write.option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(data))
+        physical = self.spark.read.schema(f"{_physical(table)}, {BUCKET} int").parquet(data)
+        entries = [(r[BUCKET], version, r["count"], count) for r in physical.groupBy(BUCKET).count().collect()]
+        entries += [(r["bucket"], r["version"], r["rows"], count) for r in kept]
+        # an empty table still has a manifest
+        manifest = self.spark.createDataFrame(entries or [(None, version, 0, count)], MANIFEST)
+        manifest.coalesce(1).write.parquet(f"{self.path(table)}/manifest/{version}")
+
+    def _complete(self, table: str) -> list[str]:
+        folder = f"{self.path(table)}/manifest"
+        return [n for n in files.children(self.spark, folder) if files.exists(self.spark, f"{folder}/{n}/_SUCCESS")]
+
+    def _entries(self, table: str, name: str) -> list:
+        return self.spark.read.schema(MANIFEST).parquet(f"{self.path(table)}/manifest/{name}").collect()
+
+    def _manifest(self, table: str) -> list:
+        """One entry per bucket of the current state; none before the first load."""
+        complete = self._complete(table)
+        return self._entries(table, complete[-1]) if complete else []
+
+    def _read(self, table: str, entries: list) -> DataFrame:
+        paths = [f"{self.path(table)}/data/{r['version']}/{BUCKET}={r['bucket']}" for r in entries if r["bucket"] is not None]
+        if not paths:
+            return self.spark.createDataFrame([], _physical(table))
+        return self.spark.read.schema(_physical(table)).parquet(*paths)
+
+    def _stored(self, table: str) -> DataFrame:
+        """The physical table with the version of each row."""
+        return self._read(table, self._manifest(table))
+
+
+def bucket_columns(table: str) -> list[str]:
+    return primary_key(table)[:2]
+
+
+def _bucket(table: str, count: int) -> Column:
+    return F.pmod(F.xxhash64(*bucket_columns(table)), F.lit(count)).cast("int")
 
 
 def _overlaps(target: DataFrame, batch: DataFrame) -> bool:
@@ -135,8 +199,3 @@ def _overlaps(target: DataFrame, batch: DataFrame) -> bool:
     usual in-order load the per-key check."""
     newest, oldest = target.agg(F.max(VERSION)).first()[0], batch.agg(F.min(VERSION)).first()[0]
     return newest is not None and (oldest is None or newest > oldest)
-
-
-def _sized(df: DataFrame) -> DataFrame:
-    """Files of even size per tenant; a dominant tenant is split over several tasks."""
-    return df.hint("rebalance", "client_id") if "client_id" in df.columns else df

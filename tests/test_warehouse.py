@@ -5,12 +5,13 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import merge as merging
 from ledgerloom.operators.quality import keep_last, key_violations
-from ledgerloom.session import scratch_path
+from ledgerloom.session import scratch_path, shared_dir
+from ledgerloom.sources import files
 from ledgerloom.sources.warehouse import Warehouse, materialize
 
 
 def invoices(spark, *rows):
-    return spark.createDataFrame(rows, "client_id string, invoice_id string, total_amount double, ts timestamp_ntz")
+    return spark.createDataFrame(list(rows), "client_id string, invoice_id string, total_amount double, ts timestamp_ntz")
 
 
 def content(warehouse):
@@ -56,22 +57,62 @@ def test_late_data_does_not_undo_newer_data(spark, warehouse):
     assert content(warehouse) == [("a", "1", 2.0), ("a", "2", 3.0), ("a", "3", 1.0)]
 
 
-def test_only_touched_tenants_are_rewritten(spark, warehouse):
-    warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 1.0, T1), ("b", "1", 1.0, T1)))
-    def files(client):
-        frame = spark.read.parquet(warehouse.path("fact_invoice")).where(F.col("client_id") == client)
-        return set(frame.inputFiles()) & {f for f in frame.inputFiles() if f"client_id={client}" in f}
-    before = files("b")
+def bucket_files(warehouse):
+    """Files of each bucket in the current state."""
+    return {r["bucket"]: set(warehouse._read("fact_invoice", [r]).inputFiles()) for r in warehouse._manifest("fact_invoice")}
+
+
+def test_only_touched_buckets_are_rewritten(spark, warehouse):
+    rows = [(c, str(i), 1.0, T1) for c in "ab" for i in range(40)]
+    warehouse.upsert("fact_invoice", invoices(spark, *rows))
+    before = bucket_files(warehouse)
+    assert len(before) > 10
     warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 2.0, T1)))
-    assert files("b") == before and content(warehouse) == [("a", "1", 2.0), ("b", "1", 1.0)]
+    after = bucket_files(warehouse)
+    assert len([b for b in before if before[b] != after[b]]) == 1
+    assert warehouse.table("fact_invoice").count() == 80
 
 
-def test_untouched_partitions_are_not_read(spark, warehouse):
-    warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 1.0, T1), ("b", "1", 1.0, T1), ("c", "1", 1.0, T1)))
-    tenants = materialize(spark.createDataFrame([("a",)], "client_id string"), "tenants")
-    kept = merging.touched_tenants(warehouse.table("fact_invoice"), tenants)
-    assert "dynamicpruning" in kept._jdf.queryExecution().executedPlan().toString()
-    assert [r.client_id for r in kept.collect()] == ["a"]
+def test_a_failed_load_leaves_the_old_state(spark, warehouse):
+    warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 1.0, T1)))
+    bad = invoices(spark, ("a", "1", 2.0, T1)).withColumn("doc_number", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        warehouse.upsert("fact_invoice", bad)
+    held = warehouse._manifest("fact_invoice")
+    warehouse._publish = lambda *a: (_ for _ in ()).throw(RuntimeError("lost driver"))
+    with pytest.raises(RuntimeError):
+        warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 3.0, T1)))
+    del warehouse._publish
+    # a manifest without its success mark does not count
+    files.remove(spark, f"{warehouse.path('fact_invoice')}/manifest/{held[0]['version']}x")
+    invoices(spark).write.parquet(f"{warehouse.path('fact_invoice')}/manifest/999999999999-x")
+    files.remove(spark, f"{warehouse.path('fact_invoice')}/manifest/999999999999-x/_SUCCESS")
+    assert [float(r.total_amount) for r in warehouse.table("fact_invoice").collect()] == [1.0]
+    warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 4.0, T1)))
+    assert [float(r.total_amount) for r in warehouse.table("fact_invoice").collect()] == [4.0]
+
+
+def test_scratch_and_old_versions_go(spark, warehouse):
+    warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 1.0, T1), ("a", "2", 1.0, T1)))
+    for amount in (2.0, 3.0):
+        warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", amount, T1)))
+    assert not [n for n in files.children(spark, shared_dir(spark)) if n.startswith("batch-fact_invoice")]
+    warehouse.clean("fact_invoice", older_than=3600)
+    assert len(files.children(spark, f"{warehouse.path('fact_invoice')}/data")) == 3
+    warehouse.clean("fact_invoice", older_than=0)
+    assert len(files.children(spark, f"{warehouse.path('fact_invoice')}/data")) == 2
+    assert sorted(float(r.total_amount) for r in warehouse.table("fact_invoice").collect()) == [1.0, 3.0]
+
+
+def test_a_grown_table_gets_more_buckets(spark, monkeypatch):
+    monkeypatch.setattr("ledgerloom.sources.warehouse.BUCKET_ROWS", 1)
+    warehouse = Warehouse(spark, scratch_path(spark, "w"), buckets=2)
+    rows = [("a", str(i), 1.0, T1) for i in range(30)]
+    warehouse.upsert("fact_invoice", invoices(spark, *rows))
+    warehouse.upsert("fact_invoice", invoices(spark, ("a", "3", 5.0, T1), ("a", "x", 1.0, T1)))
+    assert {r["buckets"] for r in warehouse._manifest("fact_invoice")} == {16}
+    assert warehouse.table("fact_invoice").count() == 31
+    assert float(warehouse.table("fact_invoice").where("invoice_id = '3'").first().total_amount) == 5.0
 
 
 def test_replace(spark, warehouse):
