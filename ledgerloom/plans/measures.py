@@ -7,6 +7,8 @@ from several facts are stacked as tagged movements and regrouped instead of bein
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import blank
@@ -23,18 +25,25 @@ BANK = "Bank"
 
 # -- line facts with their header's date ----------------------------------------------------
 
-def dated_lines(model, line_table: str, header: str, key: str, *extra: str) -> DataFrame:
+When = Callable[[Column], Column]  # a condition on a date
+
+
+def dated_lines(
+    model, line_table: str, header: str, key: str, *extra: str, when: When | None = None
+) -> DataFrame:
     """Line amounts per document (and `extra` line columns) with the header date.
 
-    Lines are summed per document before the join, so a document with very many lines reaches
-    the join as one row. Lines without a header keep a blank date.
+    Over all time, lines are summed per document before the join, so a document with very many
+    lines reaches the join as one row; lines without a header keep a blank date. With a condition
+    on the date, the headers that meet it come first and only their lines are kept and summed.
     """
-    lines = (
-        model.table(line_table, "client_id", key, "amount", *extra)
-        .groupBy("client_id", key, *extra)
-        .agg(F.sum("amount").alias("amount"))
-    )
-    return lines.join(model.table(header, "client_id", key, "txn_date"), ["client_id", key], "left")
+    keys = ["client_id", key]
+    lines = model.table(line_table, *keys, "amount", *extra)
+    headers = model.table(header, *keys, "txn_date")
+    if when is not None:
+        headers = headers.where(when(F.col("txn_date")))
+        return lines.join(headers, keys)
+    return lines.groupBy(*keys, *extra).agg(F.sum("amount").alias("amount")).join(headers, keys, "left")
 
 
 def paid_purchases(model, *wanted: str) -> DataFrame:
@@ -44,17 +53,19 @@ def paid_purchases(model, *wanted: str) -> DataFrame:
     )
 
 
-def movements(model, *kinds: str, dated: bool = True) -> DataFrame:
-    """(client_id, kind, amount[, txn_date]) of revenue, bill, purchase and payment amounts."""
+def movements(model, *kinds: str, dated: bool = True, when: When | None = None) -> DataFrame:
+    """(client_id, kind, amount[, txn_date]) of revenue, bill, purchase and payment amounts, all
+    or those whose date meets a condition."""
     date = ["txn_date"] if dated else []
 
     def lines(table, header, key):
         if dated:
-            return dated_lines(model, table, header, key)
+            return dated_lines(model, table, header, key, when=when)
         return model.table(table, "client_id", "amount")
 
     def totals(df):
-        return df.withColumnRenamed("total_amount", "amount")
+        chosen = df if when is None else df.where(when(F.col("txn_date")))
+        return chosen.withColumnRenamed("total_amount", "amount")
 
     sources = {
         "revenue": lambda: lines("fact_invoice_line", "fact_invoice", "invoice_id"),
@@ -95,7 +106,7 @@ def revenue(model) -> DataFrame:
 
 def revenue_to_date(model, as_of) -> DataFrame:
     """Revenue of the current month, quarter and year up to `as_of`."""
-    df = movements(model, "revenue").where(to_date_window(F.col("txn_date"), as_of, "YEAR"))
+    df = movements(model, "revenue", when=lambda d: to_date_window(d, as_of, "YEAR"))
     amount, date = F.col("amount"), F.col("txn_date")
     return df.groupBy(*TENANT).agg(
         sum_if(to_date_window(date, as_of, "MM"), amount).alias("revenue_mtd"),
@@ -107,8 +118,7 @@ def revenue_to_date(model, as_of) -> DataFrame:
 def revenue_in_period(model, as_of, grain: str) -> DataFrame:
     """Revenue to date in one period; only tenants with revenue in it appear."""
     return (
-        movements(model, "revenue")
-        .where(to_date_window(F.col("txn_date"), as_of, grain))
+        movements(model, "revenue", when=lambda d: to_date_window(d, as_of, grain))
         .groupBy(*TENANT).agg(F.sum("amount").alias("revenue"))
     )
 
@@ -212,8 +222,7 @@ def expenses(model) -> DataFrame:
 
 def expenses_to_date(model, as_of, grain: str) -> DataFrame:
     df = (
-        movements(model, "bill", "purchase")
-        .where(to_date_window(F.col("txn_date"), as_of, grain))
+        movements(model, "bill", "purchase", when=lambda d: to_date_window(d, as_of, grain))
         .groupBy(*TENANT)
         .agg(F.sum("amount").alias("expenses"))
     )
@@ -234,8 +243,8 @@ def profit(model) -> DataFrame:
 
 def net_income_to_date(model, as_of, grain: str = "YEAR") -> DataFrame:
     df = (
-        movements(model, "revenue", "bill", "purchase")
-        .where(to_date_window(F.col("txn_date"), as_of, grain))
+        movements(
+            model, "revenue", "bill", "purchase", when=lambda d: to_date_window(d, as_of, grain))
         .groupBy(*TENANT)
         .agg(
             sum_if(of("revenue"), F.col("amount")).alias("revenue"),

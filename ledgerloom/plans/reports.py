@@ -40,8 +40,7 @@ def trailing_year(date, as_of):
 def revenue_and_expenses(model, as_of) -> DataFrame:
     """Monthly revenue and expenses over the trailing twelve months."""
     return (
-        movements(model, "revenue", "bill", "purchase")
-        .where(trailing_year(F.col("txn_date"), as_of))
+        movements(model, "revenue", "bill", "purchase", when=lambda d: trailing_year(d, as_of))
         .groupBy(*TENANT, month(F.col("txn_date")).alias("month"))
         .agg(
             sum_if(of("revenue"), F.col("amount")).alias("revenue"),

@@ -178,3 +178,11 @@ def test_average_invoice_skips_blank_amounts(spark):
         "client_id string, customer_id string, total_amount double, total_tax double"), "total_amount", "total_tax"))
     row = measures.invoice_measures(model).first()
     assert (row.average_invoice, row.invoice_count) == (Decimal("13.50"), 3)
+
+
+def test_dated_measures_filter_headers_before_the_lines_are_joined(spark):
+    """The date condition is in the scan of the headers, and nothing is summed per document."""
+    star = StarTables(spark, SMALL)
+    plan = measures.revenue_in_period(star, AS_OF, "MM")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join Inner"):]
+    assert "o_orderdate" in below and "Aggregate" not in below
