@@ -15,11 +15,11 @@ from .operators import records, relationships as rel, report_rows
 from .operators.access import visible_to
 from .operators.merge import union
 from .operators.quality import add_date_key, keep_last, key_violations
-from .plans import etl
+from .plans import etl, reports as reports_plan
 from .schemas import primary_key
 from .session import scratch_path
 from .sources import archive, calendar, documents as docs, landing, registry, reports
-from .sources.star import LINE_ORDER, StarTables
+from .sources.star import AS_OF, LINE_ORDER, StarTables
 from .sources.warehouse import Warehouse, materialize, typed_scan
 
 EARLIER = dt.datetime(2001, 7, 31, 11, 0, 0)
@@ -308,10 +308,14 @@ def flagship(star: StarTables) -> DataFrame:
 
 
 def etl_report(star: StarTables) -> DataFrame:
-    """Two loads of the same report: the second replaces the first as a whole."""
-    warehouse = Warehouse(star.spark, scratch_path(star.spark, "warehouse"))
-    etl.load_reports(docs.aged_receivables(star), warehouse)
-    etl.load_reports(docs.aged_receivables(star), warehouse)
+    """Two pulls of the same report: the second replaces the longer first one as a whole."""
+    warehouse = _warehouse(star)
+    latest = docs.aged_receivables(star)
+    # the earlier pull has one more row in every section
+    stale = latest.withColumn("ord", F.col("ord").withField("ts", F.lit(EARLIER).cast("timestamp_ntz"))).withColumn(
+        "record", F.regexp_replace("record", '"Row":\\[', '"Row":[{"type":"Data","ColData":[{"value":"stale"}]},'))
+    etl.load_reports(stale, warehouse)
+    etl.load_reports(latest, warehouse)
     return report_table(warehouse.table("report_rows")).select(
         "client_id", "report_table", "section", "row_type", "row_ord", *REPORT_TITLES)
 
@@ -321,6 +325,59 @@ def run_summary(star: StarTables) -> DataFrame:
     return etl.run_summary(raw).drop("last_pull")
 
 
+def etl_daily(star: StarTables) -> DataFrame:
+    """Two daily loads of which the second lands the first's pulls again and one more: records of
+    the archive, which holds each pull once, beside the invoices of the warehouse."""
+    archived, warehouse = scratch_path(star.spark, "archive"), _warehouse(star)
+    first = docs.invoices(star, lines=False, surcharge=1, ts=EARLIER).unionByName(docs.payments(star))
+    etl.load_new(first, archived, warehouse)
+    etl.load_new(first.unionByName(docs.invoices(star, lines=False)), archived, warehouse)
+    held = archive.read(star.spark, archived).groupBy("client_id", "source_name").agg(
+        F.count(F.lit(1)).alias("archived"))
+    totals = union([
+        warehouse.table(f"fact_{s.lower()}", "client_id", "total_amount").groupBy("client_id").agg(
+            F.count(F.lit(1)).alias("held"), F.sum("total_amount").alias("total"),
+        ).withColumn("source_name", F.lit(s))
+        for s in ("Invoice", "Payment")])
+    return held.join(totals, ["client_id", "source_name"])
+
+
+def etl_quarantine(star: StarTables) -> DataFrame:
+    """What a load with damaged, keyless and unknown records refuses, and what it keeps."""
+    invoices = damaged(docs.invoices(star, lines=False))
+    key = F.get_json_object("record", "$.Id").cast("bigint")
+    keyless = docs.payments(star).withColumn(
+        "record", F.when(key % 7 == 0, F.regexp_replace("record", '"Id":"[^"]*",?', "")).otherwise(F.col("record")))
+    unknown = docs.classes(star).withColumn("source_name", F.lit("Mystery"))
+    warehouse = _warehouse(star)
+    etl.load_new(union([invoices, keyless, unknown]), scratch_path(star.spark, "archive"), warehouse)
+    return etl.quarantine(warehouse).groupBy("client_id", "source_name", "reason").agg(
+        F.count(F.lit(1)).alias("records"))
+
+
+def _warehouse(star: StarTables) -> Warehouse:
+    return Warehouse(star.spark, scratch_path(star.spark, "warehouse"))
+
+
+_LOADED: dict[tuple[str, str], str] = {}
+
+
+def loaded(star: StarTables) -> Warehouse:
+    """A warehouse into which the documents of a folder were loaded, once per session."""
+    key = (star.spark.sparkContext.applicationId, star.path)
+    if key not in _LOADED:
+        warehouse = _warehouse(star)
+        wanted = ("Account", "Customer", "Item", "Invoice", "Bill", "Purchase", "Payment")
+        etl.load_reference(warehouse)
+        etl.load_new(union([docs.BUILDERS[e](star) for e in wanted]), scratch_path(star.spark, "archive"), warehouse)
+        _LOADED[key] = warehouse.root
+    return Warehouse(star.spark, _LOADED[key])
+
+
+def from_warehouse(build):
+    return lambda star: build(loaded(star))
+
+
 def backfill_reports(star: StarTables) -> DataFrame:
     raw = union([
         docs.aged_receivables(star, "AgedReceivables", year, "backfill_report_")
@@ -456,6 +513,11 @@ LOADS = {
     "etl_invoice": etl_invoice,
     "etl_report": etl_report,
     "run_summary": run_summary,
+    "etl_daily": etl_daily,
+    "etl_quarantine": etl_quarantine,
+    "wh_exec_summary": from_warehouse(lambda w: reports_plan.summary_cards(w, AS_OF)),
+    "wh_pnl_matrix": from_warehouse(reports_plan.pnl_matrix),
+    "wh_ar_aging": from_warehouse(lambda w: reports_plan.receivable_aging_by_customer(w, AS_OF)),
     "backfill_reports": backfill_reports,
     "revenue_from_documents": flagship,
     "join_invoice_star": join_invoice_star,

@@ -4,4 +4,10 @@ from .loads import LOADS
 from .measures import MEASURES
 from .reports import REPORTS
 
-ORACLE: dict[str, str] = {**LOADS, **MEASURES, **REPORTS}
+# The same results, from a loaded warehouse instead of the derived tables.
+WAREHOUSE = {
+    "wh_exec_summary": REPORTS["v_exec_summary"], "wh_pnl_matrix": REPORTS["v_pnl_matrix"],
+    "wh_ar_aging": REPORTS["v_ar_aging_customer"],
+}
+
+ORACLE: dict[str, str] = {**LOADS, **MEASURES, **REPORTS, **WAREHOUSE}

@@ -240,6 +240,17 @@ FROM fact_invoice LEFT JOIN l USING (client_id, invoice_id) GROUP BY ALL"""),
 SELECT client_id, CAST(date_trunc('month', txn_date) AS DATE) AS month,
   {money('sum(amount)')} AS revenue, count(DISTINCT invoice_id) AS invoices
 FROM fact_invoice_line GROUP BY ALL"""),
+    "etl_daily": star(f"""
+SELECT client_id, 'Invoice' AS source_name, 2 * count(*) AS archived, count(*) AS held,
+  {money('sum(total_amount)')} AS total FROM fact_invoice GROUP BY 1
+UNION ALL SELECT client_id, 'Payment', count(*), count(*), {money('sum(total_amount)')}
+FROM fact_payment GROUP BY 1"""),
+    "etl_quarantine": star("""
+SELECT client_id, 'Invoice' AS source_name, 'damaged' AS reason, count(*) AS records
+FROM fact_invoice WHERE CAST(invoice_id AS BIGINT) % 13 = 0 GROUP BY 1
+UNION ALL SELECT client_id, 'Payment', 'no id', count(*)
+FROM fact_payment WHERE CAST(payment_id AS BIGINT) % 7 = 0 GROUP BY 1
+UNION ALL SELECT client_id, 'Mystery', 'unknown source', count(*) FROM dim_customer GROUP BY 1"""),
     "run_summary": star("""
 SELECT client_id, 'Invoice' AS source_name, count(*) AS records,
   count(*) FILTER (WHERE CAST(invoice_id AS BIGINT) % 13 = 0) AS damaged

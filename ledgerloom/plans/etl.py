@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.parsing import is_damaged, with_parsed
 from ..operators import records
 from ..operators.quality import add_date_key, keep_last
+from ..operators.merge import union
 from ..operators.report_rows import flatten_reports
 from ..schemas import ENTITY_TABLES, LINE_TABLES, columns, primary_key
-from ..sources import archive, landing, reports
+from ..sources import archive, calendar, files, landing, registry, reports
 from ..sources.warehouse import Warehouse, conform, materialize
 
 # One report of one tenant and period; a later pull replaces it as a whole.
@@ -38,6 +41,24 @@ def clean_lines(raw: DataFrame, entity: str) -> DataFrame:
     return keep_last(lines, primary_key(LINE_TABLES[entity]), [F.col("ord")])
 
 
+# The item's account that a line without an account is booked to.
+ITEM_ACCOUNT = {
+    "Invoice": "income_account_id", "Estimate": "income_account_id",
+    "Bill": "expense_account_id", "Purchase": "expense_account_id",
+}
+
+
+def with_item_accounts(lines: DataFrame, entity: str, warehouse: Warehouse) -> DataFrame:
+    """Fills the account of lines that name only an item from the item held in the warehouse."""
+    if entity not in ITEM_ACCOUNT:
+        return lines
+    items = warehouse.table("dim_item", "client_id", "item_id", ITEM_ACCOUNT[entity])
+    held = items.withColumnRenamed(ITEM_ACCOUNT[entity], "_account")
+    filled = lines.join(held, ["client_id", "item_id"], "left").withColumn(
+        "account_id", F.coalesce("account_id", "_account"))
+    return filled.select(lines.columns)
+
+
 def load_entity(raw: DataFrame, entity: str, warehouse: Warehouse) -> None:
     """Upserts an entity's headers and lines. The upsert itself keeps the last version per key,
     so the mapped rows go in directly."""
@@ -45,7 +66,7 @@ def load_entity(raw: DataFrame, entity: str, warehouse: Warehouse) -> None:
     headers = with_date_keys(records.map_records(raw, entity), table)
     warehouse.upsert(table, headers, [F.col("ord")], version=F.col("ord.ts"))
     if entity in LINE_TABLES:
-        lines = records.flatten_lines(raw, entity)
+        lines = with_item_accounts(records.flatten_lines(raw, entity), entity, warehouse)
         warehouse.upsert(
             LINE_TABLES[entity], lines, [F.col("ord")], version=F.col("ord.ord.ts"))
 
@@ -60,18 +81,84 @@ def load_entities(raw: DataFrame, warehouse: Warehouse) -> None:
             load_entity(raw, entity, warehouse)
 
 
-def load_all(raw: DataFrame, warehouse: Warehouse) -> DataFrame:
-    """Loads entities and reports of all tenants and returns the run summary. Damaged records
-    are counted in the summary and do not stop other records or tenants."""
-    load_entities(raw, warehouse)
-    load_reports(raw, warehouse)
-    return run_summary(raw)
+def refused(raw: DataFrame) -> DataFrame:
+    """What a load leaves out, with the reason: damaged and keyless records, damaged and unknown
+    reports, unknown sources."""
+    reports_like = F.col("source_name").rlike(reports.SOURCE)
+    unknown = raw.where(~F.col("source_name").isin(*ENTITY_TABLES) & ~reports_like).withColumn(
+        "reason", F.lit("unknown source"))
+    present = [r[0] for r in raw.where(F.col("source_name").isin(*ENTITY_TABLES))
+               .select("source_name").distinct().collect()]
+    parts = [unknown, reports.refused(raw), *(records.quarantine(raw, e) for e in present)]
+    return union([p.select("client_id", "source_name", "ord", "record", "reason") for p in parts])
 
 
-def daily_load(spark: SparkSession, landed: str, archived: str, warehouse_root: str) -> DataFrame:
-    """Landed files of all tenants to archive and warehouse; returns the run summary."""
-    archive.append(landing.scan(spark, landed), archived)
-    return load_all(archive.read(spark, archived), Warehouse(spark, warehouse_root))
+def load_all(raw: DataFrame, warehouse: Warehouse, batch: str = "single") -> DataFrame:
+    """Loads entities and reports of all tenants, writes what is refused to the quarantine and
+    returns the run summary. Refused records do not stop others."""
+    load_entities(raw, warehouse)
+    load_reports(raw, warehouse)
+    path = f"{warehouse.root}/quarantine/batch_id={batch}"
+    refused(raw).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    counts = raw.sparkSession.read.schema(QUARANTINE).parquet(path).groupBy(
+        "client_id", "source_name").agg(F.count(F.lit(1)).alias("refused"))
+    return run_summary(raw).join(counts, ["client_id", "source_name"], "left").withColumn(
+        "refused", F.coalesce("refused", F.lit(0)))
+
+
+QUARANTINE = (
+    "client_id string, source_name string, "
+    "ord struct<ts:timestamp_ntz,block:bigint,pos:bigint,item:int>, record string, reason string"
+)
+
+
+def quarantine(warehouse: Warehouse) -> DataFrame:
+    """Everything that loads have refused."""
+    root = f"{warehouse.root}/quarantine"
+    if not files.exists(warehouse.spark, root):
+        return warehouse.spark.createDataFrame([], QUARANTINE)
+    return warehouse.spark.read.schema(QUARANTINE).parquet(root)
+
+
+def load_reference(
+    warehouse: Warehouse, registry_file: str | None = None, users: DataFrame | None = None
+) -> None:
+    """Calendar (once), tenant registry and the map of users to tenants."""
+    if not files.exists(warehouse.spark, warehouse.path("dim_date")):
+        warehouse.replace("dim_date", calendar.dim_date(warehouse.spark))
+    if registry_file:
+        warehouse.replace("dim_client", registry.read(warehouse.spark, registry_file))
+    if users is not None:
+        warehouse.replace("security_user_client_map", users)
+
+
+def load_new(landed: DataFrame, archived: str, warehouse: Warehouse) -> DataFrame:
+    """Archives and loads the pulls (tenant, source, time) that no earlier load has done; returns
+    their run summary. A load that failed half way is repeated as the same batch."""
+    spark, started = landed.sparkSession, dt.datetime.now(dt.timezone.utc)
+    done = archive.pulls(spark, archived)
+    batch = f"{len(archive.batches(spark, archived)):012d}"
+    new = landed.withColumn("ts", F.col("ord.ts")).join(
+        done.select("client_id", "source_name", "ts"), ["client_id", "source_name", "ts"], "left_anti")
+    path = f"{archived.rstrip('/')}/batch_id={batch}"
+    archive.overwrite(new.drop("ts"), path)
+    raw = archive.read(spark, path)
+    summary = materialize(load_all(raw, warehouse, batch), "run-summary")
+    archive.record(raw, archived, batch, started)
+    return summary
+
+
+def daily_load(
+    spark: SparkSession, landed: str, archived: str, warehouse_root: str,
+    registry_file: str | None = None, users: DataFrame | None = None,
+) -> DataFrame:
+    """Newly landed files of all tenants to archive and warehouse; returns the run summary.
+
+    Files older than the last load are not opened, and a pull is loaded once."""
+    warehouse = Warehouse(spark, warehouse_root)
+    load_reference(warehouse, registry_file, users)
+    since = archive.pulls(spark, archived).agg(F.max("started")).first()[0]
+    return load_new(landing.scan(spark, landed, since), archived, warehouse)
 
 
 def pulled_report_rows(raw: DataFrame) -> DataFrame:

@@ -24,7 +24,6 @@ BILL_TERM_DAYS = 45
 COST_TYPES = ("ECONOMY", "STANDARD", "PROMO")
 PAYMENT_TYPES = ("Cash", "Check", "CreditCard")
 ESTIMATE_PRIORITIES = ("1-URGENT", "2-HIGH")
-TENANT_KEYS = (0, 1, 2, 3, 4)
 USER_TENANTS = {"AFRICA": "user1@x", "ASIA": "user1@x", "EUROPE": "user2@x"}
 
 # Total order of the copies of one (order, line number); the highest is the last one.
@@ -85,11 +84,9 @@ class StarTables:
         )
 
     def _per_tenant(self, df: DataFrame) -> DataFrame:
-        """A master record is offered by every one of the five tenants."""
-        keyed = df.withColumn("r_regionkey", F.explode(F.array(*map(F.lit, TENANT_KEYS))))
-        return keyed.join(
-            self.source("region").withColumnRenamed("r_name", "client_id"), "r_regionkey"
-        )
+        """A master record is offered by every tenant; tenants are the rows of region."""
+        names = [r[0] for r in self.source("region").select("r_name").distinct().collect()]
+        return df.withColumn("client_id", F.explode(F.array(*map(F.lit, names)).cast("array<string>")))
 
     def customers(self) -> DataFrame:
         return self.source("customer").join(

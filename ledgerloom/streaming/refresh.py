@@ -36,7 +36,7 @@ def refresh(
         raw = landing.records(landing.in_reading_order(pieces))
         path = f"{archived.rstrip('/')}/batch_id={batch_id}"
         archive.overwrite(raw, path)
-        etl.load_all(archive.read(spark, path), warehouse)
+        etl.load_all(archive.read(spark, path), warehouse, f"stream-{batch_id}")
 
     return (
         landed_stream(spark, landed, files_per_batch)
