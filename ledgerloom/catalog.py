@@ -95,6 +95,7 @@ REPORTS: dict[str, Query] = {
     "v_balance_check": over_star(r.balance_check),
     "v_trial_balance": over_star(r.trial_balance),
     "v_account_tree": over_star(r.account_tree),
+    "v_customer_tree": over_star(r.halved_customer_tree),
     "v_cash_walk": over_star(r.cash_walk),
     "v_cash_trend": over_star(r.cash_trend),
     "v_cash_trend_weekly": over_star(lambda s: r.cash_trend(s, "WEEK")),

@@ -16,7 +16,7 @@ from .operators.access import visible_to
 from .operators.merge import union
 from .operators.quality import add_date_key, keep_last, key_violations
 from .plans import etl, reports as reports_plan
-from .schemas import primary_key
+from .schemas import GENERIC_TABLES, primary_key
 from .session import scratch_path
 from .sources import archive, calendar, documents as docs, landing, registry, reports
 from .sources.star import AS_OF, LINE_ORDER, StarTables
@@ -134,6 +134,25 @@ def mapped(entity: str, *drop: str):
     return run
 
 
+def map_generic(star: StarTables) -> DataFrame:
+    """All entities without a layout of their own, each beside its table."""
+    classes = docs.classes(star)
+    return union([
+        records.map_records(classes.withColumn("source_name", F.lit(entity)), entity).drop("ord")
+        .withColumn("table_name", F.lit(table))
+        for entity, table in GENERIC_TABLES.items()])
+
+
+def report_latest(star: StarTables) -> DataFrame:
+    """Of a report pulled on two days, each ending with its day, the one of the later day."""
+    warehouse = _warehouse(star)
+    latest = docs.aged_receivables(star)
+    older = latest.withColumn("record", F.regexp_replace("record", "2001-08-01", "2001-07-31"))
+    etl.load_reports(older.unionByName(latest), warehouse)
+    return etl.latest_reports(warehouse).groupBy("client_id", "report_table", "end_period").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
 def flattened(entity: str, *drop: str):
     def run(star: StarTables) -> DataFrame:
         return records.flatten_lines(docs.BUILDERS[entity](star), entity).drop("ord", *drop)
@@ -380,8 +399,8 @@ def from_warehouse(build):
 
 def backfill_reports(star: StarTables) -> DataFrame:
     raw = union([
-        docs.aged_receivables(star, "AgedReceivables", year, "backfill_report_")
-        for year in (1997, 1998, 1999)
+        docs.aged_receivables(star, name, year, "backfill_report_")
+        for name in reports.BACKFILLED for year in (1997, 1998, 1999)
     ])
     return report_table(etl.backfill(raw, 1998, 1999)).select(
         "client_id", "report_table", "report_year", "section", "row_type", *REPORT_TITLES)
@@ -491,7 +510,8 @@ LOADS = {
     "map_payment": mapped("Payment", "payment_method_id"),
     "map_purchase": mapped("Purchase"),
     "map_estimate": mapped("Estimate"),
-    "map_generic": mapped("Class"),
+    "map_generic": map_generic,
+    "report_latest": report_latest,
     "flatten_invoice_lines": flattened("Invoice", "linked_txn_id", "linked_txn_type"),
     "flatten_bill_lines": flattened("Bill"),
     "flatten_purchase_lines": flattened("Purchase"),

@@ -55,10 +55,20 @@ ALL_YEARS = REPORT.format(where="TRUE")
 REPORT_COLUMNS = 'section, row_type, "Status", "Invoices", "Total"'
 
 
+BACKFILLED = "profitandloss profitandlosscash balancesheet cashflow agedreceivables agedpayables"
+
+
 def one_year(year: int) -> str:
+    """A year's rows, the same for each of the six backfilled reports."""
     return star(REPORT.format(where=f"year(order_date) = {year}") + f"""
-SELECT client_id, 'report_agedreceivables' AS report_table, CAST({year} AS BIGINT) AS report_year,
-  {REPORT_COLUMNS} FROM rep""")
+SELECT client_id, 'report_' || name AS report_table, CAST({year} AS BIGINT) AS report_year,
+  {REPORT_COLUMNS} FROM rep, (SELECT unnest(string_split('{BACKFILLED}', ' ')) AS name)""")
+
+
+GENERIC = (
+    "dim_class dim_department dim_tax_code dim_tax_rate dim_term dim_payment_method "
+    "dim_company_info fact_bill_payment fact_deposit fact_credit_memo fact_refund_receipt "
+    "fact_sales_receipt fact_journal_entry fact_transfer")
 
 
 def messy(name: str, *cases: str, kind: str) -> str:
@@ -155,12 +165,16 @@ FROM fact_purchase"""),
     "map_estimate": star(f"""
 SELECT client_id, estimate_id, doc_number, txn_date, customer_id,
   {money('total_amount')} AS total_amount, txn_status, linked_invoice_id FROM fact_estimate"""),
-    "map_generic": star("""
-SELECT client_id, customer_id AS id, display_name AS name,
+    "map_generic": star(f"""
+, t AS (SELECT unnest(string_split('{GENERIC}', ' ')) AS table_name)
+SELECT table_name, client_id, customer_id AS id, display_name AS name,
   CASE WHEN CAST(customer_id AS BIGINT) % 2 = 1 THEN company_name || ':' || display_name
     ELSE display_name END AS fully_qualified_name,
   CASE WHEN CAST(customer_id AS BIGINT) % 3 <> 0 THEN CAST(customer_id AS BIGINT) % 5 <> 0
-    ELSE TRUE END AS is_active FROM dim_customer"""),
+    ELSE TRUE END AS is_active FROM dim_customer, t"""),
+    "report_latest": star(ALL_YEARS + """
+SELECT client_id, 'report_agedreceivables' AS report_table, '2001-08-01' AS end_period,
+  count(*) AS rows FROM rep GROUP BY 1"""),
     "flatten_invoice_lines": star(f"""
 SELECT {LINE_COLUMNS.format(key='CAST(l_orderkey AS VARCHAR) AS invoice_id')}, {SALES},
   ship_date AS service_date FROM lt"""),

@@ -95,9 +95,26 @@ SELECT client_id, grain, CAST(date_trunc(grain, txn_date) AS DATE) AS period,
   {money(REV)} AS revenue, {money(EXP)} AS expenses,
   {money(f"coalesce({REV}, 0) - coalesce({EXP}, 0)")} AS net_income FROM g GROUP BY ALL"""),
     "v_balance_sheet": star(f"""
-SELECT client_id, classification, account_type, {money('sum(current_balance)')} AS balance
-FROM dim_account WHERE classification IN ('Asset', 'Liability', 'Equity')
-GROUP BY GROUPING SETS ((client_id, classification, account_type), (client_id, classification))"""),
+, a AS (SELECT *, CASE classification WHEN 'Asset' THEN 'Current Assets'
+    WHEN 'Liability' THEN 'Current Liabilities' ELSE 'Equity' END AS section
+  FROM dim_account WHERE classification IN ('Asset', 'Liability', 'Equity'))
+SELECT client_id, classification, section, account_type, CASE WHEN GROUPING(section) = 1
+    THEN 'classification' WHEN GROUPING(account_type) = 1 THEN 'section' ELSE 'account type' END
+  AS level, {money('sum(current_balance)')} AS balance
+FROM a GROUP BY GROUPING SETS ((client_id, classification, section, account_type),
+  (client_id, classification, section), (client_id, classification))
+UNION ALL SELECT client_id, 'Liabilities and Equity', NULL, NULL, 'total',
+  {money('sum(current_balance)')} FROM a WHERE classification <> 'Asset' GROUP BY 1"""),
+    "v_customer_tree": star("""
+, c AS (SELECT client_id, CAST(customer_id AS BIGINT) AS id FROM dim_customer),
+p AS (SELECT c.client_id, c.id, up.id AS parent FROM c LEFT JOIN c up
+  ON up.client_id = c.client_id AND up.id = c.id // 2 AND c.id > 0),
+w AS (SELECT client_id, id, 0 AS depth, id AS root, CAST(id AS VARCHAR) AS path FROM p
+  WHERE parent IS NULL
+  UNION ALL SELECT p.client_id, p.id, depth + 1, root, path || '/' || p.id
+  FROM w JOIN p ON p.client_id = w.client_id AND p.parent = w.id)
+SELECT client_id, CAST(id AS VARCHAR) AS customer_id, CAST(depth AS BIGINT) AS depth,
+  CAST(root AS VARCHAR) AS root, path, FALSE AS cyclic FROM w""").replace("WITH", "WITH RECURSIVE", 1),
     "v_balance_check": star(f"""
 , s AS (SELECT client_id,
     sum(CASE WHEN classification = 'Asset' THEN current_balance END) AS a,

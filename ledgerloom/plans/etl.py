@@ -182,6 +182,15 @@ def load_reports(raw: DataFrame, warehouse: Warehouse) -> None:
     )
 
 
+def latest_reports(model) -> DataFrame:
+    """Rows of the current copy of each report: of the copies of a tenant's report that begin on
+    the same day, as the default window does all year, the one with the latest end."""
+    held = model.table("report_rows")
+    keys = ["client_id", "report_table", "start_period"]
+    last = held.groupBy(*keys).agg(F.max("end_period").alias("end_period"))
+    return held.join(last, [*keys, "end_period"], "left_semi")
+
+
 def backfill(raw: DataFrame, first: int, last: int) -> DataFrame:
     """Rows of backfilled reports of the given years, with the year."""
     names = [f"backfill_report_{n}_{y}" for n in reports.BACKFILLED for y in range(first, last + 1)]

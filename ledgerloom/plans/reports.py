@@ -20,6 +20,8 @@ from . import measures as m
 from .measures import TENANT, dated_lines, movements, of, paid_purchases
 
 
+# Account types that are current assets.
+CURRENT_ASSETS = ("Bank", "Accounts Receivable", "Other Current Asset")
 # Label of lines whose account is missing or unknown.
 UNASSIGNED = "Unassigned"
 
@@ -206,14 +208,31 @@ def pnl_by_grain(model) -> DataFrame:
 # -- balance sheet ------------------------------------------------------------------------------
 
 def balance_sheet(model) -> DataFrame:
-    """Balances by classification and account type with subtotals (account type blank)."""
+    """Balances by classification, section and account type, with a subtotal per section and per
+    classification and the total of liabilities and equity; `level` names the kind of row."""
     accounts = model.table(
         "dim_account", "client_id", "classification", "account_type", "current_balance"
     ).where(F.col("classification").isin("Asset", "Liability", "Equity"))
-    keys = [F.col(c) for c in ("client_id", "classification", "account_type")]
-    return accounts.groupingSets([keys, keys[:2]], *keys).agg(
+    kind = F.coalesce("account_type", F.lit(UNASSIGNED))
+    section = F.when(F.col("classification") == "Asset", F.when(
+        kind.isin(*CURRENT_ASSETS), "Current Assets").when(
+        kind == "Fixed Asset", "Fixed Assets").otherwise("Other Assets"))
+    section = F.when(F.col("classification") == "Liability", F.when(
+        kind == "Long Term Liability", "Long-Term Liabilities").otherwise(
+        "Current Liabilities")).when(F.col("classification") == "Equity", "Equity").otherwise(section)
+    rows = accounts.withColumns({"section": section, "account_type": kind})
+    keys = [F.col(c) for c in ("client_id", "classification", "section", "account_type")]
+    level = F.when(F.grouping("section") == 1, "classification").when(
+        F.grouping("account_type") == 1, "section").otherwise("account type")
+    sheet = rows.groupingSets([keys, keys[:3], keys[:2]], *keys).agg(
+        level.alias("level"), F.sum("current_balance").alias("balance"))
+    none = F.lit(None).cast("string")
+    closing = accounts.where("classification <> 'Asset'").groupBy("client_id").agg(
         F.sum("current_balance").alias("balance")
-    )
+    ).withColumns({
+        "classification": F.lit("Liabilities and Equity"), "section": none, "account_type": none,
+        "level": F.lit("total")})
+    return sheet.unionByName(closing)
 
 
 def balance_check(model) -> DataFrame:
@@ -254,6 +273,15 @@ def account_tree(model) -> DataFrame:
     return hierarchy(accounts, "account_id", "parent_account_id")
 
 
+def halved_customer_tree(model) -> DataFrame:
+    """The customer tree of a model without parents: a customer belongs to the one with half its
+    number, if its tenant has that one."""
+    number = F.col("customer_id").cast("bigint")
+    parent = F.when(number > 0, F.floor(number / 2).cast("string"))
+    customers = model.table("dim_customer", "client_id", "customer_id").withColumn("parent_customer_id", parent)
+    return hierarchy(customers, "customer_id", "parent_customer_id")
+
+
 def customer_tree(model) -> DataFrame:
     """Every customer or job with its depth, root and path."""
     customers = model.table("dim_customer", "client_id", "customer_id", "parent_customer_id")
