@@ -167,6 +167,7 @@ DOCUMENT_KEYS = {
     "Invoice": "invoice_id", "Bill": "bill_id", "Purchase": "purchase_id",
     "Payment": "payment_id", "Estimate": "estimate_id",
 }
+# Names of the notes of a payment line.
 PAYMENT_NOTES = {
     "original_open_balance": "txnOpenBalance", "invoice_doc_number": "txnReferenceNumber",
 }
@@ -258,6 +259,7 @@ def flatten_lines(raw: DataFrame, entity: str) -> DataFrame:
         first = F.get("line.LinkedTxn", F.lit(0))
         mapped = {
             "amount": F.col("line.Amount"), "linked_invoice_id": first.TxnId,
+            "line_num": (F.col("line_pos") + 1).cast("string"),
             "linked_txn_type": first.TxnType,
         }
         for name, note in PAYMENT_NOTES.items():

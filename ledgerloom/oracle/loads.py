@@ -194,7 +194,8 @@ FROM lt WHERE l_returnflag = 'R'"""),
 SELECT client_id, payment_id, {money('total_amount')} AS amount, payment_id AS linked_invoice_id,
   'Invoice' AS linked_txn_type,
   (SELECT CAST(total AS VARCHAR) FROM ord WHERE CAST(o_orderkey AS VARCHAR) = payment_id)
-    AS original_open_balance, 'INV-' || payment_id AS invoice_doc_number FROM fact_payment"""),
+    AS original_open_balance, 'INV-' || payment_id AS invoice_doc_number,
+  CAST(1 AS BIGINT) AS line_num FROM fact_payment"""),
     "flatten_report": star(ALL_YEARS + """
 SELECT client_id, 'AgedReceivables' AS report_name, section, row_type, row_ord,
   unnest([0, 1, 2])::BIGINT AS col_ord, unnest(['Status', 'Invoices', 'Total']) AS title,

@@ -91,7 +91,7 @@ TABLES: dict[str, str] = {
         unapplied_amount {MONEY}, txn_date_key int""",
     "fact_payment_line": f"""client_id string, payment_id string, amount {MONEY},
         linked_invoice_id string, linked_txn_type string, original_open_balance string,
-        invoice_doc_number string""",
+        invoice_doc_number string, line_num int""",
     "fact_bill": f"""client_id string, bill_id string, txn_date date, due_date date,
         vendor_id string, total_amount {MONEY}, balance {MONEY}, txn_date_key int,
         due_date_key int""",
@@ -133,7 +133,8 @@ PRIMARY_KEYS: dict[str, tuple[str, ...]] = {
     "fact_invoice": ("client_id", "invoice_id"),
     "fact_invoice_line": ("client_id", "invoice_id", "line_id"),
     "fact_payment": ("client_id", "payment_id"),
-    "fact_payment_line": ("client_id", "payment_id", "linked_invoice_id"),
+    # the line's place keeps lines apart that name no invoice, or the same one
+    "fact_payment_line": ("client_id", "payment_id", "linked_invoice_id", "line_num"),
     "fact_bill": ("client_id", "bill_id"),
     "fact_bill_line": ("client_id", "bill_id", "line_id"),
     "fact_purchase": ("client_id", "purchase_id"),

@@ -317,7 +317,7 @@ class StarTables:
         return self._paid_orders().withColumns({
             "amount": F.col("total_amount"), "linked_invoice_id": F.col("payment_id"),
             "linked_txn_type": F.lit("Invoice"), "original_open_balance": text("total"),
-            "invoice_doc_number": F.concat(F.lit("INV-"), "payment_id"),
+            "invoice_doc_number": F.concat(F.lit("INV-"), "payment_id"), "line_num": F.lit(1),
         })
 
     def _bill_totals(self) -> DataFrame:

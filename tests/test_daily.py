@@ -67,3 +67,11 @@ def test_a_failed_batch_is_repeated(spark, tmp_path, monkeypatch):
     assert counts(etl.daily_load(spark, str(landed), archived, root)) == {("a", "Vendor"): (1, 0, 0)}
     assert archive.read(spark, archived).count() == 1
     assert Warehouse(spark, root).table("dim_vendor").count() == 1
+
+
+def test_payment_lines_without_an_invoice_stay_apart(spark, tmp_path):
+    landed, archived, root = tmp_path / "landed", scratch_path(spark, "archive"), scratch_path(spark, "warehouse")
+    land(landed, "a", "Payment", "20240101_110000", [{"Id": "1", "TotalAmt": 30, "Line": [{"Amount": 10}, {"Amount": 20}]}])
+    etl.daily_load(spark, str(landed), archived, root)
+    lines = Warehouse(spark, root).table("fact_payment_line").collect()
+    assert sorted((r.line_num, float(r.amount), r.linked_invoice_id) for r in lines) == [(1, 10.0, None), (2, 20.0, None)]
