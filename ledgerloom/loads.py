@@ -138,7 +138,8 @@ def map_generic(star: StarTables) -> DataFrame:
     """All entities without a layout of their own, each beside its table."""
     classes = docs.classes(star)
     return union([
-        records.map_records(classes.withColumn("source_name", F.lit(entity)), entity).drop("ord")
+        records.map_records(classes.withColumn("source_name", F.lit(entity)), entity)
+        .select("client_id", "id", "name", "fully_qualified_name", "is_active")
         .withColumn("table_name", F.lit(table))
         for entity, table in GENERIC_TABLES.items()])
 
@@ -153,6 +154,21 @@ def report_latest(star: StarTables) -> DataFrame:
         F.count(F.lit(1)).alias("rows"))
 
 
+def resold(entity: str):
+    """Lines and typed headers of a sales document, from the invoices under another name."""
+    def run(star: StarTables) -> DataFrame:
+        raw = materialize(docs.invoices(star).withColumn("source_name", F.lit(entity)), "resold")
+        key = records.DOCUMENT_KEYS[entity]
+        headers = keep_last(records.map_records(raw, entity), ["client_id", "id"], [F.col("ord")]).select(
+            "client_id", F.col("id").alias(key), "txn_date", "total_amount", F.col("customer_id").alias("party_id"))
+        return records.flatten_lines(raw, entity).drop("ord").join(headers, ["client_id", key])
+    return run
+
+
+def flatten_journal_lines(star: StarTables) -> DataFrame:
+    return records.flatten_lines(docs.journal_entries(star), "JournalEntry").drop("ord")
+
+
 def flattened(entity: str, *drop: str):
     def run(star: StarTables) -> DataFrame:
         return records.flatten_lines(docs.BUILDERS[entity](star), entity).drop("ord", *drop)
@@ -518,6 +534,10 @@ LOADS = {
     "flatten_purchase_lines": flattened("Purchase"),
     "flatten_payment_lines": flattened("Payment"),
     "flatten_estimate_lines": flattened("Estimate"),
+    "flatten_credit_memo_lines": resold("CreditMemo"),
+    "flatten_sales_receipt_lines": resold("SalesReceipt"),
+    "flatten_refund_receipt_lines": resold("RefundReceipt"),
+    "flatten_journal_lines": flatten_journal_lines,
     "flatten_report": flatten_report,
     "report_pivot": report_pivot,
     "enforce_bool": enforce_bool,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.parsing import is_damaged, with_parsed
-from ..schemas import ENTITY_TABLES, GENERIC_TABLES, LINE_TABLES, columns
+from ..schemas import BOOKED, ENTITY_TABLES, GENERIC_TABLES, LINE_TABLES, columns
 from .quality import coerce_columns
 
 # Record layouts. `ref` stands for a reference object.
@@ -67,6 +67,13 @@ LAYOUTS = {
         TotalAmt string, TxnStatus string, LinkedTxn {_LINKED}, {_SALES_LINE}""",
 }
 _GENERIC_LAYOUT = "Id string, Name string, FullyQualifiedName string, Active string"
+_BOOKED_LAYOUT = f"{_GENERIC_LAYOUT}, DocNumber string, TxnDate string, CustomerRef ref, TotalAmt string"
+_JOURNAL = "JournalEntryLineDetail:struct<PostingType:string,AccountRef:ref>"
+LAYOUTS |= {
+    **{e: f"{_BOOKED_LAYOUT}, {_SALES_LINE}" for e in ("CreditMemo", "SalesReceipt", "RefundReceipt")},
+    "JournalEntry": f"{_BOOKED_LAYOUT}, Line array<struct<{_LINE_HEAD},{_JOURNAL}>>",
+}
+SALES = ("Invoice", "Estimate", "CreditMemo", "SalesReceipt", "RefundReceipt")
 
 # Warehouse column -> field path, or (field path, default for a missing field).
 FIELDS: dict[str, dict[str, str | tuple[str, str]]] = {
@@ -165,7 +172,9 @@ _EXPENSE_FIELDS = {
 SUMMARY_LINES = ("SubTotalLineDetail", "DiscountLineDetail")
 DOCUMENT_KEYS = {
     "Invoice": "invoice_id", "Bill": "bill_id", "Purchase": "purchase_id",
-    "Payment": "payment_id", "Estimate": "estimate_id",
+    "Payment": "payment_id", "Estimate": "estimate_id", "CreditMemo": "credit_memo_id",
+    "SalesReceipt": "sales_receipt_id", "RefundReceipt": "refund_receipt_id",
+    "JournalEntry": "journal_entry_id",
 }
 # Names of the notes of a payment line.
 PAYMENT_NOTES = {
@@ -220,6 +229,11 @@ def map_records(raw: DataFrame, entity: str) -> DataFrame:
             "fully_qualified_name": F.coalesce("r.FullyQualifiedName", "r.Name"),
             "is_active": F.coalesce("r.Active", F.lit("true")),
         }
+        if entity in BOOKED:
+            mapped |= {
+                "doc_number": F.col("r.DocNumber"), "txn_date": F.col("r.TxnDate"),
+                "customer_id": F.col("r.CustomerRef.value"), "total_amount": F.col("r.TotalAmt"),
+            }
     else:
         mapped = {name: _field("r", rule) for name, rule in FIELDS[entity].items()}
     if entity == "Estimate":
@@ -241,12 +255,20 @@ def flatten_lines(raw: DataFrame, entity: str) -> DataFrame:
     exploded = arrays.select(
         "client_id", "ord", key, F.posexplode("lines").alias("line_pos", "line"))
     kind = F.coalesce("line.DetailType", F.lit(""))
-    if entity in ("Invoice", "Estimate"):
+    if entity in SALES:
         exploded = exploded.where(~kind.isin(*SUMMARY_LINES))
         mapped = {name: _field("line", rule) for name, rule in _SALES_FIELDS.items()}
         mapped["detail_type"] = kind
         first = F.get("line.LinkedTxn", F.lit(0))
         mapped |= {"linked_txn_id": first.TxnId, "linked_txn_type": first.TxnType}
+    elif entity == "JournalEntry":
+        exploded = exploded.where(kind == "JournalEntryLineDetail")
+        mapped = {name: _field("line", rule) for name, rule in _LINE_COMMON.items()}
+        detail = F.col("line.JournalEntryLineDetail")
+        mapped |= {
+            "posting_type": detail.PostingType, "account_id": detail.AccountRef.value,
+            "account_name": detail.AccountRef["name"], "detail_type": kind,
+        }
     elif entity in ("Bill", "Purchase"):
         exploded = exploded.where(kind.isin(*_EXPENSE_FIELDS))
         mapped = {name: _field("line", rule) for name, rule in _LINE_COMMON.items()}

@@ -181,6 +181,18 @@ SELECT {LINE_COLUMNS.format(key='CAST(l_orderkey AS VARCHAR) AS invoice_id')}, {
     "flatten_estimate_lines": star(f"""
 SELECT {LINE_COLUMNS.format(key='CAST(l_orderkey AS VARCHAR) AS estimate_id')}, {SALES}
 FROM lt WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')"""),
+    **{f"flatten_{e}_lines": star(f"""
+SELECT {LINE_COLUMNS.format(key=f'CAST(l_orderkey AS VARCHAR) AS {e}_id')}, {SALES},
+  ship_date AS service_date, order_date AS txn_date, {money('total')} AS total_amount,
+  CAST(o_custkey AS VARCHAR) AS party_id FROM lt""")
+       for e in ("credit_memo", "sales_receipt", "refund_receipt")},
+    "flatten_journal_lines": star(f"""
+SELECT client_id, payment_id AS journal_entry_id, CAST(n AS VARCHAR) AS line_id,
+  CAST(n AS BIGINT) AS line_num, CAST(NULL AS VARCHAR) AS description,
+  {money('total_amount')} AS amount, ['Debit', 'Credit'][n] AS posting_type,
+  CASE n WHEN 1 THEN deposit_to_account_id ELSE 'AR' END AS account_id,
+  CAST(NULL AS VARCHAR) AS account_name, 'JournalEntryLineDetail' AS detail_type
+FROM fact_payment, (SELECT unnest([1, 2]) AS n)"""),
     "flatten_bill_lines": star(f"""
 SELECT {LINE_COLUMNS.format(key="l_orderkey || '-' || l_suppkey AS bill_id")}, {EXPENSE},
   CAST(l_linenumber AS BIGINT) AS line_num,

@@ -43,7 +43,7 @@ def clean_lines(raw: DataFrame, entity: str) -> DataFrame:
 
 # The item's account that a line without an account is booked to.
 ITEM_ACCOUNT = {
-    "Invoice": "income_account_id", "Estimate": "income_account_id",
+    **dict.fromkeys(records.SALES, "income_account_id"),
     "Bill": "expense_account_id", "Purchase": "expense_account_id",
 }
 

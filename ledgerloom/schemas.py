@@ -51,7 +51,14 @@ LINE_TABLES = {
     "Purchase": "fact_purchase_line",
     "Payment": "fact_payment_line",
     "Estimate": "fact_estimate_line",
+    # not filled by the source system's own loader, though it pulls these documents
+    "CreditMemo": "fact_credit_memo_line",
+    "SalesReceipt": "fact_sales_receipt_line",
+    "RefundReceipt": "fact_refund_receipt_line",
+    "JournalEntry": "fact_journal_entry_line",
 }
+# Documents without a header layout of their own that carry money.
+BOOKED = ("CreditMemo", "SalesReceipt", "RefundReceipt", "JournalEntry")
 
 # Column layout of the warehouse tables.
 TABLES: dict[str, str] = {
@@ -115,6 +122,16 @@ TABLES: dict[str, str] = {
         item_id string, item_name string, account_id string, account_name string,
         tax_code_ref string, detail_type string""",
     **{table: _GENERIC for table in GENERIC_TABLES.values()},
+    **{GENERIC_TABLES[e]: f"""{_GENERIC}, doc_number string, txn_date date, customer_id string,
+        total_amount {MONEY}, txn_date_key int""" for e in BOOKED},
+    **{f"fact_{e}_line": f"""client_id string, {e}_id string, line_id string, line_num int,
+        description string, amount {MONEY}, quantity {QUANTITY}, unit_price {QUANTITY},
+        item_id string, item_name string, account_id string, account_name string,
+        tax_code_ref string, service_date date, detail_type string"""
+       for e in ("credit_memo", "sales_receipt", "refund_receipt")},
+    "fact_journal_entry_line": f"""client_id string, journal_entry_id string, line_id string,
+        line_num int, description string, amount {MONEY}, posting_type string,
+        account_id string, account_name string, detail_type string""",
     "security_user_client_map": "user_email string, client_id string",
     "report_rows": """client_id string, report_table string, report_name string,
         start_period string, end_period string, report_year int, row_ord string, section string,
@@ -142,6 +159,8 @@ PRIMARY_KEYS: dict[str, tuple[str, ...]] = {
     "fact_estimate": ("client_id", "estimate_id"),
     "fact_estimate_line": ("client_id", "estimate_id", "line_id"),
     **{table: ("client_id", "id") for table in GENERIC_TABLES.values()},
+    **{f"fact_{e}_line": ("client_id", f"{e}_id", "line_id")
+       for e in ("credit_memo", "sales_receipt", "refund_receipt", "journal_entry")},
     "security_user_client_map": ("user_email", "client_id"),
     "report_rows": ("client_id", "report_table", "start_period", "end_period", "row_ord"),
 }

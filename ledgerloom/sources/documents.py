@@ -352,6 +352,27 @@ def aged_receivables(star: StarTables, name: str = "AgedReceivables", year: int
     )
 
 
+def journal_entries(star: StarTables) -> DataFrame:
+    """A journal entry per payment: the bank is debited and receivables are credited, and a
+    remark closes the entry."""
+    payments = star.table("fact_payment", "client_id", "payment_id", "txn_date", "total_amount", "deposit_to_account_id")
+
+    def line(number, kind, account, amount=F.col("total_amount")):
+        return F.struct(
+            F.lit(str(number)).alias("Id"), F.lit(number).alias("LineNum"), amount.alias("Amount"),
+            F.lit("JournalEntryLineDetail").alias("DetailType"),
+            F.struct(F.lit(kind).alias("PostingType"), ref(account).alias("AccountRef")).alias("JournalEntryLineDetail"))
+
+    remark = F.struct(
+        F.lit("3").alias("Id"), F.lit(3).alias("LineNum"), F.lit(None).cast("decimal(18,2)").alias("Amount"),
+        F.lit("DescriptionOnly").alias("DetailType"),
+        F.struct(F.lit(None).cast("string").alias("PostingType"), ref(F.lit(None).cast("string")).alias("AccountRef"))
+        .alias("JournalEntryLineDetail"))
+    return record(
+        payments, "JournalEntry", F.col("payment_id").alias("Id"), iso("txn_date").alias("TxnDate"),
+        F.array(line(1, "Debit", "deposit_to_account_id"), line(2, "Credit", F.lit("AR")), remark).alias("Line"))
+
+
 def _col(field) -> Column:
     return F.col(field) if isinstance(field, str) else field
 
