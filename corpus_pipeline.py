@@ -38,7 +38,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near-duplicates."""
     found = simhash.near_duplicates(docs, "doc_id", "text")
     kept = written(found.where("doc_id = component_id").groupBy("doc_id").count(), "kept")
-    stay = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    # texts are shuffled to the kept ids at every size; a broadcast would only suit a small corpus
+    stay = docs.join(kept.select("doc_id").hint("merge"), "doc_id", "left_semi")
     repeated = kept.where("count > 1").select("doc_id")
     if not repeated.isEmpty():
         stay = stay.join(repeated, "doc_id", "left_anti").unionByName(
