@@ -4,12 +4,13 @@ Each language has a context tree over bytes of lower-cased UTF-8, of orders 0 to
 learning rows: every task counts its own 4-byte strings and Spark adds the counts up. In a context,
 a byte seen n times costs -log2(n / (total + distinct)) bits; one not seen costs the escape,
 -log2(distinct / (total + distinct)), and is coded in the next shorter context, at last uniformly
-(escape method C, without exclusion). Statistics are frozen, so the costs of a node are a table, and
-a text's exact code length in a language is a sum of look-ups.
+(escape method C, without exclusion). Statistics are frozen, so a text's exact code length in a
+language is a sum of look-ups.
 
-The model has bounded size: of the contexts of order 2 and of order 3, the `MAX_CONTEXTS` most
-frequent ones are kept; all others are coded in their longest kept suffix. That bounds the broadcast
-table, (2 * MAX_CONTEXTS + 257) * 257 costs per language, whatever the corpus.
+Every context of every language is kept, so what a language has learned does not depend on the size
+of the others. The trees are stored sparsely: per order, sorted contexts with the escapes, and sorted
+strings with the costs, of just those languages that have them. The costs of the different 4-byte
+strings of some texts are looked up once for all of them.
 
 A text's language is the one with the shortest code; its score is that language's posterior
 probability under equal priors. Texts that are null or hold no letter are `und` with score 0, as are
@@ -29,9 +30,9 @@ from pyspark.sql import DataFrame, functions as F
 from .common import written
 
 ORDER = 3
-MAX_CONTEXTS = 8192
+MAX_CONTEXTS = None        # contexts of orders 2 and 3 kept for each language, the most frequent; None: all
 START = b"\0" * ORDER      # context of a text's first bytes
-SLICE = 1 << 20            # positions handled at once
+SLICE = 1 << 20            # positions handled at once, by four languages; fewer by more
 UNDECIDED = "und"
 
 
@@ -69,87 +70,117 @@ def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"lang": lang, "code": codes.astype(np.int64), "n": n})
 
 
-def build(langs: list[str], counts: list[pd.DataFrame]) -> dict:
-    """The model's arrays: code lengths of every byte class in every kept context, for all languages.
-
-    counts[k] has columns lang (index), context (the k bytes before), byte, n, for kept contexts of
-    order k. `where` maps the classes of three bytes to the node of their longest kept suffix.
-    """
-    known = np.unique(np.concatenate([counts[0]["byte"].to_numpy(np.int64), [0]]))
-    classes = np.zeros(256, dtype=np.int64)  # class 0: bytes never learned
-    classes[known] = np.arange(1, len(known) + 1)
-    size = len(known) + 1
-
-    def parts(contexts: np.ndarray, order: int) -> tuple:
-        return tuple(classes[contexts >> 8 * (order - 1 - i) & 255] for i in range(order))
-
-    costs = np.zeros((0, size, len(langs)), dtype=np.float32)
-    where = np.zeros((), dtype=np.int32)
-    for order, frame in enumerate(counts):
-        contexts, at = np.unique(frame["context"].to_numpy(np.int64), return_inverse=True)
-        byte, lang, n = (frame[c].to_numpy(np.int64) for c in ("byte", "lang", "n"))
-        total, distinct = np.zeros((2, len(contexts), len(langs)))
-        np.add.at(total, (at, lang), n)
-        np.add.at(distinct, (at, lang), 1)
-        escape = np.where(total > 0, -np.log2(np.maximum(distinct, 1) / np.maximum(total + distinct, 1)), 0)
-        if order:
-            suffix = where[parts(contexts, order)[1:]]
-            shorter = costs[np.broadcast_to(suffix, len(contexts))]
+class Sparse:
+    """Values by key and language: sorted keys, and for each the languages that have one."""
+
+    def __init__(self, key: np.ndarray, lang: np.ndarray, value: np.ndarray):
+        order = np.argsort(key, kind="stable")
+        self.keys, first = np.unique(key[order], return_index=True)
+        self.ends = np.append(first, len(key))
+        self.lang, self.value = lang[order].astype(np.int16), value[order].astype(np.float32)
+
+    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in `keys`, languages and values of all that is known of them."""
+        at = np.searchsorted(self.keys, keys)
+        rows = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] == keys) if len(self.keys) else at[:0]
+        begins = self.ends[at[rows]]
+        sizes = self.ends[at[rows] + 1] - begins
+        index = np.arange(sizes.sum()) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
+        return np.repeat(rows, sizes), self.lang[index], self.value[index]
+
+
+def build(langs: list[str], code: np.ndarray, lang: np.ndarray, n: np.ndarray) -> dict:
+    """The model: per order, escapes by context and code lengths by string, from counts of 4-byte strings."""
+    orders = []
+    for order in range(ORDER + 1):
+        part = (code & ((1 << 8 * (order + 1)) - 1)) * len(langs) + lang
+        pair, back = np.unique(part, return_inverse=True)  # a string of this order and a language
+        seen = np.bincount(back, weights=n, minlength=len(pair))
+        strings_, lang_ = pair // len(langs), pair % len(langs)
+        context, back = np.unique((strings_ >> 8) * len(langs) + lang_, return_inverse=True)
+        total, distinct = np.bincount(back, weights=seen), np.bincount(back)
+        if order >= 2 and MAX_CONTEXTS is not None:
+            ranked = np.lexsort((context, -total, context % len(langs)))
+            first = np.searchsorted((context % len(langs))[ranked], np.arange(len(langs)))
+            kept = np.zeros(len(context), dtype=bool)
+            kept[ranked[np.arange(len(ranked)) - first[(context % len(langs))[ranked]] < MAX_CONTEXTS]] = True
         else:
-            shorter = np.full((len(contexts), size, len(langs)), 8.0)  # order -1: all bytes alike
-        own = shorter + escape[:, None, :]
-        own[at, classes[byte], lang] = -np.log2(n / (total + distinct)[at, lang])
-        where = np.broadcast_to(where, (size,) * order).copy()
-        where[parts(contexts, order)] = len(costs) + np.arange(len(contexts)) if order else 0
-        costs = np.concatenate([costs, own.astype(np.float32)])
-    return {"langs": langs, "classes": classes, "size": size,
-            "costs": costs.reshape(-1, len(langs)), "where": where.reshape(-1)}
+            kept = np.ones(len(context), dtype=bool)
+        some = kept[back]
+        escapes = -np.log2(distinct / (total + distinct))
+        costs = -np.log2(seen / (total + distinct)[back])
+        orders.append((Sparse((context // len(langs))[kept].astype(np.uint32), (context % len(langs))[kept], escapes[kept]),
+                       Sparse(strings_[some].astype(np.uint32), lang_[some], costs[some])))
+    return {"langs": langs, "orders": orders}
 
 
 class Model:
-    """Code lengths and predictions from the arrays of `build`."""
+    """Code lengths and predictions from the tables of `build`."""
 
     def __init__(self, arrays: dict):
-        self.langs, self.classes, self.size = arrays["langs"], arrays["classes"], arrays["size"]
-        self.costs, self.where = arrays["costs"], arrays["where"]
+        self.langs, self.orders = arrays["langs"], arrays["orders"]
+        self.slice = max(1 << 12, 4 * SLICE // max(len(self.langs), 4))
+
+    def costs(self, codes: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each 4-byte string under each language."""
+        out = np.full((len(codes), len(self.langs)), 8.0, dtype=np.float32)  # order -1: all bytes alike
+        for order, (escapes, known) in enumerate(self.orders):
+            own = codes & np.uint32((1 << 8 * (order + 1)) - 1)
+            rows, lang, bits = escapes(own >> np.uint32(8))
+            out[rows, lang] += bits
+            rows, lang, bits = known(own)
+            out[rows, lang] = bits
+        return out
+
+    def all_code_lengths(self, texts: list[str]) -> np.ndarray:
+        """Bits of each whole text under each language."""
+        bits = np.zeros((len(texts), len(self.langs)))
+        held, owners, size = [], [], 0
+
+        def add_up() -> None:
+            codes, back = np.unique(np.concatenate(held), return_inverse=True)
+            sizes = np.array([len(h) for h in held])
+            sums = np.add.reduceat(self.costs(codes)[back], np.cumsum(sizes) - sizes, axis=0, dtype=np.float64)
+            np.add.at(bits, owners, sums)
+            held.clear(), owners.clear()
+
+        for owner, text in enumerate(texts):
+            a = np.frombuffer(START + text.lower().encode(), dtype=np.uint8)
+            for at in range(0, len(a) - ORDER, self.slice):
+                b = a[at : at + self.slice + ORDER].astype(np.uint32)
+                held.append(b[:-3] << 24 | b[1:-2] << 16 | b[2:-1] << 8 | b[3:])
+                owners.append(owner)
+                size += len(held[-1])
+                if size >= self.slice:
+                    add_up()
+                    size = 0
+        if held:
+            add_up()
+        return bits
 
     def code_lengths(self, text: str) -> np.ndarray:
         """Bits of the whole text under each language."""
-        data = self.classes[np.frombuffer(START + text.lower().encode(), dtype=np.uint8)]
-        bits = np.zeros(len(self.langs))
-        for at in range(ORDER, len(data), SLICE):
-            stop = min(at + SLICE, len(data))
-            a, b, c = (data[at - k : stop - k] for k in (3, 2, 1))
-            node = self.where[(a * self.size + b) * self.size + c]
-            bits += self.costs[node * self.size + data[at:stop]].sum(axis=0, dtype=np.float64)
-        return bits
+        return self.all_code_lengths([text])[0]
 
-    def predict(self, text: str) -> tuple[str, float]:
-        bits = self.code_lengths(text)
+    def decided(self, bits: np.ndarray) -> tuple[str, float]:
         best = int(np.argmin(bits))
         return self.langs[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
 
+    def predict(self, text: str) -> tuple[str, float]:
+        return self.decided(self.code_lengths(text))
+
 
 def fit(rows: DataFrame, text: str, lang: str) -> dict | None:
-    """The model's arrays, from all `rows` with a language and a text; None if there are none."""
+    """The model's tables, from all `rows` with a language and a text; None if there are none."""
     known = rows.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
     partial = known.mapInPandas(counted, "lang string, code long, n long")
     strings_ = written(partial.groupBy("lang", "code").agg(F.sum("n").alias("n")), "ppm-counts")
     langs = sorted(r[0] for r in strings_.select("lang").distinct().collect())
     if not langs:
         return None
-    byte = F.col("code").bitwiseAND(F.lit(255)).alias("byte")
-    counts = []
-    for order in range(ORDER + 1):
-        context = F.shiftright("code", 8).bitwiseAND(F.lit((1 << 8 * order) - 1)).alias("context")
-        table = strings_.groupBy("lang", context, byte).agg(F.sum("n").alias("n"))
-        if order >= 2:
-            kept = table.groupBy("context").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "context").limit(MAX_CONTEXTS)
-            table = table.join(kept, "context", "left_semi")
-        frame = table.toPandas()  # at most MAX_CONTEXTS * 256 rows per language
-        frame["lang"] = frame["lang"].map(langs.index)
-        counts.append(frame)
-    return build(langs, counts)
+    number = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1
+    counts = strings_.select("code", number.cast("int").alias("lang"), "n").toPandas()  # as many as scripts and languages have, not rows
+    return build(langs, *(counts[c].to_numpy(np.int64) for c in ("code", "lang", "n")))
 
 
 def predicted(docs: DataFrame, model: dict | None, text):
@@ -163,7 +194,7 @@ def predicted(docs: DataFrame, model: dict | None, text):
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Model(shared.value)
         for batch in batches:
-            yield pd.DataFrame([own.predict(t) for t in batch], columns=["lang", "score"])
+            yield pd.DataFrame([own.decided(b) for b in own.all_code_lengths(batch.tolist())], columns=["lang", "score"])
 
     # Spark's regular expressions stop at the first letter
     return F.when(F.coalesce(text.rlike(r"\p{L}"), F.lit(False)), predict(F.coalesce(text, F.lit("")))).otherwise(undecided)

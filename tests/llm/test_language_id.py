@@ -91,3 +91,26 @@ def test_score_is_the_posterior(spark, seed):
     bits = model.code_lengths(text)
     p = 2.0 ** -bits / (2.0 ** -bits).sum()
     assert model.predict(text) == (model.langs[int(np.argmin(bits))], pytest.approx(p.max()))
+
+
+def test_rare_languages_keep_their_contexts(spark):
+    """One large language with very many contexts beside two small related ones in another script."""
+    pick = random.Random(0)
+    large = ["".join(chr(pick.randrange(0x4E00, 0x9000)) for _ in range(400)) for _ in range(100)]
+    related = {"x": ["абв бва вабг"], "y": ["авб баг вбав"]}  # the same letters equally often, in another order
+    assert Counter(related["x"][0]) == Counter(related["y"][0])
+    rows = spark.createDataFrame([(t, "zz") for t in large] + [(t, lang) for lang, ts in related.items() for t in ts], "t string, l string")
+    model = li.Model(li.fit(rows, "t", "l"))
+    for lang, texts in related.items():
+        assert np.isclose(model.code_lengths(texts[0])[model.langs.index(lang)], Plain(texts).length(texts[0]), rtol=1e-5)
+    assert np.isclose(model.code_lengths(large[0])[2], Plain(large).length(large[0]), rtol=1e-5)
+    many = ["", large[3], "абв", large[4] * 3, "x"]
+    assert np.allclose(model.all_code_lengths(many), [model.code_lengths(t) for t in many])
+
+
+def test_long_texts_are_cut_without_loss(spark, monkeypatch):
+    rows = spark.createDataFrame([(prose(1), "a"), (prose(2), "b")], "t string, l string")
+    model = li.Model(li.fit(rows, "t", "l"))
+    whole = model.code_lengths(prose(3) * 20)
+    model.slice = 100
+    assert np.allclose(model.code_lengths(prose(3) * 20), whole)
