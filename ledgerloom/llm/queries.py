@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import decontamination, html_text, language_id, quality, sentence_pieces, simhash, token_counts, toxicity, vector_search, warc
+from . import decontamination, html_text, language_id, merkle, quality, sentence_pieces, simhash, token_counts, toxicity, vector_search, warc
 from .common import fold, table, vocabulary_path, with_small
 
 TOKEN_LIMIT = 1024
@@ -77,6 +77,10 @@ def op10_vector_search(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0)
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.documents_manifest(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
@@ -88,6 +92,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_html_text": op9_html_text,
     "op10_vector_search": op10_vector_search,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLE: dict[str, str] = {
@@ -114,4 +119,85 @@ ORACLE: dict[str, str] = {
         r AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_merkle": """
+        WITH RECURSIVE d AS (
+            SELECT *, lang IS NULL AS no_lang, coalesce(lang, '') AS tree,
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_text,
+                   xor(list_reduce(
+                       [CAST(4294967295 AS UBIGINT)] || list_transform(
+                           range(strlen(CAST(doc_id AS VARCHAR))),
+                           lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i AS INTEGER) + 1, 1)) AS UBIGINT)),
+                       lambda c, b: list_reduce(
+                           [xor(c, b)] || list_transform(range(8), lambda i: CAST(0 AS UBIGINT)),
+                           lambda x, y: xor(x >> 1, (x & 1) * CAST(3988292384 AS UBIGINT)))),
+                       CAST(4294967295 AS UBIGINT)) AS crc
+            FROM documents),
+        fields AS (
+            SELECT *, concat(
+                       coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-'),
+                       coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+                       coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-')) AS head
+            FROM d),
+        hashed AS (
+            SELECT doc_id, no_lang, tree,
+                   sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   CASE WHEN crc % 3 = 0 THEN sha256(head || coalesce(strlen(lower_text) || ':' || lower_text, '-')) END AS changed
+            FROM fields),
+        leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY no_lang, tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                   count(*) OVER (PARTITION BY no_lang, tree) AS n
+            FROM hashed),
+        below(no_lang, tree, level, i, n, h) AS (
+            SELECT no_lang, tree, 0, i, n, leaf FROM leaves
+            UNION ALL
+            SELECT no_lang, tree, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i))
+            FROM below WHERE n > 1 GROUP BY no_lang, tree, level, i // 8, n),
+        subroots AS (
+            SELECT no_lang, tree, h AS subroot,
+                   row_number() OVER (ORDER BY no_lang DESC, encode(tree)) - 1 AS i, count(*) OVER () AS n
+            FROM below WHERE n = 1),
+        above(level, i, n, h) AS (
+            SELECT 0, i, n, subroot FROM subroots
+            UNION ALL
+            SELECT level + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i))
+            FROM above WHERE n > 1 GROUP BY level, i // 8, n),
+        nodes AS (
+            SELECT no_lang, tree, level, i, h FROM below WHERE n > 1),
+        path AS (
+            SELECT l.no_lang, l.tree, l.i, b.level,
+                   string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < l.i // power) AS lft,
+                   string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > l.i // power) AS rgt
+            FROM (SELECT *, CAST(8 ** e AS BIGINT) AS power, e
+                  FROM leaves, (SELECT unnest(range(12)) AS e)) AS l
+            JOIN nodes AS b ON b.no_lang = l.no_lang AND b.tree = l.tree AND b.level = l.e AND b.i // 8 = l.i // (8 * l.power)
+            GROUP BY l.no_lang, l.tree, l.i, b.level),
+        top_path AS (
+            SELECT l.no_lang, l.tree, b.level,
+                   string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < l.i // power) AS lft,
+                   string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > l.i // power) AS rgt
+            FROM (SELECT *, CAST(8 ** e AS BIGINT) AS power, e
+                  FROM subroots, (SELECT unnest(range(12)) AS e)) AS l
+            JOIN above AS b ON b.n > 1 AND b.level = l.e AND b.i // 8 = l.i // (8 * l.power)
+            GROUP BY l.no_lang, l.tree, b.level),
+        steps AS (
+            SELECT no_lang, tree, i, level, coalesce(lft, '') AS lft, coalesce(rgt, '') AS rgt FROM path
+            UNION ALL
+            SELECT l.no_lang, l.tree, l.i, 100 + p.level, coalesce(p.lft, ''), coalesce(p.rgt, '')
+            FROM leaves AS l JOIN top_path AS p ON p.no_lang = l.no_lang AND p.tree = l.tree),
+        proof AS (
+            SELECT no_lang, tree, i, sha256(string_agg(lft || rgt, '' ORDER BY level)) AS proof_sha256,
+                   list({'lft': lft, 'rgt': rgt} ORDER BY level) AS way
+            FROM steps GROUP BY no_lang, tree, i),
+        fold(no_lang, tree, i, h, way) AS (
+            SELECT l.no_lang, l.tree, l.i, coalesce(l.changed, l.leaf), coalesce(p.way, [])
+            FROM leaves AS l LEFT JOIN proof AS p ON p.no_lang = l.no_lang AND p.tree = l.tree AND p.i = l.i
+            UNION ALL
+            SELECT no_lang, tree, i, sha256(way[1].lft || h || way[1].rgt), way[2:] FROM fold WHERE len(way) > 0)
+        SELECT l.doc_id, l.leaf, s.subroot, a.h AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+               f.h AS folded_root, f.h = a.h AS verified
+        FROM leaves AS l
+        JOIN subroots AS s ON s.no_lang = l.no_lang AND s.tree = l.tree
+        JOIN above AS a ON a.n = 1
+        LEFT JOIN proof AS p ON p.no_lang = l.no_lang AND p.tree = l.tree AND p.i = l.i
+        JOIN fold AS f ON f.no_lang = l.no_lang AND f.tree = l.tree AND f.i = l.i AND len(f.way) = 0""",
 }
