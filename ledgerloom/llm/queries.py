@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import decontamination, html_text, language_id, merkle, quality, sentence_pieces, simhash, token_counts, toxicity, vector_search, warc
+from . import decontamination, html_text, language_id, merkle, near_vectors, quality, sentence_pieces, simhash, token_counts, toxicity, vector_search, warc
 from .common import fold, table, vocabulary_path, with_small
 
 TOKEN_LIMIT = 1024
@@ -81,6 +81,10 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.documents_manifest(table(spark, folder, "documents"))
 
 
+def op13_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, folder, "embeddings"), "vec_id", "embedding", "label")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
@@ -93,6 +97,7 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_vector_search": op10_vector_search,
     "op11_merkle": op11_merkle,
+    "op13_near_vectors": op13_near_vectors,
 }
 
 ORACLE: dict[str, str] = {
@@ -200,4 +205,21 @@ ORACLE: dict[str, str] = {
         JOIN above AS a ON a.n = 1
         LEFT JOIN proof AS p ON p.no_lang = l.no_lang AND p.tree = l.tree AND p.i = l.i
         JOIN fold AS f ON f.no_lang = l.no_lang AND f.tree = l.tree AND f.i = l.i AND len(f.way) = 0""",
+    "op13_near_vectors": """
+        WITH RECURSIVE v AS (
+            SELECT DISTINCT vec_id, label, CAST(embedding AS DOUBLE[]) AS x,
+                   coalesce(label IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+                            AND len(list_filter(embedding, lambda c: c <> 0)) > 0, false) AS known
+            FROM embeddings),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b
+            FROM v AS a JOIN v AS b ON a.label = b.label AND a.vec_id <> b.vec_id AND a.known AND b.known AND len(a.x) = len(b.x)
+            WHERE list_dot_product(a.x, b.x) / sqrt(list_dot_product(a.x, a.x) * list_dot_product(b.x, b.x)) >= 0.98),
+        reach(a, b) AS (
+            SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach AS r JOIN links AS l ON l.a = r.b)
+        SELECT v.vec_id, coalesce(n.n_links, 0) AS n_links, least(v.vec_id, coalesce(c.least, v.vec_id)) AS component_id,
+               v.vec_id <= coalesce(c.least, v.vec_id) AS kept
+        FROM v
+        LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) AS n ON n.a = v.vec_id
+        LEFT JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) AS c ON c.a = v.vec_id""",
 }
