@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import decontamination, html_text, language_id, merkle, near_vectors, quality, sentence_pieces, simhash, token_counts, toxicity, vector_search, warc
+from . import decontamination, html_text, language_id, merkle, near_vectors, quality, sentence_pieces, simhash, token_alignment, token_counts, toxicity, vector_search, warc
 from .common import fold, table, vocabulary_path, with_small
 
 TOKEN_LIMIT = 1024
@@ -81,6 +81,11 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.documents_manifest(table(spark, folder, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align(
+        table(spark, folder, "documents"), "doc_id", "text", vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
+
+
 def op13_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, folder, "embeddings"), "vec_id", "embedding", "label")
 
@@ -97,6 +102,7 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_vector_search": op10_vector_search,
     "op11_merkle": op11_merkle,
+    "op12_token_alignment": op12_token_alignment,
     "op13_near_vectors": op13_near_vectors,
 }
 
