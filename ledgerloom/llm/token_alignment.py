@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import file_bytes, written
 
 MARK = "▁"
-CACHE = 200_000       # words that a task remembers; it bounds memory, not the result
+CACHE = 400_000       # words that a task remembers between blocks; it bounds memory, not the result
+PAIRS = 4_000_000     # id pairs that a task numbers before it begins anew, likewise
 BLOCK_BYTES = 1 << 23  # text of a block, unless one document is longer
 BATCH = 64            # documents aligned together
 
@@ -135,11 +136,27 @@ class Aligner:
         self.row: dict[str, int] = {}
         self.texts: list[str] = []       # a word's groups as text
         self.facts = np.zeros((0, 4), dtype=np.int64)  # A tokens, B tokens, groups, links; all -1 if it does not match
+        self.uses = np.zeros(0, dtype=np.int64)
         self.starts = np.zeros(0, dtype=np.int64)      # where its links begin in `flat`
         self.flat = np.zeros(0, dtype=np.int32)        # links as numbers of id pairs
         self.pairs = np.zeros(0, dtype=np.int64)       # the id pairs by number, A's id * 2**32 + B's
         self.number: dict[int, int] = {}
 
+    def trim(self) -> None:
+        """Keeps the words met most often, half as many as may be remembered, if there are too many."""
+        if len(self.pairs) > PAIRS:
+            self.forget()
+        if len(self.texts) <= CACHE:
+            return
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: CACHE // 2])
+        links = np.maximum(self.facts[kept, 3], 0)
+        ends = np.cumsum(links)
+        self.flat = self.flat[np.repeat(self.starts[kept] - ends + links, links) + np.arange(links.sum())]
+        self.starts, self.facts, self.uses = ends - links, self.facts[kept], self.uses[kept] // 2
+        words = list(self.row)  # in the order of their places
+        self.row = {words[i]: n for n, i in enumerate(kept.tolist())}
+        self.texts = [self.texts[i] for i in kept.tolist()]
+
     def learn(self, words: list[str], whole: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Group texts, facts and pair codes (one after the other) of words, aligned all at once."""
         ids = self.pair.ids(words, whole)
@@ -194,9 +211,11 @@ class Aligner:
             self.row.update(zip(new, range(len(self.texts), len(self.texts) + len(new))))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(links) - links])
             self.texts += texts
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), dtype=np.int64)])
             self.facts = np.concatenate([self.facts, facts])
             self.flat = np.concatenate([self.flat, self.numbers(codes)])
             found[unmet] = [self.row[words[i]] for i in unmet]
+        self.uses += np.bincount(found, minlength=len(self.texts))
         return found
 
     def align(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, str, np.ndarray]]:
@@ -243,8 +262,7 @@ def blocks(docs: DataFrame, key: str, text: str, a_path: str, b_path: str) -> Da
                 if size > BLOCK_BYTES:
                     yield closed()
                     block, size = block + 1, 0
-                    if len(aligner.row) > CACHE:
-                        aligner.forget()
+                    aligner.trim()
                     totals = np.zeros(len(aligner.pairs), dtype=np.int64)
                 out = []
                 for doc_id, value, (facts, groups, links) in zip(part["doc_id"], part["text"], aligner.align(part["text"].tolist())):

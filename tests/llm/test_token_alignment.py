@@ -129,3 +129,20 @@ def test_pointer_jumping(seed):
         assert ends[last[i]] == max(ends[group])
     n = len(cuts[0])
     assert set(zip(*(x.tolist() for x in ta.overlaps(starts[:n], ends[:n], starts[n:], ends[n:])))) == pairs
+
+
+def test_trimmed_memory(monkeypatch):
+    """Forgetting rare words, or all, changes no result."""
+    monkeypatch.setattr(ta, "CACHE", 30)
+    texts = [" ".join(f"word{(i * k) % 97}" for k in range(1, 25)) for i in range(40)]
+    models = [open(x, "rb").read() for x in (A, B)]
+    plain_one, trimmed = ta.Aligner(*models), ta.Aligner(*models)
+    want = [(f.tolist(), g, plain_one.pairs[n].tolist()) for f, g, n in plain_one.align(texts)]
+    got = []
+    for i in range(0, 40, 4):
+        got += [(f.tolist(), g, trimmed.pairs[n].tolist()) for f, g, n in trimmed.align(texts[i : i + 4])]
+        trimmed.trim()
+        assert len(trimmed.texts) <= 30
+        if i == 20:
+            monkeypatch.setattr(ta, "PAIRS", 5)
+    assert got == want
