@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .loads import LOADS
 from .plans import measures as m, reports as r
-from .sources.star import AS_OF, StarTables
+from .sources.star import AS_OF, PartAccounts, StarTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +89,8 @@ REPORTS: dict[str, Query] = {
     "v_top_customers": over_star(r.top_customers),
     "v_exec_summary": over_star(lambda s: r.summary_cards(s, AS_OF)),
     "v_pnl_matrix": over_star(r.pnl_matrix),
+    "v_pnl_hierarchy": over_star(r.pnl_hierarchy),
+    "v_item_hierarchy": over_star(lambda s: r.pnl_hierarchy(PartAccounts(s), "revenue")),
     "v_pnl_waterfall": over_star(r.pnl_waterfall),
     "v_pnl_grains": over_star(r.pnl_by_grain),
     "v_balance_sheet": over_star(r.balance_sheet),

@@ -41,6 +41,35 @@ def aging(fact: str, key: str, dim: str, edges: tuple[int, ...]) -> str:
 SELECT aged.*, display_name FROM aged LEFT JOIN {dim} USING (client_id, {key})""")
 
 
+def tree_sums(accounts: str, activity: str) -> str:
+    """Sums along a tree: `accounts` (client_id, id, parent, name, classification) and `activity`
+    (client_id, id, month, amount)."""
+    return star(f"""
+, a AS ({accounts}), act AS (SELECT client_id, id, month, sum(amount) AS amount FROM ({activity}) GROUP BY ALL),
+up(client_id, id, anc) AS (
+  SELECT a.client_id, a.id, b.id FROM a JOIN a b ON b.client_id = a.client_id AND b.id = a.parent
+  UNION SELECT up.client_id, up.id, b.id FROM up JOIN a m ON m.client_id = up.client_id AND m.id = up.anc
+    JOIN a b ON b.client_id = m.client_id AND b.id = m.parent),
+loops AS (SELECT client_id, id FROM up WHERE id = anc),
+lost AS (SELECT client_id, id FROM up WHERE (client_id, anc) IN (SELECT (client_id, id) FROM loops)
+  UNION SELECT client_id, id FROM loops
+  UNION SELECT a.client_id, a.id FROM a LEFT JOIN a b ON b.client_id = a.client_id AND b.id = a.parent
+    WHERE a.parent IS NOT NULL AND b.id IS NULL),
+n AS (SELECT a.client_id, a.id, CASE WHEN l.id IS NULL THEN a.parent ELSE 'Unassigned' END AS parent, name, classification
+  FROM a LEFT JOIN lost l USING (client_id, id)
+  UNION ALL SELECT DISTINCT client_id, 'Unassigned', NULL, NULL, NULL FROM lost),
+c(client_id, id, anc, distance) AS (
+  SELECT client_id, id, id, 0 FROM n
+  UNION ALL SELECT c.client_id, c.id, n.parent, distance + 1
+  FROM c JOIN n ON n.client_id = c.client_id AND n.id = c.anc AND n.parent IS NOT NULL),
+d AS (SELECT client_id, id, max(distance) AS depth FROM c GROUP BY ALL),
+s AS (SELECT c.client_id, anc AS id, month, sum(CASE WHEN distance = 0 THEN amount END) AS own, sum(amount) AS total
+  FROM c JOIN act ON act.client_id = c.client_id AND act.id = c.id GROUP BY ALL)
+SELECT client_id, id AS account_id, parent AS parent_account_id, CAST(depth AS BIGINT) AS depth, month,
+  {money('own')} AS own, {money('s.total')} AS total, name AS account_name, classification
+FROM s JOIN n USING (client_id, id) JOIN d USING (client_id, id)""").replace("WITH", "WITH RECURSIVE", 1)
+
+
 def header_and_lines(kind: str, header: str, line: str) -> str:
     return f"""
 SELECT '{kind}' AS kind, client_id, id, header_total, line_total
@@ -79,6 +108,14 @@ SELECT client_id, classification, {MONTH_OF} AS month, fully_qualified_name,
 FROM activity JOIN dim_account USING (client_id, account_id)
 GROUP BY GROUPING SETS ((client_id, classification, {MONTH_OF}, fully_qualified_name),
   (client_id, classification, {MONTH_OF}), (client_id, classification))"""),
+    "v_pnl_hierarchy": tree_sums(
+        "SELECT client_id, account_id AS id, parent_account_id AS parent, account_name AS name, classification FROM dim_account",
+        "SELECT client_id, account_id AS id, " + MONTH_OF + " AS month, amount FROM activity").replace(", a AS (", ACCOUNTS + ", a AS (", 1),
+    "v_item_hierarchy": tree_sums("""
+SELECT client_id, 'P-' || item_id AS id, CASE WHEN k % 40 = 7 THEN 'P-unknown' WHEN k % 40 = 9 THEN 'P-' || (2 * k)
+    WHEN k > 1 THEN 'P-' || (k // 2) END AS parent, item_name AS name, 'Revenue' AS classification
+FROM (SELECT *, CAST(item_id AS BIGINT) AS k FROM dim_item)""", f"""
+SELECT client_id, 'P-' || item_id AS id, {MONTH_OF} AS month, amount FROM fact_invoice_line"""),
     "v_pnl_waterfall": COGS + f"""
 , t AS (SELECT client_id, {REV} AS r0, {EXP} AS e FROM money_in_out GROUP BY 1),
 w AS (SELECT t.client_id, r0, coalesce(c, 0) AS c, coalesce(e, 0) AS e

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import blank
 from ..functions.blank import blank_add, blank_sub, divide, mean, sum_if
 from ..functions.dates import day, days_late, month
+from ..operators.hierarchy import hierarchy, rolled_up
 from ..operators.merge import union
 from ..operators.periods import with_prior
 from ..operators.ranking import rank_within, top_n
-from ..sources.warehouse import materialize
 from . import measures as m
 from .measures import TENANT, dated_lines, movements, of, paid_purchases
 
@@ -160,6 +160,16 @@ def pnl_wide(model, months: list) -> DataFrame:
     ).agg(F.first("amount"))
 
 
+def pnl_hierarchy(model, *kinds: str) -> DataFrame:
+    """Income and expense lines by account and month along the account tree, all accounts below one
+    included: an account's total is its own amount plus its children's totals. Accounts without a
+    known place in the tree are under "Unassigned"; the totals of the roots add up to all lines."""
+    months = account_months(model, *(kinds or ("revenue", "bill", "purchase")))
+    accounts = model.table("dim_account", "client_id", "account_id", "parent_account_id")
+    rows = rolled_up(months, accounts, "account_id", "parent_account_id", UNASSIGNED, "month")
+    return named(rows, model, "dim_account", "account_id", "account_name", "classification")
+
+
 def pnl_waterfall(model) -> DataFrame:
     """Revenue, cost of goods, gross profit, operating expenses and net income as ordered steps."""
     df = m.profit(model).join(m.cost_of_goods(model), TENANT, "full")
@@ -288,47 +298,6 @@ def customer_tree(model) -> DataFrame:
     return hierarchy(customers, "customer_id", "parent_customer_id")
 
 
-def hierarchy(df: DataFrame, key: str, parent: str) -> DataFrame:
-    """Depth, root and path (root first) of each row of a parent-child table.
-
-    Each round joins every open row to its next ancestor and doubles the distance covered, so
-    n levels take log2(n) rounds; rounds stop when all rows have reached their root. The state
-    is written between rounds to keep plans small. A missing parent makes the row a root. A row
-    on a cycle or below one meets an id twice on its way up: it is `cyclic` and has no depth,
-    root or path; other rows and tenants are not affected.
-    """
-    known = df.select("client_id", F.col(key).alias("next"), F.lit(True).alias("known")).distinct()
-    nodes = df.select("client_id", F.col(key).alias("id"), F.col(parent).alias("next")).join(
-        known, ["client_id", "next"], "left"
-    ).select(
-        "client_id", "id", F.when(F.col("known"), F.col("next")).alias("next"),
-        F.array("id").alias("path"), F.lit(False).alias("cyclic"),
-    )
-    while True:
-        nodes = materialize(nodes, "hierarchy")
-        below = nodes.where("next is not null")
-        if below.isEmpty():
-            break
-        above = nodes.select(
-            "client_id", F.col("id").alias("next"), F.col("next").alias("_next"),
-            F.col("path").alias("_path"), F.col("cyclic").alias("_cyclic"),
-        )
-        way = F.concat("_path", "path")
-        caught = F.col("_cyclic") | (F.size(F.array_distinct(way)) < F.size(way))
-        risen = below.join(above, ["client_id", "next"]).select(
-            "client_id", "id", F.when(~caught, F.col("_next")).alias("next"),
-            F.when(caught, F.array("id")).otherwise(way).alias("path"), caught.alias("cyclic"),
-        )
-        nodes = nodes.where("next is null").unionByName(risen)
-    straight = ~F.col("cyclic")
-    return nodes.select(
-        "client_id", F.col("id").alias(key),
-        F.when(straight, F.size("path") - 1).alias("depth"),
-        F.when(straight, F.element_at("path", 1)).alias("root"),
-        F.when(straight, F.concat_ws("/", "path")).alias("path"), "cyclic",
-    )
-
-
 # -- cash ---------------------------------------------------------------------------------------
 
 def cash_walk(model) -> DataFrame:
