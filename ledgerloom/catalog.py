@@ -99,13 +99,15 @@ REPORTS: dict[str, Query] = {
     "v_account_tree": over_star(r.account_tree),
     "v_customer_tree": over_star(r.halved_customer_tree),
     "v_cash_walk": over_star(r.cash_walk),
-    "v_cash_trend": over_star(r.cash_trend),
-    "v_cash_trend_weekly": over_star(lambda s: r.cash_trend(s, "WEEK")),
+    "v_cash_trend": over_star(lambda s: r.cash_trend(s, AS_OF)),
+    "v_cash_trend_weekly": over_star(lambda s: r.cash_trend(s, AS_OF, "WEEK")),
     "v_cash_by_party": over_star(r.cash_by_party),
     "v_ar_aging_customer": over_star(lambda s: r.receivable_aging_by_customer(s, AS_OF)),
     "v_ap_aging_vendor": over_star(lambda s: r.payable_aging_by_vendor(s, AS_OF)),
     "v_open_invoices": over_star(lambda s: r.open_invoices(s, AS_OF)),
     "v_open_bills": over_star(lambda s: r.open_bills(s, AS_OF)),
+    "v_balance_as_of": over_star(lambda s: r.balance_as_of(s, r.month_ends_of(s, AS_OF))),
+    "v_dso_history": over_star(lambda s: r.dso_history(s, AS_OF)),
     "v_dso_trend": over_star(lambda s: r.dso_trend(s, AS_OF)),
     "v_dpo_trend": over_star(lambda s: r.dpo_trend(s, AS_OF)),
     "v_ap_by_category": over_star(r.payables_by_category),

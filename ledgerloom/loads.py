@@ -414,6 +414,18 @@ def from_warehouse(build):
     return lambda star: build(loaded(star))
 
 
+def balances_by_pull(star: StarTables) -> DataFrame:
+    """Invoices as of the day before, of and after the first of two pulls; the first lacks some, and
+    has other totals."""
+    path = scratch_path(star.spark, "archive")
+    key = F.get_json_object("record", "$.Id").cast("bigint")
+    archive.append(docs.invoices(star, lines=False, surcharge=1, ts=EARLIER).where(key % 10 != 3), path)
+    archive.append(docs.invoices(star, lines=False).where(key % 10 != 4), path)
+    first = EARLIER.date()
+    days = star.spark.createDataFrame([(first + dt.timedelta(days=n),) for n in (-1, 0, 1)], "day date")
+    return etl.balances_by_pull(archive.read(star.spark, path), "Invoice", days)
+
+
 def backfill_reports(star: StarTables) -> DataFrame:
     raw = union([
         docs.aged_receivables(star, name, year, "backfill_report_")
@@ -559,6 +571,7 @@ LOADS = {
     "wh_exec_summary": from_warehouse(lambda w: reports_plan.summary_cards(w, AS_OF)),
     "wh_pnl_matrix": from_warehouse(reports_plan.pnl_matrix),
     "wh_ar_aging": from_warehouse(lambda w: reports_plan.receivable_aging_by_customer(w, AS_OF)),
+    "balances_by_pull": balances_by_pull,
     "backfill_reports": backfill_reports,
     "revenue_from_documents": flagship,
     "join_invoice_star": join_invoice_star,

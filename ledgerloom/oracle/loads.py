@@ -216,6 +216,14 @@ SELECT client_id, 'AgedReceivables' AS report_name, section, row_type, row_ord,
 SELECT client_id, 'report_agedreceivables' AS report_table, row_ord, {REPORT_COLUMNS} FROM rep"""),
     "etl_report": star(ALL_YEARS + f"""
 SELECT client_id, 'report_agedreceivables' AS report_table, row_ord, {REPORT_COLUMNS} FROM rep"""),
+    "balances_by_pull": star(f"""
+, i AS (SELECT *, CAST(invoice_id AS BIGINT) AS k FROM fact_invoice),
+s AS (
+  SELECT client_id, DATE '2001-07-31' AS day, total_amount + 1 AS total, balance FROM i WHERE k % 10 <> 3
+  UNION ALL SELECT client_id, DATE '2001-08-01', total_amount, balance FROM i WHERE k % 10 <> 4
+  UNION ALL SELECT client_id, DATE '2001-08-01', total_amount + 1, balance FROM i WHERE k % 10 = 4)
+SELECT client_id, day, count(*) AS documents, CAST(sum(s.total) AS DOUBLE) AS total,
+  CAST(sum(s.balance) FILTER (WHERE s.balance > 0) AS DOUBLE) AS total_open FROM s GROUP BY ALL"""),
     "backfill_reports": f"({one_year(1998)}) UNION ALL ({one_year(1999)})",
     "enforce_bool": messy("flag", "TRUE", "TRUE", "FALSE", "FALSE", "FALSE", "FALSE", kind="BOOLEAN"),
     "enforce_float": messy(

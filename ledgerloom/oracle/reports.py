@@ -70,6 +70,32 @@ SELECT client_id, id AS account_id, parent AS parent_account_id, CAST(depth AS B
 FROM s JOIN n USING (client_id, id) JOIN d USING (client_id, id)""").replace("WITH", "WITH RECURSIVE", 1)
 
 
+# Every invoice's balance, added up anew for each month end.
+HISTORY = f"""
+, days AS (SELECT least(last_day(m), {AS_OF}) AS day FROM (SELECT unnest(generate_series(
+    (SELECT CAST(date_trunc('month', min(txn_date)) AS TIMESTAMP) FROM fact_invoice),
+    CAST({AS_OF} AS TIMESTAMP), INTERVAL 1 MONTH)) AS m)),
+held AS (SELECT i.client_id, invoice_id, i.due_date, day, i.total_amount - coalesce(sum(p.total_amount), 0) AS balance
+  FROM days JOIN fact_invoice i ON i.txn_date <= day
+    LEFT JOIN fact_payment p ON p.client_id = i.client_id AND p.payment_id = i.invoice_id AND p.txn_date <= day
+  GROUP BY i.client_id, invoice_id, i.due_date, day, i.total_amount)"""
+
+
+def cash_balance(grain: str) -> str:
+    start = "CAST({} AS DATE)" if grain == "day" else "CAST(date_trunc('week', {}) AS DATE)"
+    return star(f"""
+, d AS (SELECT client_id, {start.format('txn_date')} AS period,
+    sum(CASE WHEN kind = 'payment' THEN amount ELSE -amount END) AS f
+  FROM money_in_out WHERE kind IN ('payment', 'purchase') GROUP BY ALL),
+e AS (SELECT client_id, min(period) AS a, greatest(max(period), {start.format(AS_OF)}) AS z FROM d GROUP BY 1),
+c AS (SELECT client_id, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP), INTERVAL 1 {grain})) AS DATE) AS period FROM e),
+b AS (SELECT client_id, sum(amount) AS position FROM bank GROUP BY 1),
+r AS (SELECT client_id, period, coalesce(f, 0) AS flow, sum(coalesce(f, 0)) OVER (PARTITION BY client_id ORDER BY period) AS running,
+    sum(coalesce(f, 0)) OVER (PARTITION BY client_id) AS whole FROM c LEFT JOIN d USING (client_id, period))
+SELECT client_id, period, {money('flow')} AS net_flow, {money('running')} AS running_cash,
+  {money('b.position - (whole - running)')} AS balance FROM r LEFT JOIN b USING (client_id)""")
+
+
 def header_and_lines(kind: str, header: str, line: str) -> str:
     return f"""
 SELECT '{kind}' AS kind, client_id, id, header_total, line_total
@@ -176,18 +202,33 @@ b AS (SELECT client_id, sum(amount) AS closing FROM bank GROUP BY 1)
 SELECT client_id, {money('closing - (coalesce(i, 0) - coalesce(o, 0))')} AS opening,
   {money('i')} AS cash_in, {money('o')} AS cash_out, {money('b.closing')} AS closing
 FROM f FULL JOIN b USING (client_id)"""),
-    "v_cash_trend": star(f"""
-, d AS (SELECT client_id, txn_date AS period,
-    sum(CASE WHEN kind = 'payment' THEN amount ELSE -amount END) AS f
-  FROM money_in_out WHERE kind IN ('payment', 'purchase') GROUP BY ALL)
-SELECT client_id, period, {money('f')} AS net_flow,
-  {money('sum(f) OVER (PARTITION BY client_id ORDER BY period)')} AS running_cash FROM d"""),
-    "v_cash_trend_weekly": star(f"""
-, d AS (SELECT client_id, CAST(date_trunc('week', txn_date) AS DATE) AS period,
-    sum(CASE WHEN kind = 'payment' THEN amount ELSE -amount END) AS f
-  FROM money_in_out WHERE kind IN ('payment', 'purchase') GROUP BY ALL)
-SELECT client_id, period, {money('f')} AS net_flow,
-  {money('sum(f) OVER (PARTITION BY client_id ORDER BY period)')} AS running_cash FROM d"""),
+    "v_cash_trend": cash_balance("day"),
+    "v_cash_trend_weekly": cash_balance("week"),
+    "v_balance_as_of": star(f"""
+{HISTORY}, r AS (SELECT client_id, day,
+    {money("sum(balance) FILTER (WHERE due_date >= day)")} AS not_due,
+    {money("sum(balance) FILTER (WHERE day - due_date BETWEEN 1 AND 30)")} AS days_1_30,
+    {money("sum(balance) FILTER (WHERE day - due_date BETWEEN 31 AND 60)")} AS days_31_60,
+    {money("sum(balance) FILTER (WHERE day - due_date BETWEEN 61 AND 90)")} AS days_61_90,
+    {money("sum(balance) FILTER (WHERE day - due_date > 90)")} AS over_90,
+    {money("sum(balance) FILTER (WHERE due_date IS NULL)")} AS undated,
+    sum(balance) AS open_sum, count(*) AS open_invoices FROM held WHERE balance > 0 GROUP BY ALL),
+f AS (SELECT client_id, txn_date, sum(CASE kind WHEN 'payment' THEN amount ELSE -amount END) AS flow
+  FROM money_in_out WHERE kind IN ('payment', 'purchase') GROUP BY ALL),
+b AS (SELECT client_id, sum(amount) AS position FROM bank GROUP BY 1),
+c AS (SELECT b.client_id, day, position - coalesce((SELECT sum(flow) FROM f WHERE f.client_id = b.client_id AND txn_date > day), 0) AS cash
+  FROM b CROSS JOIN days)
+SELECT client_id, day, not_due, days_1_30, days_31_60, days_61_90, over_90, undated, {money('open_sum')} AS total_open,
+  CAST(open_invoices AS BIGINT) AS open_invoices, {money('c.cash')} AS cash,
+  {money('coalesce(open_sum, 0) + coalesce(c.cash, 0)')} AS current_assets
+FROM r FULL JOIN c USING (client_id, day)"""),
+    "v_dso_history": star(f"""
+{HISTORY}, r AS (SELECT client_id, day, sum(balance) AS ar FROM held WHERE balance > 0 GROUP BY ALL),
+y AS (SELECT client_id, day, sum(amount) AS ytd FROM days JOIN fact_invoice_line
+  ON txn_date <= day AND txn_date >= date_trunc('year', day) GROUP BY ALL),
+j AS (SELECT *, date_diff('day', CAST(date_trunc('year', day) AS DATE), day) AS n FROM r FULL JOIN y USING (client_id, day))
+SELECT client_id, day, {money('ar')} AS total_open, {money('ytd')} AS revenue_ytd,
+  CASE WHEN ytd > 0 AND n > 0 THEN round({money('ar')} / ({money('ytd')} / n), 6) END AS dso FROM j"""),
     "v_cash_by_party": star(f"""
 SELECT client_id, 'in' AS direction, customer_id AS party_id, display_name AS party,
   {money('sum(total_amount)')} AS amount

@@ -6,8 +6,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.blank import sum_if
 from ..functions.parsing import is_damaged, with_parsed
-from ..operators import records
+from ..operators import history, records
 from ..operators.quality import add_date_key, keep_last
 from ..operators.merge import union
 from ..operators.report_rows import flatten_reports
@@ -197,6 +198,20 @@ def backfill(raw: DataFrame, first: int, last: int) -> DataFrame:
     return report_rows(raw.where(F.col("source_name").isin(names)))
 
 
+def balances_by_pull(raw: DataFrame, entity: str, days: DataFrame) -> DataFrame:
+    """Documents, open balance and total per tenant as of each of `days`, from the archived pulls of
+    invoices or bills: a pulled state holds from its day until the document's next pull."""
+    key = primary_key(records.target_table(entity))
+    pulled = records.map_records(raw, entity).withColumn("pulled", F.to_date("ord.ts"))
+    states = keep_last(pulled, [*key, "pulled"], [F.col("ord")]).select(*key, "pulled", "balance", "total_amount")
+    # states of equal validity are added up before they meet the days
+    held = history.intervals(states, key, "pulled").groupBy("client_id", "valid_from", "valid_to").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("total_amount").alias("total"),
+        sum_if(F.col("balance") > 0, F.col("balance")).alias("total_open"))
+    return history.on_days(held, days).groupBy("client_id", "day").agg(
+        *(F.sum(c).alias(c) for c in ("documents", "total", "total_open")))
+
+
 def run_summary(raw: DataFrame) -> DataFrame:
     """Records and damaged records per tenant and source, unknown sources included, in one pass
     over the raw rows.

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import blank
 from ..functions.blank import blank_add, blank_sub, divide, mean, sum_if
 from ..functions.dates import day, days_late, month
+from ..operators import aging, history
 from ..operators.hierarchy import hierarchy, rolled_up
 from ..operators.merge import union
 from ..operators.periods import with_prior
@@ -310,19 +311,26 @@ def cash_walk(model) -> DataFrame:
     )
 
 
-def cash_trend(model, grain: str = "DAY") -> DataFrame:
-    """Net cash per day or week and its running total. The window runs over calendar days per
-    tenant, however many transactions a day has."""
+def cash_trend(model, as_of, grain: str = "DAY") -> DataFrame:
+    """Net cash of every day or week, its running total and the balance at its end.
+
+    Periods without movements are there too, up to `as_of` or the last movement, whichever is later;
+    there the balance is the bank position, and it is carried backwards from it. Movements without a
+    date are in a row of their own, before all others.
+    """
     period = F.col("txn_date") if grain == "DAY" else F.trunc("txn_date", grain)
     flow = F.when(of("payment"), F.col("amount")).otherwise(-F.col("amount"))
-    daily = (
+    moved = (
         movements(model, "payment", "purchase")
         .groupBy(*TENANT, period.alias("period")).agg(F.sum(flow).alias("net_flow"))
     )
-    running = Window.partitionBy(*TENANT).orderBy("period").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return daily.withColumn("running_cash", F.sum("net_flow").over(running))
+    position = m.cash_position(model)
+    whole = moved.groupBy(*TENANT).agg(F.sum("net_flow").alias("_all"))
+    dense = history.every_period(moved, TENANT, "period", ["net_flow"], grain, day(as_of), position)
+    df = history.running_sum(dense, TENANT, "period", "net_flow", "running_cash")
+    df = df.join(position, TENANT, "left").join(whole, TENANT, "left")
+    later = F.coalesce("_all", F.lit(0)) - F.col("running_cash")
+    return df.select(*TENANT, "period", "net_flow", "running_cash", (F.col("cash_position") - later).alias("balance"))
 
 
 def cash_by_party(model) -> DataFrame:
@@ -387,6 +395,79 @@ def month_ends(df: DataFrame, as_of) -> DataFrame:
     )
 
 
+def receivable_history(model) -> DataFrame:
+    """Balances of every invoice and the days on which they hold: (client_id, invoice_id, due_date,
+    balance, valid_from, valid_to). An invoice opens with its total on its date; each payment line
+    linked to it lowers it on the payment's date."""
+    key = ["client_id", "invoice_id"]
+    opened = model.table("fact_invoice", *key, "txn_date", "due_date", "total_amount").withColumnRenamed("total_amount", "change")
+    paid = (
+        model.table("fact_payment_line", "client_id", "payment_id", "linked_invoice_id", "linked_txn_type", "amount")
+        .where("linked_txn_type = 'Invoice' AND linked_invoice_id IS NOT NULL")
+        .groupBy("client_id", "payment_id", F.col("linked_invoice_id").alias("invoice_id"))
+        .agg((-F.sum("amount")).alias("change"))
+        .join(model.table("fact_payment", "client_id", "payment_id", "txn_date"), ["client_id", "payment_id"], "left")
+    )
+    events = opened.select(*key, "txn_date", "change").unionByName(paid.select(*key, "txn_date", "change"))
+    states = history.running_states(events, key, "txn_date", "change").withColumnRenamed("change", "balance")
+    held = history.intervals(states, key, "txn_date")
+    return held.join(opened.select(*key, "due_date"), key)
+
+
+def receivables_on(model, days: DataFrame) -> DataFrame:
+    """Open invoices as of each of `days`, by age on that day. Intervals with the same tenant, days and
+    due date are added up first."""
+    shape = ["client_id", "valid_from", "valid_to", "due_date"]
+    held = receivable_history(model).where("balance > 0").groupBy(*shape).agg(
+        F.sum("balance").alias("balance"), F.count(F.lit(1)).alias("invoices"))
+    sums = aging.bucket_sums(F.col("day"), aging.RECEIVABLE_EDGES)
+    return history.on_days(held, days).groupBy("client_id", "day").agg(
+        *(c.alias(n) for n, c in sums.items()), F.sum("balance").alias("total_open"), F.sum("invoices").alias("open_invoices"))
+
+
+def cash_on(model, days: DataFrame) -> DataFrame:
+    """Bank position at the end of each of `days`: the current one less all later movements."""
+    flow = F.when(of("payment"), F.col("amount")).otherwise(-F.col("amount"))
+    # a movement is missing from the balance of every day before its own
+    missing = movements(model, "payment", "purchase").where("txn_date IS NOT NULL").groupBy(
+        *TENANT, F.lit(history.BEGINNING).alias("valid_from"), F.col("txn_date").alias("valid_to")).agg(F.sum(flow).alias("later"))
+    later = history.on_days(missing, days).groupBy(*TENANT, "day").agg(F.sum("later").alias("later"))
+    position = m.cash_position(model)
+    asked = days.distinct().withColumn("_", F.lit(0)).join(position.withColumn("_", F.lit(0)), "_").drop("_")
+    return asked.join(later, [*TENANT, "day"], "left").select(
+        *TENANT, "day", (F.col("cash_position") - F.coalesce("later", F.lit(0))).alias("cash"))
+
+
+def balance_as_of(model, days: DataFrame) -> DataFrame:
+    """Receivables by age, open invoices, cash and their sum as of each of `days`."""
+    df = receivables_on(model, days).join(cash_on(model, days), [*TENANT, "day"], "full")
+    return df.withColumn("current_assets", blank_add(df.total_open, df.cash))
+
+
+def month_ends_of(model, as_of) -> DataFrame:
+    return history.month_end_days(model.table("fact_invoice", "txn_date"), "txn_date", as_of)
+
+
+def dso_history(model, as_of) -> DataFrame:
+    """Days sales outstanding at the end of every month since the first invoice, from the receivables
+    that were open on that day and the revenue of its year up to it."""
+    days = month_ends_of(model, as_of)
+    monthly = (
+        movements(model, "revenue", when=lambda d: d <= day(as_of))
+        .groupBy(*TENANT, month(F.col("txn_date")).alias("earned")).agg(F.sum("amount").alias("amount"))
+    )
+    december = F.add_months(F.trunc("earned", "YEAR"), 11)
+    to_date = (
+        monthly.withColumn("_month", F.explode(F.sequence("earned", december, F.expr("interval 1 month"))))
+        .groupBy(*TENANT, "_month").agg(F.sum("amount").alias("revenue_ytd"))
+        .join(days.withColumn("_month", month(F.col("day"))), "_month")
+        .select(*TENANT, "day", "revenue_ytd")
+    )
+    df = receivables_on(model, days).select(*TENANT, "day", "total_open").join(to_date, [*TENANT, "day"], "full")
+    elapsed = F.datediff("day", F.trunc("day", "YEAR"))
+    return df.withColumn("dso", m.days_outstanding(df.total_open, df.revenue_ytd, elapsed))
+
+
 def dso_trend(model, as_of) -> DataFrame:
     """Days sales outstanding at twelve month ends. Open balances are current, so only the
     year-to-date revenue varies."""
