@@ -21,6 +21,7 @@ from .session import scratch_path
 from .sources import archive, calendar, documents as docs, landing, registry, reports
 from .sources.star import AS_OF, LINE_ORDER, StarTables
 from .sources.warehouse import Warehouse, materialize, typed_scan
+from .streaming import latest
 
 EARLIER = dt.datetime(2001, 7, 31, 11, 0, 0)
 REPORT_TITLES = ["Status", "Invoices", "Total"]
@@ -414,6 +415,25 @@ def from_warehouse(build):
     return lambda star: build(loaded(star))
 
 
+def stream_refresh(star: StarTables) -> DataFrame:
+    """Three triggers of the streaming refresh: an early pull that lacks some invoices; the current one,
+    which lacks others; a late one of a few invoices together with the current one again. Records by
+    verdict, and the current records that the stream ends with."""
+    spark = star.spark
+    place, out, progress = (scratch_path(spark, n) for n in ("archive", "judged", "progress"))
+    key = F.get_json_object("record", "$.Id").cast("bigint")
+    now = docs.invoices(star, lines=False).where(key % 10 != 4)
+    late = docs.invoices(star, lines=False, surcharge=2, ts=EARLIER - dt.timedelta(days=1)).where((key % 10).isin(4, 5))
+    for landed in (docs.invoices(star, lines=False, surcharge=1, ts=EARLIER).where(key % 10 != 3), now, late.unionByName(now)):
+        archive.append(landed, place)
+        latest.follow(spark, place, out, progress).awaitTermination()
+    judged = latest.verdicts(spark, out)
+    rows = judged.select("client_id", "verdict", "record").unionByName(
+        latest.current(judged).select("client_id", F.lit("current").alias("verdict"), "record"))
+    total = F.get_json_object("record", "$.TotalAmt").cast("decimal(18,2)")
+    return rows.groupBy("client_id", "verdict").agg(F.count(F.lit(1)).alias("records"), F.sum(total).alias("total"))
+
+
 def balances_by_pull(star: StarTables) -> DataFrame:
     """Invoices as of the day before, of and after the first of two pulls; the first lacks some, and
     has other totals."""
@@ -571,6 +591,7 @@ LOADS = {
     "wh_exec_summary": from_warehouse(lambda w: reports_plan.summary_cards(w, AS_OF)),
     "wh_pnl_matrix": from_warehouse(reports_plan.pnl_matrix),
     "wh_ar_aging": from_warehouse(lambda w: reports_plan.receivable_aging_by_customer(w, AS_OF)),
+    "stream_refresh": stream_refresh,
     "balances_by_pull": balances_by_pull,
     "backfill_reports": backfill_reports,
     "revenue_from_documents": flagship,

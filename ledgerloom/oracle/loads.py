@@ -216,6 +216,14 @@ SELECT client_id, 'AgedReceivables' AS report_name, section, row_type, row_ord,
 SELECT client_id, 'report_agedreceivables' AS report_table, row_ord, {REPORT_COLUMNS} FROM rep"""),
     "etl_report": star(ALL_YEARS + f"""
 SELECT client_id, 'report_agedreceivables' AS report_table, row_ord, {REPORT_COLUMNS} FROM rep"""),
+    "stream_refresh": star("""
+, i AS (SELECT client_id, total_amount AS t, CAST(invoice_id AS BIGINT) % 10 AS k FROM fact_invoice),
+r AS (SELECT client_id, 'new' AS verdict, t + 1 AS t FROM i WHERE k <> 3
+  UNION ALL SELECT client_id, 'new', t FROM i WHERE k <> 4
+  UNION ALL SELECT client_id, 'repeated', t FROM i WHERE k <> 4
+  UNION ALL SELECT client_id, 'late', t + 2 FROM i WHERE k IN (4, 5)
+  UNION ALL SELECT client_id, 'current', CASE WHEN k = 4 THEN t + 1 ELSE t END FROM i)
+SELECT client_id, verdict, count(*) AS records, CAST(sum(t) AS DOUBLE) AS total FROM r GROUP BY ALL"""),
     "balances_by_pull": star(f"""
 , i AS (SELECT *, CAST(invoice_id AS BIGINT) AS k FROM fact_invoice),
 s AS (
