@@ -396,23 +396,14 @@ def _warehouse(star: StarTables) -> Warehouse:
     return Warehouse(star.spark, scratch_path(star.spark, "warehouse"))
 
 
-_LOADED: dict[tuple[str, str], str] = {}
-
-
-def loaded(star: StarTables) -> Warehouse:
-    """A warehouse into which the documents of a folder were loaded, once per session."""
-    key = (star.spark.sparkContext.applicationId, star.path)
-    if key not in _LOADED:
+def from_warehouse(build, *entities: str):
+    """A report over a warehouse into which documents of the given entities were loaded."""
+    def run(star: StarTables) -> DataFrame:
         warehouse = _warehouse(star)
-        wanted = ("Account", "Customer", "Item", "Invoice", "Bill", "Purchase", "Payment")
         etl.load_reference(warehouse)
-        etl.load_new(union([docs.BUILDERS[e](star) for e in wanted]), scratch_path(star.spark, "archive"), warehouse)
-        _LOADED[key] = warehouse.root
-    return Warehouse(star.spark, _LOADED[key])
-
-
-def from_warehouse(build):
-    return lambda star: build(loaded(star))
+        etl.load_new(union([docs.BUILDERS[e](star) for e in entities]), scratch_path(star.spark, "archive"), warehouse)
+        return build(warehouse)
+    return run
 
 
 def stream_refresh(star: StarTables) -> DataFrame:
@@ -588,9 +579,10 @@ LOADS = {
     "run_summary": run_summary,
     "etl_daily": etl_daily,
     "etl_quarantine": etl_quarantine,
-    "wh_exec_summary": from_warehouse(lambda w: reports_plan.summary_cards(w, AS_OF)),
-    "wh_pnl_matrix": from_warehouse(reports_plan.pnl_matrix),
-    "wh_ar_aging": from_warehouse(lambda w: reports_plan.receivable_aging_by_customer(w, AS_OF)),
+    "wh_exec_summary": from_warehouse(
+        lambda w: reports_plan.summary_cards(w, AS_OF), "Account", "Item", "Invoice", "Bill", "Purchase"),
+    "wh_pnl_matrix": from_warehouse(reports_plan.pnl_matrix, "Account", "Item", "Invoice", "Bill", "Purchase"),
+    "wh_ar_aging": from_warehouse(lambda w: reports_plan.receivable_aging_by_customer(w, AS_OF), "Customer", "Invoice"),
     "stream_refresh": stream_refresh,
     "balances_by_pull": balances_by_pull,
     "backfill_reports": backfill_reports,

@@ -21,14 +21,3 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def exists(spark: SparkSession, path: str) -> bool:
     system, place = _located(spark, path)
     return system.exists(place)
-
-
-def changed_at(spark: SparkSession, path: str) -> float:
-    """Modification time in seconds."""
-    system, place = _located(spark, path)
-    return system.getFileStatus(place).getModificationTime() / 1000
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    system, place = _located(spark, path)
-    system.delete(place, True)

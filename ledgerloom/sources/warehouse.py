@@ -1,9 +1,8 @@
-"""Typed Parquet warehouse in hash buckets, with keyed upsert."""
+"""Typed Parquet warehouse of bucketed tables, with keyed upsert."""
 
 from __future__ import annotations
 
-import time
-import uuid
+import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -13,12 +12,16 @@ from ..schemas import columns, primary_key
 from ..session import scratch_path
 from . import files
 
-# Pull time of a stored row, kept beside the declared columns, and its bucket.
-VERSION, BUCKET = "_version", "bucket"
-MANIFEST = "bucket int, version string, rows long, buckets int"
-BUCKETS = 32             # of a new table
-BUCKET_ROWS = 1_000_000  # wanted in a bucket
-GROWN = 8                # times that size at which a table gets so many times the buckets
+# Pull time of a stored row, kept beside the declared columns, and the folder it lies in.
+VERSION, SLICE = "_version", "slice"
+SLICES = 8   # folders of a table: an upsert rewrites those its batch touches
+BUCKETS = 8  # files of a folder, and tasks of a merge; about a million rows of the whole table each
+
+MERGE_SETTINGS = {
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # buckets by the first two columns of a longer key serve joins on the whole key
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
 
 
 def layout(table: str) -> str:
@@ -62,28 +65,39 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 class Warehouse:
     """Tables under one root folder. Also a model: `table(name, *columns)`.
 
-    A table's rows lie in hash buckets of the first two key columns, so documents and their lines
-    meet in like buckets. An upsert reads and rewrites the buckets its batch touches, once, into
-    the folder of a new version, then publishes a manifest that says in which version each bucket
-    now is. Readers use the newest complete manifest: a load that fails leaves the old state, and
-    no reader sees half of one. Old versions go with `clean`. One load at a time may write a table.
+    A table is Spark's own bucketed table over Parquet files: partitioned into folders by a hash of the
+    first two key columns and, in each folder, bucketed by these columns, so documents and their lines
+    meet in like buckets. In a merge the stored side is read bucket by bucket and never shuffled; only
+    the batch is dealt to the buckets. The merged folders are staged beside the tables first and then
+    replace the touched folders by dynamic partition overwrite. A load that fails before that leaves
+    the table as it was; one that fails during it is made good by loading the same batch again, since
+    an upsert repeated changes nothing. One load at a time may write a table; readers who need
+    snapshots need a table format, which this is not.
+
+    Counts of folders and buckets are fixed for a table and part of its path. Without a catalog that
+    outlives the session, tables are registered anew from their folders.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, root: str, slices: int = SLICES, buckets: int = BUCKETS):
+        self.spark, self.root, self.slices, self.buckets = spark, root.rstrip("/"), slices, buckets
+        for key, value in MERGE_SETTINGS.items():
+            spark.conf.set(key, value)
 
     def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+        return f"{self.root}/{table}/{self.slices}x{self.buckets}"
 
     def table(self, name: str, *wanted: str) -> DataFrame:
         """A typed table; absent tables are empty."""
-        df = self._stored(name)
-        return df.select(*(wanted or (c for c, _ in columns(name))))
+        return self._stored(name).select(*(wanted or (c for c, _ in columns(name))))
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Full replacement of a table."""
         rows = conform(df, table).withColumn(VERSION, F.lit(None).cast("timestamp_ntz"))
-        self._publish(table, rows, self.buckets, [])
+        keys = bucket_columns(table)
+        (
+            self._dealt(table, rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .option("path", self.path(table)).partitionBy(SLICE).bucketBy(self.buckets, *keys).saveAsTable(self._name(table))
+        )
 
     def upsert(
         self, table: str, batch: DataFrame, order: list[Column] | None = None,
@@ -94,9 +108,8 @@ class Warehouse:
         `match` names the columns whose values in the batch replace target rows (the primary key
         unless given); a prefix of the key replaces whole groups such as one report. With a
         `version`, rows older than what the table holds are ignored, so late data cannot undo
-        newer data. The batch is reduced to its last row per key by `order`. A first load is
-        written straight away; for a later one the batch is written once to the shared folder,
-        and removed after use.
+        newer data. The batch is reduced to its last row per key by `order`, and written once to the
+        shared folder.
         """
         key = primary_key(table)
         match = match or key
@@ -109,91 +122,60 @@ class Warehouse:
         if order:
             batch = keep_last(batch, key, order)
         batch = _versioned(batch, table)
-        held = self._manifest(table)
-        if not held:
-            self._publish(table, batch, self.buckets, [])
+        if not self._registered(table):
+            self._first(table, batch)
             return
-        scratch = scratch_path(self.spark, f"batch-{table}")
-        try:
-            batch.write.parquet(scratch)
-            batch = self.spark.read.schema(batch.schema).parquet(scratch)
-            self._merge(table, batch, held, match, version is not None)
-        finally:
-            files.remove(self.spark, scratch)
-
-    def _merge(self, table: str, batch: DataFrame, held: list, match: list[str], versioned: bool) -> None:
-        count = held[0]["buckets"]
-        touched = {r[0] for r in batch.select(_bucket(table, count)).distinct().collect()}
+        batch = materialize(batch.withColumn(SLICE, self._slice(table)), f"batch-{table}")
+        touched = [r[0] for r in batch.select(SLICE).distinct().collect()]  # at most one per folder
         if not touched:
             return
-        grown = sum(r["rows"] for r in held) > GROWN * count * BUCKET_ROWS
-        if grown:  # seldom: each time the table has become many times larger
-            touched, count = {r["bucket"] for r in held} | touched, count * GROWN
-        target = self._read(table, [r for r in held if r["bucket"] in touched])
-        if versioned and _overlaps(target, batch):
-            batch = without_stale(target, batch, match, VERSION)
-        kept = [] if grown else [r for r in held if r["bucket"] not in touched]
-        self._publish(table, merge(target, batch, match), count, kept)
-
-    def clean(self, table: str, older_than: float) -> None:
-        """Removes versions that no manifest younger than `older_than` seconds (or the current
-        one) names, with their manifests."""
-        folder = f"{self.path(table)}/manifest"
-        names = self._complete(table)
-        now = time.time()
-        keep = {n for n in names if now - files.changed_at(self.spark, f"{folder}/{n}") < older_than} | set(names[-1:])
-        used = {r["version"] for n in keep for r in self._entries(table, n)}
-        for name in files.children(self.spark, f"{self.path(table)}/data"):
-            if name not in used and (not names or name < names[-1]):
-                files.remove(self.spark, f"{self.path(table)}/data/{name}")
-        for name in set(names) - keep:
-            files.remove(self.spark, f"{folder}/{name}")
-
-    def _publish(self, table: str, rows: DataFrame, count: int, kept: list) -> None:
-        """Writes rows as a new version and names it, beside the entries kept, in a new manifest."""
-        last = max(self._complete(table) + ["0"]).split("-")[0]
-        version = f"{int(last) + 1:012d}-{uuid.uuid4().hex[:8]}"
-        data = f"{self.path(table)}/data/{version}"
-        (rows.withColumn(BUCKET, _bucket(table, count)).hint("rebalance", BUCKET)
-         .write.option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(data))
-        physical = self.spark.read.schema(f"{_physical(table)}, {BUCKET} int").parquet(data)
-        entries = [(r[BUCKET], version, r["count"], count) for r in physical.groupBy(BUCKET).count().collect()]
-        entries += [(r["bucket"], r["version"], r["rows"], count) for r in kept]
-        # an empty table still has a manifest
-        manifest = self.spark.createDataFrame(entries or [(None, version, 0, count)], MANIFEST)
-        manifest.coalesce(1).write.parquet(f"{self.path(table)}/manifest/{version}")
-
-    def _complete(self, table: str) -> list[str]:
-        folder = f"{self.path(table)}/manifest"
-        return [n for n in files.children(self.spark, folder) if files.exists(self.spark, f"{folder}/{n}/_SUCCESS")]
-
-    def _entries(self, table: str, name: str) -> list:
-        return self.spark.read.schema(MANIFEST).parquet(f"{self.path(table)}/manifest/{name}").collect()
-
-    def _manifest(self, table: str) -> list:
-        """One entry per bucket of the current state; none before the first load."""
-        complete = self._complete(table)
-        return self._entries(table, complete[-1]) if complete else []
-
-    def _read(self, table: str, entries: list) -> DataFrame:
-        paths = [f"{self.path(table)}/data/{r['version']}/{BUCKET}={r['bucket']}" for r in entries if r["bucket"] is not None]
-        if not paths:
-            return self.spark.createDataFrame([], _physical(table))
-        return self.spark.read.schema(_physical(table)).parquet(*paths)
+        target = self._stored(table).where(F.col(SLICE).isin(touched))
+        if version is not None and _overlaps(target, batch):
+            batch = without_stale(target, batch, match, VERSION, bucket_columns(table))
+        merged = materialize(merge(target, batch, match, bucket_columns(table)), f"merged-{table}")
+        self._dealt(table, merged).write.insertInto(self._name(table), overwrite=True)
+
+    def _first(self, table: str, batch: DataFrame) -> None:
+        (
+            self._dealt(table, batch).write.mode("overwrite").option("path", self.path(table))
+            .partitionBy(SLICE).bucketBy(self.buckets, *bucket_columns(table)).saveAsTable(self._name(table))
+        )
+
+    def _dealt(self, table: str, rows: DataFrame) -> DataFrame:
+        """Rows in the table's columns, a task per bucket, so that each folder gets a file per bucket."""
+        dealt = rows.drop(SLICE).withColumn(SLICE, self._slice(table)).repartition(self.buckets, *bucket_columns(table))
+        return dealt.select(*(c for c, _ in columns(table)), VERSION, SLICE)
+
+    def _slice(self, table: str) -> Column:
+        return F.pmod(F.xxhash64(*bucket_columns(table)), F.lit(self.slices)).cast("int")
+
+    def _name(self, table: str) -> str:
+        return f"{table}_{hashlib.md5(self.path(table).encode()).hexdigest()}"
+
+    def _registered(self, table: str) -> bool:
+        """Whether the table exists; one left by an earlier session is registered from its folder."""
+        name = self._name(table)
+        if self.spark.catalog.tableExists(name):
+            return True
+        if not any(n.startswith(f"{SLICE}=") for n in files.children(self.spark, self.path(table))):
+            return False
+        self.spark.sql(
+            f"CREATE TABLE {name} ({_physical(table)}, {SLICE} INT) USING parquet PARTITIONED BY ({SLICE}) "
+            f"CLUSTERED BY ({', '.join(bucket_columns(table))}) INTO {self.buckets} BUCKETS LOCATION '{self.path(table)}'")
+        self.spark.catalog.recoverPartitions(name)
+        return True
 
     def _stored(self, table: str) -> DataFrame:
         """The physical table with the version of each row."""
-        return self._read(table, self._manifest(table))
+        if not self._registered(table):
+            return self.spark.createDataFrame([], f"{_physical(table)}, {SLICE} int")
+        return self.spark.table(self._name(table))
 
 
 def bucket_columns(table: str) -> list[str]:
     return primary_key(table)[:2]
 
 
-def _bucket(table: str, count: int) -> Column:
-    return F.pmod(F.xxhash64(*bucket_columns(table)), F.lit(count)).cast("int")
-
-
 def _overlaps(target: DataFrame, batch: DataFrame) -> bool:
     """Whether any stored row is newer than the oldest batch row; one-column scans spare the
     usual in-order load the per-key check."""

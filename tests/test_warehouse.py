@@ -1,13 +1,14 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import merge as merging
 from ledgerloom.operators.quality import keep_last, key_violations
-from ledgerloom.session import scratch_path, shared_dir
-from ledgerloom.sources import files
-from ledgerloom.sources.warehouse import Warehouse, materialize
+from ledgerloom.schemas import columns
+from ledgerloom.session import scratch_path
+from ledgerloom.sources.warehouse import Warehouse, bucket_columns, materialize
 
 
 def invoices(spark, *rows):
@@ -57,18 +58,21 @@ def test_late_data_does_not_undo_newer_data(spark, warehouse):
     assert content(warehouse) == [("a", "1", 2.0), ("a", "2", 3.0), ("a", "3", 1.0)]
 
 
-def bucket_files(warehouse):
-    """Files of each bucket in the current state."""
-    return {r["bucket"]: set(warehouse._read("fact_invoice", [r]).inputFiles()) for r in warehouse._manifest("fact_invoice")}
+def slice_files(spark, warehouse):
+    """Files of each folder in the current state."""
+    out = {}
+    for name in warehouse._stored("fact_invoice").inputFiles():
+        out.setdefault(name.split("slice=")[1].split("/")[0], set()).add(name)
+    return out
 
 
-def test_only_touched_buckets_are_rewritten(spark, warehouse):
+def test_only_touched_folders_are_rewritten(spark, warehouse):
     rows = [(c, str(i), 1.0, T1) for c in "ab" for i in range(40)]
     warehouse.upsert("fact_invoice", invoices(spark, *rows))
-    before = bucket_files(warehouse)
-    assert len(before) > 10
+    before = slice_files(spark, warehouse)
+    assert len(before) == 8
     warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 2.0, T1)))
-    after = bucket_files(warehouse)
+    after = slice_files(spark, warehouse)
     assert len([b for b in before if before[b] != after[b]]) == 1
     assert warehouse.table("fact_invoice").count() == 80
 
@@ -78,41 +82,53 @@ def test_a_failed_load_leaves_the_old_state(spark, warehouse):
     bad = invoices(spark, ("a", "1", 2.0, T1)).withColumn("doc_number", F.raise_error(F.lit("broken")).cast("string"))
     with pytest.raises(Exception, match="broken"):
         warehouse.upsert("fact_invoice", bad)
-    held = warehouse._manifest("fact_invoice")
-    warehouse._publish = lambda *a: (_ for _ in ()).throw(RuntimeError("lost driver"))
-    with pytest.raises(RuntimeError):
-        warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 3.0, T1)))
-    del warehouse._publish
-    # a manifest without its success mark does not count
-    files.remove(spark, f"{warehouse.path('fact_invoice')}/manifest/{held[0]['version']}x")
-    invoices(spark).write.parquet(f"{warehouse.path('fact_invoice')}/manifest/999999999999-x")
-    files.remove(spark, f"{warehouse.path('fact_invoice')}/manifest/999999999999-x/_SUCCESS")
-    assert [float(r.total_amount) for r in warehouse.table("fact_invoice").collect()] == [1.0]
+    assert content(warehouse) == [("a", "1", 1.0)]
     warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 4.0, T1)))
-    assert [float(r.total_amount) for r in warehouse.table("fact_invoice").collect()] == [4.0]
-
-
-def test_scratch_and_old_versions_go(spark, warehouse):
-    warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", 1.0, T1), ("a", "2", 1.0, T1)))
-    for amount in (2.0, 3.0):
-        warehouse.upsert("fact_invoice", invoices(spark, ("a", "1", amount, T1)))
-    assert not [n for n in files.children(spark, shared_dir(spark)) if n.startswith("batch-fact_invoice")]
-    warehouse.clean("fact_invoice", older_than=3600)
-    assert len(files.children(spark, f"{warehouse.path('fact_invoice')}/data")) == 3
-    warehouse.clean("fact_invoice", older_than=0)
-    assert len(files.children(spark, f"{warehouse.path('fact_invoice')}/data")) == 2
-    assert sorted(float(r.total_amount) for r in warehouse.table("fact_invoice").collect()) == [1.0, 3.0]
-
-
-def test_a_grown_table_gets_more_buckets(spark, monkeypatch):
-    monkeypatch.setattr("ledgerloom.sources.warehouse.BUCKET_ROWS", 1)
-    warehouse = Warehouse(spark, scratch_path(spark, "w"), buckets=2)
-    rows = [("a", str(i), 1.0, T1) for i in range(30)]
-    warehouse.upsert("fact_invoice", invoices(spark, *rows))
-    warehouse.upsert("fact_invoice", invoices(spark, ("a", "3", 5.0, T1), ("a", "x", 1.0, T1)))
-    assert {r["buckets"] for r in warehouse._manifest("fact_invoice")} == {16}
-    assert warehouse.table("fact_invoice").count() == 31
-    assert float(warehouse.table("fact_invoice").where("invoice_id = '3'").first().total_amount) == 5.0
+    assert content(warehouse) == [("a", "1", 4.0)]
+
+
+@pytest.mark.parametrize("table, match", [
+    ("fact_invoice", ["client_id", "invoice_id"]), ("fact_invoice_line", ["client_id", "invoice_id", "line_id"]),
+    ("report_rows", ["client_id", "report_table", "start_period", "end_period"])])
+def test_the_target_is_not_shuffled(spark, table, match):
+    """In the merge and in the search for newer rows, only the batch is exchanged."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    rows = spark.range(3000).select(*(
+        F.expr(f"try_cast(CAST(id AS string) AS {dtype})").alias(c) for c, dtype in columns(table) if "<" not in dtype))
+    warehouse.replace(table, rows)
+    target = warehouse._stored(table).where(F.col("slice").isin([0, 1, 2]))
+    batch = materialize(target.limit(100), "batch")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (merging.merge(target, batch, match, bucket_columns(table)),
+                   merging.without_stale(target, batch, match, "_version", bucket_columns(table))):
+            final = df._jdf.queryExecution().executedPlan().toString()
+            scans = re.split(r"\n", final)
+            depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in scans]
+            at = [i for i, line in enumerate(scans) if "Bucketed: true" in line]
+            assert at, final
+            for i in at:
+                level, above = depth[i], []
+                for j in range(i - 1, -1, -1):
+                    if depth[j] < level:
+                        level = depth[j]
+                        above.append(scans[j])
+                        if "Join" in scans[j]:
+                            break
+                assert "Join" in above[-1] and not any("Exchange" in a for a in above), final
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_later_session_finds_the_tables(spark, warehouse):
+    """The catalog of a session ends with it; folders are registered again."""
+    warehouse.upsert("fact_invoice", invoices(spark, *(("a", str(i), 1.0, T1) for i in range(30))))
+    spark.sql(f"DROP TABLE {warehouse._name('fact_invoice')}")
+    again = Warehouse(spark, warehouse.root)
+    assert again.table("fact_invoice").count() == 30
+    again.upsert("fact_invoice", invoices(spark, ("a", "3", 5.0, T1), ("b", "x", 1.0, T1)))
+    assert again.table("fact_invoice").count() == 31
+    assert float(again.table("fact_invoice").where("invoice_id = '3'").first().total_amount) == 5.0
 
 
 def test_replace(spark, warehouse):
