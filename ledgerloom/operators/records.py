@@ -194,8 +194,16 @@ def target_table(entity: str) -> str:
     return ENTITY_TABLES[entity]
 
 
+def parsed_once(raw: DataFrame, entity: str) -> DataFrame:
+    """Records of one entity as struct `r` beside the reason why a record is refused, and the text of
+    refused ones. Written once, it stands for `raw` in all functions below, which then parse nothing."""
+    return _read(raw, entity).withColumn("record", F.when(F.col("reason").isNotNull(), F.col("record")))
+
+
 def _read(raw: DataFrame, entity: str) -> DataFrame:
     chosen = raw.where(F.col("source_name") == entity)
+    if "reason" in raw.columns:
+        return chosen
     return with_parsed(chosen, "r", "record", layout(entity)).withColumn(
         "reason", F.when(is_damaged("r"), F.lit(DAMAGED))
         .when(F.coalesce(F.trim("r.Id"), F.lit("")) == "", F.lit(KEYLESS)))

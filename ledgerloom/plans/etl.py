@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.blank import sum_if
 from ..functions.parsing import is_damaged, with_parsed
@@ -60,50 +60,51 @@ def with_item_accounts(lines: DataFrame, entity: str, warehouse: Warehouse) -> D
     return filled.select(lines.columns)
 
 
-def load_entity(raw: DataFrame, entity: str, warehouse: Warehouse) -> None:
-    """Upserts an entity's headers and lines. The upsert itself keeps the last version per key,
-    so the mapped rows go in directly."""
+def load_entity(raw: DataFrame, entity: str, warehouse: Warehouse) -> DataFrame:
+    """Upserts an entity's headers and lines, and returns its records, which are parsed once and
+    written. The upsert itself keeps the last version per key, so the mapped rows go in directly."""
+    parsed = materialize(records.parsed_once(raw, entity), f"parsed-{entity.lower()}")
     table = records.target_table(entity)
-    headers = with_date_keys(records.map_records(raw, entity), table)
+    headers = with_date_keys(records.map_records(parsed, entity), table)
     warehouse.upsert(table, headers, [F.col("ord")], version=F.col("ord.ts"))
     if entity in LINE_TABLES:
-        lines = with_item_accounts(records.flatten_lines(raw, entity), entity, warehouse)
+        lines = with_item_accounts(records.flatten_lines(parsed, entity), entity, warehouse)
         warehouse.upsert(
             LINE_TABLES[entity], lines, [F.col("ord")], version=F.col("ord.ord.ts"))
+    return parsed
 
 
-def load_entities(raw: DataFrame, warehouse: Warehouse) -> None:
-    """Loads every known entity that occurs in the raw rows. `raw` should be a written table
-    (an archive), since each entity scans its own part of it."""
+def load_entities(raw: DataFrame, warehouse: Warehouse) -> dict[str, DataFrame]:
+    """Loads every known entity that occurs in the raw rows, and returns their parsed records. `raw`
+    should be a written table (an archive), since each entity scans its own part of it."""
     known = raw.where(F.col("source_name").isin(*ENTITY_TABLES))
     present = {row.source_name for row in known.select("source_name").distinct().collect()}
-    for entity in ENTITY_TABLES:
-        if entity in present:
-            load_entity(raw, entity, warehouse)
+    return {entity: load_entity(raw, entity, warehouse) for entity in ENTITY_TABLES if entity in present}
 
 
-def refused(raw: DataFrame) -> DataFrame:
+def refused(raw: DataFrame, parsed: dict[str, DataFrame]) -> DataFrame:
     """What a load leaves out, with the reason: damaged and keyless records, damaged and unknown
     reports, unknown sources."""
     reports_like = F.col("source_name").rlike(reports.SOURCE)
     unknown = raw.where(~F.col("source_name").isin(*ENTITY_TABLES) & ~reports_like).withColumn(
         "reason", F.lit("unknown source"))
-    present = [r[0] for r in raw.where(F.col("source_name").isin(*ENTITY_TABLES))
-               .select("source_name").distinct().collect()]
-    parts = [unknown, reports.refused(raw), *(records.quarantine(raw, e) for e in present)]
+    parts = [unknown, reports.refused(raw), *(records.quarantine(p, e) for e, p in parsed.items())]
     return union([p.select("client_id", "source_name", "ord", "record", "reason") for p in parts])
 
 
 def load_all(raw: DataFrame, warehouse: Warehouse, batch: str = "single") -> DataFrame:
     """Loads entities and reports of all tenants, writes what is refused to the quarantine and
-    returns the run summary. Refused records do not stop others."""
-    load_entities(raw, warehouse)
+    returns the run summary. Refused records do not stop others. A record is parsed once: headers,
+    lines, quarantine and summary come from the same written frame."""
+    parsed = load_entities(raw, warehouse)
     load_reports(raw, warehouse)
     path = f"{warehouse.root}/quarantine/batch_id={batch}"
-    refused(raw).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    refused(raw, parsed).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     counts = raw.sparkSession.read.schema(QUARANTINE).parquet(path).groupBy(
         "client_id", "source_name").agg(F.count(F.lit(1)).alias("refused"))
-    return run_summary(raw).join(counts, ["client_id", "source_name"], "left").withColumn(
+    summaries = [run_summary(raw.where(~F.col("source_name").isin(*ENTITY_TABLES)))]
+    summaries += [_summary(p, F.col("reason") == records.DAMAGED) for p in parsed.values()]
+    return union(summaries).join(counts, ["client_id", "source_name"], "left").withColumn(
         "refused", F.coalesce("refused", F.lit(0)))
 
 
@@ -219,12 +220,12 @@ def run_summary(raw: DataFrame) -> DataFrame:
     A record counts as damaged when its text is not one JSON object; layout errors of single
     entities are listed by `records.quarantine`.
     """
-    return (
-        with_parsed(raw, "r", "record", "Id string")
-        .groupBy("client_id", "source_name")
-        .agg(
-            F.count(F.lit(1)).alias("records"),
-            F.count(F.when(is_damaged("r"), F.lit(1))).alias("damaged"),
-            F.max("ord.ts").alias("last_pull"),
-        )
+    return _summary(with_parsed(raw, "r", "record", "Id string"), is_damaged("r"))
+
+
+def _summary(rows: DataFrame, damaged: Column) -> DataFrame:
+    return rows.groupBy("client_id", "source_name").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count(F.when(damaged, F.lit(1))).alias("damaged"),
+        F.max("ord.ts").alias("last_pull"),
     )

@@ -1,11 +1,15 @@
 """Daily loads from landed files."""
 
+import datetime as dt
 import json
 
 from ledgerloom.plans import etl
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import archive
 from ledgerloom.sources.warehouse import Warehouse
+from test_records import ORD
+
+T = dt.datetime(2024, 1, 1, 11)
 
 
 def land(root, client, source, stamp, content):
@@ -75,3 +79,23 @@ def test_payment_lines_without_an_invoice_stay_apart(spark, tmp_path):
     etl.daily_load(spark, str(landed), archived, root)
     lines = Warehouse(spark, root).table("fact_payment_line").collect()
     assert sorted((r.line_num, float(r.amount), r.linked_invoice_id) for r in lines) == [(1, 10.0, None), (2, 20.0, None)]
+
+
+def test_records_are_parsed_once(spark, monkeypatch):
+    """Headers, lines, quarantine and summary of a load read one written frame per entity."""
+    from ledgerloom.operators import records
+
+    parses = []
+    parse = records.with_parsed
+    monkeypatch.setattr(records, "with_parsed", lambda *a: parses.append(a[2]) or parse(*a))
+    raw = spark.createDataFrame(
+        [("a", "Invoice", (T, 0, n, 0), text) for n, text in enumerate(['{"Id":"1","TotalAmt":5,"Line":[{"Id":"1","Amount":5,"DetailType":"SalesItemLineDetail"}]}', '{"Id":', "{}"])]
+        + [("a", "Bill", (T, 0, 0, 0), '{"Id":"7"}')], f"client_id string, source_name string, ord {ORD}, record string")
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    summary = etl.load_all(raw, warehouse)
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert len(parses) == 2
+    assert plan.count("from_json") <= 1  # sources that are no entity
+    assert sorted((r.source_name, r.records, r.damaged, r.refused) for r in summary.collect()) == [("Bill", 1, 0, 0), ("Invoice", 3, 1, 2)]
+    assert sorted(r.reason for r in etl.quarantine(warehouse).collect()) == [records.DAMAGED, records.KEYLESS]
+    assert warehouse.table("fact_invoice_line").count() == 1
