@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .loads import LOADS
-from .plans import measures as m, reports as r
+from .operators.merge import union
+from .plans import measures as m, reports as r, rollup
 from .sources.star import AS_OF, PartAccounts, StarTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +125,50 @@ REPORTS: dict[str, Query] = {
     "v_reconcile": over_star(r.reconcile),
 }
 
+# Scalar measures per tenant that the stored aggregates answer: registered key and value column.
+ROLLED = {
+    "total_revenue": "total_revenue", "revenue_mtd": "revenue", "revenue_qtd": "revenue", "revenue_ytd": "revenue",
+    "avg_invoice": "average_invoice", "invoice_count": "invoice_count", "revenue_per_customer": "revenue_per_customer",
+    "expenses_bills": "bill", "expenses_purchases": "purchase", "total_expenses": "total_expenses",
+    "expenses_mtd": "expenses", "expenses_ytd": "expenses", "expense_ratio": "expense_ratio", "net_income": "net_income",
+    "net_income_ytd": "net_income", "net_margin": "net_margin",
+}
+
+
+def rolled_measures(held: rollup.Rollup) -> DataFrame:
+    """The measures of ROLLED in long form, all from one set of aggregates."""
+    of_key = {
+        "total_revenue": m.revenue(held),
+        **{f"revenue_{n}": m.revenue_in_period(held, AS_OF, g) for n, g in (("mtd", "MM"), ("qtd", "QUARTER"), ("ytd", "YEAR"))},
+        **dict.fromkeys(("avg_invoice", "invoice_count"), m.invoice_measures(held)),
+        "revenue_per_customer": m.revenue_per_customer(held),
+        "expenses_bills": m.totals(held, "bill"), "expenses_purchases": m.totals(held, "purchase"), "total_expenses": m.expenses(held),
+        "expenses_mtd": m.expenses_to_date(held, AS_OF, "MM"), "expenses_ytd": m.expenses_to_date(held, AS_OF, "YEAR"),
+        **dict.fromkeys(("expense_ratio", "net_income", "net_margin"), m.profit(held)),
+        "net_income_ytd": m.net_income_to_date(held, AS_OF),
+    }
+    return union([
+        of_key[key].select("client_id", F.lit(key).alias("measure"), F.col(value).cast("double").alias("value")) for key, value in ROLLED.items()])
+
+
+def over_rollup(build: Callable[[rollup.Rollup], DataFrame]) -> Query:
+    """A query over the stored aggregates of the star tables of a folder."""
+    return over_star(lambda star: build(rollup.build(star)))
+
+
+ROLLUPS: dict[str, Query] = {
+    "rollup_measures": over_rollup(rolled_measures),
+    "rollup_customers": over_rollup(rollup.customers_by_grain),
+    "rollup_revenue_mom": over_rollup(lambda h: m.revenue_against(h, 1)),
+    "rollup_revenue_yoy": over_rollup(lambda h: m.revenue_against(h, 12)),
+    "rollup_rev_exp_12m": over_rollup(lambda h: r.revenue_and_expenses(h, AS_OF)),
+    "rollup_revenue_by_item": over_rollup(r.revenue_by_item_type),
+    "rollup_customer_ranking": over_rollup(r.customer_ranking),
+    "rollup_pnl_matrix": over_rollup(r.pnl_matrix),
+    "rollup_pnl_waterfall": over_rollup(r.pnl_waterfall),
+    "rollup_pnl_grains": over_rollup(r.pnl_by_grain),
+}
+
 QUERIES: dict[str, Query] = {
-    **{name: over_star(build) for name, build in LOADS.items()}, **MEASURES, **REPORTS,
+    **{name: over_star(build) for name, build in LOADS.items()}, **MEASURES, **REPORTS, **ROLLUPS,
 }

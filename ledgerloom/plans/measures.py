@@ -17,6 +17,7 @@ from ..functions.dates import days_into_year, month, to_date_window
 from ..operators import aging
 from ..operators.merge import union
 from ..operators.periods import with_prior
+from .rollup import Rollup
 
 TENANT = ["client_id"]
 COST_OF_GOODS = "Cost of Goods Sold"
@@ -57,6 +58,9 @@ def movements(model, *kinds: str, dated: bool = True, when: When | None = None)
     """(client_id, kind, amount[, txn_date]) of revenue, bill, purchase and payment amounts, all
     or those whose date meets a condition."""
     date = ["txn_date"] if dated else []
+    if isinstance(model, Rollup):
+        held = model.amounts(*kinds)
+        return (held if when is None else held.where(when(F.col("txn_date")))).select("client_id", "kind", "amount", *date)
 
     def lines(table, header, key):
         if dated:
@@ -99,7 +103,7 @@ def expenses_of(df: DataFrame) -> Column:
 # -- revenue --------------------------------------------------------------------------------
 
 def revenue(model) -> DataFrame:
-    return model.table("fact_invoice_line", "client_id", "amount").groupBy(*TENANT).agg(
+    return movements(model, "revenue", dated=False).groupBy(*TENANT).agg(
         F.sum("amount").alias("total_revenue")
     )
 
@@ -138,19 +142,28 @@ def revenue_against(model, months: int) -> DataFrame:
 
 
 def invoice_measures(model) -> DataFrame:
-    df = model.table(
-        "fact_invoice", "client_id", "customer_id", "total_amount", "total_tax"
-    ).groupBy(*TENANT).agg(
-        F.sum("total_amount").alias("invoiced"), F.count(F.lit(1)).alias("invoice_count"),
-        F.sum("total_tax").alias("total_tax"), F.count("total_amount").alias("priced"),
-    )
+    if isinstance(model, Rollup):
+        df = model.documents.where("kind = 'revenue' AND documents IS NOT NULL").groupBy(*TENANT).agg(
+            F.sum("total_amount").alias("invoiced"), F.sum("documents").alias("invoice_count"),
+            F.sum("total_tax").alias("total_tax"), F.sum("priced").alias("priced"),
+        )
+    else:
+        df = model.table(
+            "fact_invoice", "client_id", "customer_id", "total_amount", "total_tax"
+        ).groupBy(*TENANT).agg(
+            F.sum("total_amount").alias("invoiced"), F.count(F.lit(1)).alias("invoice_count"),
+            F.sum("total_tax").alias("total_tax"), F.count("total_amount").alias("priced"),
+        )
     return df.withColumn("average_invoice", mean(df.invoiced, df.priced))
 
 
 def revenue_per_customer(model) -> DataFrame:
-    customers = model.table("fact_invoice", "client_id", "customer_id").groupBy(*TENANT).agg(
-        blank.distinct_with_null(F.col("customer_id")).alias("customers")
-    )
+    if isinstance(model, Rollup):
+        customers = model.distinct_customers()
+    else:
+        customers = model.table("fact_invoice", "client_id", "customer_id").groupBy(*TENANT).agg(
+            blank.distinct_with_null(F.col("customer_id")).alias("customers")
+        )
     df = revenue(model).join(customers, TENANT, "full")
     return df.select(
         "client_id", "total_revenue", "customers",
@@ -256,10 +269,11 @@ def net_income_to_date(model, as_of, grain: str = "YEAR") -> DataFrame:
 
 def cost_of_goods(model) -> DataFrame:
     """Bill lines booked to cost accounts, summed per account before the account join."""
-    spent = (
-        model.table("fact_bill_line", "client_id", "account_id", "amount")
-        .groupBy("client_id", "account_id").agg(F.sum("amount").alias("amount"))
-    )
+    if isinstance(model, Rollup):
+        lines = model.activity.where("kind = 'bill'")
+    else:
+        lines = model.table("fact_bill_line", "client_id", "account_id", "amount")
+    spent = lines.groupBy("client_id", "account_id").agg(F.sum("amount").alias("amount"))
     accounts = model.table("dim_account", "client_id", "account_id", "account_type").where(
         F.col("account_type") == COST_OF_GOODS
     )

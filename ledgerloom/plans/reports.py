@@ -19,6 +19,7 @@ from ..operators.periods import with_prior
 from ..operators.ranking import rank_within, top_n
 from . import measures as m
 from .measures import TENANT, dated_lines, movements, of, paid_purchases
+from .rollup import Rollup
 
 
 # Account types that are current assets.
@@ -54,10 +55,11 @@ def revenue_and_expenses(model, as_of) -> DataFrame:
 
 def revenue_by_item_type(model) -> DataFrame:
     """Revenue per item category; lines are summed per item before the item join."""
-    items = (
-        model.table("fact_invoice_line", "client_id", "item_id", "amount")
-        .groupBy("client_id", "item_id").agg(F.sum("amount").alias("amount"))
-    )
+    if isinstance(model, Rollup):
+        lines = model.activity.where("kind = 'revenue'")
+    else:
+        lines = model.table("fact_invoice_line", "client_id", "item_id", "amount")
+    items = lines.groupBy("client_id", "item_id").agg(F.sum("amount").alias("amount"))
     return named(items, model, "dim_item", "item_id", "item_type").groupBy(
         *TENANT, "item_type"
     ).agg(F.sum("amount").alias("revenue"))
@@ -66,6 +68,13 @@ def revenue_by_item_type(model) -> DataFrame:
 def customer_revenue(model) -> DataFrame:
     """Revenue and invoice count per customer, from invoices that have lines. Lines without a
     header count under a blank customer."""
+    if isinstance(model, Rollup):
+        revenue = model.activity.where("kind = 'revenue'").select(
+            "client_id", "party_id", F.col("amount").alias("revenue"), F.lit(None).cast("long").alias("invoice_count"))
+        counts = model.documents.where("kind = 'revenue' AND with_lines IS NOT NULL").select(
+            "client_id", "party_id", F.lit(None).cast("decimal(18,2)").alias("revenue"), F.col("with_lines").alias("invoice_count"))
+        return revenue.unionByName(counts).groupBy(*TENANT, F.col("party_id").alias("customer_id")).agg(
+            F.sum("revenue").alias("revenue"), F.sum("invoice_count").alias("invoice_count"))
     lines = (
         model.table("fact_invoice_line", "client_id", "invoice_id", "amount")
         .groupBy("client_id", "invoice_id").agg(F.sum("amount").alias("amount"))
@@ -106,6 +115,8 @@ def summary_cards(model, as_of) -> DataFrame:
 
 def account_activity(model, *kinds: str) -> DataFrame:
     """(client_id, account_id, txn_date, amount) of income and expense lines."""
+    if isinstance(model, Rollup):
+        return model.activity.where(of(*kinds)).select("client_id", "account_id", "txn_date", "amount")
     sources = {
         "revenue": lambda: dated_lines(
             model, "fact_invoice_line", "fact_invoice", "invoice_id", "account_id"),
