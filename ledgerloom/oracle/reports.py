@@ -268,12 +268,18 @@ SELECT client_id, month_end, {money('billed')} AS billed,
   CASE WHEN billed > 0 AND days > 0 THEN round({money('ap')} / ({money('billed')} / days), 6) END
     AS dpo FROM y"""),
     "v_ap_by_category": star(f"""
-SELECT l.client_id, account_type, round(sum({money('balance')} * {money('amount')}
-  / {money('total_amount')}), 2) AS open_amount
-FROM fact_bill_line l JOIN fact_bill b USING (client_id, bill_id)
-  LEFT JOIN (SELECT client_id, account_id, account_type FROM dim_account) a
-    USING (client_id, account_id)
-WHERE balance > 0 AND total_amount <> 0 GROUP BY ALL"""),
+, l AS (SELECT client_id, bill_id, account_id, CAST(round(sum(amount) * 100) AS HUGEINT) AS part FROM fact_bill_line GROUP BY ALL),
+j AS (SELECT b.client_id, b.bill_id, account_id, CAST(round(balance * 100) AS HUGEINT) AS cents, coalesce(part, 0) AS part,
+    sum(coalesce(part, 0)) OVER (PARTITION BY b.client_id, b.bill_id) AS whole
+  FROM fact_bill b LEFT JOIN l USING (client_id, bill_id) WHERE balance > 0),
+q AS (SELECT *, CASE WHEN whole = 0 THEN 0 ELSE (cents * part - (((cents * part) % whole) + whole) % whole) // whole END AS low,
+    CASE WHEN whole = 0 THEN 0 ELSE (((cents * part) % whole) + whole) % whole END AS remainder FROM j),
+s AS (SELECT client_id, CASE WHEN whole <> 0 THEN account_id END AS account_id, CASE WHEN whole = 0
+    THEN CASE WHEN row_number() OVER (PARTITION BY client_id, bill_id ORDER BY account_id NULLS FIRST) = 1 THEN cents ELSE 0 END
+    ELSE low + CASE WHEN row_number() OVER (PARTITION BY client_id, bill_id ORDER BY remainder DESC, account_id NULLS FIRST)
+      <= cents - sum(low) OVER (PARTITION BY client_id, bill_id) THEN 1 ELSE 0 END END AS share FROM q)
+SELECT s.client_id, coalesce(account_type, 'Unassigned') AS account_type, CAST(sum(share) / 100.0 AS DOUBLE) AS open_amount
+FROM s LEFT JOIN dim_account a ON a.client_id = s.client_id AND a.account_id = s.account_id GROUP BY ALL"""),
     "v_revenue_cumulative": star(f"""
 , mm AS (SELECT client_id, {MONTH_OF} AS month, sum(amount) AS r FROM fact_invoice_line GROUP BY ALL)
 SELECT client_id, month, {money('r')} AS revenue,

@@ -13,6 +13,7 @@ from ..functions import blank
 from ..functions.blank import blank_add, blank_sub, divide, mean, sum_if
 from ..functions.dates import day, days_late, month
 from ..operators import aging, history
+from ..operators.apportion import apportioned, cents
 from ..operators.hierarchy import hierarchy, rolled_up
 from ..operators.merge import union
 from ..operators.periods import with_prior
@@ -114,7 +115,8 @@ def summary_cards(model, as_of) -> DataFrame:
 # -- profit and loss --------------------------------------------------------------------------
 
 def account_activity(model, *kinds: str) -> DataFrame:
-    """(client_id, account_id, txn_date, amount) of income and expense lines."""
+    """(client_id, account_id, txn_date, amount) of income and expense lines; those without a header
+    have a blank date."""
     if isinstance(model, Rollup):
         return model.activity.where(of(*kinds)).select("client_id", "account_id", "txn_date", "amount")
     sources = {
@@ -127,9 +129,9 @@ def account_activity(model, *kinds: str) -> DataFrame:
             .groupBy("client_id", "purchase_id", "account_id")
             .agg(F.sum("amount").alias("amount"))
             .join(
-                paid_purchases(model, "client_id", "purchase_id", "txn_date"),
-                ["client_id", "purchase_id"],
-            )
+                model.table("fact_purchase", "client_id", "purchase_id", "txn_date", "is_credit"),
+                ["client_id", "purchase_id"], "left",
+            ).where(~F.coalesce("is_credit", F.lit(False)))
         ),
     }
     return union([
@@ -345,7 +347,8 @@ def cash_trend(model, as_of, grain: str = "DAY") -> DataFrame:
 
 
 def cash_by_party(model) -> DataFrame:
-    """Inflow per customer and outflow per expense account type."""
+    """Inflow per customer and outflow per expense account type. The outflow adds up to the purchases:
+    what their lines lack, or have too much, is "Unassigned", as are lines without a known account."""
     paid = model.table("fact_payment", "client_id", "customer_id", "total_amount").groupBy(
         "client_id", "customer_id"
     ).agg(F.sum("total_amount").alias("amount"))
@@ -353,19 +356,21 @@ def cash_by_party(model) -> DataFrame:
         "client_id", F.lit("in").alias("direction"), F.col("customer_id").alias("party_id"),
         F.col("display_name").alias("party"), "amount",
     )
-    lines = (
-        model.table("fact_purchase_line", "client_id", "purchase_id", "account_id", "amount")
-        .join(paid_purchases(model, "client_id", "purchase_id"), ["client_id", "purchase_id"])
-        .groupBy("client_id", "account_id").agg(F.sum("amount").alias("amount"))
-    )
+    key = ["client_id", "purchase_id"]
+    lines = model.table("fact_purchase_line", *key, "account_id", "amount").groupBy(*key, "account_id").agg(
+        F.sum("amount").alias("amount"))
+    purchases = paid_purchases(model, *key, "total_amount")
+    booked = lines.join(purchases.select(*key), key).select(*key, "account_id", "amount")
+    # per purchase, its total less its lines; a total of zero for one without a header cannot occur here
+    rest = purchases.select(*key, F.col("total_amount").alias("amount")).unionByName(
+        booked.select(*key, (-F.col("amount")).alias("amount"))).groupBy(*key).agg(F.sum("amount").alias("amount")).where("amount <> 0")
+    spent = booked.drop("purchase_id").unionByName(
+        rest.select("client_id", F.lit(None).cast("string").alias("account_id"), "amount"))
+    sums = spent.groupBy("client_id", "account_id").agg(F.sum("amount").alias("amount"))
     outflow = (
-        named(lines, model, "dim_account", "account_id", "account_type")
-        .groupBy("client_id", "account_type").agg(F.sum("amount").alias("amount"))
-        .select(
-            "client_id", F.lit("out").alias("direction"),
-            F.lit(None).cast("string").alias("party_id"), F.col("account_type").alias("party"),
-            "amount",
-        )
+        named(sums, model, "dim_account", "account_id", "account_type")
+        .groupBy("client_id", F.coalesce("account_type", F.lit(UNASSIGNED)).alias("party")).agg(F.sum("amount").alias("amount"))
+        .select("client_id", F.lit("out").alias("direction"), F.lit(None).cast("string").alias("party_id"), "party", "amount")
     )
     return inflow.unionByName(outflow)
 
@@ -526,21 +531,21 @@ def dpo_trend(model, as_of) -> DataFrame:
 
 
 def payables_by_category(model) -> DataFrame:
-    """Open bill balances per expense account type, split over a bill's lines by amount."""
-    lines = (
-        model.table("fact_bill_line", "client_id", "bill_id", "account_id", "amount")
-        .groupBy("client_id", "bill_id", "account_id").agg(F.sum("amount").alias("amount"))
-    )
-    bills = m.open_items(model, "fact_bill", "bill_id", "total_amount")
-    share = F.col("balance").cast("double") * F.col("amount").cast("double") / F.col(
-        "total_amount").cast("double")
-    open_by_account = (
-        lines.join(bills.where("total_amount <> 0"), ["client_id", "bill_id"])
-        .groupBy("client_id", "account_id").agg(F.sum(share).alias("open_amount"))
-    )
-    return named(open_by_account, model, "dim_account", "account_id", "account_type").groupBy(
-        *TENANT, "account_type"
-    ).agg(F.round(F.sum("open_amount"), 2).alias("open_amount"))
+    """Open bill balances per expense account type, split over a bill's lines by amount.
+
+    Balances are split in whole cents by largest remainder, so a bill's parts add up to its balance and
+    the categories to the open total. A bill without lines, or whose lines add up to nothing, is
+    "Unassigned", as are lines without a known account.
+    """
+    key = ["client_id", "bill_id"]
+    lines = model.table("fact_bill_line", *key, "account_id", "amount").groupBy(*key, "account_id").agg(
+        cents(F.coalesce(F.sum("amount"), F.lit(0))).alias("part"))
+    bills = m.open_items(model, "fact_bill", "bill_id").select(*key, cents(F.col("balance")).alias("balance"))
+    split = apportioned(bills.join(lines, key, "left"), key, "balance", "part", "account_id")
+    sums = split.groupBy("client_id", "account_id").agg(F.sum("share").alias("cents"))
+    return named(sums, model, "dim_account", "account_id", "account_type").groupBy(
+        *TENANT, F.coalesce("account_type", F.lit(UNASSIGNED)).alias("account_type")
+    ).agg((F.sum("cents") / 100).cast("decimal(18,2)").alias("open_amount"))
 
 
 # -- revenue ----------------------------------------------------------------------------------------

@@ -37,10 +37,9 @@ def build(model) -> "Rollup":
     """Writes the aggregates of a model."""
     revenue = document_lines(model, "fact_invoice_line", "fact_invoice", "invoice_id", "customer_id")
     bills = document_lines(model, "fact_bill_line", "fact_bill", "bill_id", "vendor_id")
-    # a missing flag counts as not a credit; lines of credits and of no purchase take no part
-    spent = document_lines(model, "fact_purchase_line", "fact_purchase", "purchase_id", "vendor_id", "is_credit", "total_amount")
-    known = model.table("fact_purchase", "client_id", "purchase_id").withColumnRenamed("purchase_id", "id")
-    paid = spent.where(~F.coalesce("is_credit", F.lit(False))).join(known, ["client_id", "id"], "left_semi")
+    # a missing flag counts as not a credit
+    spent = document_lines(model, "fact_purchase_line", "fact_purchase", "purchase_id", "vendor_id", "is_credit")
+    paid = spent.where(~F.coalesce("is_credit", F.lit(False)))
     wanted = ("client_id", "id", "txn_date", "party_id", "account_id", "item_id", "amount", "lines")
     lines = materialize(union([
         df.select(F.lit(kind).alias("kind"), *wanted) for kind, df in (("revenue", revenue), ("bill", bills), ("purchase", paid))]), "document-lines")
