@@ -197,6 +197,18 @@ def report_pivot(star: StarTables) -> DataFrame:
         "client_id", "report_table", "section", "row_type", "row_ord", *REPORT_TITLES)
 
 
+def report_titles(star: StarTables) -> DataFrame:
+    """Wide report tables with the titles of the data: two years whose month columns differ by year and
+    tenant, published one after the other and read together; listed as a row per column of a row."""
+    root = scratch_path(star.spark, "report-tables")
+    for year in (1997, 1998):
+        report_rows.publish(materialize(etl.pulled_report_rows(docs.monthly_sales(star, year)), "report-rows"), root)
+    wide = report_rows.wide_table(star.spark, root, "report_profitandlosscash").drop("_row_ord")
+    keys = [c for c in wide.columns if c.startswith(report_rows.MARK)]
+    cells = wide.unpivot(keys, [c for c in wide.columns if c not in keys], "title", "value").where("value IS NOT NULL")
+    return cells.withColumnsRenamed({k: k.removeprefix(report_rows.MARK) for k in keys})
+
+
 # -- quality --------------------------------------------------------------------------------------
 
 def messy(star: StarTables, *variants: Column) -> DataFrame:
@@ -563,6 +575,7 @@ LOADS = {
     "flatten_journal_lines": flatten_journal_lines,
     "flatten_report": flatten_report,
     "report_pivot": report_pivot,
+    "report_titles": report_titles,
     "enforce_bool": enforce_bool,
     "enforce_float": enforce_float,
     "enforce_int": enforce_int,

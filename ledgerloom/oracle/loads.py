@@ -214,6 +214,25 @@ SELECT client_id, 'AgedReceivables' AS report_name, section, row_type, row_ord,
   unnest(["Status", "Invoices", "Total"]) AS value FROM rep"""),
     "report_pivot": star(ALL_YEARS + f"""
 SELECT client_id, 'report_agedreceivables' AS report_table, row_ord, {REPORT_COLUMNS} FROM rep"""),
+    "report_titles": star("""
+, o AS (SELECT o.client_id, n_name, c_mktsegment, year(order_date) AS y, strftime(order_date, '%b %Y') AS title, total
+  FROM ord o JOIN cust c ON o_custkey = c_custkey
+  WHERE year(order_date) IN (1997, 1998) AND month(order_date) % 5 <> length(o.client_id) % 5),
+t AS (SELECT DISTINCT client_id, y, title FROM o),
+s AS (SELECT client_id, n_name, c_mktsegment, y, sum(total) AS total, count(*) AS n FROM o GROUP BY ALL),
+m AS (SELECT client_id, n_name, c_mktsegment, title, sum(total) AS total FROM o GROUP BY ALL),
+n AS (SELECT client_id, n_name, y, sum(total) AS total FROM s GROUP BY ALL),
+x AS (
+  SELECT client_id, y, n_name, 'Data' AS row_type, 'Segment' AS title, c_mktsegment AS value FROM s
+  UNION ALL SELECT client_id, y, n_name, 'Data', 'Total', CAST(n AS VARCHAR) FROM s
+  UNION ALL SELECT s.client_id, s.y, s.n_name, 'Data', t.title, coalesce(CAST(m.total AS VARCHAR), '')
+    FROM s JOIN t ON t.client_id = s.client_id AND t.y = s.y LEFT JOIN m ON m.client_id = s.client_id
+      AND m.n_name = s.n_name AND m.c_mktsegment = s.c_mktsegment AND m.title = t.title
+  UNION ALL SELECT client_id, y, n_name, 'Summary', 'Segment', 'Total ' || n_name FROM n
+  UNION ALL SELECT client_id, y, n_name, 'Summary', 'Total', CAST(total AS VARCHAR) FROM n
+  UNION ALL SELECT n.client_id, n.y, n_name, 'Summary', title, '' FROM n JOIN t ON t.client_id = n.client_id AND t.y = n.y)
+SELECT client_id, 'MonthlySales' AS report_name, y || '-01-01' AS start_period, y || '-12-31' AS end_period,
+  n_name AS section, row_type, title, value FROM x"""),
     "etl_report": star(ALL_YEARS + f"""
 SELECT client_id, 'report_agedreceivables' AS report_table, row_ord, {REPORT_COLUMNS} FROM rep"""),
     "stream_refresh": star("""

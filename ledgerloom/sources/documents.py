@@ -352,6 +352,45 @@ def aged_receivables(star: StarTables, name: str = "AgedReceivables", year: int
     )
 
 
+def monthly_sales(star: StarTables, year: int) -> DataFrame:
+    """One nested report document per tenant: a section per nation, a data row per market segment, and a
+    column for each month in which the tenant sold. A tenant's sales of every fifth month are left out, so
+    columns differ by tenant; the total stands twice, the second time with the number of orders, and a
+    last cell is beyond the titles."""
+    orders = star.orders().where((F.year("order_date") == year) & (F.month("order_date") % 5 != F.length("client_id") % 5)).join(
+        star.customers().select(F.col("c_custkey").alias("o_custkey"), "n_name", "c_mktsegment"), "o_custkey")
+    month = F.date_format("order_date", "MMM yyyy")
+    sums = orders.groupBy("client_id", "n_name", "c_mktsegment", F.month("order_date").alias("n"), month.alias("month")).agg(
+        F.sum("total").alias("total"), F.count(F.lit(1)).alias("orders"))
+    months = sums.groupBy("client_id").agg(F.array_sort(F.collect_set(F.struct("n", "month"))).alias("months"))
+
+    def values(*columns):
+        return F.transform(F.concat(*columns), lambda v: F.struct(v.alias("value")))
+
+    def one(column):
+        return F.array(column.cast("string"))
+
+    by_segment = sums.groupBy("client_id", "n_name", "c_mktsegment").agg(
+        F.map_from_entries(F.collect_list(F.struct("month", F.col("total").cast("string")))).alias("cells"),
+        F.sum("total").alias("total"), F.sum("orders").alias("orders"))
+    cells = F.transform("months.month", lambda m: F.coalesce(F.element_at("cells", m), F.lit("")))
+    rows = by_segment.join(months, "client_id").select(
+        "client_id", "n_name", "months", "total", F.struct(F.lit("Data").alias("type"), values(
+            one(F.col("c_mktsegment")), cells, one(F.col("total")), one(F.col("orders")), one(F.lit("beyond"))).alias("ColData")).alias("row"))
+    sections = rows.groupBy("client_id", "n_name", "months").agg(F.sort_array(F.collect_list("row")).alias("Row"), F.sum("total").alias("total"))
+    node = F.struct(
+        F.lit("Section").alias("type"), F.struct(values(one(F.col("n_name"))).alias("ColData")).alias("Header"), F.struct("Row").alias("Rows"),
+        F.struct(values(one(F.concat(F.lit("Total "), "n_name")), F.transform("months", lambda m: F.lit("")), one(F.lit("")),
+                        one(F.col("total"))).alias("ColData")).alias("Summary"))
+    documents = sections.select("client_id", "months", node.alias("node")).groupBy("client_id", "months").agg(
+        F.sort_array(F.collect_list("node")).alias("Row"))
+    titles = F.concat(one(F.lit("Segment")), F.col("months.month"), F.array(F.lit("Total"), F.lit("Total")))
+    return record(
+        documents.withColumn("titles", F.transform(titles, lambda t: F.struct(t.alias("ColTitle")))), f"report_ProfitAndLossCash_{year}",
+        F.struct(F.lit("MonthlySales").alias("ReportName"), F.lit(f"{year}-01-01").alias("StartPeriod"), F.lit(f"{year}-12-31").alias("EndPeriod"))
+        .alias("Header"), F.struct(F.col("titles").alias("Column")).alias("Columns"), F.struct("Row").alias("Rows"))
+
+
 def journal_entries(star: StarTables) -> DataFrame:
     """A journal entry per payment: the bank is debited and receivables are credited, and a
     remark closes the entry."""

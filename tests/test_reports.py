@@ -120,3 +120,27 @@ def test_backfill_years(spark):
         ("report_CashFlow", document([data("now")])))
     rows = etl.backfill(raw, 2022, 2023).collect()
     assert sorted((r.report_year, r.cells[0].value) for r in rows) == [(2022, "2022"), (2023, "2023")]
+
+
+def test_wide_tables_have_the_titles_of_their_documents(spark):
+    """Columns that differ by tenant and year, equal titles, titles like key columns, cells beyond them."""
+    root = scratch_path(spark, "wide")
+
+    def load(*items):
+        report_rows.publish(etl.pulled_report_rows(raw_reports(spark, *items)), root)
+
+    load(("report_ProfitAndLoss", document([data("a", "1", "2", "3", "beyond")], ("Name", "Jan", "Jan", "_Section"))),
+         ("report_CashFlow", document([data("c", "9")], ("Name", "Total"), name="CashFlow")))
+    later = document([data("b", "5", "6")], ("Name", "Feb", "jan"), start="2025-01-01")
+    load(("report_ProfitAndLoss", later))
+    load(("report_ProfitAndLoss", document([data("b", "7")], ("Name", "Mar"), start="2025-01-01")))  # the year anew
+    wide = report_rows.wide_table(spark, root, "report_profitandloss")
+    names = {c for c in wide.columns if c.lstrip("_") not in report_rows.WIDE_KEYS}
+    assert names == {"Name", "Jan", "_Section (2)", "Mar"}
+    rows = {r.Name: (r.Jan, r["_Section (2)"], r.Mar, r._section) for r in wide.collect()}
+    assert rows == {"a": ("2", "3", None, ""), "b": (None, None, "7", "")}
+    assert set(report_rows.wide_table(spark, root, "report_cashflow").columns) >= {"Name", "Total"}
+
+
+def test_titles_that_differ_in_case_only():
+    assert report_rows.column_names(["Total", "total", "", "TOTAL"]) == {"Total": "Total", "total": "total (2)", "": "_", "TOTAL": "TOTAL (3)"}
