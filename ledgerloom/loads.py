@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .functions import coerce as c
-from .functions.dates import month
+from .functions.dates import date_key as date_key_of, month
 from .operators import records, relationships as rel, report_rows
 from .operators.access import visible_to
 from .operators.merge import union
@@ -102,6 +102,40 @@ def typed_scan_invoice(star: StarTables) -> DataFrame:
         "email_status", "print_status")
 
 
+# The typed columns checked in each of the twelve tables that are read from text.
+TYPED = {
+    "dim_date": ("date_key", "full_date", "day_of_week", "day_of_month", "month_num", "quarter_num", "year_num", "is_weekend"),
+    "dim_account": ("current_balance", "is_active", "is_sub_account"),
+    "dim_customer": ("balance", "is_active"),
+    "dim_vendor": ("balance", "is_active"),
+    "dim_item": ("unit_price", "purchase_cost", "is_active"),
+    "fact_invoice": ("txn_date", "due_date", "total_amount", "balance", "total_tax", "txn_date_key", "due_date_key"),
+    "fact_invoice_line": ("line_num", "amount", "quantity", "unit_price", "service_date"),
+    "fact_payment": ("txn_date", "total_amount", "unapplied_amount", "txn_date_key"),
+    "fact_bill": ("txn_date", "due_date", "total_amount", "balance", "txn_date_key", "due_date_key"),
+    "fact_bill_line": ("line_num", "amount"),
+    "fact_purchase": ("txn_date", "total_amount", "is_credit", "txn_date_key"),
+    "fact_estimate": ("txn_date", "total_amount", "txn_date_key"),
+}
+
+
+def typed_scan_tables(star: StarTables) -> DataFrame:
+    """Text copies of twelve tables read back with declared types: per typed column, the filled cells and
+    their sum (of dates as yyyymmdd, of flags the true ones)."""
+    out = []
+    for table, typed in TYPED.items():
+        source = dim_date(star) if table == "dim_date" else star.table(table)
+        text = materialize(source.select(*(F.col(x).cast("string").alias(x) for x in source.columns)), "text-copy")
+        df = typed_scan(text, table)
+        def number(name):
+            kind = df.schema[name].dataType.typeName()
+            return date_key_of(F.col(name)) if kind == "date" else F.col(name).cast("int" if kind == "boolean" else df.schema[name].dataType)
+        sums = df.agg(*(F.struct(
+            F.lit(c).alias("column_name"), F.count(c).alias("filled"), F.sum(number(c)).cast("decimal(38,4)").alias("total")).alias(c) for c in typed))
+        out.append(sums.select(F.lit(table).alias("table_name"), F.inline(F.array(*typed))))
+    return union(out)
+
+
 def dim_client(star: StarTables) -> DataFrame:
     """Customers registered as clients; every fourth is entered twice and the copy rejected."""
     key = F.col("c_custkey")
@@ -549,6 +583,7 @@ LOADS = {
     "report_scan": report_scan,
     "raw_archive_roundtrip": raw_archive_roundtrip,
     "typed_scan_invoice": typed_scan_invoice,
+    "typed_scan_tables": typed_scan_tables,
     "dim_client": dim_client,
     "dim_date": dim_date,
     "map_account": mapped("Account"),

@@ -77,6 +77,36 @@ def messy(name: str, *cases: str, kind: str) -> str:
   AS {name} FROM orders"""
 
 
+def typed_columns(table: str, source: str = "", **columns: str) -> str:
+    """Filled cells and sums of columns given as numbers."""
+    return "\n  UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{name}' AS column_name, count({expr}) AS filled, CAST(sum({expr}) AS DOUBLE) AS total "
+        f"FROM {source or table}" for name, expr in columns.items())
+
+
+def _day(date: str) -> str:
+    return f"CAST(strftime({date}, '%Y%m%d') AS INTEGER)"
+
+
+DATES = {"txn_date": _day("txn_date"), "due_date": _day("due_date"), "txn_date_key": _day("txn_date"), "due_date_key": _day("due_date")}
+DATED = {k: DATES[k] for k in ("txn_date", "txn_date_key")}
+TYPED = "\nUNION ALL ".join([
+    typed_columns("dim_date", "calendar", date_key=_day("d"), full_date=_day("d"), day_of_week="CAST(strftime(d, '%w') AS INTEGER)",
+                  day_of_month="day(d)", month_num="month(d)", quarter_num="quarter(d)", year_num="year(d)",
+                  is_weekend="CAST(dayofweek(d) IN (0, 6) AS INTEGER)"),
+    typed_columns("dim_account", current_balance="current_balance", is_active="1", is_sub_account="CAST(parent_account_id IS NOT NULL AS INTEGER)"),
+    typed_columns("dim_customer", balance="balance", is_active="1"), typed_columns("dim_vendor", balance="balance", is_active="1"),
+    typed_columns("dim_item", unit_price="unit_price", purchase_cost="CAST(NULL AS DOUBLE)", is_active="1"),
+    typed_columns("fact_invoice", **DATES, total_amount="total_amount", balance="balance", total_tax="total_tax"),
+    typed_columns("fact_invoice_line", line_num="line_num", amount="amount", quantity="quantity",
+                  unit_price="CAST(unit_price AS DECIMAL(18,2))", service_date=_day("service_date")),
+    typed_columns("fact_payment", **DATED, total_amount="total_amount", unapplied_amount="0"),
+    typed_columns("fact_bill", **DATES, total_amount="total_amount", balance="balance"),
+    typed_columns("fact_bill_line", line_num="CAST(line_id AS INTEGER)", amount="amount"),
+    typed_columns("fact_purchase", **DATED, total_amount="total_amount", is_credit="CAST(is_credit AS INTEGER)"),
+    typed_columns("fact_estimate", **DATED, total_amount="total_amount"),
+])
+
 LOADS = {
     "raw_entity_scan": star(f"""
 SELECT client_id, 'Invoice' AS source_name, invoice_id AS id, {money('total_amount')} AS total
@@ -110,6 +140,10 @@ SELECT client_id, invoice_id, doc_number, txn_date, due_date, customer_id,
   {money('total_amount')} AS total_amount, {money('balance')} AS balance,
   {money('total_tax')} AS total_tax, CAST(txn_date_key AS BIGINT) AS txn_date_key,
   CAST(due_date_key AS BIGINT) AS due_date_key FROM fact_invoice"""),
+    "typed_scan_tables": star(f"""
+, calendar AS (SELECT CAST(unnest(generate_series(a, b + INTERVAL 365 DAY, INTERVAL 1 DAY)) AS DATE) AS d
+  FROM (SELECT CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders))
+{TYPED}"""),
     "dim_client": """
 SELECT CAST(c_custkey AS VARCHAR) AS client_id, c_name AS client_name, 'pending' AS qbo_realm_id,
   c_mktsegment AS industry, DATE '1995-01-01' + CAST(c_custkey % 365 AS INTEGER) AS onboarded_date,
