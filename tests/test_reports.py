@@ -6,7 +6,7 @@ import pytest
 from ledgerloom.operators import report_rows
 from ledgerloom.plans import etl
 from ledgerloom.sources import reports
-from ledgerloom.sources.warehouse import Warehouse
+from ledgerloom.sources.warehouse import Warehouse, materialize
 from ledgerloom.session import scratch_path
 from test_records import DAY, ORD
 
@@ -88,6 +88,25 @@ def test_depth_has_no_bound(spark):
     assert sorted(names) == ["flat", "x"]
 
 
+def test_texts_are_parsed_once(spark):
+    """Deep or flat, a document's text is parsed in the scan and read as parts after it."""
+    row = data("x", "1", "1")
+    for i in range(5):
+        row = section(str(i), [row])
+    plans = []
+
+    def watched(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df, label)
+
+    scanned = materialize(reports.scan(raw_reports(spark, ("report_ProfitAndLoss", document([row])))), "scanned")
+    rows = report_rows.flatten_reports(scanned, watched)
+    assert rows.count() == 1
+    plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+    assert len(plans) == 8
+    assert not any("from_json" in p or "parse_json" in p for p in plans)
+
+
 def test_empty_and_unknown_reports(spark):
     raw = raw_reports(spark, ("report_ProfitAndLoss", {}), ("report_Nonsense", document(ROWS)))
     assert etl.report_rows(raw).count() == 0
