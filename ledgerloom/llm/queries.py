@@ -57,9 +57,8 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label")).where(fold(F.col("doc_id"), 3) != 1)
     model = toxicity.learn(with_small(docs.select("doc_id", "text"), labels, "doc_id"))
     held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
-    return docs.select(
-        "doc_id", held_out.alias("held_out"), toxicity.scored(docs, model, F.col("text")).alias("s")
-    ).select("doc_id", "held_out", "s.score", (F.col("s.score") >= TOXIC).cast("int").alias("predicted"), "s.hits")
+    return toxicity.score(docs, model, "text", "doc_id").select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"), "hits")
 
 
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,10 @@ stands. Terms are words that toxic texts have far oftener than chance allows, in
 `MIN_CONTEXTS` different neighbourhoods (copies of one text do not make a term). The terms form a
 trie; intersected with Levenshtein automata it becomes one deterministic automaton, built state by
 state as words need it, that accepts every word within a term's number of edits. Words that stand
-in other texts and are merely close to a term are exceptions.
+in other texts and are merely close to a term are exceptions. All words that meet these conditions
+are terms or exceptions, however many: conditions are joins and counts in Spark. Terms are the model
+that every task holds; exceptions stay a table, which the near matches of the scored texts are joined
+with.
 
 Each match is weighed by its term's log odds, its edits and its context: a window of `WINDOW` words
 on both sides tells a quotation (quotation marks around, words of reporting or naming) from abuse.
@@ -35,8 +38,6 @@ MIN_TEXTS = 3        # toxic texts that hold a term, at least
 MIN_CONTEXTS = 3     # different neighbourhoods of a term in them, at least
 MIN_LOG_ODDS = 3.0
 EDIT_SHARE = (1.0, 0.8, 0.6)  # weight of a match with 0, 1 and 2 edits, before the labels correct it
-MAX_TERMS = 5_000    # the strongest terms; bounds the lexicon that is broadcast
-MAX_EXCEPTIONS = 200_000
 WINDOW = 6           # words before and after a match that are its context
 FIT_ROWS = 20_000    # labelled rows, chosen by hash, on which the regression is fitted
 CACHE = 400_000      # words whose match a task remembers; bounds memory, not the result
@@ -71,7 +72,7 @@ class Lexicon:
     A state is a set of (trie node, edits so far). Transitions are computed when first needed.
     """
 
-    def __init__(self, terms, exceptions: set[str]):
+    def __init__(self, terms, exceptions: set[str] = frozenset()):
         self.terms, self.exceptions = list(terms), exceptions
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[list[int]] = [[]]   # terms that end at a node
@@ -172,21 +173,25 @@ def quotation(words: list[str], at: int) -> float:
     return min(1.0, 0.7 * marked + 0.3 * named)
 
 
+NEAR = "struct<word:string,edits:int,abuse:double,quoted:double,hits:long>"
 FIELDS = ["exact", "one", "two", "quoted", "hits"]
 
 
 def evidence(text: str, lexicon: Lexicon, weights: list[list[float]]) -> tuple:
-    """A text's summed abuse by number of edits, its summed quotation and its matches."""
+    """A text's abuse, quotation and matches by exact terms, and the same for each word near a term."""
     words = tokens(text)
     codes = lexicon.codes(words)
-    abuse, quoted = [0.0, 0.0, 0.0], 0.0
-    hits = np.flatnonzero(codes >= 0)
-    for at in hits.tolist():
+    exact, quoted, hits = 0.0, 0.0, 0
+    near: dict[str, list] = {}
+    for at in np.flatnonzero(codes >= 0).tolist():
         term, distance = divmod(int(codes[at]), 4)
-        share = quotation(words, at)
-        abuse[distance] += weights[term][distance] * (1 - share)
-        quoted += weights[term][distance] * share
-    return *abuse, quoted, len(hits)
+        share, weight = quotation(words, at), weights[term][distance]
+        if distance:
+            held = near.setdefault(word(words[at]), [distance, 0.0, 0.0, 0])
+            held[1], held[2], held[3] = held[1] + weight * (1 - share), held[2] + weight * share, held[3] + 1
+        else:
+            exact, quoted, hits = exact + weight * (1 - share), quoted + weight * share, hits + 1
+    return exact, quoted, hits, [{"word": w, "edits": d, "abuse": a, "quoted": q, "hits": n} for w, (d, a, q, n) in near.items()]
 
 
 def features(found: pd.DataFrame) -> np.ndarray:
@@ -220,17 +225,27 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield handed()
 
 
-def _contexts(candidates: set[str]):
-    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            seen = set()
-            for text in batch["text"]:
-                words = [word(w) for w in tokens(text)]
-                for i, w in enumerate(words):
-                    if w in candidates:
-                        seen.add((w, " ".join(words[max(0, i - 1) : i] + words[i + 1 : i + 2])))
-            yield pd.DataFrame(sorted(seen), columns=["word", "around"])
-    return found
+def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Neighbourhoods of each word, per batch no more different ones than a term must have."""
+    for batch in batches:
+        seen: dict[str, set[str]] = {}
+        for text in batch["text"]:
+            words = [word(w) for w in tokens(text)]
+            for i, w in enumerate(words):
+                held = seen.setdefault(w, set())
+                if len(held) < MIN_CONTEXTS:
+                    held.add(" ".join(words[max(0, i - 1) : i] + words[i + 1 : i + 2]))
+        yield pd.DataFrame([(w, a) for w, held in seen.items() if w for a in sorted(held)], columns=["word", "around"])
+
+
+class Words:
+    """A table of words."""
+
+    def __init__(self, table: DataFrame):
+        self.table = table.select("word").distinct()
+
+    def __contains__(self, plain: str) -> bool:
+        return not self.table.where(F.col("word") == plain).isEmpty()
 
 
 def learn(labelled: DataFrame) -> dict:
@@ -238,7 +253,8 @@ def learn(labelled: DataFrame) -> dict:
     rows = labelled.where("text IS NOT NULL AND label IS NOT NULL").select("doc_id", "text", F.col("label").cast("int"))
     sizes = dict(rows.groupBy("label").count().collect())
     toxic, other = sizes.get(1, 0), sizes.get(0, 0)
-    model = {"terms": {}, "exceptions": set(), "beta": None, "share": toxic / (toxic + other) if toxic else 0.0}
+    none = Words(rows.sparkSession.createDataFrame([], "word string"))
+    model = {"terms": {}, "exceptions": none, "beta": None, "share": toxic / (toxic + other) if toxic else 0.0}
     if not toxic or not other:
         return model
     counts = written(
@@ -248,55 +264,72 @@ def learn(labelled: DataFrame) -> dict:
     odds = (F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("other") + 0.5) / (other + 1)))
     # how unlikely it is that a word's texts are toxic by chance, against the words that can be terms
     surprise = (F.col("toxic") * math.log((toxic + other) / toxic) - F.col("other") * math.log((toxic + other) / other)) > math.log(max(vocabulary, 1)) + 1
-    strongest = (
-        counts.where(F.col("toxic") >= MIN_TEXTS).withColumn("odds", odds).where((F.col("odds") >= MIN_LOG_ODDS) & surprise)
-        .orderBy(F.desc("odds"), "word").limit(4 * MAX_TERMS).collect())
-    found = {r["word"]: r["odds"] for r in strongest}
+    strong = counts.where(F.col("toxic") >= MIN_TEXTS).withColumn("odds", odds).where((F.col("odds") >= MIN_LOG_ODDS) & surprise)
     around = (
-        rows.where("label = 1").mapInPandas(_contexts(set(found)), "word string, around string").distinct()
-        .groupBy("word").count().where(F.col("count") >= MIN_CONTEXTS).collect())
-    kept = sorted((r["word"] for r in around), key=lambda w: (-found[w], w))[:MAX_TERMS]
+        rows.where("label = 1").mapInPandas(_contexts, "word string, around string").distinct()
+        .groupBy("word").count().where(F.col("count") >= MIN_CONTEXTS))
+    # neighbourhoods decide before any word is handed on: words of copied texts are no terms, however many
+    found = dict(strong.join(around, "word", "left_semi").select("word", "odds").collect())
+    kept = sorted(found, key=lambda w: (-found[w], w))
     if not kept:
         return model
-    top = max(found[w] for w in kept)
+    top = found[kept[0]]
     model["terms"] = {w: [found[w] / top * s for s in EDIT_SHARE] for w in kept}
 
     def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lexicon = Lexicon(model["terms"], set())
+        lexicon = Lexicon(model["terms"])
         for batch in batches:
             rows = zip(batch["word"], batch["toxic"], batch["other"], map(lexicon.match, batch["word"]))
             yield pd.DataFrame([(w, t, o, lexicon.terms[m[0]], m[1]) for w, t, o, m in rows if m and m[1]],
                                columns=["word", "toxic", "other", "term", "edits"])
 
+    model.pop("exceptions")  # the model goes to the tasks, tables do not
     near = written(counts.mapInPandas(close, "word string, toxic long, other long, term string, edits int"), "near-terms")
-    model["exceptions"] = {
-        r["word"] for r in near.where("other > 0").orderBy(F.desc("other"), "word").limit(MAX_EXCEPTIONS).collect()}
     # what a term's neighbourhood says of it: if its near words stand in other texts too, new ones will
     for r in near.groupBy("term", "edits").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).collect():
         odds_near = math.log((r["toxic"] + 0.5) / (toxic + 1)) - math.log((r["other"] + 0.5) / (other + 1))
         share = min(max(odds_near / top, 0.0), 1.0) * EDIT_SHARE[r["edits"]]
         model["terms"][r["term"]][r["edits"]] = min(model["terms"][r["term"]][r["edits"]], share)
+    model["exceptions"] = Words(near.where("other > 0"))
     # rows by hash of their text, copies of a text counting once
-    fitted = (
-        hash_sample(rows, F.col("text"), FIT_ROWS, toxic + other)
-        .select("label", F.xxhash64("text").alias("by"), scored(rows, model, F.col("text")).alias("e"))
-        .dropDuplicates(["by", "label"]).limit(2 * FIT_ROWS).select("label", "e.*").toPandas())
+    sample = hash_sample(rows, F.col("text"), FIT_ROWS, toxic + other).withColumn("by", F.xxhash64("text"))
+    fitted = score(sample.dropDuplicates(["by", "label"]), model, "text", "label").toPandas()
     if fitted["label"].nunique() == 2:
         model["beta"] = fit(fitted, fitted["label"].to_numpy(float))
     return model
 
 
-def scored(docs: DataFrame, model: dict, text: Column) -> Column:
-    """A column struct<exact, one, two, quoted, hits, score> for each row of `docs`."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def matches(docs: DataFrame, model: dict, text: Column) -> Column:
+    """A column struct<exact, quoted, hits, near> for each row of `docs`, exceptions among the near words included."""
+    shared = docs.sparkSession.sparkContext.broadcast(model["terms"])
 
-    @F.pandas_udf("struct<exact:double,one:double,two:double,quoted:double,hits:long,score:double>")
+    @F.pandas_udf(f"struct<exact:double,quoted:double,hits:long,near:array<{NEAR}>>")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = shared.value
-        lexicon, weights = Lexicon(own["terms"], own["exceptions"]), list(own["terms"].values())
+        terms = shared.value
+        lexicon, weights = Lexicon(terms), list(terms.values())
         for batch in batches:
-            out = pd.DataFrame([evidence(t, lexicon, weights) for t in batch], columns=FIELDS)
-            out["score"] = own["share"] if own["beta"] is None else 1 / (1 + np.exp(-(features(out) @ own["beta"])))
-            yield out
+            yield pd.DataFrame([evidence(t, lexicon, weights) for t in batch], columns=["exact", "quoted", "hits", "near"])
 
     return found(F.coalesce(text, F.lit("")))
+
+
+def score(docs: DataFrame, model: dict, text: str, *keep: str) -> DataFrame:
+    """Per row of `docs`: the columns `keep`, exact, one, two, quoted, hits and score.
+
+    Near matches are joined with the exceptions by word, and what is left is added up per row.
+    """
+    found = written(
+        docs.select(*keep, matches(docs, model, F.col(text)).alias("_m")).withColumn("_row", F.monotonically_increasing_id()), "toxic-matches")
+    near = found.select("_row", F.explode("_m.near").alias("n")).select("_row", "n.*").join(model["exceptions"].table, "word", "left_anti")
+    sums = near.groupBy("_row").agg(
+        F.sum(F.when(F.col("edits") == 1, F.col("abuse"))).alias("_one"), F.sum(F.when(F.col("edits") == 2, F.col("abuse"))).alias("_two"),
+        F.sum("quoted").alias("_quoted"), F.sum("hits").alias("_hits"))
+    none = F.lit(0.0)
+    rows = found.join(sums, "_row", "left").select(
+        *keep, F.col("_m.exact").alias("exact"), F.coalesce("_one", none).alias("one"), F.coalesce("_two", none).alias("two"),
+        (F.col("_m.quoted") + F.coalesce("_quoted", none)).alias("quoted"), (F.col("_m.hits") + F.coalesce("_hits", F.lit(0))).alias("hits"))
+    if model["beta"] is None:
+        return rows.withColumn("score", F.lit(float(model["share"])))
+    terms = [F.lit(1.0), F.least("exact", F.lit(1.0)), *(F.log1p(f) for f in FIELDS[:4])]
+    line = sum((F.lit(b) * t for b, t in zip(model["beta"][1:], terms[1:])), F.lit(model["beta"][0]))
+    return rows.withColumn("score", 1 / (1 + F.exp(-line)))

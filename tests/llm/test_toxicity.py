@@ -50,7 +50,7 @@ def corpus(spark):
 
 def scores(spark, texts, model):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    return [r.s.score for r in sorted(docs.select("doc_id", tx.scored(docs, model, F.col("text")).alias("s")).collect())]
+    return [r.score for r in sorted(tx.score(docs, model, "text", "doc_id").collect())]
 
 
 def test_learned_terms_misspellings_and_quotation(spark):
@@ -85,7 +85,7 @@ def test_held_out(spark):
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
     rows = contract.queries()["op7_toxicity"](spark, folder).join(labels, "doc_id").where("held_out").collect()
     toxic, clean = ([r.predicted for r in rows if r.toxic == t] for t in (1, 0))
-    assert sum(toxic) / len(toxic) > 0.85 and sum(clean) / len(clean) < 0.01
+    assert sum(toxic) / len(toxic) > 0.9 and sum(clean) / len(clean) < 0.01
 
 
 @pytest.mark.parametrize("labelled, share", [([], 0.0), ([(4, 0)], 0.0), ([(4, 1), (5, 1)], 1.0), ([(4, 1), (5, 0), (6, None)], 0.5)])
@@ -93,6 +93,49 @@ def test_edges(spark, labelled, share):
     docs = documents(spark)
     labels = spark.createDataFrame(labelled, "doc_id long, label int")
     model = tx.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
-    found = docs.select(tx.scored(docs, model, F.col("text")).alias("s")).select("s.*").collect()
+    found = tx.score(docs, model, "text").collect()
     assert len(found) == docs.count() and {r.score for r in found} == {share} and {r.hits for r in found} == {0}
-    assert no_documents(spark).select(tx.scored(docs, model, F.col("text"))).count() == 0
+    assert tx.score(no_documents(spark), model, "text").count() == 0
+
+
+def test_words_of_copied_texts_push_no_term_out(spark):
+    """30,000 words, each unique to a group of copies of toxic texts, are no terms; the true ones stay."""
+    docs, labels = corpus(spark)
+    groups = spark.range(300).selectExpr(
+        "concat_ws(' ', transform(sequence(0, 99), i -> concat('zq', id, 'x', i, 'y'))) AS text").crossJoin(spark.range(10).select()).withColumn(
+        "doc_id", 1000 + F.monotonically_increasing_id()).withColumn("label", F.lit(1))
+    clean = spark.range(30_000).selectExpr(
+        "id + 100000 AS doc_id", "concat_ws(' ', 'plain', id % 7, 'words', id % 11, 'only') AS text", "0 AS label")
+    model = tx.learn(docs.join(labels, "doc_id").unionByName(groups).unionByName(clean))
+    assert set(model["terms"]) == set(WORDS)
+
+
+def test_many_near_words_are_all_exceptions(spark):
+    """300,000 clean words within two edits of a term: none counts as a misspelling, others still do."""
+    docs, labels = corpus(spark)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüéèñ0123456789абвгдежзийклмнопр"
+    one = [WORDS[1][:i] + a + WORDS[1][i + 1 :] for i in range(len(WORDS[1])) for a in letters]
+    near = sorted({w[:i] + a + w[i:] for w in one for i in range(len(w) + 1) for a in letters} - set(WORDS))[:300_000]
+    rows = spark.createDataFrame([(5000 + at, " ".join(near[at : at + 1000])) for at in range(0, len(near), 1000)], "doc_id long, text string")
+    model = tx.learn(docs.join(labels, "doc_id").unionByName(rows.withColumn("label", F.lit(0))))
+    assert set(model["terms"]) == set(WORDS)
+    held = {r.word for r in model["exceptions"].table.collect()}
+    assert len(near) == 300_000 and set(near) <= held
+    found = tx.score(spark.createDataFrame([(0, near[0] + " a " + near[-1]), (1, "b " + WORDS[0][:-1] + "m")], "doc_id long, text string"), model, "text", "doc_id")
+    assert {r.doc_id: r.hits for r in found.collect()} == {0: 0, 1: 1}
+
+
+def test_scores_against_plain_sums(spark):
+    """Spark's sums per row against the evidence of each text by itself, exceptions left out."""
+    docs, labels = corpus(spark)
+    near = docs.where("doc_id % 4 = 1").withColumn("text", F.concat("text", F.lit(" blorgas")))
+    model = tx.learn(docs.where("doc_id % 4 <> 1").unionByName(near).join(labels, "doc_id"))
+    lexicon, weights = tx.Lexicon(model["terms"]), list(model["terms"].values())
+    texts = ["a blorgas b blorgam", "blorgan blorgan 'skant'", "", "frizlewump frizzlewum skannt said " + WORDS[2], "plain"]
+    found = tx.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, "text", "doc_id").collect()
+    for r in found:
+        exact, quoted, hits, others = tx.evidence(texts[r.doc_id], lexicon, weights)
+        others = [n for n in others if n["word"] not in {"blorgas"}]
+        want = (exact, sum(n["abuse"] for n in others if n["edits"] == 1), sum(n["abuse"] for n in others if n["edits"] == 2),
+                quoted + sum(n["quoted"] for n in others))
+        assert (r.exact, r.one, r.two, r.quoted) == pytest.approx(want) and r.hits == hits + sum(n["hits"] for n in others)
