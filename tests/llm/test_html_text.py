@@ -1,5 +1,9 @@
 import json
+import random
 import re
+import time
+import tracemalloc
+from types import SimpleNamespace
 
 import pytest
 
@@ -61,6 +65,50 @@ def test_matching_against_all_pairings():
     assert ht.match(Tree("a"), Tree("b"), {}) == 0
 
 
+def old_table(a, b, kinds):
+    """Score of two lists of structures by the full table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        above, row = row, [0]
+        for j, y in enumerate(b):
+            row.append(max(above[j + 1], row[j], above[j] + kinds.score(x, y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_pairs_are_a_best_matching(seed):
+    pick = random.Random(seed)
+
+    def tree(depth):
+        return SimpleNamespace(sign=pick.choice("ab"), children=[tree(depth - 1) for _ in range(pick.randrange(7))] if depth else [])
+
+    a, b = tree(3), tree(3)
+    scores = {}
+    pairs = ht.paired(a, b, scores)
+    places = [(a.children.index(x), b.children.index(y)) for x, y in pairs]
+    assert places == sorted(places) and len({i for i, _ in places}) == len({j for _, j in places}) == len(places)
+    kinds = scores["kinds"]
+    lists = [[kinds.kind(c) for c in t.children] for t in (a, b)]
+    assert sum(ht.match(x, y, scores) for x, y in pairs) == old_table(*lists, kinds)
+
+
+@pytest.mark.parametrize("unlike", [False, True])
+def test_very_long_pages(unlike):
+    """20,000 alternating siblings, alike from the start or only after it: quick, and within memory."""
+    def page(n, first):
+        return "<html><body><article>" + first + "".join(f"<h2>t{i} {n}</h2><p>text {i} of {n}</p>" for i in range(n // 2)) + "</article></body></html>"
+
+    pages = [page(20_000, ""), page(19_000, "<ul><li>x</li></ul><dl><dd>y</dd></dl>" if unlike else "")]
+    tracemalloc.start()
+    began = time.perf_counter()
+    wrapper = ht.induce(pages)
+    text = ht.extract(pages[0], ht.Fitted(json.loads(ht.to_text(wrapper))))
+    took, peak = time.perf_counter() - began, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert text.count("\n") == 19_999 and text.startswith("t0 20000\ntext 0 of 20000")
+    assert took < 60 and peak < 400 << 20  # under tracing; about a tenth of the time without
+
+
 def test_frames(spark):
     rows = [(i, f"http://h{i % 2}.example/{i}", host_page(i)) for i in range(20)] + [
         (3, "http://h1.example/3", host_page(3)), (None, None, "<p>x"), (50, "no address", None), (51, "http://one.example", PAGE)]
