@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import with_small, written
 
 SAMPLE = 8                 # pages of a host's layout whose trees are aligned
-LEAST_PAGES = 3            # pages on which a text must stand to be template
+LEAST_PAGES = 3            # pages on which a text must stand to be template, and that a host needs to tell
 TEMPLATE_SHARE = 0.9       # of all pages of a layout or a host, on which a template text stands
 FLUSH = 200_000            # counts a task holds before it hands them on
 REGION_SHARE = 0.7         # of the varying text, held by the node by which copies are told; all of it is read
@@ -308,11 +308,12 @@ class Shape:
 class Wrapper:
     """A node of a layout's wrapper: a run of like siblings, and the texts that the aligned pages have in it."""
 
-    __slots__ = ("sign", "tag", "path", "templates", "children", "pages", "seen", "letters", "region", "keep")
+    __slots__ = ("sign", "tag", "path", "templates", "children", "pages", "seen", "letters", "region", "keep", "judged")
 
     def __init__(self, sign: str, tag: str, above: int = 0, templates: set = frozenset()):
         self.sign, self.tag, self.path, self.templates, self.children = sign, tag, digest(f"{above}/{sign}"), templates, []
         self.pages, self.seen, self.letters, self.region, self.keep = 0, Counter(), 0, False, False
+        self.judged = False  # of a whole wrapper: whether its host has enough pages to tell template from content
 
     def add(self, part: Shape) -> None:
         texts = part.texts()
@@ -441,9 +442,11 @@ def templates_of(pages: list[str]) -> set[tuple[int, int]]:
     return {t for t, k in n.items() if k >= max(LEAST_PAGES, TEMPLATE_SHARE * len(set(pages)))}
 
 
-def induce(pages: list[str], templates: set[tuple[int, int]] | None = None) -> Wrapper:
-    """The wrapper of some pages of a layout with known template texts, with its content region marked."""
+def induce(pages: list[str], templates: set[tuple[int, int]] | None = None, host_pages: int | None = None) -> Wrapper:
+    """The wrapper of some pages of a layout with known template texts, with its content region marked;
+    `host_pages` are the pages of its host, these alone unless given."""
     wrapper = Wrapper("#page", "#page", 0, templates_of(pages) if templates is None else templates)
+    wrapper.judged = (len(set(pages)) if host_pages is None else host_pages) >= LEAST_PAGES
     for page in pages:
         absorb(wrapper, Shape([parse(page)]), {})
     _mark_region(wrapper)
@@ -463,8 +466,8 @@ def _bodies(node: Wrapper) -> list[Wrapper]:
 
 
 def _beside(node: Wrapper, bodies: list[Wrapper]) -> list[Wrapper]:
-    """The bodies, and nodes beside or around them whose text is seen to vary on enough pages."""
-    if node in bodies or node.pages >= LEAST_PAGES and node.letters > node.fixed_letters():
+    """The bodies, and nodes beside or around them with text that is not template."""
+    if node in bodies or node.letters > node.fixed_letters():
         return [node]
     return [n for c in node.children for n in _beside(c, bodies)]
 
@@ -484,7 +487,7 @@ def _mark_region(wrapper: Wrapper) -> None:
     regions = cores = bodies or [_narrowed(wrapper, 1)]
     if not bodies:
         cores = [_narrowed(wrapper, REGION_SHARE)]
-    elif not any(n.tag == "main" for n in _walk(wrapper)):
+    elif wrapper.judged and not any(n.tag == "main" for n in _walk(wrapper)):
         regions = _beside(wrapper, bodies)
     for region in regions:
         region.region = True
@@ -502,19 +505,19 @@ def _walk(node) -> Iterator:
 
 
 def to_text(wrapper: Wrapper) -> str:
-    """A wrapper as JSON: sign, tag, template texts, region, children."""
+    """A wrapper as JSON: sign, tag, template texts, region, children, whether it is judged."""
     def plain(n):
-        return [n.sign, n.tag, n.fixed(), n.region, [plain(c) for c in n.children]]
+        return [n.sign, n.tag, n.fixed(), n.region, [plain(c) for c in n.children], int(n.judged)]
     return json.dumps(plain(wrapper), ensure_ascii=False, separators=(",", ":"))
 
 
 class Fitted:
     """A wrapper as read back: what extraction needs. It is free if no article or main element says where the text is."""
 
-    __slots__ = ("sign", "tag", "texts", "region", "children", "free")
+    __slots__ = ("sign", "tag", "texts", "region", "children", "free", "judged")
 
     def __init__(self, plain: list):
-        self.sign, self.tag, texts, self.region, children = plain
+        self.sign, self.tag, texts, self.region, children, self.judged = plain
         self.texts = set(texts)
         self.children = [Fitted(c) for c in children]
         self.free = not (self.region and self.tag in BODIES) and all(c.free for c in self.children)
@@ -530,7 +533,10 @@ def _strays(part: Shape, free: bool) -> Iterator[Shape]:
 
 
 def _located(fitted: Fitted, part: Shape, scores: dict, regions: list[Shape], fixed: set[int], free: bool, inside: bool = False) -> None:
-    """Collects the counterparts of content regions, unknown parts beside them, and nodes that have a template text."""
+    """Collects the counterparts of content regions, unknown parts beside them, and nodes that have a template text.
+
+    `free`: whether an unknown part counts as content if no article or main element is in it.
+    """
     if fitted.region and not inside:
         regions.append(part)
         inside = True
@@ -571,7 +577,8 @@ def extract(page: str, fitted: Fitted | None) -> str:
     regions: list[Shape] = []
     fixed: set[int] = set()
     if fitted is not None:
-        _located(fitted, part, {}, regions, fixed, fitted.free)
+        # what stands on none of the aligned pages cannot be template
+        _located(fitted, part, {}, regions, fixed, fitted.free or bool(fitted.judged))
     bodies = [r for r in regions if fitted.free or any(n.tag in BODIES for n in _nodes(r.nodes[0]))]
     if not any(_has_text(n) for r in bodies for n in r.nodes):
         own = Wrapper("#page", "#page")
@@ -588,7 +595,8 @@ def _induced(pages: pd.DataFrame) -> pd.DataFrame:
     ordered = pages.sort_values(["place", "html"])
     first = pages.iloc[0]
     known = {(t["path"], t["hash"]) for of in ("of_layout", "of_host") if first[of] is not None for t in first[of]}
-    return pd.DataFrame({"host": [first["host"]], "layout": [first["layout"]], "wrapper": [to_text(induce(ordered["html"].tolist(), known))]})
+    return pd.DataFrame({"host": [first["host"]], "layout": [first["layout"]], "wrapper": [
+        to_text(induce(ordered["html"].tolist(), known, 0 if pd.isna(first["host_pages"]) else int(first["host_pages"])))]})
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -612,8 +620,9 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield handed()
 
 
-def template_texts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Template texts by layout (host, layout, of_layout) and by host (host, of_host), from all pages; copies count once."""
+def template_texts(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Template texts by layout (host, layout, of_layout) and by host (host, of_host), and the pages of each
+    host (host, host_pages), from all pages; copies count once."""
     marked = rows.select("host", "html", F.xxhash64("html").alias("content"), F.xxhash64("page_id", "url").alias("by"))
     copies = written(marked.groupBy("host", "content").agg(F.min("by").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "copies")
     own = with_small(marked, copies, ["host", "content"], "left").where("first IS NULL OR first = by")
@@ -630,7 +639,8 @@ def template_texts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         often = table.where(F.col("path").isNotNull() & (F.col("n") >= LEAST_PAGES)).join(pages, keys)
         return often.where(F.col("n") >= TEMPLATE_SHARE * F.col("pages")).groupBy(*keys).agg(F.collect_list(F.struct("path", "hash")).alias(name))
 
-    return found(split, ["host", "layout"], "of_layout"), found(whole, ["host"], "of_host")
+    pages = whole.where("path IS NULL").select("host", F.col("n").alias("host_pages"))
+    return found(split, ["host", "layout"], "of_layout"), found(whole, ["host"], "of_host"), pages
 
 
 def main_texts(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
@@ -638,7 +648,7 @@ def main_texts(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), host.alias("host"),
                         F.coalesce(F.col(page), F.lit("")).alias("html"))
-    of_layout, of_host = template_texts(rows)
+    of_layout, of_host, host_pages = template_texts(rows)
 
     @F.pandas_udf("long")
     def layout_of(texts: pd.Series) -> pd.Series:
@@ -647,7 +657,7 @@ def main_texts(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
     rows = rows.withColumn("layout", layout_of("html"))
     by_hash = Window.partitionBy("host", "layout").orderBy(F.xxhash64("page_id", "url"))
     sample = rows.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= SAMPLE)
-    known = sample.join(of_layout, ["host", "layout"], "left").join(of_host, "host", "left")
+    known = sample.join(of_layout, ["host", "layout"], "left").join(of_host, "host", "left").join(host_pages, "host", "left")
     wrappers = written(known.groupBy("host", "layout").applyInPandas(_induced, "host string, layout long, wrapper string"), "wrappers")
     total = wrappers.agg(F.sum(F.octet_length("wrapper"))).first()[0] or 0
 

@@ -209,3 +209,18 @@ def test_templates_of_rare_layouts_come_from_all_pages(spark):
         i = min(r.page_id, 1000)
         more = "\nsaid once" if i == 1000 else "\nx" if i in (50, 51) else ""
         assert r.text == told(i, "a", 20) + "\n" + told(i, "b", 20) + more
+
+
+def test_text_beside_articles_is_read_however_few_pages_have_it(spark):
+    """A lead beside the article on one page of many, on a page that is not aligned, and in a layout of two."""
+    def page(i):
+        lead = f"<p>{told(i, 'lead', 8)}</p>" if i in (3, 20, 31) else ""
+        more = f"<div class=odd><h2>{told(i, 'more', 3)}</h2></div>" if i in (50, 51) else ""
+        return f"<div class=top>Great Site</div>{lead}{more}<article><p>{told(i, 'a', 40)}</p></article><div class=end>All rights</div>"
+
+    rows = [(i, f"http://hot.example/{i}", page(i)) for i in range(60)] + [(100, "http://lone.example/", page(99))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    for r in ht.main_texts(frame, "page_id", "url", "html").collect():
+        i = 99 if r.page_id == 100 else r.page_id
+        want = [told(i, "lead", 8)] * (i in (3, 20, 31)) + [told(i, "more", 3)] * (i in (50, 51)) + [told(i, "a", 40)]
+        assert r.text == "\n".join(want), r
