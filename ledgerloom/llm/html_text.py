@@ -116,6 +116,8 @@ class Node:
 
 def _declared(tag: str, names: str, role: str, parent: Node) -> str:
     """Whether markup says that an element is no main text: by its "kind", only by a "name", or not ("")."""
+    if tag == "form":
+        return "name"  # a page may lie in one form as a whole
     if tag in NO_TEXT_TAGS or role in NO_TEXT_ROLES:
         return "kind"
     if tag == "header" and not parent.within(BODIES):
@@ -184,7 +186,8 @@ def parse(page: str, inline_names: bool = True) -> Node:
             here = _closed(here, {"p"}, BLOCKS - {"p"})
         if tag in CLOSED_BY_LIKE:
             here = _closed(here, CLOSED_BY_LIKE[tag], SCOPES[tag])
-        sign = tag + "." + re.sub(r"\d+", "", names) if names else tag
+        # classes of these say what a page is about; pages that differ in them are of one layout
+        sign = tag + "." + re.sub(r"\d+", "", names) if names and tag not in ("html", "body", "main", "article") else tag
         node = Node(tag, sign, _declared(tag, names, attributes.get("role", ""), here), here)
         here.items.append(node)
         if tag != "hr" and node.depth < DEPTH:
@@ -204,7 +207,7 @@ def _settle(root: Node) -> None:
 
     If all articles lie in such, names drop none of them, and the first is kept whatever it lies in.
     Names never drop an element around main, or with most of the text of its article or, if there
-    is none outside of it, of the page.
+    is none outside of it, of the page; likewise a form that is not in an article.
     """
     nodes = list(_nodes(root))
     bodies = [n for n in nodes if n.tag in BODIES and not n.declared]
@@ -225,7 +228,8 @@ def _settle(root: Node) -> None:
         kept = [n for n in bodies if held[id(n)] and not n.under_declared()]
         for node in nodes:
             if node.declared and node.named:
-                around = [n for n in _above(node) if n.tag in BODIES] or ([] if kept else [root])
+                inside = [n for n in _above(node) if n.tag in BODIES]
+                around = [] if inside and node.tag == "form" else inside or ([] if kept else [root])
                 if around and 2 * held[id(node)] > held[id(around[-1])]:
                     node.declared = False
     for node in nodes:  # parents come first

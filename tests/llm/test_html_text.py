@@ -191,6 +191,8 @@ def test_parts_the_wrapper_does_not_know_are_read():
     ("<article><p>one</p><div class='notice'>two</div><section class='discussion'>three</section><div class='ad-box'>x</div></article>", "one\ntwo\nthree"),
     ("<article><div class='comments'>the long text of an article</div><p>end</p></article>", "the long text of an article\nend"),
     ("<article>short</article><div class='comments'>many and long comments of readers</div>", "short"),
+    ("<body><form><p>the long text of a page</p><button>go</button></form><div>x</div></body>", "the long text of a page\nx"),
+    ("<article>short<form>a long form with many labels</form></article>", "short"), ("<form>ask</form><p>the long text</p>", "the long text"),
     ("<p><span class='ad'>x</span>some text</p>", "some text"), ("<p><span class='promo'>the long text</span> end</p>", "the long text end")])
 def test_names_drop_no_main_text(page, text):
     assert ht.extract(page, None) == text
@@ -224,3 +226,10 @@ def test_text_beside_articles_is_read_however_few_pages_have_it(spark):
         i = 99 if r.page_id == 100 else r.page_id
         want = [told(i, "lead", 8)] * (i in (3, 20, 31)) + [told(i, "more", 3)] * (i in (50, 51)) + [told(i, "a", 40)]
         assert r.text == "\n".join(want), r
+
+
+def test_pages_that_differ_in_classes_of_the_body_are_one_layout(spark):
+    rows = [(i, f"http://h.example/{i}", f"<body class='tag-{chr(97 + i % 26)}x{'y' * (i // 26)}'><div>Great Site</div><article class='category-{told(i, 'c', 1)}'>"
+             f"<p>{told(i, 'a', 20)}</p><p>Written by the desk</p></article><div>All rights</div></body>") for i in range(30)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in ht.main_texts(frame, "page_id", "url", "html").collect()} == {i: told(i, "a", 20) for i in range(30)}
