@@ -372,6 +372,8 @@ class Kinds:
     def best(self, left: tuple[int, ...], right: tuple[int, ...], ways: bool = False) -> tuple[int, list]:
         """The best score of two lists of structures paired in order, and, if asked for, per row the places
         (packed bits) where leaving out the last of `left`, or of `right`, loses nothing."""
+        if not left or not right:
+            return 0, []
         columns, back = np.unique(np.array(right, dtype=np.int64), return_inverse=True)
         gains: dict[int, np.ndarray] = {}
         above, rows = np.zeros(len(right) + 1, dtype=np.int64), []
