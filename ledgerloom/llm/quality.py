@@ -1,13 +1,17 @@
 """Quality by co-training of two views.
 
 One classifier sees what a text looks like (its letters, words and lines), the other sees only the
-page's metadata. Both start from labelled rows. In each round each view scores a pool of unlabelled
-rows, and the rows of which it is most confident are added, with its label, to what the *other* view
+page's metadata. Both start from labelled rows. In each round each view scores all unlabelled rows,
+and the rows of which it is most confident are added, with its label, to what the *other* view
 learns from. At the end each view is calibrated on labelled rows kept apart, and a regression on the
 calibrated views gives the score, the probability of good quality.
 
-Fitting uses a bounded sample chosen by hash: about `FIT_ROWS` labelled and `POOL_ROWS` unlabelled
-rows, as numbers only. Scoring covers every row.
+Labelled rows are a sample by hash of about `FIT_ROWS`. The pool is every unlabelled row with a text:
+its features are written once and stay in Spark. How confident a row must be for its label to be lent
+follows from a histogram over all of them, and a view learns by Newton steps whose sums Spark adds up
+over all rows lent to it; only sums of fixed size reach the driver. Lent rows together weigh at most
+half of the labelled ones. Which labels a row has been lent follows from the models of the rounds
+so far, so no state is kept per row.
 
 Defined cases: a null or blank text scores 0. Without any label every other text scores 0.5; if all
 labels are alike, their value. Null metadata is a value of its own. Null ids and repeated rows are
@@ -24,15 +28,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import hash_sample, logistic, with_small
+from .common import hash_sample, logistic, with_small, written
 
 FIT_ROWS = 20_000
-POOL_ROWS = 20_000
 ROUNDS = 5
 CONFIDENT = 0.95       # probability from which a view lends its label
 LENT = 0.1             # share of the pool that a view may label in a round
 APART = 0.2            # of the labelled rows, for calibration and combination
 BUCKETS = 64           # of hashed metadata values
+LENT_WEIGHT = 0.5      # of a lent row, and of all of them against the labelled rows, at most
+STEPS = 8              # of Newton's method per round, from the last round's coefficients
+BINS = 2_000           # of the histogram of confidence, by log odds
+SUMS = 16              # tasks that add up what the others have summed
 
 _SYMBOLS = [*b"#$%&*@^~+=<>|_{}[]\\/"]
 
@@ -84,44 +91,119 @@ def _described(rows: DataFrame, text: str, lang: str, source: str, length: str,
 class View:
     """One view's classifier: standardised features and a logistic regression."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray):
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-        self.beta = logistic(self._with_constant(x), y, weight, ridge=1e-3)
+    def __init__(self, mean: np.ndarray, scale: np.ndarray, beta: np.ndarray | None = None):
+        self.mean, self.scale = mean, scale
+        self.beta = np.zeros(len(mean) + 1) if beta is None else beta
 
-    def _with_constant(self, x: np.ndarray) -> np.ndarray:
+    def with_constant(self, x: np.ndarray) -> np.ndarray:
         return np.hstack([np.ones((len(x), 1)), ((x - self.mean) / self.scale).clip(-8, 8)])
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return (self._with_constant(x) @ self.beta).clip(-30, 30)
+        return (self.with_constant(x) @ self.beta).clip(-30, 30)
+
+    def sums(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What a Newton step needs of some rows: gradient and curvature, one under the other."""
+        z = self.with_constant(x)
+        p = _chance((z @ self.beta).clip(-30, 30))
+        return np.vstack([z.T @ (weight * (y - p)), (z * (weight * p * (1 - p))[:, None]).T @ z])
+
+    def stepped(self, sums: np.ndarray, total: float, ridge: float = 1e-3) -> "View":
+        """The view after a Newton step; `ridge` times the rows draws coefficients to zero."""
+        penalty = np.full(len(self.beta), ridge * max(total, 1))
+        penalty[0] = 1e-9
+        step = np.linalg.solve(sums[1:] + np.diag(penalty + 1e-9), sums[0] - penalty * self.beta)
+        return View(self.mean, self.scale, self.beta + step * min(1, 5 / max(np.abs(step).max(), 1e-12)))
 
 
 def _chance(logit: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-logit))
 
 
-def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray]) -> dict:
-    """Both views and their combination, as plain arrays. Every fifth labelled row is kept apart."""
+LEAST = float(np.log(CONFIDENT / (1 - CONFIDENT)))
+EDGES = np.linspace(LEAST, 30, BINS + 1)
+
+
+def lent_labels(seen: tuple[np.ndarray, np.ndarray], rounds: list) -> list[np.ndarray]:
+    """The labels lent to each view for some rows, NaN where there is none; the first one stays.
+
+    A round is, per lending view, the view and the log odds from which it lends 1 and 0.
+    """
+    lent = [np.full(len(seen[0]), np.nan), np.full(len(seen[0]), np.nan)]
+    for round_ in rounds:
+        for v, (view, good, bad) in enumerate(round_):
+            logit, to = view.logit(seen[v]), lent[1 - v]
+            free = np.isnan(to)
+            to[free & (logit >= good)] = 1.0
+            to[free & (-logit >= bad)] = 0.0
+    return lent
+
+
+def confidence(seen: tuple[np.ndarray, np.ndarray], views: list[View], rounds: list) -> np.ndarray:
+    """Rows per bin of confidence by lending view and label (1, 0), of those without a lent label, then all rows."""
+    out = np.zeros((5, BINS), dtype=np.int64)
+    for v, (view, to) in enumerate(zip(views, reversed(lent_labels(seen, rounds)))):
+        logit = view.logit(seen[v])[np.isnan(to)]
+        for label, sure in ((0, logit), (1, -logit)):
+            out[2 * v + label] = np.histogram(sure[sure >= LEAST].clip(max=30), EDGES)[0]
+    out[4, 0] = len(seen[0])
+    return out
+
+
+def threshold(counts: np.ndarray, most: int) -> float:
+    """The log odds from which at most `most` rows lend their label, or the surest bin of rows alone."""
+    above = np.cumsum(counts[::-1])[::-1]
+    fits = np.flatnonzero((above <= most) & (above > 0))
+    if len(fits):
+        return float(EDGES[fits[0]])
+    return float(EDGES[np.flatnonzero(counts)[-1]]) if counts.any() else np.inf
+
+
+def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool) -> dict:
+    """Both views and their combination, as plain arrays. Every fifth labelled row is kept apart.
+
+    `pool` adds up a function of both views' features, an array of fixed shape, over the unlabelled
+    rows; or it is these features themselves.
+    """
+    over_pool = pool if callable(pool) else lambda function, shape: np.asarray(function(pool), dtype=float).reshape(shape)
     apart = np.arange(len(y)) % round(1 / APART) == 0
     if len(set(y[apart])) < 2 or len(set(y[~apart])) < 2:
         apart = np.zeros(len(y), dtype=bool)
-    lent = [np.full(len(pool[0]), np.nan), np.full(len(pool[0]), np.nan)]  # labels that a view got from the other
-
-    def fitted(v: int) -> View:
-        more = ~np.isnan(lent[v])
-        return View(np.concatenate([labelled[v][~apart], pool[v][more]]), np.concatenate([y[~apart], lent[v][more]]),
-                    np.concatenate([np.ones((~apart).sum()), np.full(more.sum(), 0.5)]))
-
-    views = [fitted(0), fitted(1)]
-    for _ in range(ROUNDS if len(pool[0]) else 0):
-        for v, view in enumerate(views):
-            p = _chance(view.logit(pool[v]))
-            free = np.isnan(lent[1 - v])
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                can = np.flatnonzero(free & (sure >= CONFIDENT))
-                share = y.mean() if label else 1 - y.mean()  # labels are lent in the proportion of the known ones
-                most = max(1, int(LENT * share * len(p)))
-                lent[1 - v][can[np.argsort(-sure[can], kind="stable")][:most]] = label
-        views = [fitted(0), fitted(1)]
+    own, own_y = tuple(x[~apart] for x in labelled), y[~apart]
+    # scales come from the labelled rows, so that they are the same in every round
+    views = [View(x.mean(axis=0), x.std(axis=0) + 1e-6) for x in own]
+    shapes = [(len(v.beta) + 1, len(v.beta)) for v in views]
+    rounds: list = []
+
+    def learned(views: list[View], steps: int, lent: list[int]) -> list[View]:
+        weights = [LENT_WEIGHT * min(1.0, len(own_y) / max(n, 1)) for n in lent]
+        for _ in range(steps):
+            sums = [v.sums(x, own_y, np.ones(len(own_y))) for v, x in zip(views, own)]
+            if any(lent):
+                def partial(seen, views=views):
+                    out = []
+                    for view, x, label, weight in zip(views, seen, lent_labels(seen, rounds), weights):
+                        has = ~np.isnan(label)
+                        out.append(view.sums(x[has], label[has], np.full(has.sum(), weight)).ravel())
+                    return np.concatenate(out)
+
+                more = over_pool(partial, (sum(a * b for a, b in shapes),))
+                sums = [s + part.reshape(shape) for s, part, shape in zip(sums, np.split(more, [shapes[0][0] * shapes[0][1]]), shapes)]
+            views = [v.stepped(s, len(own_y) + w * n) for v, s, w, n in zip(views, sums, weights, lent)]
+        return views
+
+    views = learned(views, 5 * STEPS, [0, 0])
+    lent = [0, 0]
+    for _ in range(ROUNDS):
+        counts = over_pool(lambda seen: confidence(seen, views, rounds), (5, BINS))
+        size = int(counts[4, 0])
+        if not size:
+            break
+        shares = (y.mean(), 1 - y.mean())  # labels are lent in the proportion of the known ones
+        lines = [threshold(counts[i], max(1, int(LENT * shares[i % 2] * size))) for i in range(4)]
+        for i, line in enumerate(lines):
+            lent[1 - i // 2] += int(counts[i][EDGES[:-1] >= line].sum())
+        rounds.append([(views[v], lines[2 * v], lines[2 * v + 1]) for v in (0, 1)])
+        views = learned(views, STEPS, lent)
     held = apart if apart.any() else ~apart
     calibrated, logits = [], []
     for v, view in enumerate(views):
@@ -131,7 +213,36 @@ def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple
         calibrated.append(line)
         logits.append(line[0] + line[1] * raw)
     joint = logistic(np.stack([np.ones(held.sum()), *logits], axis=1), y[held], ridge=1e-3)
-    return {"views": [(w.mean, w.scale, w.beta) for w in views], "lines": calibrated, "joint": joint, "lent": [int((~np.isnan(x)).sum()) for x in lent]}
+    return {"views": [(w.mean, w.scale, w.beta) for w in views], "lines": calibrated, "joint": joint, "lent": lent}
+
+
+def pool_sums(pool: DataFrame, length: int):
+    """A function that adds up an array-valued function of both views over the rows of `pool`: a task per
+    part, then a few tasks over their sums."""
+    def over_pool(function, shape: tuple) -> np.ndarray:
+        def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = None
+            for batch in batches:
+                for at in range(0, len(batch), 4096):
+                    rows = batch.iloc[at : at + 4096]
+                    seen = (np.array(rows["look"].tolist()).reshape(-1, length), _meta_features(rows["lang"], rows["source"], rows["length"]))
+                    found = function(seen)
+                    total = found if total is None else total + found
+            if total is not None:
+                yield pd.DataFrame({"sums": [np.ascontiguousarray(total, dtype=float).tobytes()]})
+
+        def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = None
+            for batch in batches:
+                for part in batch["sums"]:
+                    total = np.frombuffer(part) + (0 if total is None else total)
+            if total is not None:
+                yield pd.DataFrame({"sums": [total.tobytes()]})
+
+        parts = pool.mapInPandas(partial, "sums binary").repartition(SUMS).mapInPandas(added, "sums binary").collect()
+        return sum((np.frombuffer(r["sums"]) for r in parts), np.zeros(int(np.prod(shape)))).reshape(shape)
+
+    return over_pool
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str, source: str, length: str) -> dict:
@@ -140,19 +251,24 @@ def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str, so
     n_known = known.count()
     if not n_known:
         return {"constant": 0.5}
-    rows = with_small(docs.select(key, text, lang, source, length), known, key, "left")
-    labelled = hash_sample(rows.where("label IS NOT NULL"), F.col(key), FIT_ROWS, n_known).where(F.trim(text) != "")
-    pool = hash_sample(rows.where("label IS NULL"), F.col(key), POOL_ROWS, max(docs.count() - n_known, 0)).where(F.trim(text) != "")
-    frames = []
-    for part, bound in ((labelled, FIT_ROWS), (pool, POOL_ROWS)):
-        frame = _described(part, text, lang, source, length, key, "label").limit(2 * bound).toPandas().sort_values(key, kind="stable")
-        frames.append(frame)
-    y = frames[0]["label"].to_numpy(float)
+    rows = with_small(docs.select(key, text, lang, source, length), known, key, "left").where(F.trim(text) != "")
+    labelled = hash_sample(rows.where("label IS NOT NULL"), F.col(key), FIT_ROWS, n_known)
+    frame = (
+        _described(labelled, text, lang, source, length, key, "label").groupBy(key, "label").agg(F.min(F.struct("look", "meta")).alias("v"))
+        .select(key, "label", "v.*").toPandas().sort_values([key, "label"], kind="stable"))
+    y = frame["label"].to_numpy(float)
     if len(set(y)) < 2:
         return {"constant": float(y.mean()) if len(y) else 0.5}
-    known_views = tuple(np.array(frames[0][c].tolist()) for c in ("look", "meta"))
-    return co_train(known_views, y, tuple(
-        np.array(frames[1][c].tolist()).reshape(-1, v.shape[1]) for c, v in zip(("look", "meta"), known_views)))
+    look, meta = (np.array(frame[c].tolist()) for c in ("look", "meta"))
+
+    @F.pandas_udf("array<double>")
+    def looks(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: text_features(t))
+
+    pool = written(rows.where("label IS NULL").select(
+        looks(text).alias("look"), F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source"),
+        F.col(length).cast("double").alias("length")), "quality-pool")
+    return co_train((look, meta), y, pool_sums(pool, look.shape[1]))
 
 
 def scored(docs: DataFrame, model: dict, text: Column, lang: Column, source: Column, length: Column) -> Column:
@@ -162,11 +278,7 @@ def scored(docs: DataFrame, model: dict, text: Column, lang: Column, source: Col
     @F.pandas_udf("struct<score:double,look:double,meta:double>")
     def score(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         own = shared.value
-        views = []
-        for mean, scale, beta in own.get("views", []):
-            view = View.__new__(View)
-            view.mean, view.scale, view.beta = mean, scale, beta
-            views.append(view)
+        views = [View(*parts) for parts in own.get("views", [])]
         for texts, langs, sources, lengths in batches:
             blank = np.array([not t or not t.strip() for t in texts])
             if views:
