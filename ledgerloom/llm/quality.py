@@ -37,9 +37,9 @@ LENT = 0.1             # share of the pool that a view may label in a round
 APART = 0.2            # of the labelled rows, for calibration and combination
 BUCKETS = 64           # of hashed metadata values
 LENT_WEIGHT = 0.5      # of a lent row, and of all of them against the labelled rows, at most
-STEPS = 8              # of Newton's method per round, from the last round's coefficients
+STEPS = 6              # of Newton's method per round, from the last round's coefficients
 BINS = 2_000           # of the histogram of confidence, by log odds
-SUMS = 16              # tasks that add up what the others have summed
+SUMS = 64              # tasks whose sums the driver adds up; those of more tasks are first added up by as many
 
 _SYMBOLS = [*b"#$%&*@^~+=<>|_{}[]\\/"]
 
@@ -217,8 +217,10 @@ def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool) -> di
 
 
 def pool_sums(pool: DataFrame, length: int):
-    """A function that adds up an array-valued function of both views over the rows of `pool`: a task per
-    part, then a few tasks over their sums."""
+    """A function that adds up an array-valued function of both views over the rows of `pool`, in its tasks,
+    then over their sums."""
+    tasks = pool.rdd.getNumPartitions()
+
     def over_pool(function, shape: tuple) -> np.ndarray:
         def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = None
@@ -239,7 +241,10 @@ def pool_sums(pool: DataFrame, length: int):
             if total is not None:
                 yield pd.DataFrame({"sums": [total.tobytes()]})
 
-        parts = pool.mapInPandas(partial, "sums binary").repartition(SUMS).mapInPandas(added, "sums binary").collect()
+        parts = pool.mapInPandas(partial, "sums binary")
+        if tasks > SUMS:
+            parts = parts.repartition(SUMS).mapInPandas(added, "sums binary")
+        parts = parts.collect()
         return sum((np.frombuffer(r["sums"]) for r in parts), np.zeros(int(np.prod(shape)))).reshape(shape)
 
     return over_pool
