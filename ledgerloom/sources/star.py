@@ -85,8 +85,8 @@ class StarTables:
 
     def _per_tenant(self, df: DataFrame) -> DataFrame:
         """A master record is offered by every tenant; tenants are the rows of region."""
-        names = [r[0] for r in self.source("region").select("r_name").distinct().collect()]
-        return df.withColumn("client_id", F.explode(F.array(*map(F.lit, names)).cast("array<string>")))
+        # Of a join Spark multiplies the sizes; a generator's rows it would not count, and broadcast them
+        return df.crossJoin(self.source("region").select(F.col("r_name").alias("client_id")).distinct())
 
     def customers(self) -> DataFrame:
         return self.source("customer").join(
