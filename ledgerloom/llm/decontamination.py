@@ -3,10 +3,10 @@
 Words are runs of letters, digits and underscores of lower-cased text, known by a 64-bit hash.
 Benchmark items are cut into passages of at most `PASSAGE` words, and these into groups of at most
 `GROUP`. Each group has a latent space: the leading directions of a matrix of TF-IDF passages, its
-own and a fixed number of corpus passages (`CORPUS_PASSAGES`, chosen by hash, at less weight), over
-the words of its passages. A randomised SVD finds them: tasks multiply their passages with a random
-block, the products are added up and made orthonormal, a few times over. Document frequencies are
-counted over all documents.
+own and those of all documents (at less weight, together that of `CORPUS_PASSAGES`), over the words of
+its passages. A randomised SVD finds them: tasks multiply their passages with a random block, the
+products are added up and made orthonormal, a few times over. Document frequencies are counted over all
+documents.
 
 Every document is cut into segments of `SEGMENT` words; windows of neighbouring segments, as wide as
 a passage needs, are projected and compared with the passages by cosine. Text beside a passage lowers
@@ -31,15 +31,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import hash_sample, written
+from .common import written
 
 PASSAGE = 64
 GROUP = 256
 SPACES = 8              # latent spaces used in one pass over the documents
 EXTRA = 24              # directions beyond the number of passages
 POWER_ROUNDS = 3
-CORPUS_PASSAGES = 4096
+CORPUS_PASSAGES = 4096  # all corpus passages together weigh as much as so many
 CORPUS_TASKS = 4
+CORPUS_ROWS = 1024      # corpus passages multiplied at once
 CORPUS_WEIGHT = 0.1
 SEGMENT = 16
 COSINE = 0.6
@@ -156,47 +157,79 @@ def document_frequencies(docs: DataFrame, text: str, words: np.ndarray) -> tuple
     return out[:-1], int(out[-1])
 
 
-def _corpus_sample(docs: DataFrame, text: str, total: int) -> DataFrame:
-    """One passage of each of about CORPUS_PASSAGES different texts chosen by hash, as word hashes."""
-    @F.pandas_udf("array<long>")
-    def passage(texts: pd.Series, seeds: pd.Series) -> pd.Series:
-        out = []
-        for (_, (words,)), seed in zip((next(hashed([t])) for t in texts), seeds):
-            at = seed % max(len(words) - PASSAGE + 1, 1)
-            out.append(words[at : at + PASSAGE].view(np.int64))
-        return pd.Series(out)
-
-    rows = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("by")).where("text IS NOT NULL")
-    chosen = hash_sample(rows, F.col("text"), CORPUS_PASSAGES, total)
-    return written(
-        chosen.select("by", passage("text", F.pmod("by", F.lit(1 << 31))).alias("words"))
-        .dropDuplicates(["by"]).select("words").repartition(CORPUS_TASKS), "corpus-passages")
-
+def _corpus(docs: DataFrame, text: str, words: np.ndarray) -> DataFrame:
+    """Every text cut into passages of PASSAGE words, written: the index of each word that is one of
+    `words`, and how many of them each passage has. Passages without one are left out; they weigh nothing."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
 
-def _basis(sample: DataFrame, own: np.ndarray, words: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Leading directions of own and sampled passages by subspace iteration from a random block."""
-    context = sample.sparkSession.sparkContext
-    known = context.broadcast((words, idf))
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vocabulary = Vocabulary(shared.value)
+        for batch in batches:
+            out = []
+            for _, parts in hashed(batch["text"].tolist()):
+                for part in parts:
+                    index = vocabulary(part).astype(np.int32)
+                    known = np.bincount(np.flatnonzero(index >= 0) // PASSAGE).astype(np.int32)
+                    if len(known):
+                        out.append((index[index >= 0].tobytes(), known[known > 0].tobytes()))
+            yield pd.DataFrame(out, columns=["words", "passages"])
+
+    # dealt evenly: each round multiplies all of it, however few files the documents lie in
+    rows = docs.select(F.col(text).alias("text")).mapInPandas(cut, "words binary, passages binary")
+    return written(rows.repartition(docs.sparkSession.sparkContext.defaultParallelism), "corpus-passages")
+
+
+def _products(batch: pd.DataFrame, place: np.ndarray, idf: np.ndarray, block: np.ndarray, total: np.ndarray) -> None:
+    """Adds to `total` the TF-IDF rows of a batch's passages, transposed, times the rows times `block`."""
+    index = place[np.frombuffer(b"".join(batch["words"]), dtype=np.int32)]
+    counts = np.frombuffer(b"".join(batch["passages"]), dtype=np.int32)
+    cuts = np.cumsum(counts)
+    for at in range(0, len(counts), CORPUS_ROWS):
+        some = counts[at : at + CORPUS_ROWS]
+        own = index[cuts[at] - counts[at] : cuts[at + len(some) - 1]]
+        codes, times = np.unique((np.repeat(np.arange(len(some)), some) * len(idf) + own)[own >= 0], return_counts=True)
+        if not len(codes):
+            continue
+        row, word = np.divmod(codes, len(idf))
+        weight = times * idf[word]
+        starts = np.flatnonzero(np.diff(row, prepend=-1))
+        row = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(row)))
+        weight = (weight / np.maximum(np.sqrt(np.add.reduceat(weight ** 2, starts)), 1e-12)[row]).astype(np.float32)
+        rows = np.add.reduceat(block[word] * weight[:, None], starts)
+        order = np.argsort(word, kind="stable")
+        firsts = np.flatnonzero(np.diff(word[order], prepend=-1))
+        total[word[order][firsts]] += np.add.reduceat(rows[row[order]] * weight[order][:, None], firsts)
+
+
+def _basis(corpus: DataFrame, weight: float, own: np.ndarray, place: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Leading directions of own and corpus passages by subspace iteration from a random block; `place` is
+    the index of each word of the corpus among the group's words, -1 if it is none of them."""
+    context = corpus.sparkSession.sparkContext
+    known, size = context.broadcast((place, idf)), len(idf)
 
     def multiplied(block):
         def product(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            words_, idf_ = known.value
-            vocabulary, total = Vocabulary(words_), 0
+            place_, idf_ = known.value
+            total = np.zeros(block.value.shape, dtype=np.float32)
             for batch in batches:
-                rows = np.array([_weights(vocabulary(np.asarray(w, dtype=np.int64).view(np.uint64)), idf_) for w in batch["words"]])
-                if len(rows):
-                    total = total + rows.T @ (rows @ block.value)
-            if not np.isscalar(total):
-                yield pd.DataFrame({"product": [total.astype(np.float32).tobytes()]})
+                _products(batch, place_, idf_, block.value, total)
+            yield pd.DataFrame({"slice": range(CORPUS_TASKS), "product": [total[k::CORPUS_TASKS].tobytes() for k in range(CORPUS_TASKS)]})
         return product
 
-    rank = min(len(own) + EXTRA, len(words))
-    block = np.random.default_rng(0).standard_normal((len(words), rank)).astype(np.float32)
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(batch["slice"].tolist(), batch["product"]):
+                sums[k] = sums.get(k, 0) + np.frombuffer(part, dtype=np.float32)
+        yield pd.DataFrame({"slice": list(sums), "product": [v.astype(np.float32).tobytes() for v in sums.values()]})
+
+    rank = min(len(own) + EXTRA, size)
+    block = np.random.default_rng(0).standard_normal((size, rank)).astype(np.float32)
     for _ in range(POWER_ROUNDS):
-        parts = sample.mapInPandas(multiplied(context.broadcast(block)), "product binary").collect()  # CORPUS_TASKS blocks
+        parts = corpus.mapInPandas(multiplied(context.broadcast(block)), "slice long, product binary")
         total = own.T @ (own @ block)
-        for part in parts:
-            total = total + CORPUS_WEIGHT ** 2 * np.frombuffer(part["product"], dtype=np.float32).reshape(block.shape)
+        for r in parts.repartition(CORPUS_TASKS, "slice").mapInPandas(added, "slice long, product binary").collect():  # one block in all
+            total[r["slice"]::CORPUS_TASKS] += weight * np.frombuffer(r["product"], dtype=np.float32).reshape(-1, rank)
         block = np.linalg.qr(total)[0].astype(np.float32)
     return block
 
@@ -210,7 +243,9 @@ def build(docs: DataFrame, text: str, benchmark: DataFrame, key: str, item_text:
     words = np.unique(np.concatenate([p[1] for p in all_passages]))
     frequency, n = document_frequencies(docs, text, words)
     idf = np.log((n + 1) / (frequency + 1)) + 1e-3
-    sample = _corpus_sample(docs, text, n)
+    corpus = _corpus(docs, text, words)
+    passages_ = corpus.agg(F.sum(F.octet_length("passages"))).first()[0] or 0
+    weight = CORPUS_WEIGHT ** 2 * min(1.0, CORPUS_PASSAGES * 4 / max(passages_, 1))  # four bytes a passage
     spaces = []
     for at in range(0, len(all_passages), GROUP):
         group = all_passages[at : at + GROUP]
@@ -218,7 +253,9 @@ def build(docs: DataFrame, text: str, benchmark: DataFrame, key: str, item_text:
         own_idf = idf[np.searchsorted(words, own_words)]
         vocabulary = Vocabulary(own_words)
         vectors = np.array([_weights(vocabulary(p[1]), own_idf) for p in group], dtype=np.float32)
-        basis = _basis(sample, vectors, own_words, own_idf)
+        place = np.full(len(words), -1, dtype=np.int64)
+        place[np.searchsorted(words, own_words)] = np.arange(len(own_words))
+        basis = _basis(corpus, weight, vectors, place, own_idf)
         spaces.append({
             "words": own_words, "idf": own_idf, "rows": (own_idf[:, None] * basis).astype(np.float32),
             "items": [p[0] for p in group], "passages": [p[1] for p in group], "answers": [p[2] for p in group]})

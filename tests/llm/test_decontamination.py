@@ -112,3 +112,25 @@ def test_all_items_back_to_back(spark):
     items = [(i, passage(500 + i, 9 + i % 30)) for i in range(60)]
     docs = spark.createDataFrame([(1, " ".join(t for _, t in items))] + [(2 + i, prose(2000 + i, 200, vocabulary=3000)) for i in range(40)], "doc_id long, text string")
     assert found(docs, spark.createDataFrame(items, "item_id long, text string"))[0] == [(1, i) for i, _ in items]
+
+
+def test_every_passage_of_the_corpus_counts(spark):
+    """The corpus part of the space comes from all passages of all texts: their products add up to the dense ones."""
+    words = [f"w{i}" for i in range(9)]
+    texts = [" ".join(words[(i * j) % 9] for j in range(1 + 37 * i)) for i in range(6)] + [None, "", "other words"]
+    hashes = np.sort(next(dc.hashed([" ".join(words)]))[1][0])
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    corpus = dc._corpus(docs, "text", hashes)
+    idf, place = np.linspace(1, 2, 9), np.arange(9)
+    place[4], place[5:] = -1, place[5:] - 1
+    idf = np.delete(idf, 4)
+    block, total = np.random.default_rng(1).standard_normal((8, 3)).astype(np.float32), np.zeros((8, 3), dtype=np.float32)
+    dc._products(corpus.toPandas(), place, idf, block, total)
+    own = dc.Vocabulary(np.delete(hashes, 4))
+    rows = []
+    for text in texts:
+        part = next(dc.hashed([text]))[1][0]
+        rows += [dc._weights(own(part[at : at + dc.PASSAGE]), idf) for at in range(0, len(part), dc.PASSAGE)]
+    assert np.allclose(total, np.array(rows).T @ (np.array(rows) @ block), atol=1e-3)
+    sizes = corpus.selectExpr("sum(octet_length(passages)) / 4").first()[0]
+    assert sizes == sum(np.any(r) for r in rows) or sizes == sum(-(-(1 + 37 * i) // dc.PASSAGE) for i in range(6))
