@@ -4,9 +4,10 @@ Words are runs of letters, digits and underscores of lower-cased text, known by
 Benchmark items are cut into passages of at most `PASSAGE` words, and these into groups of at most
 `GROUP`. Each group has a latent space: the leading directions of a matrix of TF-IDF passages, its
 own and those of all documents (at less weight, together that of `CORPUS_PASSAGES`), over the words of
-its passages. A randomised SVD finds them: tasks multiply their passages with a random block, the
-products are added up and made orthonormal, a few times over. Document frequencies are counted over all
-documents.
+its passages. A randomised SVD finds them: the matrix, transposed, times itself is multiplied with a random
+block and the product made orthonormal, a few times over. Of up to `GRAM_WORDS` words tasks add up that
+square once, in one pass over the passages; with more, too large a square, they multiply their passages with
+the block each time. Document frequencies are counted over all documents. Texts are hashed once for all of it.
 
 Every document is cut into segments of `SEGMENT` words; windows of neighbouring segments, as wide as
 a passage needs, are projected and compared with the passages by cosine. Text beside a passage lowers
@@ -24,6 +25,7 @@ that holds an item several times has it once, with the best match; other columns
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -42,6 +44,7 @@ CORPUS_PASSAGES = 4096  # all corpus passages together weigh as much as so many
 CORPUS_TASKS = 4
 CORPUS_ROWS = 1024      # corpus passages multiplied at once
 CORPUS_WEIGHT = 0.1
+GRAM_WORDS = 6144       # the half square of so many words is 75 MB
 SEGMENT = 16
 COSINE = 0.6
 LEAST_NORM = 0.4        # of the weakest passage's, below which a window cannot hold 60 % of a passage
@@ -53,24 +56,32 @@ BLOB = 1 << 17          # bytes of text handled at once
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*b"abcdefghijklmnopqrstuvwxyz0123456789_"]] = True
 _LETTER[128:] = True
-_POWERS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(64)], dtype=np.uint64)
 _VALUES = np.array([pow(0xD1342543DE82EF95, k + 2, 1 << 64) | 1 for k in range(256)], dtype=np.uint64)
+_VALUES[~_LETTER] = 0
+_BASE = 0x9E3779B97F4A7C15
+
+
+@functools.lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the base from the first on, and those of its inverse from the zeroth on."""
+    return tuple(np.cumprod(np.r_[np.uint64(first), np.full(size - 1, by, dtype=np.uint64)], dtype=np.uint64)
+                 for first, by in ((_BASE, _BASE), (1, pow(_BASE, -1, 1 << 64))))
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each word of lower-cased UTF-8."""
+    """Start and hash of each word of lower-cased UTF-8: the sum of its letters' values times rising powers,
+    by the place in the data, which the inverse power of the word's start moves to the place in the word."""
     a = np.frombuffer(data, np.uint8)
     inside = _LETTER[a]
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1 if len(a) else np.zeros(0, np.int64)
     edges = np.concatenate([[0], edges] if len(a) and inside[0] else [edges])
     if len(edges) % 2:
         edges = np.append(edges, len(a))
-    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    starts = edges[::2]
     if not len(starts):
         return starts.astype(np.int64), np.zeros(0, np.uint64)
-    first = np.cumsum(sizes) - sizes
-    place = np.arange(sizes.sum()) - np.repeat(first, sizes)
-    h = np.add.reduceat(_VALUES[a[inside]] * _POWERS[place & 63], first)
+    powers, inverse = _powers(max(2 * BLOB, 1 << (len(a) - 1).bit_length()))
+    h = np.add.reduceat(_VALUES[a] * powers[: len(a)], starts) * inverse[starts]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return starts, h ^ (h >> np.uint64(32))
@@ -134,32 +145,28 @@ def _weights(index: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / max(np.linalg.norm(v), 1e-12)
 
 
-def document_frequencies(docs: DataFrame, text: str, words: np.ndarray) -> tuple[np.ndarray, int]:
-    """In how many documents each of `words` stands, and how many documents have any word."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
-
+def document_frequencies(corpus: DataFrame, words: int) -> tuple[np.ndarray, int]:
+    """In how many documents each of the words stands, and how many documents have any word."""
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, n = Vocabulary(shared.value), np.zeros(len(shared.value) + 1, dtype=np.int64)
+        n = np.zeros(words + 1, dtype=np.int64)
         for batch in batches:
-            for _, parts in hashed(batch["text"].tolist()):
-                index = vocabulary(np.concatenate(parts)).astype(np.int64)
-                owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-                pairs = np.unique((owner * len(n) + index)[index >= 0])
-                n += np.bincount(pairs % len(n), minlength=len(n))
-                n[-1] += sum(len(p) > 0 for p in parts)
+            index = np.frombuffer(b"".join(batch["words"]), dtype=np.int32).astype(np.int64)
+            owner = np.repeat(np.arange(len(batch)), [len(w) // 4 for w in batch["words"]])
+            n += np.bincount(np.unique(owner * len(n) + index) % len(n), minlength=len(n))
+            n[-1] += len(batch)
         some = np.flatnonzero(n)
         yield pd.DataFrame({"word": some, "n": n[some]})
 
-    rows = docs.select(F.col(text).alias("text")).mapInPandas(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(len(words) + 1, dtype=np.int64)
+    rows = corpus.mapInPandas(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(words + 1, dtype=np.int64)
     for r in rows:  # at most one per word
         out[r["word"]] = r["n"]
     return out[:-1], int(out[-1])
 
 
 def _corpus(docs: DataFrame, text: str, words: np.ndarray) -> DataFrame:
-    """Every text cut into passages of PASSAGE words, written: the index of each word that is one of
-    `words`, and how many of them each passage has. Passages without one are left out; they weigh nothing."""
+    """Every text that has a word, cut into passages of PASSAGE words, written: the index of each word that is
+    one of `words`, and how many of them each passage has. Passages without one are left out; they weigh nothing."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,11 +174,19 @@ def _corpus(docs: DataFrame, text: str, words: np.ndarray) -> DataFrame:
         for batch in batches:
             out = []
             for _, parts in hashed(batch["text"].tolist()):
-                for part in parts:
-                    index = vocabulary(part).astype(np.int32)
-                    known = np.bincount(np.flatnonzero(index >= 0) // PASSAGE).astype(np.int32)
-                    if len(known):
-                        out.append((index[index >= 0].tobytes(), known[known > 0].tobytes()))
+                parts = [p for p in parts if len(p)]
+                if not parts:
+                    continue
+                sizes = np.array([len(p) for p in parts])
+                index = vocabulary(np.concatenate(parts)).astype(np.int32)
+                kept = np.flatnonzero(index >= 0)
+                ends, cuts = np.cumsum(sizes), np.cumsum(-(-sizes // PASSAGE))
+                owner = np.searchsorted(ends, kept, side="right")
+                place = kept - (ends - sizes)[owner]
+                passage = np.r_[0, cuts[:-1]][owner] + place // PASSAGE
+                known = np.bincount(passage, minlength=cuts[-1]).astype(np.int32)
+                held = np.split(known, cuts[:-1])
+                out += [(w.tobytes(), p[p > 0].tobytes()) for w, p in zip(np.split(index[kept], np.searchsorted(kept, ends[:-1])), held)]
             yield pd.DataFrame(out, columns=["words", "passages"])
 
     # dealt evenly: each round multiplies all of it, however few files the documents lie in
@@ -179,8 +194,9 @@ def _corpus(docs: DataFrame, text: str, words: np.ndarray) -> DataFrame:
     return written(rows.repartition(docs.sparkSession.sparkContext.defaultParallelism), "corpus-passages")
 
 
-def _products(batch: pd.DataFrame, place: np.ndarray, idf: np.ndarray, block: np.ndarray, total: np.ndarray) -> None:
-    """Adds to `total` the TF-IDF rows of a batch's passages, transposed, times the rows times `block`."""
+def _rows(batch: pd.DataFrame, place: np.ndarray, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The TF-IDF rows of a batch's passages, some at a time: (row, word and weight of each cell, by row and
+    word; the first cell of each row)."""
     index = place[np.frombuffer(b"".join(batch["words"]), dtype=np.int32)]
     counts = np.frombuffer(b"".join(batch["passages"]), dtype=np.int32)
     cuts = np.cumsum(counts)
@@ -194,13 +210,66 @@ def _products(batch: pd.DataFrame, place: np.ndarray, idf: np.ndarray, block: np
         weight = times * idf[word]
         starts = np.flatnonzero(np.diff(row, prepend=-1))
         row = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(row)))
-        weight = (weight / np.maximum(np.sqrt(np.add.reduceat(weight ** 2, starts)), 1e-12)[row]).astype(np.float32)
+        yield row, word, (weight / np.maximum(np.sqrt(np.add.reduceat(weight ** 2, starts)), 1e-12)[row]).astype(np.float32), starts
+
+
+def _products(batch: pd.DataFrame, place: np.ndarray, idf: np.ndarray, block: np.ndarray, total: np.ndarray) -> None:
+    """Adds to `total` the TF-IDF rows of a batch's passages, transposed, times the rows times `block`."""
+    for row, word, weight, starts in _rows(batch, place, idf):
         rows = np.add.reduceat(block[word] * weight[:, None], starts)
         order = np.argsort(word, kind="stable")
         firsts = np.flatnonzero(np.diff(word[order], prepend=-1))
         total[word[order][firsts]] += np.add.reduceat(rows[row[order]] * weight[order][:, None], firsts)
 
 
+def _squares(batch: pd.DataFrame, place: np.ndarray, idf: np.ndarray, total: np.ndarray) -> None:
+    """Adds to `total`, an upper triangle row after row, the TF-IDF rows of a batch's passages, transposed, times the rows."""
+    line = _lines(len(idf)).astype(np.int32)
+    for row, word, weight, starts in _rows(batch, place, idf):
+        word = word.astype(np.int32)
+        at = np.arange(len(word), dtype=np.int32)
+        times = np.append(starts[1:], len(word)).astype(np.int32)[row] - at  # a cell meets itself and those after it
+        other = np.arange(times.sum(), dtype=np.int32) - np.repeat(np.cumsum(times, dtype=np.int32) - times - at, times)
+        np.add.at(total, np.repeat(line[word], times) + word[other], np.repeat(weight, times) * weight[other])
+
+
+def _lines(size: int) -> np.ndarray:
+    """Where in an upper triangle, row after row, each row's column 0 would be."""
+    at = np.arange(size, dtype=np.int64)
+    return at * (2 * size - at - 1) // 2
+
+
+def _square(corpus: DataFrame, place: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The TF-IDF rows of all corpus passages, transposed, times the rows."""
+    known, size = corpus.sparkSession.sparkContext.broadcast((place, idf)), len(idf)
+    half = size * (size + 1) // 2
+
+    def squared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(half, dtype=np.float32)
+        for batch in batches:
+            _squares(batch, *known.value, total)
+        for k, part in enumerate(np.array_split(total, CORPUS_TASKS)):
+            yield pd.DataFrame({"slice": [k], "product": [part.tobytes()]})
+
+    out, lines = np.zeros((size, size), dtype=np.float32), _lines(size)
+    parts = {r["slice"]: r["product"] for r in corpus.mapInPandas(squared, "slice long, product binary")
+             .repartition(CORPUS_TASKS, "slice").mapInPandas(_added, "slice long, product binary").collect()}  # one triangle in all
+    total = np.frombuffer(b"".join(parts[k] for k in sorted(parts)), dtype=np.float32)
+    if len(total):
+        for i in range(size):
+            out[i, i:] = out[i:, i] = total[lines[i] + i : lines[i] + size]
+    return out
+
+
+def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The sum of the arrays of each slice."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, part in zip(batch["slice"].tolist(), batch["product"]):
+            sums[k] = sums.get(k, 0) + np.frombuffer(part, dtype=np.float32)
+    yield pd.DataFrame({"slice": list(sums), "product": [v.astype(np.float32).tobytes() for v in sums.values()]})
+
+
 def _basis(corpus: DataFrame, weight: float, own: np.ndarray, place: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Leading directions of own and corpus passages by subspace iteration from a random block; `place` is
     the index of each word of the corpus among the group's words, -1 if it is none of them."""
@@ -216,19 +285,16 @@ def _basis(corpus: DataFrame, weight: float, own: np.ndarray, place: np.ndarray,
             yield pd.DataFrame({"slice": range(CORPUS_TASKS), "product": [total[k::CORPUS_TASKS].tobytes() for k in range(CORPUS_TASKS)]})
         return product
 
-    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, part in zip(batch["slice"].tolist(), batch["product"]):
-                sums[k] = sums.get(k, 0) + np.frombuffer(part, dtype=np.float32)
-        yield pd.DataFrame({"slice": list(sums), "product": [v.astype(np.float32).tobytes() for v in sums.values()]})
-
     rank = min(len(own) + EXTRA, size)
     block = np.random.default_rng(0).standard_normal((size, rank)).astype(np.float32)
+    square = _square(corpus, place, idf) if size <= GRAM_WORDS else None
     for _ in range(POWER_ROUNDS):
+        if square is not None:
+            block = np.linalg.qr(own.T @ (own @ block) + weight * (square @ block))[0].astype(np.float32)
+            continue
         parts = corpus.mapInPandas(multiplied(context.broadcast(block)), "slice long, product binary")
         total = own.T @ (own @ block)
-        for r in parts.repartition(CORPUS_TASKS, "slice").mapInPandas(added, "slice long, product binary").collect():  # one block in all
+        for r in parts.repartition(CORPUS_TASKS, "slice").mapInPandas(_added, "slice long, product binary").collect():  # one block in all
             total[r["slice"]::CORPUS_TASKS] += weight * np.frombuffer(r["product"], dtype=np.float32).reshape(-1, rank)
         block = np.linalg.qr(total)[0].astype(np.float32)
     return block
@@ -241,9 +307,9 @@ def build(docs: DataFrame, text: str, benchmark: DataFrame, key: str, item_text:
     if not all_passages:
         return []
     words = np.unique(np.concatenate([p[1] for p in all_passages]))
-    frequency, n = document_frequencies(docs, text, words)
-    idf = np.log((n + 1) / (frequency + 1)) + 1e-3
     corpus = _corpus(docs, text, words)
+    frequency, n = document_frequencies(corpus, len(words))
+    idf = np.log((n + 1) / (frequency + 1)) + 1e-3
     passages_ = corpus.agg(F.sum(F.octet_length("passages"))).first()[0] or 0
     weight = CORPUS_WEIGHT ** 2 * min(1.0, CORPUS_PASSAGES * 4 / max(passages_, 1))  # four bytes a passage
     spaces = []

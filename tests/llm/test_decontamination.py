@@ -134,3 +134,39 @@ def test_every_passage_of_the_corpus_counts(spark):
     assert np.allclose(total, np.array(rows).T @ (np.array(rows) @ block), atol=1e-3)
     sizes = corpus.selectExpr("sum(octet_length(passages)) / 4").first()[0]
     assert sizes == sum(np.any(r) for r in rows) or sizes == sum(-(-(1 + 37 * i) // dc.PASSAGE) for i in range(6))
+
+
+def test_one_pass_gives_the_same_space(spark, monkeypatch):
+    """The square added up once, and the products of each round, lead to the same directions."""
+    texts = [prose(300 + i, 1 + 37 * i, vocabulary=60) for i in range(12)] + [None, "", "9 8 7"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    words = np.unique(next(dc.hashed([" ".join(t for t in texts[:9])]))[1][0])
+    corpus = dc._corpus(docs, "text", words)
+    frequency, n = dc.document_frequencies(corpus, len(words))
+    sets = [set(next(dc.hashed([t]))[1][0].tolist()) for t in texts]
+    assert n == sum(len(x) > 0 for x in sets) and frequency.tolist() == [sum(w in x for x in sets) for w in words.tolist()]
+    place, idf = np.arange(len(words)), np.linspace(1, 2, len(words))
+    place[2] = -1
+    place[3:] -= 1
+    idf = np.delete(idf, 2)
+    rows = []
+    for text in texts:
+        part = next(dc.hashed([text]))[1][0]
+        own = dc.Vocabulary(np.delete(words, 2))
+        rows += [dc._weights(own(part[at : at + dc.PASSAGE]), idf) for at in range(0, len(part), dc.PASSAGE)]
+    assert np.allclose(dc._square(corpus, place, idf), np.array(rows).T @ np.array(rows), atol=1e-4)
+    own = np.array(rows[:3], dtype=np.float32)
+    once = dc._basis(corpus, 0.3, own, place, idf)
+    monkeypatch.setattr(dc, "GRAM_WORDS", 0)
+    rounds = dc._basis(corpus, 0.3, own, place, idf)
+    assert np.allclose(once @ once.T, rounds @ rounds.T, atol=1e-2)
+
+
+def test_long_words_and_long_texts_hash_alike():
+    """A word has one hash wherever it stands, in data of any length."""
+    words = ["a", "z" * 70, "b" * 3, "z" * 71, "é" * 40]
+    data = (" ".join(words) + " ").encode()
+    alone = [int(dc.word_hashes(w.encode())[1][0]) for w in words]
+    assert len(set(alone)) == len(words)
+    again = dc.word_hashes(b"-" * (3 * dc.BLOB) + data * 2)[1].tolist()
+    assert again == alone * 2
