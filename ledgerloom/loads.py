@@ -190,9 +190,9 @@ def report_latest(star: StarTables) -> DataFrame:
 
 
 def resold(entity: str):
-    """Lines and typed headers of a sales document, from the invoices under another name."""
+    """Lines and typed headers of a sales document, from the invoices under another name, parsed once."""
     def run(star: StarTables) -> DataFrame:
-        raw = materialize(docs.invoices(star).withColumn("source_name", F.lit(entity)), "resold")
+        raw = materialize(records.parsed_once(docs.invoices(star).withColumn("source_name", F.lit(entity)), entity), "resold")
         key = records.DOCUMENT_KEYS[entity]
         headers = keep_last(records.map_records(raw, entity), ["client_id", "id"], [F.col("ord")]).select(
             "client_id", F.col("id").alias(key), "txn_date", "total_amount", F.col("customer_id").alias("party_id"))

@@ -6,6 +6,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom import loads
 from ledgerloom.plans import etl
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import archive, documents, files
@@ -89,3 +90,12 @@ def test_tax_and_lines_share_the_dealt_lines(spark, tmp_path):
     invoices = StarTables(spark, str(tmp_path)).table("fact_invoice", "client_id", "invoice_id", "total_tax")
     assert sorted((r.invoice_id, float(r.total_tax)) for r in invoices.collect()) == [("1", 1.0), ("2", 0.0)]
     assert "isnotnull(l_orderkey" in invoices._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_resold_documents_are_parsed_once(spark, monkeypatch):
+    """Lines and headers are read from a written copy of parsed records."""
+    written = []
+    monkeypatch.setattr(loads, "materialize", lambda df, label: written.append(df.columns) or materialize(df, label))
+    star = StarTables(spark, "/root/testdata/sf0.001")
+    assert loads.resold("RefundReceipt")(star).count() > 0
+    assert written and {"r", "reason"} <= set(written[0])
