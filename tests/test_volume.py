@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import loads
-from ledgerloom.plans import etl
+from ledgerloom.plans import etl, rollup
 from ledgerloom.session import scratch_path
-from ledgerloom.sources import archive, documents, files
-from ledgerloom.sources.star import StarTables
+from ledgerloom.sources import archive, documents, files, star as star_tables
+from ledgerloom.sources.star import StarTables, StoredStar
 from ledgerloom.sources.warehouse import Warehouse, materialize
 
 STAMP = dt.datetime(2024, 1, 1)
@@ -99,3 +99,53 @@ def test_resold_documents_are_parsed_once(spark, monkeypatch):
     star = StarTables(spark, "/root/testdata/sf0.001")
     assert loads.resold("RefundReceipt")(star).count() > 0
     assert written and {"r", "reason"} <= set(written[0])
+
+
+def odd_tables(spark, folder):
+    """Orders, parts and lines that occur twice, lines without an order or a part, and blank keys."""
+    line = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    tables = {
+        "region": ("r_regionkey int, r_name string", [(0, "A"), (1, "B")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "N", 0), (1, "M", 1)]),
+        "customer": ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", [(1, "x", 0, 1.0, "s"), (2, "y", 1, 2.0, "s"), (2, "z", 1, 2.0, "s")]),
+        "supplier": ("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double", [(1, "s", 0, 1.0)]),
+        "part": ("p_partkey bigint, p_name string, p_type string, p_retailprice double", [(1, "p", "ECONOMY", 1.0), (2, "q", "LARGE", 1.0), (2, "r", "PROMO", 1.0), (None, "n", "PROMO", 1.0)]),
+        "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string", [
+            (1, 1, "O", 10.0, STAMP, "1-URGENT"), (2, 1, "F", 5.0, STAMP, "x"), (2, 1, "F", 5.0, STAMP, "x"), (3, 2, "P", 7.0, None, "x"), (4, None, "P", 7.0, STAMP, "x"), (None, 1, "F", 1.0, STAMP, "x")]),
+        "lineitem": (line, [
+            (order, number, part, supplier, 2.0, 10.0 + (number or 0), 0.1, 0.1, flag, status, STAMP)
+            for order in (1, 2, 3, 4, 9, None) for number, part, supplier, flag, status in (
+                (1, 1, 1, "A", "O"), (2, 2, 1, "R", "F"), (1, 2, 1, "R", "F"), (3, None, None, "N", "O"), (4, 8, 2, "A", "F"), (5, 2, 1, "A", None), (None, 1, 1, "R", "F"))]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_stored_order_lines_give_the_same_tables(spark, tmp_path):
+    folder = odd_tables(spark, tmp_path)
+    plain, stored, spare = StarTables(spark, folder), StoredStar(spark, folder), StoredStar(spark, folder, details=False)
+    for name in ("invoice", "invoice_line", "bill", "bill_line", "purchase", "purchase_line", "payment", "estimate", "estimate_line"):
+        want = rows_of(plain.table(f"fact_{name}"))
+        assert want and rows_of(stored.table(f"fact_{name}")) == want, name
+    for name, columns in rollup.HEADERS.items():
+        assert rows_of(spare.table(name, *columns)) == rows_of(plain.table(name, *columns))
+    with pytest.raises(ValueError, match="not stored"):
+        spare.table("fact_invoice_line", "quantity")
+
+
+def test_aggregates_read_the_order_lines_once(spark, tmp_path, monkeypatch):
+    folder, plans = odd_tables(spark, tmp_path), []
+
+    def write(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df, label)
+    monkeypatch.setattr(star_tables, "materialize", write, raising=False)
+    monkeypatch.setattr(rollup, "materialize", write)
+    from ledgerloom.catalog import QUERIES
+    assert QUERIES["rollup_measures"](spark, folder).count() > 0
+    assert sum("l_extendedprice" in line for p in plans for line in p.split("\n") if "Relation [" in line) == 1
