@@ -19,7 +19,7 @@ from .plans import etl, reports as reports_plan
 from .schemas import GENERIC_TABLES, primary_key
 from .session import scratch_path
 from .sources import archive, calendar, documents as docs, landing, registry, reports
-from .sources.star import AS_OF, LINE_ORDER, StarTables
+from .sources.star import AS_OF, LINE_ORDER, StarTables, StoredStar
 from .sources.warehouse import Warehouse, materialize, typed_scan
 from .streaming import latest
 
@@ -122,6 +122,7 @@ TYPED = {
 def typed_scan_tables(star: StarTables) -> DataFrame:
     """Text copies of twelve tables read back with declared types: per typed column, the filled cells and
     their sum (of dates as yyyymmdd, of flags the true ones)."""
+    star = StoredStar(star.spark, star.path)
     out = []
     for table, typed in TYPED.items():
         source = dim_date(star) if table == "dim_date" else star.table(table)
