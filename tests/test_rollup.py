@@ -81,3 +81,32 @@ def test_facts_are_not_read_again(spark):
     plan = reports.pnl_matrix(held)._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan or "Relation" in plan
     assert plan.count("Relation [") <= 1  # the activity table alone; dimensions come from memory
+
+
+def test_headers_count_once_beside_their_lines(spark):
+    """Headers that occur twice, blank keys, headers without lines and lines without a header."""
+    def frame(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    day, other = DAY, DAY + dt.timedelta(days=1)
+    head = [("a", "1", day, "c", 10), ("a", "1", day, "c", 10), ("a", "1", other, "c", 4), ("a", "2", day, "c", None), (None, "1", day, "c", 7), ("a", None, day, "c", 3)]
+    line = [("a", "1", "A", "i", 1), ("a", "1", "B", "i", 2), ("a", "1", None, None, 3), ("a", "9", "A", "i", 5), (None, "1", "A", "i", 6), ("a", None, "A", "i", 8), ("a", None, "A", "i", 8)]
+    def headers(key, party, more="total_tax"):
+        kind = "boolean" if more == "is_credit" else "decimal(18,2)"
+        value = False if more == "is_credit" else Decimal(1)
+        return frame([(c, k, d, p, t and Decimal(t), value) for c, k, d, p, t in head], f"client_id string, {key} string, txn_date date, {party} string, total_amount decimal(18,2), {more} {kind}")
+    def lines(key):
+        return frame([(c, k, a, i, Decimal(x)) for c, k, a, i, x in line], f"client_id string, {key} string, account_id string, item_id string, amount decimal(18,2)")
+    held = rollup.build(Memory(
+        fact_invoice=headers("invoice_id", "customer_id"), fact_invoice_line=lines("invoice_id"), fact_bill=headers("bill_id", "vendor_id"), fact_bill_line=lines("bill_id"),
+        fact_purchase=headers("purchase_id", "vendor_id", "is_credit"), fact_purchase_line=lines("purchase_id"), fact_payment=headers("payment_id", "customer_id")))
+    got = {(r.client_id, r.kind, r.txn_date, r.party_id): (r.total_amount, r.documents, r.priced, r.total_tax, r.with_lines) for r in held.documents.collect()}
+    for kind, tax in (("revenue", 1), ("bill", None), ("purchase", None)):
+        assert {k[:1] + k[2:]: v for k, v in got.items() if k[1] == kind} == {
+            ("a", day, "c"): (23, 4, 3, tax and 4, 1), ("a", other, "c"): (4, 1, 1, tax, 1), (None, day, "c"): (7, 1, 1, tax, None),
+            ("a", None, None): (None, None, None, None, 2), (None, None, None): (None, None, None, None, 1)}
+    assert got["a", "payment", day, "c"] == (23, 4, 3, None, None)
+    activity = {(r.client_id, r.txn_date, r.account_id): (r.amount, r.lines) for r in held.activity.where("kind = 'bill'").collect()}
+    assert activity == {
+        ("a", day, "A"): (2, 2), ("a", day, "B"): (4, 2), ("a", day, None): (6, 2), ("a", other, "A"): (1, 1), ("a", other, "B"): (2, 1), ("a", other, None): (3, 1),
+        ("a", None, "A"): (21, 3), (None, None, "A"): (6, 1)}

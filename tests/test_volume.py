@@ -132,8 +132,9 @@ def test_stored_order_lines_give_the_same_tables(spark, tmp_path):
     for name in ("invoice", "invoice_line", "bill", "bill_line", "purchase", "purchase_line", "payment", "estimate", "estimate_line"):
         want = rows_of(plain.table(f"fact_{name}"))
         assert want and rows_of(stored.table(f"fact_{name}")) == want, name
-    for name, columns in rollup.HEADERS.items():
-        assert rows_of(spare.table(name, *columns)) == rows_of(plain.table(name, *columns))
+        if not name.startswith("estimate"):
+            wanted = ("client_id", "account_id", "item_id", "amount") if name.endswith("_line") else ("client_id", "txn_date", "total_amount")
+            assert rows_of(spare.table(f"fact_{name}", *wanted)) == rows_of(plain.table(f"fact_{name}", *wanted)), name
     with pytest.raises(ValueError, match="not stored"):
         spare.table("fact_invoice_line", "quantity")
 
