@@ -54,11 +54,10 @@ def line_arrays(lines: DataFrame, key: str, line: Column, subtotal: bool) -> Dat
     )
     array = F.transform("numbered", lambda x: x.line)
     if subtotal:
-        summary = F.from_json(
-            F.to_json(F.struct(
-                F.col("total").alias("Amount"), F.lit("SubTotalLineDetail").alias("DetailType"))),
-            grouped.select(array.alias("a")).schema["a"].dataType.elementType,
-        )
+        known = {"Amount": F.col("total"), "DetailType": F.lit("SubTotalLineDetail")}
+        fields = grouped.select(array.alias("a")).schema["a"].dataType.elementType.fields
+        summary = F.struct(*(
+            known.get(f.name, F.lit(None)).try_cast(f.dataType).alias(f.name) for f in fields))
         array = F.concat(array, F.array(summary))
     return grouped.select("client_id", key, array.alias("Line"))
 

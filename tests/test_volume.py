@@ -62,6 +62,16 @@ def test_line_arrays_meet_their_headers_without_another_shuffle(joined):
     assert sorted(x.Amount for r in met.collect() for x in r.Line) == list(range(30))
 
 
+def test_subtotals_are_built_without_json(spark):
+    lines = spark.createDataFrame([("a", "1", 1, 2), ("a", "1", 2, 3), ("a", "2", 1, None), ("a", "3", 1, 7)], "client_id string, invoice_id string, line_num int, n int").withColumn(
+        "amount", F.col("n").cast("decimal(18,2)"))
+    line = F.struct(F.col("line_num").alias("Id"), F.col("amount").alias("Amount"), F.lit("x").alias("DetailType"), F.struct(F.col("n").alias("Qty")).alias("Detail"))
+    arrays = documents.line_arrays(lines, "invoice_id", line, subtotal=True)
+    got = {r.invoice_id: r.Line[-1].asDict() for r in arrays.collect()}
+    assert got == {k: {"Id": None, "Amount": v, "DetailType": "SubTotalLineDetail", "Detail": None} for k, v in (("1", 5), ("2", None), ("3", 7))}
+    assert "json" not in plan(arrays).lower()
+
+
 def test_rows_go_to_the_files_of_their_folders_without_a_sort(spark):
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
     assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) == files.OPEN_FILES >= warehouse.slices
