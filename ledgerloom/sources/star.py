@@ -1,8 +1,8 @@
 """Star schema derived from order-management tables (region, nation, customer, supplier, part,
 orders, lineitem).
 
-Each region is a tenant. Nothing is materialised: every table is a plan over the Parquet scans,
-and callers name the columns they need so that unused joins are never planned. Dimension joins
+Each region is a tenant. Nothing is materialised but by `StoredStar`: every table is a plan over the Parquet
+scans, and callers name the columns they need so that unused joins are never planned. Dimension joins
 carry no broadcast hint; Spark picks the strategy from measured sizes.
 """
 
