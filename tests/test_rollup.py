@@ -74,6 +74,16 @@ def test_distinct_customers_of_any_period(spark):
     assert months == {k: len(v) for k, v in want.items()}
 
 
+def test_numbers_are_dealt_and_not_bitmaps(spark):
+    """A bitmap is made once per tenant, day and bucket, after the shuffle."""
+    invoices = spark.createDataFrame([("a", DAY, "1"), ("a", DAY, "1"), ("a", DAY, None), ("b", DAY, "2")], "client_id string, txn_date date, customer_id string")
+    days = rollup.customer_days(Memory(fact_invoice=invoices))
+    plan = days._jdf.queryExecution().executedPlan().toString().split("\n")
+    made = [i for i, line in enumerate(plan) if "bitmap_construct_agg" in line]
+    assert len(made) == 2 and not any("Exchange" in line for line in plan[made[0]:made[1]])
+    assert sorted((r.client_id, r.bucket is None) for r in days.collect()) == [("a", False), ("a", True), ("b", False)]
+
+
 def test_facts_are_not_read_again(spark):
     held = rollup.build(pick_model(spark, 5))
     with pytest.raises(ValueError, match="not held"):
