@@ -456,6 +456,21 @@ class StoredStar(StarTables):
         return lines.where("coalesce(part_copy, 1) = 1").drop("p_name", "p_type")
 
 
+class StoredHeaders(StarTables):
+    """Star tables of which the named ones are written once, for work that builds several pulls from them."""
+
+    def __init__(self, spark: SparkSession, path: str, *names: str):
+        super().__init__(spark, path)
+        self.names, self.held = names, {}
+
+    def table(self, name: str, *wanted: str) -> DataFrame:
+        if name not in self.names:
+            return super().table(name, *wanted)
+        if name not in self.held:
+            self.held[name] = materialize(super().table(name), name)
+        return self.held[name].select(*wanted) if wanted else self.held[name]
+
+
 class PartAccounts:
     """A model with one income account per part, in a deep tree: a part's account is below that of half
     its number. Some have an unknown parent, and some are below their own child."""
