@@ -194,13 +194,31 @@ def resold(entity: str):
     """Lines and typed headers of a sales document, from the invoices under another name, parsed once."""
     def run(star: StarTables) -> DataFrame:
         raw = materialize(records.parsed_once(docs.invoices(star).withColumn("source_name", F.lit(entity)), entity), "resold")
-        key = records.DOCUMENT_KEYS[entity]
-        headers = keep_last(records.map_records(raw, entity), ["client_id", "id"], [F.col("ord")]).select(
-            "client_id", F.col("id").alias(key), "txn_date", "total_amount", F.col("customer_id").alias("party_id"))
-        return records.flatten_lines(raw, entity).drop("ord").join(headers, ["client_id", key])
+        return headed_lines(raw, entity)
     return run
 
 
+def headed_lines(raw: DataFrame, entity: str) -> DataFrame:
+    """Lines of a booked document with date, total and party of the document's last header. `raw` should be a
+    written frame of `parsed_once`. The header of a document that came in one record is that record's own, which its
+    lines bring along; only lines of documents that came in several records are moved to meet the last header."""
+    key = records.DOCUMENT_KEYS[entity]
+    named = {"txn_date": "txn_date", "total_amount": "total_amount", "customer_id": "party_id"}
+    came = records.parse(raw, entity).select("client_id", F.col("r.Id").alias(key)).where("client_id IS NOT NULL")
+    several = materialize(came.groupBy("client_id", key).count().where("count > 1").drop("count"), "in-several-records")
+    lines = records.flatten_lines(raw, entity, header=tuple(named)).drop("ord").where("client_id IS NOT NULL")
+    own = [F.col(f"header.{c}").alias(n) for c, n in named.items()]
+    columns = ["client_id", key, *(c for c in lines.columns if c not in ("client_id", key, "header"))]
+    if several.isEmpty():
+        return lines.select(*columns, *own)
+    of_several = records.map_records(raw, entity).withColumnRenamed("id", key).join(several, ["client_id", key], "left_semi")
+    headers = keep_last(of_several, ["client_id", key], [F.col("ord")]).select(
+        "client_id", key, *(F.col(c).alias(n) for c, n in named.items()))
+    once = lines.join(several, ["client_id", key], "left_anti").select(*columns, *own)
+    met = lines.join(several, ["client_id", key], "left_semi").drop("header").join(headers, ["client_id", key])
+    return once.unionByName(met)
+
+
 def flatten_journal_lines(star: StarTables) -> DataFrame:
     return records.flatten_lines(docs.journal_entries(star), "JournalEntry").drop("ord")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.coerce import coerce
 from ..functions.parsing import is_damaged, with_parsed
 from ..schemas import BOOKED, ENTITY_TABLES, GENERIC_TABLES, LINE_TABLES, columns
 from .quality import coerce_columns
@@ -230,7 +231,15 @@ def _field(row: str, rule: str | tuple[str, str]) -> Column:
 
 def map_records(raw: DataFrame, entity: str) -> DataFrame:
     """Header columns of an entity, typed as its warehouse table, beside client_id and ord."""
-    table = target_table(entity)
+    mapped = _header(entity)
+    text = parse(raw, entity).select(
+        "client_id", "ord", *(c.alias(n) for n, c in mapped.items()))
+    return coerce_columns(text, dict(columns(target_table(entity))))
+
+
+def _header(entity: str) -> dict[str, Column]:
+    """Header columns as text, from struct `r`."""
+    target_table(entity)
     if entity in GENERIC_TABLES:
         mapped = {
             "id": F.col("r.Id"), "name": F.col("r.Name"),
@@ -247,21 +256,23 @@ def map_records(raw: DataFrame, entity: str) -> DataFrame:
     if entity == "Estimate":
         billed = F.filter("r.LinkedTxn", lambda t: t.TxnType == "Invoice")
         mapped["linked_invoice_id"] = F.get(billed, F.lit(0)).TxnId
-    text = parse(raw, entity).select(
-        "client_id", "ord", *(c.alias(n) for n, c in mapped.items()))
-    return coerce_columns(text, dict(columns(table)))
+    return mapped
 
 
-def flatten_lines(raw: DataFrame, entity: str) -> DataFrame:
+def flatten_lines(raw: DataFrame, entity: str, header: tuple[str, ...] = ()) -> DataFrame:
     """One row per line of an entity's Line array, typed as its line table, beside ord.
 
-    `ord` of a line extends the record's with the line's position.
+    `ord` of a line extends the record's with the line's position. Columns of the record's own header that are
+    asked for come along as struct `header`.
     """
     key = DOCUMENT_KEYS[entity]
+    kinds = dict(columns(target_table(entity)))
+    own = [F.struct(*(coerce(_header(entity)[c], kinds[c]).alias(c) for c in header)).alias("header")] if header else []
+    carried = ["header"] if header else []
     arrays = parse(raw, entity).select(
-        "client_id", "ord", F.col("r.Id").alias(key), F.col("r.Line").alias("lines"))
+        "client_id", "ord", F.col("r.Id").alias(key), *own, F.col("r.Line").alias("lines"))
     exploded = arrays.select(
-        "client_id", "ord", key, F.posexplode("lines").alias("line_pos", "line"))
+        "client_id", "ord", key, *carried, F.posexplode("lines").alias("line_pos", "line"))
     kind = F.coalesce("line.DetailType", F.lit(""))
     if entity in SALES:
         exploded = exploded.where(~kind.isin(*SUMMARY_LINES))
@@ -296,7 +307,7 @@ def flatten_lines(raw: DataFrame, entity: str) -> DataFrame:
             mapped[name] = last_note(F.col("line.LineEx.any"), note)
     types = dict(columns(LINE_TABLES[entity]))
     text = exploded.select(
-        "client_id", F.struct("ord", "line_pos").alias("ord"), key,
+        "client_id", F.struct("ord", "line_pos").alias("ord"), key, *carried,
         *(c.alias(n) for n, c in mapped.items() if n in types),
     )
     return coerce_columns(text, types)

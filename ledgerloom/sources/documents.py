@@ -42,14 +42,22 @@ def record(df: DataFrame, entity: str, *fields: Column, ts: dt.datetime = PULLED
     )
 
 
+# The order of a document's lines, by which they and the headers lie together already.
+ORDER = "l_orderkey"
+
+
 def line_arrays(lines: DataFrame, key: str, line: Column, subtotal: bool) -> DataFrame:
     """Lines of each document in number order, at most LINES_PER_RECORD per row, closed by a
-    subtotal line when asked. The lines are dealt by document before they are collected, so the arrays
-    meet their headers without another shuffle."""
-    lines = lines.repartition("client_id", key)
+    subtotal line when asked. Lines that come with their order lie by it and are collected where they lie;
+    others are dealt by document before. Either way the arrays meet their headers without another shuffle."""
+    keys = ["client_id", key]
+    if ORDER in lines.columns:
+        keys.insert(1, ORDER)
+    else:
+        lines = lines.repartition(*keys)
     part = F.floor(F.col("line_num") / LINES_PER_RECORD).alias("part")
     numbered = F.struct(F.col("line_num").alias("n"), line.alias("line"))
-    grouped = lines.groupBy("client_id", key, part).agg(
+    grouped = lines.groupBy(*keys, part).agg(
         F.sort_array(F.collect_list(numbered)).alias("numbered"), F.sum("amount").alias("total"),
     )
     array = F.transform("numbered", lambda x: x.line)
@@ -59,13 +67,20 @@ def line_arrays(lines: DataFrame, key: str, line: Column, subtotal: bool) -> Dat
         summary = F.struct(*(
             known.get(f.name, F.lit(None)).try_cast(f.dataType).alias(f.name) for f in fields))
         array = F.concat(array, F.array(summary))
-    return grouped.select("client_id", key, array.alias("Line"))
+    return grouped.select(*keys, array.alias("Line"))
+
+
+def with_lines(headers: DataFrame, arrays: DataFrame, key: str) -> DataFrame:
+    """Headers, with their order in column ORDER, beside the arrays of their lines. Both lie by the order, which
+    is one of the columns that they are joined by."""
+    headers.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return headers.join(arrays, ["client_id", ORDER, key], "left")
 
 
 def invoices(star: StarTables, lines: bool = True, surcharge: int = 0,
              ts: dt.datetime = PULLED_AT) -> DataFrame:
     """Invoice records; `surcharge` builds a stale version with a different total."""
-    headers = star.table("fact_invoice")
+    headers = star.table("fact_invoice", beside=("o_orderkey",) if lines else ())
     fields = [
         F.col("invoice_id").alias("Id"), F.col("doc_number").alias("DocNumber"),
         iso("txn_date").alias("TxnDate"), iso("due_date").alias("DueDate"),
@@ -76,14 +91,14 @@ def invoices(star: StarTables, lines: bool = True, surcharge: int = 0,
         F.col("email_status").alias("EmailStatus"), F.col("print_status").alias("PrintStatus"),
     ]
     if lines:
-        headers = headers.join(_sales_lines(star, "fact_invoice_line", "invoice_id"),
-                               ["client_id", "invoice_id"], "left")
+        headers = with_lines(
+            headers.withColumnRenamed("o_orderkey", ORDER), _sales_lines(star, "fact_invoice_line", "invoice_id"), "invoice_id")
         fields.append("Line")
     return record(headers, "Invoice", *map(_col, fields), ts=ts)
 
 
 def estimates(star: StarTables, lines: bool = True) -> DataFrame:
-    headers = star.table("fact_estimate")
+    headers = star.table("fact_estimate", beside=("o_orderkey",) if lines else ())
     def linked(kind):
         return F.struct(F.col("linked_invoice_id").alias("TxnId"), F.lit(kind).alias("TxnType"))
     fields = [
@@ -99,14 +114,14 @@ def estimates(star: StarTables, lines: bool = True) -> DataFrame:
         ).alias("LinkedTxn"),
     ]
     if lines:
-        headers = headers.join(_sales_lines(star, "fact_estimate_line", "estimate_id"),
-                               ["client_id", "estimate_id"], "left")
+        headers = with_lines(
+            headers.withColumnRenamed("o_orderkey", ORDER), _sales_lines(star, "fact_estimate_line", "estimate_id"), "estimate_id")
         fields.append("Line")
     return record(headers, "Estimate", *map(_col, fields))
 
 
 def _sales_lines(star: StarTables, table: str, key: str) -> DataFrame:
-    lines = star.table(table)
+    lines = star.table(table, beside=(ORDER,))
     service = F.col("service_date") if "service_date" in lines.columns else F.lit(None)
     line = F.struct(
         F.col("line_id").alias("Id"), F.col("line_num").alias("LineNum"),
@@ -152,7 +167,7 @@ def _expense_lines(star: StarTables, flag: str, key: Column) -> DataFrame:
 
 
 def bills(star: StarTables, lines: bool = True) -> DataFrame:
-    headers = star.table("fact_bill")
+    headers = star.table("fact_bill", beside=(ORDER,) if lines else ())
     fields = [
         F.col("bill_id").alias("Id"), iso("txn_date").alias("TxnDate"),
         iso("due_date").alias("DueDate"), ref("vendor_id").alias("VendorRef"),
@@ -161,13 +176,13 @@ def bills(star: StarTables, lines: bool = True) -> DataFrame:
     if lines:
         key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_suppkey").cast("string"))
         arrays = _expense_lines(star, "A", key).withColumnRenamed("id", "bill_id")
-        headers = headers.join(arrays, ["client_id", "bill_id"], "left")
+        headers = with_lines(headers, arrays, "bill_id")
         fields.append("Line")
     return record(headers, "Bill", *map(_col, fields))
 
 
 def purchases(star: StarTables, lines: bool = True) -> DataFrame:
-    headers = star.table("fact_purchase")
+    headers = star.table("fact_purchase", beside=(ORDER,) if lines else ())
     fields = [
         F.col("purchase_id").alias("Id"), iso("txn_date").alias("TxnDate"),
         F.col("payment_type").alias("PaymentType"), F.col("total_amount").alias("TotalAmt"),
@@ -178,7 +193,7 @@ def purchases(star: StarTables, lines: bool = True) -> DataFrame:
     if lines:
         key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
         arrays = _expense_lines(star, "R", key).withColumnRenamed("id", "purchase_id")
-        headers = headers.join(arrays, ["client_id", "purchase_id"], "left")
+        headers = with_lines(headers, arrays, "purchase_id")
         fields.append("Line")
     return record(headers, "Purchase", *map(_col, fields))
 

@@ -63,8 +63,9 @@ class StarTables:
             _SCHEMAS[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
-    def table(self, name: str, *wanted: str) -> DataFrame:
-        """The named star table with its declared columns, or only the wanted ones."""
+    def table(self, name: str, *wanted: str, beside: tuple[str, ...] = ()) -> DataFrame:
+        """The named star table with its declared columns, or only the wanted ones, and source columns
+        `beside` them, by which its rows may lie together."""
         wanted = wanted or tuple(column for column, _ in columns(name))
         if name in GENERIC_TABLES.values():
             df = self._generic()
@@ -75,7 +76,7 @@ class StarTables:
             *(
                 (F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c)
                 for c in wanted
-            )
+            ), *beside,
         )
 
     # -- shared pieces -------------------------------------------------------------------
@@ -145,15 +146,15 @@ class StarTables:
         )
 
     def tenant_lines(self, wanted: set[str], flag: str | None = None) -> DataFrame:
-        """Lines with their order's tenant, and part columns when an item or account is wanted."""
+        """Lines with their order's tenant, and part columns when an item or account is wanted. The order
+        comes last, so that lines of an order lie together."""
         lines = self.lines()
         if flag:
             lines = lines.where(F.col("l_returnflag") == flag)
-        joined = lines.join(self.orders(), F.col("l_orderkey") == F.col("o_orderkey"))
         if wanted & PART_COLUMNS:
             part = self.source("part").select("p_partkey", "p_name", "p_type")
-            joined = joined.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-        return joined
+            lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        return lines.join(self.orders(), F.col("l_orderkey") == F.col("o_orderkey"))
 
     # -- dimensions ----------------------------------------------------------------------
 
@@ -293,7 +294,7 @@ class StarTables:
             "balance", tax.alias("total_tax"), F.lit("NotSet").alias("email_status"),
             F.lit("NeedToPrint").alias("print_status"),
             date_key(F.col("order_date")).alias("txn_date_key"),
-            date_key(due).alias("due_date_key"),
+            date_key(due).alias("due_date_key"), "o_orderkey",
         )
 
     def _fact_invoice_line(self, wanted) -> DataFrame:
@@ -421,10 +422,10 @@ class StoredStar(StarTables):
         super().__init__(spark, path)
         self.details = details
 
-    def table(self, name: str, *wanted: str) -> DataFrame:
+    def table(self, name: str, *wanted: str, beside: tuple[str, ...] = ()) -> DataFrame:
         if not self.details and name.endswith("_line") and set(wanted or self.DETAILS) & set(self.DETAILS):
             raise ValueError(f"details of {name} are not stored")
-        return super().table(name, *wanted)
+        return super().table(name, *wanted, beside=beside)
 
     @cached_property
     def _orders(self) -> DataFrame:
@@ -463,9 +464,9 @@ class StoredHeaders(StarTables):
         super().__init__(spark, path)
         self.names, self.held = names, {}
 
-    def table(self, name: str, *wanted: str) -> DataFrame:
-        if name not in self.names:
-            return super().table(name, *wanted)
+    def table(self, name: str, *wanted: str, beside: tuple[str, ...] = ()) -> DataFrame:
+        if name not in self.names or beside:
+            return super().table(name, *wanted, beside=beside)
         if name not in self.held:
             self.held[name] = materialize(super().table(name), name)
         return self.held[name].select(*wanted) if wanted else self.held[name]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import loads
+from ledgerloom.operators import records
 from ledgerloom.plans import etl, rollup
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import archive, documents, files, star as star_tables
@@ -160,3 +161,60 @@ def test_aggregates_read_the_order_lines_once(spark, tmp_path, monkeypatch):
     from ledgerloom.catalog import QUERIES
     assert QUERIES["rollup_measures"](spark, folder).count() > 0
     assert sum("l_extendedprice" in line for p in plans for line in p.split("\n") if "Relation [" in line) == 1
+
+
+def hash_exchanges(df):
+    return [line.split("hashpartitioning(")[1] for line in plan(df).split("\n") if "Exchange hashpartitioning(" in line]
+
+
+@pytest.mark.parametrize("build", [documents.invoices, documents.estimates, documents.bills, documents.purchases])
+def test_lines_and_headers_of_built_documents_lie_by_order(joined, tmp_path, build):
+    """Neither is dealt again by the document's id."""
+    keys = hash_exchanges(build(StarTables(joined, odd_tables(joined, tmp_path))))
+    assert keys and not [k for k in keys if k.startswith("client_id") or "_id#" in k]
+    # the lines, with their part, come to their order once
+    assert sum(k.startswith("l_partkey#") for k in keys) == 1
+
+
+@pytest.mark.parametrize("entity", ["Invoice", "Estimate", "Bill", "Purchase"])
+def test_built_documents_hold_all_lines_of_odd_tables(spark, tmp_path, entity):
+    """Lines per document as joined by its id, with repeated orders and parts and blank suppliers."""
+    star, table, key = StarTables(spark, odd_tables(spark, tmp_path)), entity.lower(), f"{entity.lower()}_id"
+    built = documents.BUILDERS[entity](star).select("client_id", F.get_json_object("record", "$.Id").alias(key), "record")
+    size = F.coalesce(F.json_array_length(F.get_json_object("record", "$.Line")), F.lit(1)) - 1  # without the subtotal
+    got = built.groupBy("client_id", key).agg(F.sum(size))
+    headers = star.table(f"fact_{table}", "client_id", key)
+    lines = {
+        "Invoice": lambda: star.table("fact_invoice_line", "client_id", key, "item_name"),
+        "Estimate": lambda: star.table("fact_estimate_line", "client_id", key, "item_name"),
+        "Bill": lambda: star.table("fact_bill_line", "client_id", key, "account_id"),
+        "Purchase": lambda: star.table("fact_purchase_line", "client_id", key, "account_id"),
+    }[entity]().groupBy("client_id", key).count()
+    want = headers.join(lines, ["client_id", key], "left").groupBy("client_id", key).agg(F.coalesce(F.sum("count"), F.lit(0)))
+    assert want.count() and sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+def resold_records(spark, *rows):
+    """(client, id, day, total, lines) as credit memos, parsed and written."""
+    raw = spark.createDataFrame([
+        (c, "CreditMemo", (STAMP + dt.timedelta(days=d), 0, n, 0), '{%s"TxnDate":"2024-01-0%d","TotalAmt":"%s","CustomerRef":{"value":"c%d"},"Line":[%s]}' % (
+            f'"Id":"{i}",' if i else "", d + 1, t, d, ",".join('{"Id":"%s","Amount":"1"}' % x for x in lines)))
+        for n, (c, i, d, t, lines) in enumerate(rows)],
+        "client_id string, source_name string, ord struct<ts:timestamp_ntz,block:bigint,pos:bigint,item:int>, record string")
+    return materialize(records.parsed_once(raw, "CreditMemo"), "resold-test")
+
+
+def test_lines_bring_their_own_header(joined):
+    """Of a document in one record the lines are not moved; the others meet the last header."""
+    raw = resold_records(joined, ("a", "1", 0, 5, "xy"), ("a", "2", 1, 7, ""), ("b", "1", 2, None, "z"), (None, "3", 0, 1, "x"), ("a", None, 0, 1, "x"))
+    got = loads.headed_lines(raw, "CreditMemo")
+    assert sorted((r.client_id, r.credit_memo_id, r.line_id, str(r.txn_date), r.total_amount and int(r.total_amount), r.party_id) for r in got.collect()) == [
+        ("a", "1", "x", "2024-01-01", 5, "c0"), ("a", "1", "y", "2024-01-01", 5, "c0"), ("b", "1", "z", "2024-01-03", None, "c2")]
+    assert not hash_exchanges(got)
+
+
+def test_lines_of_several_records_meet_the_last_header(joined):
+    raw = resold_records(joined, ("a", "1", 1, 6, "y"), ("a", "1", 0, 5, "x"), ("a", "1", 2, 7, ""), ("a", "2", 0, 8, "x"), ("b", "1", 0, 9, "x"))
+    got = loads.headed_lines(raw, "CreditMemo")
+    assert sorted((r.client_id, r.credit_memo_id, r.line_id, int(r.total_amount), r.party_id) for r in got.collect()) == [
+        ("a", "1", "x", 7, "c2"), ("a", "1", "y", 7, "c2"), ("a", "2", "x", 8, "c0"), ("b", "1", "x", 9, "c0")]
